@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import language_id, quality
+from quarry.llm import language_id, minhash_dedup, quality
 from quarry.llm._scratch import Scratch
 
 
@@ -19,6 +19,10 @@ def _fold(column: str, folds: int = 5):
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     measured = Scratch(spark, "quality").keep(quality.measure(docs), "stats")
@@ -33,6 +37,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash": op3_minhash,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
 }
