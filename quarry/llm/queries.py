@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import language_id, minhash_dedup, quality
+from quarry.llm import decontaminate, language_id, line_dedup, minhash_dedup, packing, quality
 from quarry.llm._scratch import Scratch
 
 
@@ -19,10 +19,46 @@ def _fold(column: str, folds: int = 5):
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    done = line_dedup.line_dedup(pages, line_dedup.url_host(F.col("url")), line_dedup.html_lines(F.col("html")))
+    return done.select("page_id", "__line_dedup.host", "__line_dedup.n_lines", "__line_dedup.n_dropped", F.md5("__line_dedup.clean").alias("clean_md5"))
+
+
+ORACLE_2 = r"""
+WITH page AS (
+  SELECT page_id,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+           '(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->', chr(10), 'g'),
+           '(?i)</?(b|i|em|strong|a|span|u|code)\b[^<>]*>', '', 'g'),
+           '<[^<>]*>', chr(10), 'g'), '\n\s*\n', chr(10), 'g') AS text
+  FROM pages),
+line AS (SELECT page_id, host, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM page),
+counts AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT page_id) AS n FROM line WHERE trim(line, ' ') <> '' GROUP BY ALL),
+totals AS (SELECT host, count(*) AS total FROM page GROUP BY host),
+bad AS (SELECT host, line FROM counts JOIN totals USING (host) WHERE n >= 10 AND n > total * 0.1::DOUBLE),
+marked AS (SELECT l.page_id, l.host, l.pos, l.line, b.line IS NOT NULL AS gone FROM line l LEFT JOIN bad b ON l.host = b.host AND trim(l.line, ' ') = b.line)
+SELECT page_id, host, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_dropped,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS clean_md5
+FROM marked GROUP BY page_id, host
+"""
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct("__hits.item"))
+    return found.select("doc_id", (F.size("__hits") > 0).alias("contaminated"), items.alias("item_ids"), F.size("__hits").alias("n_regions"), F.array_min("__hits.edits").alias("least_edits"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     measured = Scratch(spark, "quality").keep(quality.measure(docs), "stats")
@@ -37,8 +73,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": ORACLE_2}
