@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, minhash_dedup, packing, quality
+from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, quality
 from quarry.llm._scratch import Scratch
 
 
@@ -19,6 +19,10 @@ def _fold(column: str, folds: int = 5):
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_score(_read(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages")
     done = line_dedup.line_dedup(pages, line_dedup.url_host(F.col("url")), line_dedup.html_lines(F.col("html")))
@@ -73,6 +77,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm": op1_lm,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
     "op7_decontaminate": op7_decontaminate,
