@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, quality
+from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, quality, topk_search
 from quarry.llm._scratch import Scratch
 
 
@@ -53,6 +53,23 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+ORACLE_4 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct("__hits.item"))
@@ -80,9 +97,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm": op1_lm,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
+    "op4_topk": op4_topk,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": ORACLE_2}
+ORACLES: dict[str, str] = {"op2_line_dedup": ORACLE_2, "op4_topk": ORACLE_4}
