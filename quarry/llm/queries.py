@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, quality, topk_search
+from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, topk_search
 from quarry.llm._scratch import Scratch
 
 
@@ -70,6 +70,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.pseudonymise(_read(spark, sf_dir, "documents").select("doc_id", "text"), key="quarry")
+    return done.select("doc_id", "__pii.n_entities", "__pii.kinds", F.col("__pii.text").alias("text"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct("__hits.item"))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
     "op4_topk": op4_topk,
+    "op5_pii": op5_pii,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
