@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, topk_search
+from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, suffix_dedup, topk_search
 from quarry.llm._scratch import Scratch
 
 
@@ -75,6 +75,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "__pii.n_entities", "__pii.kinds", F.col("__pii.text").alias("text"))
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct("__hits.item"))
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash": op3_minhash,
     "op4_topk": op4_topk,
     "op5_pii": op5_pii,
+    "op6_suffix": op6_suffix,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
