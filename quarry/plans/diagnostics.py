@@ -200,10 +200,10 @@ def imaging_success(k):
     return n.select("health", "n", c.percent(F.col("n"), F.sum("n").over(W.partitionBy())).alias("pct"), "images")
 
 
-@query("SELECT health IS NULL AS no_health, enum_done IS NULL AS no_enum, copy_done IS NULL AS no_copy, image_path IS NULL AS no_image, health = 'failed' AS failed, count(*) AS n FROM medium GROUP BY ALL")
+@query("SELECT health IS NULL AS no_health, enum_done IS NULL AS no_enum, copy_done IS NULL AS no_copy, image_path IS NULL AS no_image, coalesce(health = 'failed', FALSE) AS failed, count(*) AS n FROM medium GROUP BY ALL")
 def problem_flags(k):
     null = lambda x: F.col(x).isNull()
-    return k.medium.groupBy(null("health").alias("no_health"), null("enum_done").alias("no_enum"), null("copy_done").alias("no_copy"), null("image_path").alias("no_image"), (F.col("health") == "failed").alias("failed")).agg(F.count("*").alias("n"))
+    return k.medium.groupBy(null("health").alias("no_health"), null("enum_done").alias("no_enum"), null("copy_done").alias("no_copy"), null("image_path").alias("no_image"), F.coalesce(F.col("health") == "failed", F.lit(False)).alias("failed")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT md5(text) AS content_hash, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS media FROM documents GROUP BY 1 HAVING count(DISTINCT source) > 1", on_catalog=False)

@@ -25,8 +25,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The files of a folder, or one file (a file stream reads folders, so the others are filtered by name)."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
+    return reader.parquet(path)
 
 
 def drained(frame: DataFrame, name: str) -> DataFrame:
