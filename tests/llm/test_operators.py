@@ -1,0 +1,370 @@
+"""Each operator against brute force, and its defined results at the edges."""
+
+import hashlib
+import json
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, queries, suffix_dedup, topk_search
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, n long, row long, word string"
+
+
+def frame(spark, texts, ids=None):
+    """Documents with columns whose names clash with the operators' own."""
+    ids = list(range(len(texts))) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), 0.5, 1, 2, "w") for i, t in zip(ids, texts)], DOC)
+
+
+def words(t):
+    return (t or "").encode().lower().split()
+
+
+EDGE = [None, "", " \n\t", "One.", "one", "One.", "x" * 50_000, "a b c d e f g h " * 3000, "é ñ ü " * 10]
+
+
+def corpus(n=60, seed=3):
+    r = random.Random(seed)
+    vocabulary = ["w%d" % i for i in range(300)]
+    out = []
+    for i in range(n):
+        if i % 4 == 3:
+            t = out[r.randrange(len(out))].split(" ")
+            for _ in range(r.randrange(4)):
+                t[r.randrange(len(t))] = r.choice(vocabulary)
+            out.append(" ".join(t))
+        else:
+            out.append(" ".join(r.choice(vocabulary) for _ in range(r.randrange(5, 120))))
+    return out
+
+
+# 1
+def test_lm_scores(spark):
+    texts = corpus() + EDGE
+    got = {r.doc_id: r for r in lm_scoring.lm_score(frame(spark, texts), items=50, groups=32, classes=6, held=100).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))}
+    c = Counter()
+    for i, t in enumerate(texts):
+        if not held[i]:
+            c.update(words(t) + ["end"])
+    n, v = sum(c.values()), len(c)
+    for i, t in enumerate(texts):
+        tokens = words(t) + ["end"]
+        base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(tokens), sum(w in c for w in tokens), n)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score < 0
+    assert len(got) == len(texts)
+
+
+def test_lm_is_a_distribution(spark):
+    from quarry.llm._scratch import Scratch
+
+    texts = corpus(40)
+    rows = lm_scoring._rows(frame(spark, texts), "doc_id", "text", 5, 1)
+    m, _ = lm_scoring.fit(rows, Scratch(spark, "t"), items=50, groups=32, classes=6, held=1000)
+    assert np.allclose((10**m.step).sum(1), 1) and np.allclose(np.bincount(m.cls, 10**m.emit)[np.unique(m.cls)], 1)
+    in_group = np.zeros(32)
+    raw_words = sorted({w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1 for w in words(t)})
+    counts = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1 for w in words(t))
+    off = np.cumsum([0, *map(len, raw_words)])
+    raw = np.frombuffer(b"".join(raw_words), np.uint8)
+    _, _, _, item, _, _ = m.words.tokens(raw, off)
+    for w, i in zip(raw_words, item):
+        if i >= m.words.n_items:
+            in_group[i - m.words.n_items] += (counts[w] - m.discount) / m.group_n[i - m.words.n_items]
+    assert (in_group <= 1 + 1e-9).all()
+
+
+def test_lm_exchange_raises_likelihood():
+    r = np.random.default_rng(0)
+    left, right = np.divmod(np.arange(400), 20)
+    count = r.integers(0, 30, 400) * ((left % 3 == right % 3) * 5 + 1)
+
+    def value(cls):
+        m = np.zeros((4, 4))
+        np.add.at(m, (cls[left], cls[right]), count)
+        g = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
+        return g(m) - g(m.sum(1)) - g(m.sum(0))
+
+    none, _ = lm_scoring.exchange(20, left, right, count, 4, rounds=0)
+    some, m = lm_scoring.exchange(20, left, right, count, 4)
+    check = np.zeros((4, 4))
+    np.add.at(check, (some[left], some[right]), count)
+    assert value(some) > value(none) and np.allclose(check, m) and some[0] == 0 and (some[1:] > 0).all()
+
+
+# 2
+@pytest.mark.parametrize("most_broadcast", [10**6, -1])
+def test_line_dedup(spark, most_broadcast):
+    rows = [(i, "h" if i < 30 else "k", "head\nline %d\n\n head \nfoot" % i if i % 2 else "head\nonly %d" % i) for i in range(40)] + [(98, None, None), (99, "h", "")]
+    pages = spark.createDataFrame(rows, "id long, host string, text string")
+    got = {r.id: r for r in line_dedup.line_dedup(pages, F.col("host"), F.col("text"), ratio=0.4, least_pages=10, most_broadcast=most_broadcast).select("id", "__line_dedup.*").collect()}
+    for i, host, text in rows:
+        own = [set(x.strip(" ") for x in (t or "").split("\n")) for _, h, t in rows if h == host]
+        bad = {x for x in set().union(*own) if x and sum(x in s for s in own) >= 10 and sum(x in s for s in own) > 0.4 * len(own)}
+        clean = None if text is None else "\n".join(x for x in text.split("\n") if x.strip(" ") not in bad)
+        assert got[i].clean == clean and got[i].n_lines == (0 if text is None else text.count("\n") + 1)
+    assert line_dedup.line_dedup(pages.limit(0), F.col("host"), F.col("text")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op4_topk"])
+def test_sql_twin(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("pages", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    got, want = queries.QUERIES[name](spark, sf_dir).toPandas(), con.sql(queries.ORACLES[name]).df()
+    columns = sorted(want.columns)
+    assert sorted(map(tuple, got[columns].values.tolist())) == sorted(map(tuple, want[columns].values.tolist()))
+
+
+# 3
+def brute_groups(texts, shingle, percent):
+    sets = []
+    for t in texts:
+        w = words(t)
+        sets.append({tuple(w[i : i + shingle]) for i in range(len(w) - shingle + 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(texts))], [len(s) for s in sets]
+
+
+@pytest.mark.parametrize("shingle,percent", [(3, 85), (5, 80)])
+def test_near_duplicates(spark, shingle, percent, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    r = random.Random(5)
+    base = ["b%d" % i for i in range(130)]
+    near = []
+    for _ in range(60):  # a cloud around one text, whose members are not all links of each other
+        t = list(base)
+        for _ in range(r.randrange(6)):
+            t[r.randrange(len(t))] = "z%d" % r.randrange(10**6)
+        near.append(" ".join(t))
+    texts = corpus() + EDGE + near
+    want, sizes = brute_groups(texts, shingle, percent)
+    got = {r.doc_id: r for r in minhash_dedup.near_duplicates(frame(spark, texts), shingle=shingle, percent=percent).collect()}
+    assert [got[i].component_id for i in range(len(texts))] == want
+    assert [got[i].n_shingles for i in range(len(texts))] == sizes
+    assert all(got[i].kept == (i == want[i]) for i in range(len(texts)))
+
+
+def test_near_duplicates_edges(spark):
+    assert minhash_dedup.near_duplicates(frame(spark, [])).count() == 0
+    got = minhash_dedup.near_duplicates(frame(spark, ["a b c d e f"] * 3, [None, 4, 4])).collect()
+    assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == [("4", "4", True), ("4", "4", True), ("None", "None", True)]
+
+
+def test_least_matches():
+    for s in (0.8, 0.85):
+        t = minhash_dedup.least_matches(s)
+        assert sum(math.comb(64, k) * s**k * (1 - s) ** (64 - k) for k in range(t)) <= 1e-7 < sum(math.comb(64, k) * s**k * (1 - s) ** (64 - k) for k in range(t + 1))
+
+
+# 4
+def test_top_k(spark):
+    r = np.random.default_rng(1)
+    vectors = [(i, [float(x) for x in np.round(r.normal(size=6), 1)]) for i in range(300)] + [(1000, None), (1020, [float("nan")] * 6), (1040, []), (1060, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (1080, [1.0, 2.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
+    got = {}
+    for x in topk_search.top_k(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=40, block=5).collect():
+        got.setdefault(x.query_id, {})[x.rank] = (x.vec_id, x.score)
+    q = {i: [math.floor(64 * x) for x in v] for i, v in vectors[:300]}
+    assert set(got) == {i for i in q if i % 20 == 0}
+    for i in got:
+        want = sorted(((-sum(a * b for a, b in zip(q[i], v)), j) for j, v in q.items() if j != i))[:20]
+        assert [got[i][k + 1] for k in range(20)] == [(j, -s) for s, j in want]
+    assert topk_search.top_k(df.limit(0), F.lit(True)).count() == 0
+    few = topk_search.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0).collect()
+    assert [x.rank for x in sorted(few, key=lambda x: x.rank)] == [1, 2]
+
+
+# 5
+def test_pii(spark):
+    texts = ["Mail Ann.Lee3@corp.example.com, call (487) 555-7209 or +1 (487) 555-7209.", "ann.lee3@corp.example.com Mr. John Smith met Mrs Ada Smith; Mr. Smith left", "4111 1111 1111 1111 and 4111111111111111, 10.0.0.1", "no entity", None, "", "господин Иван Петров", "token 04dbebab91ab85687d33eeaaf9ac699e1188f962"]
+    got = [r for r in pii.pseudonymise(frame(spark, texts + texts[:1], [*range(len(texts)), 77]), "k").orderBy("doc_id").collect()]
+    out = [r["__pii"].text for r in got]
+    assert out[3] == texts[3] and out[4] is None and out[5] == "" and out[-1] == out[0] and got[0].text == texts[0]
+    a, b = re.findall(r"\((\d{3})\) (\d{3})-(\d{4})", out[0])
+    assert a == b and ("487", "555", "7209") != a and "Ann.Lee3" not in out[0]
+    assert re.search(r"\S+@\S+", out[0])[0].rstrip(",") == re.search(r"\S+@\S+", out[1])[0]
+    m = re.search(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+); Mr\. (\w+) left", out[1])
+    assert m[2] == m[4] == m[5] != "Smith" and m[1] in pii.GIVEN["given_m"] and m[3] in pii.GIVEN["given_f"]
+    card = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", out[2])
+    assert card[0].replace(" ", "") == card[1] and card[1][0] == "4" and sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(card[1]))) % 10 == 0
+    assert re.fullmatch(r"господин \w+ \w+", out[6]) and re.search("[А-Я]", out[6]) and out[6] != texts[6]
+    assert re.fullmatch("token [0-9a-f]{40}", out[7]) and [r["__pii"].n_entities for r in got] == [3, 4, 3, 0, 0, 0, 1, 1, 3]
+
+
+def test_pii_distinct(spark):
+    texts = ["%s@x.example.com" % a for a in "abcdefghijklmnopqrstuvwxyz"] + ["Mr. %s Stone" % n for n in ("Abel", "Bob", "Cid", "Dan", "Ed", "Fred", "Gus", "Hal", "Ian", "Jim", "Ken", "Lou", "Max", "Ned", "Otto", "Pat", "Quin", "Ray", "Sam", "Tom")]
+    out = [r["__pii"].text for r in pii.pseudonymise(frame(spark, texts), "k").collect()]
+    assert len(set(out)) == len(texts) and not set(out) & set(texts)
+    assert pii.pseudonymise(frame(spark, []), "k").count() == 0
+
+
+# 6
+def brute_repeats(texts, n):
+    seen = Counter(b[i : i + n] for b in texts for i in range(len(b) - n + 1))
+    for b in texts:
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - n + 1):
+            if seen[b[i : i + n]] > 1:
+                gone[i : i + n] = True
+        yield len(b), int(gone.sum()), len(suffix_dedup._spans(gone)[0]), hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()
+
+
+@pytest.mark.parametrize("most", [50_000, 2])
+def test_suffix_dedup(spark, most):
+    r = random.Random(2)
+    noise = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    passage = noise(400)
+    texts = [noise(r.randrange(1000)) + passage[r.randrange(100) : r.randrange(300, 400)] + noise(r.randrange(300)) for _ in range(25)]
+    texts += [None, "", "short", "x" * 900, "x" * 199, texts[3], texts[3], "ab" * 300, passage + passage]
+    got = {x.doc_id: tuple(x)[1:] for x in suffix_dedup.find_repeats(frame(spark, texts), most=most, per_bucket=20).collect()}
+    want = list(brute_repeats([(t or "").encode() for t in texts], 200))
+    assert [got[i] for i in range(len(texts))] == want
+    assert suffix_dedup.find_repeats(frame(spark, [])).count() == 0
+
+
+def test_repeated_starts():
+    parts, places = [b"zzABCDyy", b"xzABCDyq", b"ABCDyy"], np.array([2, 2, 0])
+    windows = np.array([4, 4, 2])
+    got = suffix_dedup.repeated_starts(parts, places, windows, 5)
+    have = {(i, int(c) - (2 - int(places[i]))) for i, c in zip(*np.nonzero(got))}
+    texts = [b"zzABCDyy", b"xzABCDyq", b"ABCDyy"]
+    want = {(i, j) for i, t in enumerate(texts) for j in range(windows[i]) if len(t[j : j + 5]) == 5 and any(u[k : k + 5] == t[j : j + 5] for m, u in enumerate(texts) if m != i for k in range(len(u) - 4))}
+    assert have == want
+
+
+# 7
+def test_decontaminate(spark):
+    r = random.Random(4)
+    prose = lambda n: " ".join("".join(r.choice("aeiourstlnm") for _ in range(r.randrange(2, 9))) for _ in range(n))
+    items = [(i, prose(30)) for i in range(10)] + [(50, "short"), (51, None), (None, prose(30)), (52, "")]
+    edited = list(items[2][1])
+    for k in range(10, len(edited), 40):
+        edited[k] = "#"
+    docs = [prose(80), prose(40) + " " + items[0][1] + " " + prose(40), prose(20) + " " + items[1][1].upper().replace(" ", "\n") + "!", "".join(edited), items[3][1][:110] + " " + prose(30), None, "", "short", items[4][1] + " " + items[5][1]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (1 << 20, 300):
+        found = frame(spark, docs)
+        blocks = list(decontaminate.blocks(bench, block_bytes=block))
+        assert len(blocks) == (1 if block > 300 else len(blocks)) and sum(map(len, blocks)) == 12
+    got = {x.doc_id: sorted({h.item for h in x["__hits"]}) for x in decontaminate.contaminated(found, bench).collect()}
+    assert got == {0: [], 1: [0], 2: [1], 3: [2], 4: [3], 5: [], 6: [], 7: [], 8: [4, 5]}
+    assert decontaminate.decontaminate(found, bench).columns == found.columns
+    assert decontaminate.decontaminate(found, bench.limit(0)).count() == len(docs) and decontaminate.decontaminate(found.limit(0), bench).count() == 0
+
+
+def test_alignment():
+    r = random.Random(6)
+    for _ in range(60):
+        p = bytes(r.choice(b"abcd") for _ in range(24))
+        t = bytearray(p)
+        for _ in range(r.randrange(5)):
+            k = r.randrange(len(t))
+            t[k : k + r.randrange(2)] = bytes(r.choice(b"abcd") for _ in range(r.randrange(2)))
+        t = b"x" * 9 + bytes(t) + b"y" * 9
+        row = [0] * (len(t) + 1)
+        for i in range(1, len(p) + 1):
+            new = [i]
+            for j in range(1, len(t) + 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p[i - 1] != t[j - 1])))
+            row = new
+        assert min(decontaminate.aligned(p, t, 12, 9), 9) == min(min(row), 9)
+
+
+# 8
+def test_packing(spark):
+    r = random.Random(7)
+    texts = ["w " * r.choice([0, 1, 2, 5, 9, 30, 31, 32, 75, 200]) for _ in range(150)] + [None, ""]
+    got = packing.pack(frame(spark, texts), max_length=64, buckets=3, budget=128).collect()
+    pieces = Counter((x.doc_id, x.piece, x.n_tokens) for x in got)
+    want = Counter()
+    for i, t in enumerate(texts):
+        n = len((t or "").split())
+        for p in range(max(1, -(-n // 64))):
+            want[(i, p, min(64, n - 64 * p))] += 1
+    assert pieces == want
+    batches = Counter((x.bucket, x.batch) for x in got)
+    for b in {x.bucket for x in got}:
+        sizes = [n for (k, _), n in sorted(batches.items()) if k == b]
+        assert max(sizes) <= 128 // max(b, 1) and all(n == 128 // max(b, 1) for n in sizes[:-1])
+    histogram = Counter(n for _, _, n in pieces.elements())
+    lengths = sorted(histogram)
+    from itertools import combinations
+
+    cost = lambda bs: sum(n * (min(b for b in bs if b >= k) - k) for k, n in histogram.items())
+    best = min(cost((*s, lengths[-1])) for s in combinations(lengths[:-1], 2))
+    assert sum(x.padding for x in got) == best == packing.optimal_boundaries(histogram, 3)[1]
+    assert packing.pack(frame(spark, [])).count() == 0
+
+
+# 9
+def test_quality(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = queries.op9_quality(spark, sf_dir).join(labels, "doc_id").toPandas()
+    assert queries.op9_quality(spark, sf_dir).count() == docs.count() and rows.score.between(0, 1).all()
+    assert (rows.predicted == (rows.score >= 0.3)).all()
+    assert (rows.predicted == rows.quality).mean() > 0.9
+    model = quality.train(spark, docs, labels)
+    edge = quality.annotate(frame(spark, EDGE).drop("score"), model).collect()
+    assert len(edge) == len(EDGE) and all(0 <= x.score <= 1 for x in edge)
+    alone = quality.train(spark, docs, labels.limit(0))
+    assert {x.score for x in quality.annotate(frame(spark, EDGE).drop("score"), alone).collect()} == {0.5}
+    assert quality.annotate(frame(spark, []).drop("score"), model).count() == 0
+
+
+def test_quality_density():
+    r = np.random.default_rng(3)
+    d = len(quality.NAMES)
+    x = {0: r.normal(1, 2, (400, d)), 1: r.normal(0, 1, (600, d))}
+    m = quality.learn({k: (len(v), v.sum(0), v.T @ v) for k, v in x.items()}, to_pooled=0, to_sphere=0)
+    z = r.normal(0, 1.5, (50, d))
+
+    def log_density(v, y):
+        mean, cov = v.mean(0), np.cov(v.T, bias=True)
+        e = y - mean
+        return -0.5 * np.einsum("ij,jk,ik->i", e, np.linalg.inv(cov), e) - 0.5 * np.linalg.slogdet(cov)[1]
+
+    logit = log_density(x[1], z) - log_density(x[0], z) + math.log(0.6 / 0.4)
+    assert np.allclose(m.score(z), 1 / (1 + np.exp(-np.clip(logit, -60, 60))), atol=1e-8)
+
+
+# 10
+def test_language(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = queries.op10_language(spark, sf_dir).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert (rows[rows.held_out].lang_pred == rows[rows.held_out].lang).mean() > 0.9 and rows.score.between(0, 1).all()
+    model = language_id.fit(docs)
+    edge = {x.doc_id: x for x in language_id.predict(frame(spark, EDGE + ["12 34 !"]), model).collect()}
+    assert [edge[i].lang_pred == "und" for i in range(len(EDGE) + 1)] == [True] * 3 + [False] * 6 + [True]
+    none = language_id.fit(docs.limit(0))
+    assert {x.lang_pred for x in language_id.predict(frame(spark, EDGE), none).collect()} == {"und"}
+    assert language_id.predict(frame(spark, []), model).count() == 0
+
+
+def test_registered():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert json.dumps(sorted(__spark_entry__.oracle_sql()))
