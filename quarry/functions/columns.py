@@ -138,3 +138,26 @@ def smoothed(series: Column, alpha: float = 0.3) -> Column:
 def verified(exists: Column, missing: Column, error: Column) -> Column:
     """A blob is good if it is there, no path is missing and nothing failed."""
     return exists & (F.size(missing) == 0) & error.isNull()
+
+
+# First bytes of a file, in hexadecimal, and the type they stand for.
+MAGIC = (
+    ("FFD8FF", "image/jpeg"), ("89504E470D0A1A0A", "image/png"), ("474946383761", "image/gif"), ("474946383961", "image/gif"), ("25504446", "application/pdf"), ("504B0304", "application/zip"),
+    ("1F8B", "application/gzip"), ("425A68", "application/x-bzip2"), ("FD377A585A00", "application/x-xz"), ("377ABCAF271C", "application/x-7z-compressed"), ("7F454C46", "application/x-executable"), ("D0CF11E0A1B11AE1", "application/msword"),
+    ("494433", "audio/mpeg"), ("4F676753", "application/ogg"), ("52494646", "audio/x-wav"),
+)
+HEAD = 2048
+
+
+def sniff_mime(content: Column) -> Column:
+    """MIME type by the first bytes; text if those hold no NUL; an empty file has its own type."""
+    head = F.hex(F.substring(content, 1, HEAD))
+    out = F.when(content.isNull(), None).when(F.length(content) == 0, "application/x-empty")
+    for magic, kind in MAGIC:
+        out = out.when(head.startswith(magic), kind)
+    return out.when(~head.rlike("^(?:..)*00"), "text/plain").otherwise("application/octet-stream")
+
+
+def eta_seconds(done: Column, total: Column, elapsed: Column) -> Column:
+    """Seconds left at the mean rate so far; null before the first item."""
+    return (total - done).cast("double") * ratio(elapsed, done)

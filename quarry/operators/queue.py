@@ -96,3 +96,25 @@ def upsert_counts(stats: DataFrame, delta: DataFrame) -> DataFrame:
     """Signed deltas added per medium, never below zero."""
     both = stats.select("medium_hash", "unclaimed_count").unionByName(delta.select("medium_hash", F.col("delta").alias("unclaimed_count")))
     return both.groupBy("medium_hash").agg(F.greatest(F.lit(0), F.sum("unclaimed_count")).cast("long").alias("unclaimed_count"))
+
+
+def mark_backup(blobs: DataFrame, results: DataFrame, now: int) -> DataFrame:
+    """``results``: (blobid, ok).  Copied blobs are dated, failed ones flagged, others stay."""
+    r = results.groupBy("blobid").agg(F.bool_or("ok").alias("__ok"))
+    done = blobs.join(r, "blobid", "left")
+    return done.withColumn("external_copied", F.when(F.col("__ok"), True).otherwise(F.col("external_copied"))).withColumn("external_copy_failed", F.when(~F.col("__ok"), True).when(F.col("__ok"), None).otherwise(F.col("external_copy_failed"))).withColumn("last_checked", F.when(F.col("__ok"), F.lit(now)).otherwise(F.col("last_checked"))).drop("__ok")
+
+
+def populate_blobs(inode: DataFrame, now: int) -> DataFrame:
+    """Every blob of the inodes with its number of links and first time of processing."""
+    return inode.where("blobid is not null").groupBy("blobid").agg(F.count("*").alias("n_hardlinks"), F.coalesce(F.min("processed"), F.lit(now)).alias("created"))
+
+
+def drop_medium(inode: DataFrame, medium: str) -> DataFrame:
+    return inode.where(F.col("medium_hash") != medium)
+
+
+def old_events(events: DataFrame, day: int, keep_days: int = 90) -> tuple[DataFrame, DataFrame]:
+    """(kept, archived) events, by age in days."""
+    fresh = F.col("day") > day - keep_days
+    return events.where(fresh), events.where(~fresh)

@@ -140,3 +140,18 @@ def test_stream_equals_batch(spark, tmp_path):
             f.rename(tmp_path / "in" / f.name)
     got = counters.queue_counts(spark.readStream.schema("key string, delta int").option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in")))
     assert {(r.key, r.n) for r in got.collect()} == {("0", 15), ("1", 15)}
+
+
+def test_mime_and_eta(spark):
+    kinds = {b"": "application/x-empty", b"\x89PNG\r\n\x1a\n...": "image/png", b"plain text": "text/plain", b"a\x00b": "application/octet-stream", b"PK\x03\x04": "application/zip"}
+    df = spark.createDataFrame([(bytearray(b), k) for b, k in kinds.items()], "b binary, k string")
+    assert df.where(c.sniff_mime(F.col("b")) == F.col("k")).count() == len(kinds)
+    assert spark.range(1).select(c.eta_seconds(F.lit(10), F.lit(30), F.lit(5.0)), c.eta_seconds(F.lit(0), F.lit(30), F.lit(5.0))).first()[:] == (10.0, None)
+
+
+def test_backup_and_aging(spark):
+    blobs = spark.createDataFrame([("a", None, True, None), ("b", None, None, None), ("x", False, None, 5)], "blobid string, external_copied boolean, external_copy_failed boolean, last_checked long")
+    got = {r.blobid: tuple(r)[1:] for r in queue.mark_backup(blobs, spark.createDataFrame([("a", True), ("b", False)], "blobid string, ok boolean"), 9).collect()}
+    assert got == {"a": (True, None, 9), "b": (None, True, None), "x": (False, None, 5)}
+    kept, old = queue.old_events(spark.createDataFrame([(1,), (100,)], "day long"), 100)
+    assert kept.count() == old.count() == 1
