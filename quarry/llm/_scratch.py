@@ -21,6 +21,8 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 _shipped: set[str] = set()
+#: rows are whole texts; Spark's own default of 10000 of them is too much for one batch
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000")
 
 
 def arrow(df: DataFrame, function, schema) -> DataFrame:
@@ -34,6 +36,9 @@ def arrow(df: DataFrame, function, schema) -> DataFrame:
                 z.write(p, p.relative_to(root.parent))
         sc.addPyFile(str(at))
         _shipped.add(sc.applicationId)
+    name, default, rows = BATCH_ROWS
+    if df.sparkSession.conf.get(name, default) == default:
+        df.sparkSession.conf.set(name, rows)
     return df.mapInArrow(function, schema)
 
 

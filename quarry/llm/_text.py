@@ -40,7 +40,7 @@ def texts(col: pa.Array) -> list[bytes]:
     return [whole[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts hold about ``most_bytes`` (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -51,6 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             end = max(start + 1, int(np.searchsorted(off, off[start] + most_bytes, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
