@@ -44,5 +44,6 @@ def runs(raw: np.ndarray, off: np.ndarray, length: int, k: int = GRAM) -> dict[s
     place = (least[first] & _PLACE).astype(np.int64) + (first // (1 << 26)) * (1 << 26)
     place = np.where(place < first, place + (1 << 26), place)
     end = first + size + length - 1
+    # a least hash is small, so it is mixed again to be spread evenly
     segment = _text.mix((total[end] - total[first]) * inverse[first] + size.astype(np.uint64) * _text.MULT)
-    return {"row": row[first], "start": first - off[row[first]], "n": size, "place": place - off[row[first]], "anchor": gram[place], "segment": segment}
+    return {"row": row[first], "start": first - off[row[first]], "n": size, "place": place - off[row[first]], "anchor": _text.mix(gram[place] + _text.MULT), "segment": segment}
