@@ -43,7 +43,7 @@ CARD = r"(?<!\d)\d{4}(?:[ \-]?\d{4}){3}(?!\d)"
 SSN = r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)"
 PHONE = r"(?<!\d)(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[.\-])\d{3}[ .\-]\d{4}(?!\d)"
 IP = r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?\d)"
-SECRET = r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])"
+SECRET = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 NAME = rf"(?<!\p{{L}})(?:{_title})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})"
 ANY = "|".join((EMAIL, CARD, SSN, PHONE, IP, SECRET, NAME))
 #: anything with an entity has one of these
@@ -57,7 +57,7 @@ def _one_of(values: list[str], at: Column) -> Column:
 def kind_of(mention: Column) -> Column:
     return (
         F.when(mention.contains("@"), "email").when(mention.rlike(r"^\d{4}(?:[ \-]?\d{4}){3}$"), "card").when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(mention.rlike(r"^\d+(?:\.\d+){3}$"), "ip").when(mention.rlike(r"^[0-9a-f]{32,64}$"), "secret").when(mention.rlike(r"^\p{L}"), "name").otherwise("phone")
+        .when(mention.rlike(r"^\d+(?:\.\d+){3}$"), "ip").when(mention.rlike(r"^[0-9A-Fa-f]{32,64}$"), "secret").when(mention.rlike(r"^\p{L}"), "name").otherwise("phone")
     )
 
 
@@ -115,11 +115,11 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
 
 
 def rendered(kind: Column, form: Column, surrogate: Column) -> Column:
-    """A surrogate in the form of a mention: its digits in the mention's places, or its letter case."""
+    """A surrogate in the form of a mention: its digits in the mention's places, or its letter case (of names, and of what is all upper case)."""
     n = F.length(_digits(form)) - F.length(surrogate)
     count = lambda i: F.length(_digits(F.substring(form, F.lit(1), i + 1)))  # noqa: E731  digits up to the i-th character
     placed = F.array_join(F.transform(F.split(form, ""), lambda c, i: F.when(c.rlike("[0-9]") & (count(i) > n), F.substring(surrogate, count(i) - n, F.lit(1))).otherwise(c)), "")
-    return F.when(kind.isin("card", "ssn", "phone"), placed).when(kind.startswith("surname") | kind.startswith("given"), F.initcap(surrogate)).otherwise(surrogate)
+    return F.when(kind.isin("card", "ssn", "phone"), placed).when(kind.startswith("surname") | kind.startswith("given"), F.initcap(surrogate)).when((form == F.upper(form)) & (form != F.lower(form)), F.upper(surrogate)).otherwise(surrogate)
 
 
 def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:

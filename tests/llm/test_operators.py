@@ -213,6 +213,12 @@ def test_pii(spark):
     assert re.fullmatch("token [0-9a-f]{40}", out[7]) and [r["__pii"].n_entities for r in got] == [3, 4, 3, 0, 0, 0, 1, 1, 3]
 
 
+def test_pii_upper_case(spark):
+    token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    a, b = (r["__pii"].text for r in pii.pseudonymise(frame(spark, [f"x {token} a@b.example.com", f'X "{token.upper()}"!! A@B.EXAMPLE.COM']), "k").orderBy("doc_id").collect())
+    assert token not in a and b == f'X "{a.split()[1].upper()}"!! {a.split()[2].upper()}'
+
+
 def test_pii_distinct(spark):
     texts = ["%s@x.example.com" % a for a in "abcdefghijklmnopqrstuvwxyz"] + ["Mr. %s Stone" % n for n in ("Abel", "Bob", "Cid", "Dan", "Ed", "Fred", "Gus", "Hal", "Ian", "Jim", "Ken", "Lou", "Max", "Ned", "Otto", "Pat", "Quin", "Ray", "Sam", "Tom")]
     out = [r["__pii"].text for r in pii.pseudonymise(frame(spark, texts), "k").collect()]
