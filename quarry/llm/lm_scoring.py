@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from quarry.llm import _text
 from quarry.llm._scratch import Scratch, arrow
 
-ITEMS, GROUPS, CLASSES, HELD = 2048, 2048, 64, 1 << 20
+ITEMS, GROUPS, CLASSES, HELD = 2048, 2048, 64, 1 << 19
 END = 0
 
 
