@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 
 from quarry.llm._scratch import Scratch, arrow
 
-LEAF, BLOCK, SHARD_ROWS = 64, 4096, 4096
+LEAF, BLOCK, SHARD_ROWS = 256, 4096, 4096
 
 
 class BallTree:
@@ -127,8 +127,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
             asks = right[right["q"].map(len) == size]
             if len(asks):
                 tree = BallTree(np.stack(members["v"].to_list()), members["id"].to_numpy())
-                for a in range(0, len(asks), 256):
-                    some = asks.iloc[a : a + 256]
+                for a in range(0, len(asks), 1024):
+                    some = asks.iloc[a : a + 1024]
                     ids, scores = tree.search(np.stack(some["q"].to_list()), some["query"].to_numpy(), k, some["floor"].to_numpy())
                     at, j = np.nonzero(scores > -np.inf)
                     parts.append(pd.DataFrame({"query": some["query"].to_numpy()[at], "version": some["version"].to_numpy()[at], "id": ids[at, j], "score": scores[at, j].astype(np.int64)}))
