@@ -2,20 +2,23 @@
 
 Both sides are compared as bytes with A-Z lower-cased and any ASCII whitespace
 as a space, so offsets stay those of the text.  Every item is cut into segments
-of ``segment`` bytes, half overlapping (shorter items are one segment).  A
+of ``segment`` bytes that start every ``stride`` bytes (shorter items are one
+segment), so that a verbatim passage of ``segment + stride - 1`` bytes from
+anywhere in an item holds a whole segment.  A
 segment of m bytes occurs in a text within k = floor(rate * m) edits only if a
 diagonal band of width 2k holds at least m + 1 - q * (k + 1) of its q-grams
 (q-gram lemma); bands overlap by half, so that no occurrence is split between
 two.  Regions that hold that many are verified by an alignment restricted to
-their band; what passes is a hit.
+their band; what passes is a hit.  Items under ``least_item`` bytes have no room
+for edits: they are matched exactly, between word bounds.
 
 The texts stream through once.  The benchmark is read in blocks of at most
 ``block_bytes``: each block's gram table has a known size, and a larger
 benchmark is more passes over the same logic, never a larger broadcast.
 
 Defined results: a null or empty text has no hit; null items, items of null id
-and items shorter than ``least_item`` bytes match nothing (they would match
-anywhere); equal items all hit; repeated rows each get a row; an empty table
+and items shorter than one q-gram match nothing (they would match anywhere);
+equal items all hit; repeated rows each get a row; an empty table
 gives an empty result; other columns are ignored or carried along.
 """
 
@@ -32,10 +35,13 @@ from pyspark.sql import types as T
 from quarry.llm import _text
 from quarry.llm._scratch import arrow
 
-Q, SEGMENT, RATE, LEAST_ITEM, BLOCK_BYTES = 8, 96, 0.1, 32, 1 << 20
+Q, SEGMENT, STRIDE, RATE, LEAST_ITEM, BLOCK_BYTES = 8, 48, 8, 0.1, 32, 1 << 20
 _FOLD = _text.LOWER.copy()
 _FOLD[_text.SPACE] = 32
 _BITS = 22
+#: bytes of words: letters, digits, and all of a character beyond ASCII
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def fold(text: bytes) -> bytes:
@@ -55,42 +61,71 @@ def _slot(g: np.ndarray) -> np.ndarray:
 
 def aligned(pattern: bytes, text: bytes, shift: int, most: int) -> int:
     """Least edits of ``pattern`` against any substring of ``text``, on diagonals 0..2*shift; most + 1 if above."""
-    if pattern in text:
-        return 0
-    width, t, p = 2 * shift + 1, np.frombuffer(text, np.uint8), np.frombuffer(pattern, np.uint8)
-    padded = np.concatenate([t, np.zeros(len(p) + width, np.uint8)])
-    inside = np.arange(len(p) + width) < len(t)
-    row = np.zeros(width, np.int32)  # row[d]: pattern[:i] ends at text[i + d]; it may start on any diagonal
-    step = np.arange(width, dtype=np.int32)
-    for i in range(len(p)):
-        same = (padded[i : i + width] == p[i]) & inside[i : i + width]
-        new = row + np.where(same, 0, 1)  # (mis)match keeps the diagonal
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)  # a pattern byte more: one diagonal down
-        row = (np.minimum.accumulate(new - step) + step).astype(np.int32)  # text bytes more: diagonals up
-        if row.min() > most:
-            return most + 1
-    return int(min(row.min(), most + 1))
+    return int(aligned_all([pattern], [text], shift, most)[0])
+
+
+def aligned_all(patterns: list[bytes], texts: list[bytes], shift: int, most: int, at_once: int = 2048) -> np.ndarray:
+    """``aligned`` of each pattern, all of one length, against its own text."""
+    out = np.array([0 if p in t else most + 1 for p, t in zip(patterns, texts)], np.int64)
+    todo = np.flatnonzero(out)
+    for k in range(0, len(todo), at_once):
+        ids = todo[k : k + at_once]
+        m, width = len(patterns[0]), 2 * shift + 1
+        p = np.ascontiguousarray(np.frombuffer(b"".join(patterns[i] for i in ids), np.uint8).reshape(-1, m).T)
+        t = np.ascontiguousarray(np.frombuffer(b"".join(texts[i][: m + width].ljust(m + width, b"\0") for i in ids), np.uint8).reshape(-1, m + width).T)
+        inside = np.arange(m + width)[:, None] < np.array([len(texts[i]) for i in ids])
+        row = np.zeros((width, len(ids)), np.int16)  # row[d]: pattern[:i] ends at text[i + d]; it may start on any diagonal
+        step = np.arange(width, dtype=np.int16)[:, None]
+        for i in range(m):
+            same = (t[i : i + width] == p[i]) & inside[i : i + width]
+            new = row + ~same  # (mis)match keeps the diagonal
+            new[:-1] = np.minimum(new[:-1], row[1:] + 1)  # a pattern byte more: one diagonal down
+            row = np.minimum.accumulate(new - step) + step  # text bytes more: diagonals up
+            if i % 8 == 7:
+                some = row.min(0) <= most
+                if not some.all():
+                    ids, p, t, inside, row = ids[some], p[:, some], t[:, some], inside[:, some], row[:, some]
+                    if not len(ids):
+                        break
+        if len(ids):
+            out[ids] = np.minimum(row.min(0), most + 1)
+    return out
+
+
+def bounded(raw: np.ndarray, start: int, end: int, first: int, last: int) -> bool:
+    """Whether ``start`` to ``end`` cuts no word of the text that lies from ``first`` to ``last``."""
+    before = start > first and _WORD[raw[start - 1]] and _WORD[raw[start]]
+    after = end < last and _WORD[raw[end - 1]] and _WORD[raw[end]]
+    return not (before or after)
 
 
 class Index:
     """The q-grams of the segments of one block of items."""
 
-    def __init__(self, items: list[tuple[int, bytes]], segment: int = SEGMENT, rate: float = RATE, least_item: int = LEAST_ITEM):
-        self.owner, self.patterns, self.starts, spans = [], [], [], []
+    def __init__(self, items: list[tuple[int, bytes]], segment: int = SEGMENT, rate: float = RATE, least_item: int = LEAST_ITEM, stride: int = STRIDE):
+        self.owner, self.patterns, self.starts, exact = [], [], [], []
         for item, text in items:
             text = fold(text)
             if len(text) < least_item:
+                text = text.strip()
+                if len(text) >= Q:
+                    exact.append(len(self.owner))
+                    self.owner.append(item), self.starts.append(0), self.patterns.append(text)
                 continue
-            cuts = sorted({*range(0, max(1, len(text) - segment + 1), segment // 2), max(0, len(text) - segment)})
+            cuts = sorted({*range(0, max(1, len(text) - segment + 1), stride), max(0, len(text) - segment)})
             for a in cuts:
                 self.owner.append(item), self.starts.append(a), self.patterns.append(text[a : a + segment])
         self.edits = np.array([int(rate * len(p)) for p in self.patterns], np.int64)
         self.edits = np.minimum(self.edits, np.array([max(0, len(p) // Q - 2) for p in self.patterns], np.int64))
+        self.lengths = np.array([len(p) for p in self.patterns], np.int64)
+        self.exact = np.zeros(len(self.patterns), bool)
+        self.exact[exact] = True
+        self.edits[exact] = 0
         self.needed = np.array([len(p) + 1 - Q * (k + 1) for p, k in zip(self.patterns, self.edits)], np.int64)
         where = [grams(np.frombuffer(p, np.uint8)) for p in self.patterns]
         g = np.concatenate([*where, np.zeros(0, np.uint64)])
-        seg = np.repeat(np.arange(len(where)), [len(w) for w in where])
-        pos = np.concatenate([*(np.arange(len(w)) for w in where), np.zeros(0, np.int64)]).astype(np.int64)
+        seg = np.repeat(np.arange(len(where), dtype=np.int32), [len(w) for w in where])
+        pos = np.concatenate([*(np.arange(len(w), dtype=np.int32) for w in where), np.zeros(0, np.int32)])
         order = np.argsort(g, kind="stable")
         self.grams, first = np.unique(g[order], return_index=True)
         self.first = np.append(first, len(g))
@@ -112,31 +147,45 @@ class Index:
         row = np.searchsorted(off, at, "right") - 1
         whole = at + Q <= off[row + 1]  # a gram never crosses two texts
         at, k, row = at[whole], k[whole], row[whole]
+        # an occurrence has that many grams within its length: what stands too thin is in none
+        least, span = int(self.needed.min()), int((self.edits + self.lengths - Q).max())
+        thick = np.zeros(len(at) + 1, np.int64)
+        begins = np.flatnonzero(at[least - 1 :] - at[: max(0, len(at) - least + 1)] <= span)
+        np.add.at(thick, begins, 1), np.add.at(thick, begins + least, -1)
+        dense = np.cumsum(thick[:-1]) > 0
+        at, k, row = at[dense], k[dense], row[dense]
         n = self.first[k + 1] - self.first[k]
         flat = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n, n) + np.arange(n.sum())
         at, row, seg, pos = np.repeat(at, n), np.repeat(row, n), self.seg[flat], self.pos[flat]
-        diagonal = at - pos + SEGMENT  # of the buffer; texts never share one region as rows differ
+        lead = int(self.lengths.max())
+        diagonal = at - pos + lead  # of the buffer; texts never share one region as rows differ
         width = np.maximum(2 * self.edits[seg], 1)
         found: list[tuple[int, int, int, int, int]] = []
         done: set[tuple[int, int, int]] = set()
+        asked: dict[tuple[int, int, int], list[tuple[int, int, int, int]]] = {}
         for half in (0, 1):
             band = (diagonal + half * (width // 2)) // width
-            order = np.lexsort((band, seg, row))
+            order = np.argsort((row * len(self.patterns) + seg) * (int(band.max(initial=0)) + 1) + band, kind="stable")
             r, s, b = row[order], seg[order], band[order]
             edge = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (s[1:] != s[:-1]) | (b[1:] != b[:-1])]) if len(r) else np.zeros(0, np.int64)
             counts = np.diff(np.r_[edge, len(r)])
             for e, c in zip(edge[counts >= self.needed[s[edge]]] if len(edge) else [], counts[counts >= self.needed[s[edge]]] if len(edge) else []):
                 i, j = int(r[e]), int(s[e])
                 edits = int(self.edits[j])
-                low = int(b[e]) * int(width[order[e]]) - half * (int(width[order[e]]) // 2) - SEGMENT
+                low = int(b[e]) * int(width[order[e]]) - half * (int(width[order[e]]) // 2) - lead
                 a = max(int(off[i]), low - edits)
                 z = min(int(off[i + 1]), low + int(width[order[e]]) + len(self.patterns[j]) + edits)
                 if (i, j, a) in done:
                     continue
                 done.add((i, j, a))
-                d = aligned(self.patterns[j], raw[a:z].tobytes(), int(width[order[e]]) // 2 + 2 * edits + 1, edits)
-                if d <= edits:
-                    found.append((i, self.owner[j], a - int(off[i]), z - int(off[i]), d))
+                if self.exact[j]:
+                    z = a + len(self.patterns[j])
+                    if not bounded(raw, a, z, int(off[i]), int(off[i + 1])):
+                        continue
+                asked.setdefault((len(self.patterns[j]), int(width[order[e]]) // 2 + 2 * edits + 1, edits), []).append((i, j, a, z))
+        for (_, shift, most), places in asked.items():
+            edits = aligned_all([self.patterns[j] for _, j, _, _ in places], [raw[a:z].tobytes() for _, _, a, z in places], shift, most)
+            found += [(i, self.owner[j], a - int(off[i]), z - int(off[i]), int(d)) for (i, j, a, z), d in zip(places, edits) if d <= most]
         return found
 
 

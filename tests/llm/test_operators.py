@@ -280,6 +280,24 @@ def test_decontaminate(spark):
     assert decontaminate.decontaminate(found, bench.limit(0)).count() == len(docs) and decontaminate.decontaminate(found.limit(0), bench).count() == 0
 
 
+def test_decontaminate_inner_passages(spark):
+    r = random.Random(8)
+    prose = lambda n: " ".join("".join(r.choice("aeiourstlnm") for _ in range(r.randrange(2, 9))) for _ in range(n))
+    item, least = prose(40), decontaminate.SEGMENT + decontaminate.STRIDE - 1
+    docs = [prose(20) + " " + item[a : a + least] + " " + prose(20) for a in range(0, len(item) - least, 3)]
+    docs += [prose(20) + " " + item[66:176] + " " + prose(20), prose(60)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {x.doc_id: bool(x["__hits"]) for x in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    assert got == {i: i < len(docs) - 1 for i in range(len(docs))}
+
+
+def test_decontaminate_short_items(spark):
+    bench = spark.createDataFrame([(1, "Oslo fjord 1905"), (2, " who wrote it? ")], "item_id long, text string")
+    docs = ["Oslo fjord 1905", "in (OSLO\nfjord 1905), yes", "Oslo fjord 19056", "xOslo fjord 1905", "Oslo fjords 1905", "say who wrote it? me", "who wrote it", "Oslo fjord 1905 oslo fjord 1905"]
+    got = {x.doc_id: sorted({h.item for h in x["__hits"]}) for x in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    assert got == {0: [1], 1: [1], 2: [], 3: [], 4: [], 5: [2], 6: [], 7: [1]}
+
+
 def test_alignment():
     r = random.Random(6)
     for _ in range(60):
