@@ -106,7 +106,8 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
         .when(kind == "phone", F.concat((number(1, 2) % 8 + 2).cast("string"), F.substring(digits, 3, 9))).when(kind == "ip", ip).when(kind == "secret", F.substring(h, F.lit(1), F.length(canonical)))
     )
     for script, syllables in SYLLABLES.items():
-        tail = F.concat(*(_one_of(syllables, number(1 + i, 1)) for i in range(4)))
+        # a syllable more with each attempt, so that the values never run out (a digest has 64 digits)
+        tail = F.array_join(F.transform(F.sequence(F.lit(1), F.least(attempt + 4, F.lit(64))), lambda i: _one_of(syllables, F.conv(F.substring(h, i, F.lit(1)), 16, 10).cast("int"))), "")
         out = out.when(kind == f"surname{script}", tail)
         for gender in ("given_m", "given_f"):
             name = F.lower(_one_of(GIVEN[gender + script], number(9, 1)))

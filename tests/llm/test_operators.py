@@ -226,6 +226,15 @@ def test_pii_distinct(spark):
     assert pii.pseudonymise(frame(spark, []), "k").count() == 0
 
 
+def test_pii_surnames_never_run_out(spark, monkeypatch):
+    tried = spark.range(4).select(F.col("id").cast("int").alias("attempt"), F.explode(F.array(*map(F.lit, ("surname", "surname_cyr")))).alias("kind"))
+    tried = tried.select("attempt", F.length(pii.surrogate(F.col("kind"), F.lit("stone"), F.col("attempt"), "k")).alias("n")).collect()
+    assert sorted((r.attempt, r.n) for r in tried) == [(a, 8 + 2 * a) for a in range(4) for _ in range(2)]
+    monkeypatch.setattr(pii, "SYLLABLES", {"": ["ba"] * 16, "_cyr": ["ба"] * 16})  # one value an attempt
+    out = [r["__pii"].text for r in pii.pseudonymise(frame(spark, ["Mr. %s left" % n for n in ("Stone", "Wood", "Hill", "Lake")]), "k").collect()]
+    assert sorted(map(len, out)) == [4 + 8 + 2 * a + 5 for a in range(4)]
+
+
 # 6
 def brute_repeats(texts, n):
     seen = Counter(b[i : i + n] for b in texts for i in range(len(b) - n + 1))
