@@ -5,9 +5,12 @@ Tokens are the lower-cased (A-Z) words of a text and one end.  The model is
     P(w | v) = P(class(w) | class(v)) * P(item(w) | class(w)) * P(w | item(w))
 
 An *item* is a frequent word, the end, or one of ``groups`` spelling groups that
-all other words fall into by their last bytes (seen or unseen, so a new word has
+all rarer words fall into by their last bytes (seen or unseen, so a new word has
 a class as well).  Exchange clustering moves one item after the other to the
 class that raises the likelihood of the class bigrams most, until few move.
+Then every further word that the driver holds and that occurs ``least`` times
+becomes an item too: its counts of classes to the left and right are summed by
+shuffle, and it takes the class that makes them likeliest.
 Class transitions are Witten-Bell smoothed, emissions of items additively, and
 in a group absolute discounting leaves mass for unseen words, which as many as
 the counts of counts suggest (Chao) share evenly.  It is a distribution over all
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 from quarry.llm import _text
 from quarry.llm._scratch import Scratch, arrow
 
-ITEMS, GROUPS, CLASSES, HELD = 2048, 2048, 64, 1 << 19
+ITEMS, GROUPS, CLASSES, HELD, LEAST = 2048, 2048, 64, 1 << 19, 10
 END = 0
 
 
@@ -184,7 +187,7 @@ def count_words(rows: DataFrame, most: int = 200_000) -> DataFrame:
     return arrow(rows.select("text"), run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GROUPS, classes: int = CLASSES, held: int = HELD) -> tuple[Model, DataFrame]:
+def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GROUPS, classes: int = CLASSES, held: int = HELD, least: int = LEAST) -> tuple[Model, DataFrame]:
     """The model, and the counts table of the words that it does not hold itself."""
     learning = rows.where("teaches")
     vocabulary = scratch.keep(count_words(learning), "words")
@@ -202,6 +205,7 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
 
     counts = [(r[0], r[1]) for r in by_count.collect()]
     item_floor, held_floor = floor_of(items), floor_of(held)
+    further_floor = max(least, held_floor)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -229,7 +233,7 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(groups, dtype=np.int32)), *map(pa.array, sums)], names=["g", "n", "types", "once", "twice"])
 
     sums = np.zeros((4, groups), np.int64)
-    rest = vocabulary.where((F.col("n") < item_floor) & (F.length("word") > 0))
+    rest = vocabulary.where((F.col("n") < min(item_floor, further_floor)) & (F.length("word") > 0))
     for row in arrow(rest, group_sums, "g int, n bigint, types bigint, once bigint, twice bigint").groupBy("g").agg(F.sum("n"), F.sum("types"), F.sum("once"), F.sum("twice")).collect():
         sums[:, row[0]] = row[1:]
     once, twice = sums[2].sum(), sums[3].sum()
@@ -252,10 +256,18 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
     order = np.argsort(pair)
     pair, k = pair[order], k[order]
     cls, m = exchange(size, pair // size, pair % size, k, classes)
+    base, n_core = words, words.n_items
+    more = np.flatnonzero((item < 0) & (n >= further_floor))
+    item = item.copy()
+    item[more] = n_core + np.arange(len(more))
+    words = Words(hashes, n, item, n_core + len(more), groups)
+    if len(more):
+        cls = np.concatenate([cls[:n_core], _further(learning, base, words, cls, m, classes), cls[n_core:]])
+        m = _transitions(learning, words, cls, classes)
     history, seen = m.sum(1), (m > 0).sum(1)
     alone = (m.sum(0) + 0.5) / (m.sum() + 0.5 * classes)
     step = (m + (seen[:, None] + 1) * alone[None, :]) / (history[:, None] + seen[:, None] + 1)
-    item_n = np.bincount(pair % size, k, size) + 0.5
+    item_n = np.concatenate([np.bincount(pair % size, k, size)[:n_core], n[more], sums[0]]) + 0.5
     emit = item_n / np.bincount(cls, item_n, classes)[cls]
     # the unseen words of a group, as many as Chao's estimate, share its discounted mass; a group without words is all unseen
     types = np.maximum(1.0, sums[2].astype(float) ** 2 / np.maximum(2 * sums[3], 1))
@@ -263,6 +275,62 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
     return Model(words, cls, np.log10(step), np.log10(emit), discount, sums[0], unseen, int(totals[0]), int(totals[1]), int(totals[2])), vocabulary.where((F.col("n") < held_floor) & (F.length("word") > 0))
 
 
+def _further(learning: DataFrame, base: Words, words: Words, cls: np.ndarray, m: np.ndarray, classes: int) -> np.ndarray:
+    """The likeliest class of each item of ``words`` that ``base`` does not have, by the classes beside it."""
+    n_core, n_more = base.n_items, words.n_items - base.n_items
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _text.slices(batches, "text", 1 << 20):
+            raw, off = _text.buffers(b.column(0))
+            _, _, first, own, _, _ = words.tokens(raw, off)
+            _, _, _, old, _, _ = base.tokens(raw, off)
+            line, c = words.with_ends(own, first), cls[words.with_ends(old, first)]
+            at = np.flatnonzero((line >= n_core) & (line < words.n_items))  # never first or last: those are ends
+            word = (line[at] - n_core) * (2 * classes)
+            cell, k = np.unique(np.concatenate([word + c[at - 1], word + classes + c[at + 1]]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell // (2 * classes), pa.int32()), pa.array(cell % (2 * classes), pa.int32()), pa.array(k, pa.int64())], names=["w", "cell", "k"])
+
+    alone = (m.sum(0) + 0.5) / (m.sum() + 0.5 * classes)
+    follow = np.log((m + alone[None, :]) / (m.sum(1)[:, None] + 1))
+    size = np.log(m.sum(0) + 1)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            where, counts = b.column(1), np.zeros((b.num_rows, 2 * classes))
+            row = np.repeat(np.arange(b.num_rows), where.value_lengths().to_numpy())
+            flat = where.flatten()
+            np.add.at(counts, (row, flat.field("cell").to_numpy()), flat.field("k").to_numpy())
+            left, right = counts[:, :classes], counts[:, classes:]
+            gain = left @ follow + right @ follow.T - left.sum(1)[:, None] * size
+            gain[:, 0] = -np.inf  # the end's own
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(gain.argmax(1), pa.int32())], names=["w", "class"])
+
+    cells = arrow(learning.select("text"), beside, "w int, cell int, k bigint").groupBy("w", "cell").agg(F.sum("k").alias("k"))
+    found = arrow(cells.groupBy("w").agg(F.collect_list(F.struct("cell", "k")).alias("cells")), best, "w int, class int").toArrow()
+    out = np.ones(n_more, np.int64)
+    out[found.column("w").to_numpy()] = found.column("class").to_numpy()
+    return out
+
+
+def _transitions(learning: DataFrame, words: Words, cls: np.ndarray, classes: int) -> np.ndarray:
+    """The class bigram counts over all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(classes * classes, np.int64)
+        for b in _text.slices(batches, "text", 1 << 20):
+            raw, off = _text.buffers(b.column(0))
+            _, _, first, own, _, _ = words.tokens(raw, off)
+            c = cls[words.with_ends(own, first)]
+            found += np.bincount(c[:-1] * classes + c[1:], minlength=classes * classes)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(found[at])], names=["pair", "k"])
+
+    table = arrow(learning.select("text"), run, "pair int, k bigint").groupBy("pair").agg(F.sum("k").alias("k")).toArrow()
+    m = np.zeros(classes * classes)
+    m[table.column("pair").to_numpy()] = table.column("k").to_numpy()
+    return m.reshape(classes, classes)
+
+
 def score(rows: DataFrame, model: Model, other: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     kind = rows.schema["doc_id"].dataType.simpleString()

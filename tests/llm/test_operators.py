@@ -102,6 +102,22 @@ def test_lm_exchange_raises_likelihood():
     assert value(some) > value(none) and np.allclose(check, m) and some[0] == 0 and (some[1:] > 0).all()
 
 
+def test_lm_further_words_have_classes(spark):
+    from quarry.llm._scratch import Scratch
+
+    r = random.Random(9)
+    texts = [" ".join(w for _ in range(20) for w in ("a%dzzz" % r.randrange(60), "b%dzzz" % r.randrange(60))) for _ in range(60)]
+    rows = lm_scoring._rows(frame(spark, texts), "doc_id", "text", 5, 1)
+    m, _ = lm_scoring.fit(rows, Scratch(spark, "t"), items=20, groups=8, classes=3, held=1000)
+    names = [("%s%dzzz" % (x, i)).encode() for x in "ab" for i in range(60)]  # all of one spelling group
+    _, _, _, item, _, _ = m.words.tokens(np.frombuffer(b"".join(names), np.uint8), np.cumsum([0, *map(len, names)]))
+    counts = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1 for w in words(t))
+    own = [i for i, w in enumerate(names) if counts[w] >= lm_scoring.LEAST]
+    assert len(own) > 60 and (item[own] < m.words.n_items).all() and len(set(item[own])) == len(own)
+    sides = [{int(m.cls[item[i]]) for i in own if names[i][:1] == x} for x in (b"a", b"b")]
+    assert len(sides[0]) == len(sides[1]) == 1 and not sides[0] & sides[1]
+
+
 # 2
 @pytest.mark.parametrize("most_broadcast", [10**6, -1])
 def test_line_dedup(spark, most_broadcast):
