@@ -58,7 +58,7 @@ def exclude_repeated(inode: DataFrame) -> DataFrame:
 
 
 def refuse_failed_media(inode: DataFrame, medium: DataFrame) -> DataFrame:
-    bad = F.broadcast(medium.where("health = 'failed'").select("medium_hash", F.lit(True).alias("__bad")).limit(100_000))
+    bad = medium.where("health = 'failed'").select("medium_hash", F.lit(True).alias("__bad"))
     hit = F.col("__bad").isNotNull() & ~F.coalesce(F.col("copied"), F.lit(False))
     return inode.join(bad, "medium_hash", "left").withColumn("claimed_by", F.when(hit, "EXCLUDED").otherwise(F.col("claimed_by"))).drop("__bad")
 

@@ -155,3 +155,10 @@ def test_backup_and_aging(spark):
     assert got == {"a": (True, None, 9), "b": (None, True, None), "x": (False, None, 5)}
     kept, old = queue.old_events(spark.createDataFrame([(1,), (100,)], "day long"), 100)
     assert kept.count() == old.count() == 1
+
+
+def test_refuse_failed_media_has_no_cap(spark):
+    n = 100_050
+    medium = spark.range(n).select(F.col("id").cast("string").alias("medium_hash"), F.lit("failed").alias("health"))
+    inode = medium.select("medium_hash", F.lit(False).alias("copied"), F.lit(None).cast("string").alias("claimed_by"))
+    assert queue.refuse_failed_media(inode, medium).where("claimed_by = 'EXCLUDED'").count() == n
