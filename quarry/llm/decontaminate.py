@@ -214,7 +214,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         def run(batches: Iterator[pa.RecordBatch], items: list[tuple[int, bytes]] = items) -> Iterator[pa.RecordBatch]:
             index = Index(items, **how)
-            for b in _text.slices(batches, text_col, 2 << 20):
+            for b in _text.slices(batches, text_col, 1 << 18):
                 raw, off = _text.buffers(b.column(at))
                 own: list[list[dict]] = b.column(b.num_columns - 1).to_pylist()
                 for i, item, start, end, edits in index.hits(raw, off):
