@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm import quality
-from test_operators import brute_groups
+from test_llm_operators import brute_groups
 
 
 @pytest.fixture(scope="module")
