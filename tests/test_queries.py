@@ -1,6 +1,7 @@
 """Every named query against its SQL twin in DuckDB."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from quarry import plans
@@ -18,7 +19,7 @@ def duck(sf_dir):
 
 def rows(frame, columns):
     def plain(x):
-        if x is None or x != x:
+        if pd.isna(x):
             return None
         return float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
 
