@@ -2,8 +2,8 @@
 
 Pages are grouped by host.  A line's frequency is the number of the host's
 pages that hold it (each page counts once) over the host's pages; lines above
-``ratio`` that are on ``least_pages`` pages or more are boilerplate and leave
-every page of that host.  Lines are compared trimmed; blank lines always stay.
+``ratio`` are boilerplate and leave every page of that host, if they are on
+``least_pages`` pages: on a host of few pages one or two are above any ratio.  Lines are compared trimmed; blank lines always stay.
 
 Only 16-byte line digests are shuffled, already summed per task.  A host has at
 most (its mean number of distinct lines per page) / ratio boilerplate lines, so
@@ -12,8 +12,9 @@ broadcast if all arrays together are under ``most_broadcast`` lines, else as a
 shuffle join that adaptive execution can split on a hot host.
 
 Defined results: a null text stays null with 0 lines, an empty text stays
-empty; a null host is a host of its own; repeated rows are pages each; an empty
-table gives an empty result; other columns are carried along.
+empty; a null host is a host of its own, apart from the empty one; repeated rows
+are pages each; an empty table gives an empty result; other columns are carried
+along, whatever their names (one called ``__line_dedup`` is replaced).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from quarry.llm._scratch import Scratch
 
 RATIO = 0.1
-LEAST_PAGES = 10
+LEAST_PAGES = 3
 MOST_BROADCAST = 50_000
 
 
@@ -48,29 +49,41 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda x: F.trim(x))
 
 
+def _key(host: Column) -> Column:
+    """A host's key; null has one of its own."""
+    return F.coalesce(F.concat(F.lit("="), host), F.lit(""))
+
+
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, digest, n, total) of the lines above the ratio; ``pages`` has host and text."""
-    host = F.coalesce(F.col("host"), F.lit(""))
-    each = pages.select(host.alias("host"), F.explode(F.array_distinct(F.filter(_lines(F.col("text")), lambda x: x != ""))).alias("line"))
-    counts = each.select("host", _digest(F.col("host"), F.col("line")).alias("digest")).groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    totals = pages.groupBy(host.alias("host")).agg(F.count("*").alias("total"))
-    return counts.join(totals, "host").where(F.col("n") > F.col("total") * F.lit(ratio))
+    """(key, digest, n, total) of the lines above the ratio; ``pages`` has key and text."""
+    each = pages.select("key", F.explode(F.array_distinct(F.filter(_lines(F.col("text")), lambda x: x != ""))).alias("line"))
+    counts = each.select("key", _digest(F.col("key"), F.col("line")).alias("digest")).groupBy("key", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    totals = pages.groupBy("key").agg(F.count("*").alias("total"))
+    return counts.join(totals, "key").where(F.col("n") > F.col("total") * F.lit(ratio))
+
+
+def _without(lines: Column, key: Column, drop: Column) -> Column:
+    """The lines whose digest is not in ``drop``; each is digested once, and met with those only that this page holds."""
+    marked = F.transform(lines, lambda x: F.struct(x.alias("line"), F.when(F.trim(x) != "", _digest(key, F.trim(x))).alias("digest")))
+    # one-element arrays bind a value to a name
+    kept = lambda m: F.transform(F.array(F.array_intersect(m["digest"], drop)), lambda own: F.filter(m, lambda x: x["digest"].isNull() | ~F.array_contains(own, x["digest"])))[0]["line"]
+    return F.transform(F.array(marked), kept)[0]
 
 
 def line_dedup(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Each row of ``pages`` and a struct ``__line_dedup`` (host, text, n_lines, n_dropped, clean)."""
-    work = pages.withColumn("__page", F.struct(F.coalesce(host, F.lit("")).alias("host"), text.alias("text")))
-    found = boilerplate(work.select("__page.host", "__page.text"), ratio, least_pages)
-    arrays = found.groupBy("host").agg(F.array_sort(F.collect_list("digest")).alias("__drop")).withColumnRenamed("host", "__host")
+    columns = [c for c in pages.columns if c != "__line_dedup"]
+    # the input's columns travel in one struct, so that no name of theirs meets one of ours
+    work = pages.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("r"), host.alias("host"), _key(host).alias("key"), text.alias("text"))
+    found = boilerplate(work.select("key", "text"), ratio, least_pages)
+    arrays = found.groupBy("key").agg(F.array_sort(F.collect_list("digest")).alias("drop"))
     arrays = Scratch(pages.sparkSession, "lines").keep(arrays, "boilerplate")
-    size = arrays.agg(F.sum(F.size("__drop"))).first()[0] or 0
+    size = arrays.agg(F.sum(F.size("drop"))).first()[0] or 0
     if size <= most_broadcast:
         arrays = F.broadcast(arrays)
-    joined = work.join(arrays, F.col("__page.host") == F.col("__host"), "left")
-    kept = F.filter(F.split(F.col("__page.text"), "\n"), lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__drop"), _digest(F.col("__page.host"), F.trim(x))))
-    joined = joined.withColumn("__kept", F.when(F.col("__drop").isNull(), F.split(F.col("__page.text"), "\n")).otherwise(kept))
-    n_all = F.coalesce(F.size(F.split(F.col("__page.text"), "\n")), F.lit(0))
-    n_all = F.when(F.col("__page.text").isNull(), 0).otherwise(n_all)
-    n_kept = F.when(F.col("__page.text").isNull(), 0).otherwise(F.size("__kept"))
-    page = F.struct(F.col("__page.host").alias("host"), F.col("__page.text").alias("text"), n_all.alias("n_lines"), (n_all - n_kept).alias("n_dropped"), F.array_join("__kept", "\n").alias("clean"))
-    return joined.select(*[F.col(f"`{c}`") for c in pages.columns], page.alias("__line_dedup"))
+    lines = F.split("text", "\n")
+    joined = work.join(arrays, "key", "left").withColumn("kept", F.when(F.col("drop").isNull(), lines).otherwise(_without(lines, F.col("key"), F.col("drop"))))
+    n_all = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("kept"))
+    page = F.struct("host", "text", n_all.alias("n_lines"), (n_all - n_kept).alias("n_dropped"), F.array_join("kept", "\n").alias("clean"))
+    return joined.select(*(F.col(f"r.`{c}`") for c in columns), page.alias("__line_dedup"))

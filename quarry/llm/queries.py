@@ -41,7 +41,7 @@ WITH page AS (
 line AS (SELECT page_id, host, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM page),
 counts AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT page_id) AS n FROM line WHERE trim(line, ' ') <> '' GROUP BY ALL),
 totals AS (SELECT host, count(*) AS total FROM page GROUP BY host),
-bad AS (SELECT host, line FROM counts JOIN totals USING (host) WHERE n >= 10 AND n > total * 0.1::DOUBLE),
+bad AS (SELECT host, line FROM counts JOIN totals USING (host) WHERE n >= 3 AND n > total * 0.1::DOUBLE),
 marked AS (SELECT l.page_id, l.host, l.pos, l.line, b.line IS NOT NULL AS gone FROM line l LEFT JOIN bad b ON l.host = b.host AND trim(l.line, ' ') = b.line)
 SELECT page_id, host, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_dropped,
        md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS clean_md5

@@ -132,6 +132,19 @@ def test_line_dedup(spark, most_broadcast):
     assert line_dedup.line_dedup(pages.limit(0), F.col("host"), F.col("text")).count() == 0
 
 
+def test_line_dedup_edges(spark):
+    """Small hosts, the null host, repeated rows, clashing names, a long page."""
+    rows = [(None, "foot\nn%d" % i) for i in range(10)] + [("", "foot\ne%d" % i) for i in range(40)] + [("s", "foot\ns%d" % i) for i in range(9)] + [("t", "foot"), ("t", "foot")] + [("big", "foot\n" + "line\n" * 200_000 + "x%d" % i) for i in range(3)]
+    names = ["r", "key", "drop", "kept", "__page", "__drop", "__kept", "a.b"]
+    pages = spark.createDataFrame([(h, t, *range(len(names))) for h, t in rows], "host string, text string, " + ", ".join(f"`{n}` int" for n in names))
+    done = line_dedup.line_dedup(pages, F.col("host"), F.col("text"))
+    assert done.columns == [*pages.columns, "__line_dedup"]
+    got = Counter((x.host, x["__line_dedup"].host, x["__line_dedup"].n_dropped) for x in done.select("host", "__line_dedup").collect())
+    assert got == {(None, None, 1): 10, ("", "", 1): 40, ("s", "s", 1): 9, ("t", "t", 0): 2, ("big", "big", 200_001): 3}
+    few = pages.where(F.col("host").isNull() | F.col("text").endswith("e39"))
+    assert {(x.host, x["__line_dedup"].n_dropped) for x in line_dedup.line_dedup(few, F.col("host"), F.col("text")).select("host", "__line_dedup").collect()} == {(None, 1), ("", 0)}
+
+
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op4_topk"])
 def test_sql_twin(spark, sf_dir, name):
     con = duckdb.connect()
