@@ -88,16 +88,29 @@ def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+#: a random number for each byte at each of the first places of a word
+_PLACES = 32
+_AT_PLACE = mix(np.arange(1, 256 * _PLACES + 1, dtype=np.uint64) * MULT).reshape(_PLACES, 256)[:, LOWER].ravel()
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of lower-cased words (A-Z only), from one prefix sum over the buffer."""
+    """64-bit hashes of lower-cased words (A-Z only), none of them empty.
+
+    The sum of one random number for each byte and its place (tabulation): unlike a
+    polynomial modulo 2^64, no two words collide by their structure.
+    """
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    p = powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * p[:-1], out=total[1:])
-    # (S[e] - S[s]) is BASE^s times the word's own value: scale all to one common power
-    own = (total[ends] - total[starts]) * inverse_powers(len(raw) + 1)[starts]
-    return mix(own + (ends - starts).astype(np.uint64) * MULT)
+    n = ends - starts
+    first = np.cumsum(n) - n
+    at = np.arange(int(n.sum()), dtype=np.int32)
+    place = at - np.repeat(first.astype(np.int32), n)
+    byte = raw[at + np.repeat((starts - first).astype(np.int32), n)]
+    value = _AT_PLACE[np.minimum(place, _PLACES - 1) * 256 + byte]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        value[far] = mix((place[far].astype(np.uint64) << np.uint64(8)) + LOWER[byte[far]] + np.uint64(1 << 60))
+    return mix(np.add.reduceat(value, first) + n.astype(np.uint64) * MULT)
 
 
 _inverse = np.ones(1, np.uint64)

@@ -8,22 +8,30 @@ but for a chance of ``miss``; so
 
 * a representative with fewer than ``t`` values that anybody else has leaves,
 * of the rest, each keeps its rarest (values - t + 1) postings: by the pigeonhole
-  principle two that agree t times meet in these prefixes,
+  principle two that agree t times meet in these prefixes, and only the short
+  lists are merged,
+* the long lists are skipped: how often a pair that has met collides in all
+  coordinates is counted from its two signatures, and pairs under ``t`` go,
 * in each posting list all members first meet only the list's most central
   member (a star); confirmed links are merged into components,
 * then only pairs of *different* components in a list meet; members that are
-  already connected are skipped.  Sizes and a parity bitmap (a lower bound of
-  the symmetric difference) filter inside the join, so a hot list of m near
+  already connected are skipped, and so are those whose sizes are too far apart
+  (a list is dealt by classes of size).  A parity bitmap (a lower bound of
+  the symmetric difference) filters inside the join, so a hot list of m near
   copies never emits its m*m pairs.
 
-Links are confirmed on the full sets.  Nothing is capped: a hot list is dealt in
-blocks, and every pair of different components that meets is decided.
+What is left above the count is confirmed on the full sets.  Nothing is capped:
+a hot list is dealt in blocks, and every pair of different components that meets
+is decided.  The worst case is a list of m members of one size that all
+share t values and yet are no links: its pairs are compared, m/BLOCK rows each.
 
 Defined results: null or empty texts, and texts without a word, have an empty
 set, are their own component and kept; a text with fewer words than a shingle
 is one shingle as a whole; repeated rows share a component and each gets a row;
-a row with a null id links with nothing and is kept with a null component; an
-empty table gives an empty result; other columns are ignored.
+rows with one id and different texts are sets each, so that their id is in two
+components if these are not linked; a row with a null id links with nothing and
+is kept with a null component; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -126,18 +134,24 @@ def _sets(source: DataFrame, shingle: int) -> DataFrame:
                 h = _set_hash(s)
                 one.append(h[0]), two.append(h[1]), sets.append(s.view(np.int64)), bits.append(_parity(s))
             words = np.array(bits).reshape(-1, WORDS)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sets, pa.list_(pa.int64())), *(pa.array(words[:, k]) for k in range(WORDS))], names=["rep", "h1", "h2", "members", *(f"w{k}" for k in range(WORDS))])
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sets, pa.list_(pa.int64())), *(pa.array(words[:, k]) for k in range(WORDS))], names=["h1", "h2", "members", *(f"w{k}" for k in range(WORDS))])
 
-    return arrow(source, run, "rep bigint, h1 bigint, h2 bigint, members array<bigint>, " + ", ".join(f"w{k} bigint" for k in range(WORDS)))
+    return arrow(source, run, "h1 bigint, h2 bigint, members array<bigint>, " + ", ".join(f"w{k} bigint" for k in range(WORDS)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; linked: 100 * intersection >= percent * union."""
+    rows = components_of(docs, id_col, text_col, shingle, percent)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n, h1, h2, component) of every row; (h1, h2) names its set."""
     scratch = Scratch(docs.sparkSession, "minhash")
     source, t = _source(docs, id_col, text_col), least_matches(percent / 100)
     signed = scratch.keep(_signatures(source, shingle), "signatures")
-    reps = signed.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    reps = scratch.keep(reps, "representatives")
+    reps = signed.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    reps = scratch.keep(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")  # once written, the numbers are fixed
 
     posted = reps.select("rep", F.explode("keys").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
@@ -145,45 +159,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = own.select("rep", F.aggregate("found", F.lit(0).cast("bigint"), lambda s, x: s + x["c"]).alias("weight"), F.expr(f"slice(found, 1, size(found) - {t - 1}).key").alias("prefix"))
     prefix = scratch.keep(own.select("rep", "weight", F.explode("prefix").alias("key")), "prefixes")
 
-    lists = prefix.groupBy("key").agg(F.count("*").alias("c"), F.max(F.struct("weight", (-F.col("rep")).alias("r"))).alias("top")).where("c > 1").select("key", "c", (-F.col("top.r")).alias("centre"))
+    lists = prefix.groupBy("key").agg(F.count("*").alias("c"), F.max(F.struct("weight", (-F.col("rep")).alias("r"))).alias("top")).where("c > 1").select("key", (-F.col("top.r")).alias("centre"))
     star = prefix.join(lists, "key").where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
     star = scratch.keep(star, "star")
 
     asked = star.select(F.col("a").alias("rep")).unionByName(star.select(F.col("b").alias("rep"))).distinct()
-    asked = reps.join(asked, "rep").select("rep", "n", "h1", "h2")
-    near = source.join(asked.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    full = _sets(near, shingle).join(asked, ["rep", "h1", "h2"]).drop("h1", "h2").dropDuplicates(["rep"])
+    asked = reps.join(asked, "rep").select("rep", "n", "h1", "h2", "doc_id", "keys")
+    near = source.join(asked.select("doc_id"), "doc_id", "left_semi")
+    full = _sets(near, shingle).join(asked.drop("doc_id"), ["h1", "h2"]).drop("h1", "h2").dropDuplicates(["rep"])
     full = scratch.keep(full, "sets")
 
-    confirmed = scratch.keep(_confirm(star, full, percent), "links-1")
+    confirmed = scratch.keep(_confirm(star, full, percent, t), "links-1")
     joined = components(scratch, confirmed, "first")
     # what is left: pairs of different components in one posting list
-    member = prefix.join(lists.select("key", "c"), "key").join(full.drop("members"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    member = scratch.keep(member.withColumn("component", F.coalesce("component", "rep")), "members")
+    member = prefix.join(lists.select("key"), "key").join(full.drop("members", "keys"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    # sets of two neighbouring classes of size, or of one, may be links; others are too far apart (a class is a trifle wider than the bound)
+    width = max(-math.log(percent / 100), 1e-6) * (1 + 1e-9)
+    member = scratch.keep(member.withColumn("component", F.coalesce("component", "rep")).withColumn("class", F.floor(F.log("n") / width).cast("int")), "members")
     open_lists = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    member = member.join(open_lists, "key", "left_semi").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    left = member.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    right = member.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    member = member.join(open_lists, "key", "left_semi")
+    blocks = member.groupBy("key", "class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    left = member.join(blocks, ["key", "class"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    right = member.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1))).join(blocks, ["key", "class"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     far = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(1, WORDS)), F.bit_count(F.col("x.w0").bitwiseXOR(F.col("y.w0"))))
     most = F.col("x.n") + F.col("y.n")
-    meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
+    meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") == F.col("y.class")) & (F.col("x.block") == F.col("y.block")) & ((F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.rep") < F.col("y.rep"))) & (F.col("x.component") != F.col("y.component"))
     # |A xor B| <= (100 - p) / (100 + p) * (|A| + |B|) for every link
-    meets = meets & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & ((100 + percent) * far <= (100 - percent) * most)
+    meets = meets & (100 * F.col("x.n") >= percent * F.col("y.n")) & ((100 + percent) * far <= (100 - percent) * most)
     rest = left.alias("x").join(right.alias("y"), meets).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    later = scratch.keep(_confirm(rest, full, percent), "links-2")
+    later = scratch.keep(_confirm(rest, full, percent, t), "links-2")
     if not later.isEmpty():
         edges = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(later)
         joined = components(scratch, edges, "second")
 
-    group = reps.select("h1", "h2", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component"))
-    rows = signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "component").unionByName(alone)
+    group = reps.select("h1", "h2", "doc_id", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group"))
+    least = group.groupBy("group").agg(F.min("doc_id").alias("component"))
+    group = group.drop("doc_id").join(least, "group").drop("group")
+    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.col("doc_id").alias("component"))
     scratch.drop("prefixes", "star", "sets", "members", "links-1", "links-2")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
+    return signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "h1", "h2", "component").unionByName(alone)
 
 
-def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are links on their full sets."""
-    both = pairs.join(full.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("members").alias("sa")), "a").join(full.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("members").alias("sb")), "b")
-    both = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).withColumn("same", F.size(F.array_intersect("sa", "sb")))
+def _confirm(pairs: DataFrame, full: DataFrame, percent: int, t: int) -> DataFrame:
+    """The pairs that collide in ``t`` coordinates and are links on their full sets."""
+    side = lambda x: full.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("keys").alias(f"k{x}"), F.col("members").alias(f"s{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    both = both.where(F.size(F.array_intersect("ka", "kb")) >= t).withColumn("same", F.size(F.array_intersect("sa", "sb")))
     return both.where(100 * F.col("same") >= percent * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")

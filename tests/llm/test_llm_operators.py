@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, queries, suffix_dedup, topk_search
+from quarry.llm import _text, decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, queries, suffix_dedup, topk_search
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, n long, row long, word string"
 
@@ -201,6 +201,26 @@ def test_near_duplicates_edges(spark):
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == [("4", "4", True), ("4", "4", True), ("None", "None", True)]
 
 
+def test_near_duplicates_repeated_ids(spark):
+    """Two texts under one id are two sets; what is linked to either is found."""
+    w = ["w%d" % i for i in range(40)]
+    a, b = " ".join(w), " ".join(w[::-1])
+    got = sorted((r.doc_id, r.component_id, r.n_shingles) for r in minhash_dedup.near_duplicates(frame(spark, [a, b, b + " x", a + " y", "z z z"], [4, 4, 9, 7, 4])).collect())
+    assert got == [(4, 4, 1), (4, 4, 36), (4, 4, 36), (7, 4, 37), (9, 4, 37)]
+
+
+def test_word_hashes():
+    """No structure of a word makes it collide (a polynomial modulo 2^64 fails on these), and A-Z are folded."""
+    turn = lambda n, x, y: x if n == 0 else turn(n - 1, x, y) + turn(n - 1, y, x)
+    many = [turn(11, b"a", b"b"), turn(11, b"b", b"a"), b"A" * 40, b"a" * 40, b"a" * 41, b"ab", b"ba", "\u00c4".encode(), "\u00e4".encode(), b"x" * 100_000]
+    raw = np.frombuffer(b" ".join(many), np.uint8)
+    s, e = _text.word_spans(raw, np.array([0, len(raw)]))
+    h = _text.word_hashes(raw, s, e)
+    assert h[2] == h[3] and len(set(h.tolist())) == len(many) - 1
+    alone = [int(_text.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in many]
+    assert alone == h.tolist()
+
+
 def test_least_matches():
     for s in (0.8, 0.85):
         t = minhash_dedup.least_matches(s)
