@@ -4,34 +4,40 @@ Tokens are the lower-cased (A-Z) words of a text and one end.  The model is
 
     P(w | v) = P(class(w) | class(v)) * P(item(w) | class(w)) * P(w | item(w))
 
-An *item* is a frequent word, the end, or one of ``groups`` spelling groups that
-all rarer words fall into by their last bytes (seen or unseen, so a new word has
-a class as well).  Exchange clustering moves one item after the other to the
+An *item* is a word that the driver holds and that occurs ``least`` times (or is
+among the ``items`` most frequent), the end, or one of ``groups`` spelling groups
+that all rarer words fall into by their last bytes (seen or unseen, so a new word
+has a class as well).  Exchange clustering moves one of the most frequent items or
+groups after the other to the
 class that raises the likelihood of the class bigrams most, until few move.
-Then every further word that the driver holds and that occurs ``least`` times
-becomes an item too: its counts of classes to the left and right are summed by
+Then the exchange goes on with all further items at a time, ``rounds`` times: the
+counts of classes to the left and right of each are summed by
 shuffle, and it takes the class that makes them likeliest.
 Class transitions are Witten-Bell smoothed, emissions of items additively, and
 in a group absolute discounting leaves mass for unseen words, which as many as
-the counts of counts suggest (Chao) share evenly.  It is a distribution over all
-seen words, the end and those unseen words.
+the counts of counts suggest (Chao; at least an even share of the whole estimate)
+share evenly.  So it is a distribution over all seen words, the end and that many
+unseen words of each group; a corpus with more of them is given more than one.
+
+Texts are cut into words for the counts, for the items of the learning texts,
+which are written once and then read for each round, and for the scores.
 
 Scale: counts of all words are summed per task and then shuffled; what the
 driver holds is bounded by parameters (items^2 bigram cells, ``held`` frequent
-words as 12 bytes each, which is also all that is sent to the workers).  Tokens
-beyond those are joined with the counts table by shuffle, summed per document
-first, so the vocabulary may grow with the corpus.
+words as 16 bytes each, which is also all that is sent to the workers).  Tokens
+beyond those are joined with the counts table by shuffle, so the vocabulary may
+grow with the corpus.
 
 Frequent words are recognised by a 64-bit hash; the join compares whole words.
 
 Defined results: null and empty texts are one end token; a null id is scored
-with ``held_out`` false and teaches nothing; repeated rows get equal rows each;
-an empty table gives an empty result; without learning rows the counts are 0.
+with ``held_out`` false and teaches nothing; repeated rows and ids get a row
+each; an empty table gives an empty result; without learning rows the counts are
+0.  ``perplexity`` is 10 to the power of minus the score per token.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,7 +50,7 @@ from pyspark.sql import functions as F
 from quarry.llm import _text
 from quarry.llm._scratch import Scratch, arrow
 
-ITEMS, GROUPS, CLASSES, HELD, LEAST = 2048, 2048, 64, 1 << 19, 10
+ITEMS, GROUPS, CLASSES, HELD, LEAST, ROUNDS = 2048, 2048, 64, 1 << 19, 10, 2
 END = 0
 
 
@@ -187,7 +193,55 @@ def count_words(rows: DataFrame, most: int = 200_000) -> DataFrame:
     return arrow(rows.select("text"), run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GROUPS, classes: int = CLASSES, held: int = HELD, least: int = LEAST) -> tuple[Model, DataFrame]:
+class Sums:
+    """Counts of integer keys in a task: summed whenever ``some`` have come, handed on when ``most`` distinct ones are held."""
+
+    def __init__(self, some: int = 1 << 20, most: int = 1 << 21):
+        self.some, self.most = some, most
+        self.new: list[np.ndarray] = []
+        self.size = 0
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> bool:
+        """Whether it is time to ``take`` them."""
+        self.new.append(keys)
+        self.size += len(keys)
+        if self.size >= self.some:
+            self._sum()
+        return len(self.keys) >= self.most
+
+    def _sum(self) -> None:
+        fresh, k = np.unique(np.concatenate([*self.new, np.zeros(0, np.int64)]), return_counts=True)
+        both = np.concatenate([self.keys, fresh])
+        order = np.argsort(both, kind="stable")
+        both, k = both[order], np.concatenate([self.counts, k])[order]
+        first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
+        self.keys, self.counts = both[first], np.add.reduceat(k, first) if len(first) else k
+        self.new, self.size = [], 0
+
+    def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self._sum()
+        for k in range(0, len(self.keys), 1 << 16):
+            yield self.keys[k : k + (1 << 16)], self.counts[k : k + (1 << 16)]
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def summed(lines: DataFrame, keys_of) -> DataFrame:
+    """(key, k): how often ``keys_of`` yields each key over all lines of items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Sums()
+        rows = lambda: (pa.RecordBatch.from_arrays([pa.array(x), pa.array(k)], names=["key", "k"]) for x, k in held.take())
+        for b in batches:
+            for line in b.column(0):
+                if held.add(keys_of(line.values.to_numpy())):
+                    yield from rows()
+        yield from rows()
+
+    return arrow(lines, run, "key bigint, k bigint").groupBy("key").agg(F.sum("k").alias("k"))
+
+
+def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GROUPS, classes: int = CLASSES, held: int = HELD, least: int = LEAST, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model, and the counts table of the words that it does not hold itself."""
     learning = rows.where("teaches")
     vocabulary = scratch.keep(count_words(learning), "words")
@@ -205,23 +259,24 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
 
     counts = [(r[0], r[1]) for r in by_count.collect()]
     item_floor, held_floor = floor_of(items), floor_of(held)
-    further_floor = max(least, held_floor)
+    floor = min(item_floor, max(least, held_floor))  # of a word that is an item
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, off = _text.buffers(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(_text.word_hashes(raw, off[:-1], off[1:]).view(np.int64)), b.column(1)], names=["hash", "n"])
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(_text.word_hashes(raw, off[:-1], off[1:]).view(np.int64)), b.column(1), pa.array(group_of(raw, off[:-1], off[1:], groups).astype(np.int32))], names=["hash", "n", "g"])
 
-    table = arrow(vocabulary.where((F.col("n") >= held_floor) & (F.length("word") > 0)), frequent, "hash bigint, n bigint").toArrow()
-    hashes, n = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    table = arrow(vocabulary.where((F.col("n") >= held_floor) & (F.length("word") > 0)), frequent, "hash bigint, n bigint, g int").toArrow()
+    hashes, n, spelt = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy(), table.column("g").to_numpy()
     order = np.lexsort((n, hashes))
-    hashes, n = hashes[order], n[order].astype(np.int64)
+    hashes, n, spelt = hashes[order], n[order].astype(np.int64), spelt[order].astype(np.int64)
+    own = np.flatnonzero(n >= floor)
+    own = own[np.lexsort((hashes[own], -n[own]))]
     item = np.full(len(n), -1, np.int32)
-    top = np.flatnonzero(n >= item_floor)
-    top = top[np.lexsort((hashes[top], -n[top]))]
-    item[top] = 1 + np.arange(len(top))
-    words = Words(hashes, n, item, 1 + len(top), groups)
-    size = words.n_items + groups
+    item[own] = 1 + np.arange(len(own))
+    n_core = 1 + int((n >= item_floor).sum())  # the first items and all groups are clustered one after the other
+    words = Words(hashes, n, item, 1 + len(own), groups)
 
     def group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((4, groups), np.int64)
@@ -233,62 +288,51 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(groups, dtype=np.int32)), *map(pa.array, sums)], names=["g", "n", "types", "once", "twice"])
 
     sums = np.zeros((4, groups), np.int64)
-    rest = vocabulary.where((F.col("n") < min(item_floor, further_floor)) & (F.length("word") > 0))
+    rest = vocabulary.where((F.col("n") < floor) & (F.length("word") > 0))
     for row in arrow(rest, group_sums, "g int, n bigint, types bigint, once bigint, twice bigint").groupBy("g").agg(F.sum("n"), F.sum("types"), F.sum("once"), F.sum("twice")).collect():
         sums[:, row[0]] = row[1:]
     once, twice = sums[2].sum(), sums[3].sum()
     discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
 
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(size * size, np.int32)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches, "text", 1 << 20):
             raw, off = _text.buffers(b.column(0))
             _, _, first, own, _, _ = words.tokens(raw, off)
-            line = words.with_ends(own, first)
-            code, k = np.unique(line[:-1] * size + line[1:], return_counts=True)
-            found[code] += k.astype(np.int32)
-        at = np.flatnonzero(found)
-        for k in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + (1 << 16)].astype(np.int32)), pa.array(found[at[k : k + (1 << 16)]])], names=["pair", "k"])
-
-    pairs = arrow(learning.select("text"), bigrams, "pair int, k int").groupBy("pair").agg(F.sum("k").alias("k")).toArrow()
-    pair, k = pairs.column("pair").to_numpy().astype(np.int64), pairs.column("k").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([words.with_ends(own, first).astype(np.int32)], pa.list_(pa.int32()))], names=["line"])
+
+    lines = scratch.keep(arrow(learning.select("text"), encode, "line array<int>"), "lines")
+    # what the exchange one after the other sees: a further word as its spelling group
+    seen_as = np.concatenate([np.arange(n_core), n_core + spelt[own[n_core - 1 :]], n_core + np.arange(groups)])
+    size = n_core + groups
+    pairs = summed(lines, lambda line: seen_as[line[:-1]] * size + seen_as[line[1:]]).toArrow()
+    pair, k = pairs.column("key").to_numpy(), pairs.column("k").to_numpy()
     order = np.argsort(pair)
     pair, k = pair[order], k[order]
     cls, m = exchange(size, pair // size, pair % size, k, classes)
-    base, n_core = words, words.n_items
-    more = np.flatnonzero((item < 0) & (n >= further_floor))
-    item = item.copy()
-    item[more] = n_core + np.arange(len(more))
-    words = Words(hashes, n, item, n_core + len(more), groups)
-    if len(more):
-        cls = np.concatenate([cls[:n_core], _further(learning, base, words, cls, m, classes), cls[n_core:]])
-        m = _transitions(learning, words, cls, classes)
+    cls = cls[seen_as]
+    for _ in range(rounds if words.n_items > n_core else 0):
+        cls = _further(lines, n_core, words.n_items, cls, m, classes)
+        m = _transitions(lines, cls, classes)
     history, seen = m.sum(1), (m > 0).sum(1)
     alone = (m.sum(0) + 0.5) / (m.sum() + 0.5 * classes)
     step = (m + (seen[:, None] + 1) * alone[None, :]) / (history[:, None] + seen[:, None] + 1)
-    item_n = np.concatenate([np.bincount(pair % size, k, size)[:n_core], n[more], sums[0]]) + 0.5
+    item_n = np.concatenate([[int(totals[2])], n[own], sums[0]]) + 0.5
     emit = item_n / np.bincount(cls, item_n, classes)[cls]
     # the unseen words of a group, as many as Chao's estimate, share its discounted mass; a group without words is all unseen
     types = np.maximum(1.0, sums[2].astype(float) ** 2 / np.maximum(2 * sums[3], 1))
-    unseen = np.where(sums[0] > 0, np.log10(np.maximum(discount * sums[1] / types, 1e-300)), 0.0)
+    types = np.maximum(types, float(once) ** 2 / max(2 * int(twice), 1) / groups)
+    unseen = np.log10(np.where(sums[0] > 0, np.maximum(discount * sums[1], 1e-300), 1.0) / types)
     return Model(words, cls, np.log10(step), np.log10(emit), discount, sums[0], unseen, int(totals[0]), int(totals[1]), int(totals[2])), vocabulary.where((F.col("n") < held_floor) & (F.length("word") > 0))
 
 
-def _further(learning: DataFrame, base: Words, words: Words, cls: np.ndarray, m: np.ndarray, classes: int) -> np.ndarray:
-    """The likeliest class of each item of ``words`` that ``base`` does not have, by the classes beside it."""
-    n_core, n_more = base.n_items, words.n_items - base.n_items
+def _further(lines: DataFrame, n_core: int, n_items: int, cls: np.ndarray, m: np.ndarray, classes: int) -> np.ndarray:
+    """The classes, with the likeliest one by the classes beside it for each item from ``n_core`` on."""
 
-    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _text.slices(batches, "text", 1 << 20):
-            raw, off = _text.buffers(b.column(0))
-            _, _, first, own, _, _ = words.tokens(raw, off)
-            _, _, _, old, _, _ = base.tokens(raw, off)
-            line, c = words.with_ends(own, first), cls[words.with_ends(old, first)]
-            at = np.flatnonzero((line >= n_core) & (line < words.n_items))  # never first or last: those are ends
-            word = (line[at] - n_core) * (2 * classes)
-            cell, k = np.unique(np.concatenate([word + c[at - 1], word + classes + c[at + 1]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cell // (2 * classes), pa.int32()), pa.array(cell % (2 * classes), pa.int32()), pa.array(k, pa.int64())], names=["w", "cell", "k"])
+    def beside(line: np.ndarray) -> np.ndarray:
+        c = cls[line]
+        at = np.flatnonzero((line >= n_core) & (line < n_items))  # never first or last: those are ends
+        word = (line[at].astype(np.int64) - n_core) * (2 * classes)
+        return np.concatenate([word + c[at - 1], word + classes + c[at + 1]])
 
     alone = (m.sum(0) + 0.5) / (m.sum() + 0.5 * classes)
     follow = np.log((m + alone[None, :]) / (m.sum(1)[:, None] + 1))
@@ -305,85 +349,81 @@ def _further(learning: DataFrame, base: Words, words: Words, cls: np.ndarray, m:
             gain[:, 0] = -np.inf  # the end's own
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(gain.argmax(1), pa.int32())], names=["w", "class"])
 
-    cells = arrow(learning.select("text"), beside, "w int, cell int, k bigint").groupBy("w", "cell").agg(F.sum("k").alias("k"))
+    width = 2 * classes
+    cells = summed(lines, beside).select(F.floor(F.col("key") / width).cast("int").alias("w"), (F.col("key") % width).cast("int").alias("cell"), "k")
     found = arrow(cells.groupBy("w").agg(F.collect_list(F.struct("cell", "k")).alias("cells")), best, "w int, class int").toArrow()
-    out = np.ones(n_more, np.int64)
-    out[found.column("w").to_numpy()] = found.column("class").to_numpy()
+    out = cls.copy()
+    out[n_core + found.column("w").to_numpy()] = found.column("class").to_numpy()
     return out
 
 
-def _transitions(learning: DataFrame, words: Words, cls: np.ndarray, classes: int) -> np.ndarray:
+def _transitions(lines: DataFrame, cls: np.ndarray, classes: int) -> np.ndarray:
     """The class bigram counts over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(classes * classes, np.int64)
-        for b in _text.slices(batches, "text", 1 << 20):
-            raw, off = _text.buffers(b.column(0))
-            _, _, first, own, _, _ = words.tokens(raw, off)
-            c = cls[words.with_ends(own, first)]
-            found += np.bincount(c[:-1] * classes + c[1:], minlength=classes * classes)
+        for b in batches:
+            for line in b.column(0):
+                c = cls[line.values.to_numpy()]
+                found += np.bincount(c[:-1] * classes + c[1:], minlength=classes * classes)
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(found[at])], names=["pair", "k"])
 
-    table = arrow(learning.select("text"), run, "pair int, k bigint").groupBy("pair").agg(F.sum("k").alias("k")).toArrow()
+    table = arrow(lines, run, "pair int, k bigint").groupBy("pair").agg(F.sum("k").alias("k")).toArrow()
     m = np.zeros(classes * classes)
     m[table.column("pair").to_numpy()] = table.column("k").to_numpy()
     return m.reshape(classes, classes)
 
 
 def score(rows: DataFrame, model: Model, other: DataFrame) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "digest", "held_out", "word", "k", "unseen", "heads", "n_tokens", "n_known", "base", "score"]
+    names = ["row", "doc_id", "held_out", "word", "unseen", "n_tokens", "n_known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, log_n = model.words, np.log10(np.maximum(model.group_n, 1))
         for b in _text.slices(batches, "text", 1 << 20):
-            raw, off = _text.buffers(b.column(1))
+            raw, off = _text.buffers(b.column(2))
             starts, ends, first, item, count, known = words.tokens(raw, off)
-            texts = np.arange(b.num_rows)
+            n = b.num_rows
+            texts = np.arange(n)
             line = words.with_ends(item, first)
             c = model.cls[line]
             gain = model.step[c[:-1], c[1:]] + model.emit[line[1:]]  # of each word and end, in order
             owner = np.repeat(texts, np.diff(first) + 1)
-            total = np.bincount(owner, gain, b.num_rows)
+            total = np.bincount(owner, gain, n)
             word_of = np.repeat(texts, np.diff(first))
             grouped = item >= words.n_items
             g = np.where(grouped, item - words.n_items, 0)
             inside = np.where(known, np.log10(np.maximum(count - model.discount, 1e-300)), 0.0) - log_n[g]
-            total += np.bincount(word_of[grouped], inside[grouped], b.num_rows)
-            base = np.bincount(word_of[known], np.log10(count[known] + 0.5), b.num_rows) + np.log10(model.end_count + 0.5) - (np.diff(first) + 1) * model.denominator
-            n_known = np.bincount(word_of[known], minlength=b.num_rows) + (model.end_count > 0)
-            whole = raw.tobytes()
-            digest = [zlib.crc32(whole[a:z]) for a, z in zip(off[:-1].tolist(), off[1:].tolist())]
-            ids, held = b.column(0), b.column(2)
-            # a head for each text, under a word that no text can hold; then its words of the counts table
-            head = pa.array([b" %d" % d for d in digest], pa.binary())
-            n = b.num_rows
-            zero = pa.array(np.zeros(n))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(digest, pa.int64()), held, head, pa.array(np.zeros(n, np.int32)), zero, pa.array(np.ones(n, np.int32)), pa.array(np.diff(first) + 1), pa.array(n_known), pa.array(base), pa.array(total)], names=names)
+            total += np.bincount(word_of[grouped], inside[grouped], n)
+            base = np.bincount(word_of[known], np.log10(count[known] + 0.5), n) + np.log10(model.end_count + 0.5) - (np.diff(first) + 1) * model.denominator
+            n_known = np.bincount(word_of[known], minlength=n) + (model.end_count > 0)
+            rows = b.column(0).to_numpy()
+            # a head for each text, under a word that no text can hold; then each of its words of the counts table
+            head = pa.array([b" %d" % r for r in rows.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), head, pa.array(np.zeros(n)), pa.array(np.diff(first) + 1), pa.array(n_known), pa.array(base), pa.array(total)], names=names)
             far = np.flatnonzero(~known)
             if len(far):
-                lower = whole.lower()
-                found = Counter(zip(word_of[far].tolist(), (lower[a:z] for a, z in zip(starts[far].tolist(), ends[far].tolist())), g[far].tolist()))
-                at = np.array([x[0] for x in found], np.int64)
-                m = len(at)
+                length = (ends - starts)[far]
+                offset = np.concatenate([[0], np.cumsum(length)])
+                letters = _text.LOWER[raw[np.arange(offset[-1]) + np.repeat(starts[far] - offset[:-1], length)]]
+                word = pa.Array.from_buffers(pa.binary(), len(far), [None, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(letters)])
+                m = len(far)
                 nil, none = pa.array(np.zeros(m, np.int64)), pa.array(np.zeros(m))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(np.array(digest, np.int64)[at]), held.take(pa.array(at)), pa.array([x[1] for x in found], pa.binary()), pa.array(np.fromiter(found.values(), np.int32, m)), pa.array(model.unseen[[x[2] for x in found]]), pa.array(np.zeros(m, np.int32)), nil, nil, none, none], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[word_of[far]]), pa.nulls(m, b.schema.field(1).type), pa.nulls(m, pa.bool_()), word, pa.array(model.unseen[g[far]]), nil, nil, none, none], names=names)
 
-    parts = arrow(rows.select("doc_id", "text", "held_out"), run, f"doc_id {kind}, digest bigint, held_out boolean, word binary, k int, unseen double, heads int, n_tokens bigint, n_known bigint, base double, score double")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
+    parts = arrow(numbered, run, f"row bigint, doc_id {kind}, held_out boolean, word binary, unseen double, n_tokens bigint, n_known bigint, base double, score double")
     met = parts.join(other.withColumnRenamed("n", "c"), "word", "left")
-    new = F.when(F.col("c").isNull(), F.col("k") * F.col("unseen")).otherwise(F.lit(0.0))
+    is_far, seen = F.col("n_tokens") == 0, F.col("c").isNotNull()
     met = met.select(
-        "doc_id", "digest", "held_out", "heads", "n_tokens",
-        (F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("n_known"),
-        (F.col("base") + F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("base"),
-        (F.col("score") + new + F.when(F.col("c").isNotNull(), F.col("k") * F.log10(F.greatest(F.col("c") - model.discount, F.lit(1e-300)))).otherwise(0.0)).alias("score"),
+        "row", "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.when(seen, 1).otherwise(0)).alias("n_known"),
+        (F.col("base") + F.when(is_far, F.log10(F.coalesce("c", F.lit(0)) + 0.5)).otherwise(0.0)).alias("base"),
+        (F.col("score") + F.when(seen, F.log10(F.greatest(F.col("c") - model.discount, F.lit(1e-300)))).otherwise(F.col("unseen"))).alias("score"),
     )
-    whole = met.groupBy("doc_id", "digest", "held_out").agg(*[F.sum(c).alias(c) for c in ("heads", "n_tokens", "n_known", "base", "score")])
-    each = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("heads").cast("int"))))
-    share = lambda c: F.col(c) / F.col("heads")
-    return each.select("doc_id", "held_out", share("n_tokens").cast("long").alias("n_tokens"), share("n_known").cast("long").alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), share("base").alias("base_score"), share("score").alias("score"))
+    whole = met.groupBy("row").agg(F.first("doc_id", ignorenulls=True).alias("doc_id"), F.bool_or("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    return whole.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, **how: int) -> DataFrame:

@@ -118,6 +118,61 @@ def test_lm_further_words_have_classes(spark):
     assert len(sides[0]) == len(sides[1]) == 1 and not sides[0] & sides[1]
 
 
+def test_lm_score_by_hand(spark):
+    """Every score from counts made anew; only the classes and the words' spelling groups are the model's."""
+    from quarry.llm._scratch import Scratch
+
+    texts = corpus(80) + EDGE
+    rows = lm_scoring._rows(frame(spark, texts), "doc_id", "text", 5, 1)
+    m, _ = lm_scoring.fit(rows, Scratch(spark, "t"), items=20, groups=8, classes=5, held=150, least=6)
+    got = {r.doc_id: r for r in lm_scoring.lm_score(frame(spark, texts), items=20, groups=8, classes=5, held=150, least=6).collect()}
+    learning = [words(t) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for t in learning for w in t)
+    every = sorted({w for t in texts for w in words(t)})
+    _, _, _, item, _, _ = m.words.tokens(np.frombuffer(b"".join(every), np.uint8), np.cumsum([0, *map(len, every)]))
+    item = dict(zip(every, item.tolist()))
+    n_items, k = m.words.n_items, 5
+    cls = lambda w: 0 if w is None else int(m.cls[item[w]])  # noqa: E731  None: the end
+    pairs = Counter((cls(a), cls(b)) for t in learning for a, b in zip([None, *t], [*t, None]))
+    total = sum(pairs.values())
+    before, after = Counter(), Counter()
+    for (a, b), x in pairs.items():
+        before[a] += x
+        after[b] += x
+    kinds = Counter(a for a, _ in pairs)
+    group_n, group_types, once, twice = Counter(), Counter(), Counter(), Counter()
+    for w, c in counts.items():
+        if item[w] >= n_items:
+            group_n[item[w]] += c
+            group_types[item[w]] += 1
+            once[item[w]] += c == 1
+            twice[item[w]] += c == 2
+    item_n = {0: len(learning)} | {item[w]: c for w, c in counts.items() if item[w] < n_items} | {n_items + g: group_n[n_items + g] for g in range(8)}
+    mass = Counter()
+    for i, n in item_n.items():
+        mass[int(m.cls[i])] += n + 0.5
+    d = min(0.9, max(0.1, sum(once.values()) / max(sum(once.values()) + 2 * sum(twice.values()), 1)))
+    for i, t in enumerate(texts):
+        want = 0.0
+        for a, b in zip([None, *words(t)], [*words(t), None]):
+            ca, cb = cls(a), cls(b)
+            want += math.log10((pairs[ca, cb] + (kinds[ca] + 1) * (after[cb] + 0.5) / (total + 0.5 * k)) / (before[ca] + kinds[ca] + 1))
+            j = 0 if b is None else item[b]
+            want += math.log10((item_n[j] + 0.5) / mass[cb])
+            if j >= n_items:
+                types = max(1, once[j] ** 2 / max(2 * twice[j], 1), sum(once.values()) ** 2 / max(2 * sum(twice.values()), 1) / 8)
+                want += math.log10((counts[b] - d) / group_n[j] if counts[b] else d * group_types[j] / group_n[j] / types if group_n[j] else 1 / types)
+        assert got[i].score == pytest.approx(want, rel=1e-9) and got[i].perplexity == pytest.approx(10 ** (-want / (len(words(t)) + 1)))
+
+
+def test_lm_edges(spark):
+    assert lm_scoring.lm_score(frame(spark, [])).count() == 0
+    got = lm_scoring.lm_score(frame(spark, ["a b", "a b", "c", "a b"], [None, 0, 0, None]))
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens) for r in got.collect()) == [("0", False, 2), ("0", False, 3), ("None", False, 3), ("None", False, 3)]
+    none = lm_scoring.lm_score(frame(spark, ["a b", None], [3, None])).collect()  # nothing to learn from: 3 is held out
+    assert {(r.train_tokens, r.n_known) for r in none} == {(0, 0)} and all(math.isfinite(r.score) for r in none)
+
+
 # 2
 @pytest.mark.parametrize("most_broadcast", [10**6, -1])
 def test_line_dedup(spark, most_broadcast):
