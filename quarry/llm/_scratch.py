@@ -2,8 +2,8 @@
 
 Long plans cut their lineage by writing a table below ``spark.checkpoint.dir``
 and reading it back, so that a lost executor costs one stage and not the whole
-job.  The setting is read from the session; only where it is unset (tests, a
-laptop) a folder of this process is used.
+job.  The setting is read from the session; only where it is unset and the master
+is local (tests, a laptop) a folder of this process is used.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ _shipped: set[str] = set()
 BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000")
 
 
-def arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package sent to the executors, once for an application."""
-    sc = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application."""
+    sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[1]
         at = Path(tempfile.mkdtemp(prefix="quarry-code-")) / f"{root.name}.zip"
@@ -36,6 +36,11 @@ def arrow(df: DataFrame, function, schema) -> DataFrame:
                 z.write(p, p.relative_to(root.parent))
         sc.addPyFile(str(at))
         _shipped.add(sc.applicationId)
+
+
+def arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors.  If the session has Spark's default, batches become smaller, for the session."""
+    ship(df.sparkSession)
     name, default, rows = BATCH_ROWS
     if df.sparkSession.conf.get(name, default) == default:
         df.sparkSession.conf.set(name, rows)
@@ -43,9 +48,11 @@ def arrow(df: DataFrame, function, schema) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a folder of this process if none is set."""
+    """The cluster's shared folder; on one machine, if none is set, a folder of this process."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="quarry-")
@@ -84,12 +91,14 @@ class Scratch:
                 drop(self.spark, self.paths.pop(name))
 
 
-def _clean() -> None:
-    for spark, base in _made:
+def release() -> None:
+    """Delete all tables made so far; results that were not written yet are lost.  A process that goes on calls it between jobs."""
+    while _made:
+        spark, base = _made.pop()
         try:
             drop(spark, base)
         except Exception:  # the JVM may be gone at exit; the cluster sweeps its folder
             pass
 
 
-atexit.register(_clean)
+atexit.register(release)

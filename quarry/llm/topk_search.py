@@ -2,26 +2,34 @@
 
 Vectors are quantised to integers.  Every shard of the candidates is one ball
 tree: nodes hold the mean of their members and the radius around it, so
-<q, centre> + |q| * radius bounds every score below a node.  A query visits
-nodes in the order of that bound and stops at the first whose bound is under its
-current kth score.  That kth score is shared: what the first shard has found for
-a query is the score to beat in all others.
+<q, centre> + |q| * radius bounds every score below a node.  A query keeps a
+frontier of nodes, opens the one of largest bound next (its children are bounded
+only then), and stops when that bound is under its current kth score.
 
-Queries travel in blocks to the shards by an equi-join on the shard number; a
-block holds about ``block`` queries, a shard about ``shard_rows`` candidates, and
-each (shard, block) pair is one small group, so neither side is collected or
-broadcast.  Scores are integers (exact in float64 below 2^53); the best k have
-ties to the smaller id.
+Shards are cells of space, so that their balls are small: splits are fitted on a
+sample of at most ``sample`` vectors, then every vector goes down them; a cell of
+many vectors (one very common vector, say) is dealt into several shards by hash.
+Each shard's tree is built once and written.  Of all trees only the roots travel
+to the queries, in lists of at most ``roots`` of them.  In waves a query visits
+its best shard, then the next ``second`` ones, then all that are left; before each
+wave its kth score so far is shared with all shards, and a shard whose root's bound
+is under it is not visited.  So what is shuffled is the pairs of a query and a shard
+that survive, each once, and each tree once for every ``block`` queries that visit it.
+
+Scores are integers, exact in float64 while below 2^53 (as are components after
+scaling); the best k have ties to the smaller id.
 
 Defined results: vectors that are null, empty or hold a null or a non-finite
 component take no part, as queries or candidates; vectors of another length
 than a query are no candidates of it; repeated ids are candidates each (a
-query's own id never is); fewer than k candidates give all of them; an empty
+query's own id never is); equal rows ask once, and the scores of different vectors of one
+query id are ranked together; fewer than k candidates give all of them; an empty
 table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +39,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quarry.llm._scratch import Scratch, arrow
+from quarry.llm._scratch import Scratch, arrow, ship
+
+LEAF, BLOCK, SHARD_ROWS, SAMPLE, ROOTS, SECOND = 256, 4096, 8192, 65536, 4096, 8
+
 
-LEAF, BLOCK, SHARD_ROWS = 256, 4096, 4096
+def halves(x: np.ndarray) -> np.ndarray:
+    """The order of the rows along the line through two far ones; half of them are on each side."""
+    away = ((x - x.mean(0)) ** 2).sum(1)
+    p = x[away.argmax()]
+    q = x[((x - p) ** 2).sum(1).argmax()]
+    return (x @ (q - p)).argsort(kind="stable")
 
 
 class BallTree:
@@ -54,53 +70,91 @@ class BallTree:
             away = ((own - centre) ** 2).sum(1)
             self.centres.append(centre), self.radii.append(np.sqrt(away.max()) * (1 + 1e-12)), self.spans.append((a, b)), self.right.append(0)
             if b - a > leaf and away.max() > 0:
-                p = own[away.argmax()]
-                q = own[((own - p) ** 2).sum(1).argmax()]
-                side = (own @ (q - p)).argsort(kind="stable")
-                self.order[a:b] = self.order[a:b][side]
+                self.order[a:b] = self.order[a:b][halves(own)]
                 mid = (a + b) // 2
                 stack.append((mid, b, me))
                 stack.append((a, mid, -1))
         self.centres, self.radii = np.array(self.centres), np.array(self.radii)
         self.x, self.ids = x[self.order], ids[self.order]
 
+    def bound(self, q: np.ndarray, size: np.ndarray, node: int) -> np.ndarray:
+        """What no score of ``q`` (of length ``size``) below the node exceeds."""
+        return q @ self.centres[node] + size * self.radii[node] + 1e-6
+
     def search(self, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores), up to k per query (score -inf: none), of all candidates that may be among its best given a score to beat."""
-        bound = q @ self.centres.T + np.sqrt((q**2).sum(1))[:, None] * self.radii[None, :] + 1e-6
-        leaves = []
-        for n in range(len(self.radii)):  # preorder: what holds above a node holds below it
-            if self.right[n]:
-                for child in (n + 1, self.right[n]):
-                    np.minimum(bound[:, child], bound[:, n], out=bound[:, child])
-            else:
-                leaves.append(n)
-        bound, leaves = bound[:, leaves], np.array(leaves)
-        order = np.argsort(-bound, axis=1, kind="stable")
+        size = np.sqrt((q**2).sum(1))
+        frontier = np.full((len(q), len(self.radii)), -np.inf)
+        frontier[:, 0] = self.bound(q, size, 0)
         ids = np.full((len(q), k), np.iinfo(np.int64).max)
         scores = np.full((len(q), k), -np.inf)
         least = floor.astype(np.float64).copy()
         active = np.arange(len(q))
-        for step in range(len(leaves)):  # each query goes to its next leaf, those at the same leaf together
-            active = active[bound[active, order[active, step]] >= least[active]]
-            if len(active) == 0:
-                break
-            at = order[active, step]
+        while len(active):  # each query opens its best node, those at the same node together
+            at = frontier[active].argmax(1)
+            best = frontier[active, at]
+            open_ = (best > -np.inf) & (best >= least[active])
+            active, at, best = active[open_], at[open_], best[open_]
             for n in np.unique(at):
-                a, b = self.spans[leaves[n]]
                 who = active[at == n]
-                s = q[who] @ self.x[a:b].T
-                s[(self.ids[a:b][None, :] == own[who][:, None]) | (s < least[who][:, None])] = -np.inf
+                above = best[at == n]
+                frontier[who, n] = -np.inf
+                if self.right[n]:
+                    for child in (n + 1, self.right[n]):
+                        b = np.minimum(self.bound(q[who], size[who], child), above)
+                        frontier[who, child] = np.where(b >= least[who], b, -np.inf)
+                    continue
+                a, z = self.spans[n]
+                s = q[who] @ self.x[a:z].T
+                s[(self.ids[a:z][None, :] == own[who][:, None]) | (s < least[who][:, None])] = -np.inf
                 some = (s > -np.inf).any(1)
                 if some.any():
                     who = who[some]
                     all_s = np.concatenate([scores[who], s[some]], 1)
-                    all_i = np.concatenate([ids[who], np.broadcast_to(self.ids[a:b], s[some].shape)], 1)
+                    all_i = np.concatenate([ids[who], np.broadcast_to(self.ids[a:z], s[some].shape)], 1)
                     top = np.lexsort((all_i, -all_s), axis=1)[:, :k]
                     scores[who], ids[who] = np.take_along_axis(all_s, top, 1), np.take_along_axis(all_i, top, 1)
                     least[who] = np.maximum(least[who], scores[who, k - 1])
         return ids, scores
 
 
+class Cells:
+    """Binary splits of space, fitted on a sample: a row of (normal, threshold) each, children below."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.normals, self.thresholds, self.below = [], [], []
+        self.n = 0
+        self._split(sample, cells)
+
+    def _split(self, x: np.ndarray, cells: int) -> int:
+        """The node's number; a negative one is a cell."""
+        if cells > 1 and len(x) > 1 and (x != x[0]).any():
+            order = halves(x)
+            mid = len(x) * (cells // 2) // cells or 1
+            a, b = x[order[mid - 1]], x[order[mid]]
+            far = x[order[-1]] - x[order[0]]
+            if far @ a < far @ b:
+                me = len(self.normals)
+                self.normals.append(far), self.thresholds.append(far @ b), self.below.append([0, 0])
+                self.below[me] = [self._split(x[x @ far < far @ b], cells // 2), self._split(x[x @ far >= far @ b], cells - cells // 2)]
+                return me
+        self.n += 1
+        return -self.n
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each row."""
+        out = np.zeros(len(x), np.int64)
+        stack = [(0 if self.normals else -1, np.arange(len(x)))]
+        while stack:
+            node, who = stack.pop()
+            if node < 0:
+                out[who] = -node - 1
+            elif len(who):
+                left = x[who] @ self.normals[node] < self.thresholds[node]
+                stack += [(self.below[node][0], who[left]), (self.below[node][1], who[~left])]
+        return out
+
+
 def quantise(vector: Column, scale: int = 64) -> Column:
     """floor(scale * x) of each component; null where the vector takes no part."""
     x = vector.cast("array<double>")
@@ -108,51 +162,134 @@ def quantise(vector: Column, scale: int = 64) -> Column:
     return F.when(~F.coalesce(bad, F.lit(True)), F.transform(x, lambda v: F.floor(v * F.lit(scale)).cast("double")))
 
 
-def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block: int = BLOCK) -> DataFrame:
+def _cells(rows: DataFrame, cells: int, sample: int) -> DataFrame:
+    """``rows`` and the cell of each; vectors of each length have splits of their own."""
+    lengths = [r[0] for r in rows.select(F.size("v")).distinct().collect()]
+    if cells > 1:
+        some = rows.orderBy(F.crc32(F.col("id").cast("string")), "id").limit(sample).select("v").toArrow().column("v").to_pylist()
+    fitted = {}
+    for size in sorted(lengths):
+        own = [v for v in some if len(v) == size] if cells > 1 else []
+        fitted[size] = (Cells(np.array(own or [[0.0] * size]), max(1, cells * len(own) // max(len(some), 1)) if own else 1), sum(c.n for c, _ in fitted.values()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v, n = b.column(1), b.column(1).value_lengths().to_numpy()
+            cell = np.zeros(len(n), np.int64)
+            for size in np.unique(n):
+                who = np.flatnonzero(n == size)
+                splits, first = fitted[size]
+                cell[who] = first + splits.of(v.take(pa.array(who)).flatten().to_numpy().reshape(-1, size))
+            yield pa.RecordBatch.from_arrays([b.column(0), v, pa.array(cell)], names=["id", "v", "cell"])
+
+    return arrow(rows.select("id", "v"), run, "id bigint, v array<double>, cell bigint")
+
+
+def _trees(placed: DataFrame, shard_rows: int) -> DataFrame:
+    """(shard, size, centre, radius, tree): one row a shard; ``size``: of its vectors."""
+    counts = placed.groupBy("cell").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("parts"))
+    dealt = placed.join(counts, "cell").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")))
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(group["v"].to_list())
+        t = BallTree(x, group["id"].to_numpy())
+        cell, part = int(group["cell"].iloc[0]), int(group["part"].iloc[0])
+        return pd.DataFrame({"shard": [cell << 24 | part], "size": [x.shape[1]], "centre": [t.centres[0]], "radius": [t.radii[0]], "tree": [pickle.dumps(t, protocol=5)]})
+
+    return dealt.groupBy("cell", "part").applyInPandas(build, "shard bigint, size int, centre array<double>, radius double, tree binary")
+
+
+def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block: int = BLOCK, sample: int = SAMPLE, roots: int = ROOTS, second: int = SECOND) -> DataFrame:
     """(query_id, rank, vec_id, score); ``queries``: condition that picks the query rows."""
-    scratch = Scratch(vectors.sparkSession, "topk")
+    spark = vectors.sparkSession
+    scratch = Scratch(spark, "topk")
+    ship(spark)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantise(F.col(vector_col), scale).alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = scratch.keep(rows.where("id is not null and v is not null"), "vectors")
-    n, n_queries = rows.agg(F.count("*"), F.count_if("asks")).first()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_queries // block))
-    dealt = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"))
-    dealt = scratch.keep(dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "candidates")
-    asked = rows.where("asks").select(F.col("id").alias("query"), F.xxhash64("v").alias("version"), F.col("v").alias("q")).dropDuplicates(["query", "version"])
-    asked = scratch.keep(asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")), "queries")
-    arrow(dealt, lambda x: x, dealt.schema)  # sends the package to the executors
+    n = rows.count()
+    placed = scratch.keep(_cells(rows, max(1, -(-2 * n // shard_rows)), sample), "placed")
+    trees = scratch.keep(_trees(placed, shard_rows), "trees")
+    scratch.drop("placed")
+    asked = rows.where("asks").select(F.col("id").alias("query"), F.col("v").alias("q")).distinct().withColumn("no", F.monotonically_increasing_id())
+    asked = scratch.keep(asked.withColumn("floor", F.lit(float("-inf"))), "queries")
+
+    def bounded(state: DataFrame) -> DataFrame:
+        """(no, shard, bound) of the shards that may still hold one of a query's best."""
+        out = None
+        for part in _root_lists(trees, roots):
+            # each list is one pass over the queries
+            def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
+                shard, size, centre, radius = part
+                for b in batches:
+                    v, lengths = b.column(1), b.column(1).value_lengths().to_numpy()
+                    no, floor = b.column(0).to_numpy(), b.column(2).to_numpy()
+                    for d in np.unique(lengths):
+                        own = np.flatnonzero(size == d)
+                        for who in np.array_split(np.flatnonzero(lengths == d), max(1, b.num_rows * max(len(own), 1) >> 20)):
+                            if len(own) and len(who):
+                                q = v.take(pa.array(who)).flatten().to_numpy().reshape(-1, d)
+                                bound = q @ np.stack([centre[i] for i in own]).T + np.sqrt((q**2).sum(1))[:, None] * radius[own][None, :] + 1e-6
+                                i, j = np.nonzero(bound >= floor[who][:, None])
+                                yield pa.RecordBatch.from_arrays([pa.array(no[who[i]]), pa.array(shard[own[j]]), pa.array(bound[i, j])], names=["no", "shard", "bound"])
+
+            found = arrow(state.select("no", "q", "floor"), run, "no bigint, shard bigint, bound double")
+            out = found if out is None else out.unionByName(found)
+        return out if out is not None else spark.createDataFrame([], "no bigint, shard bigint, bound double")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []
-        for size, members in left.groupby(left["v"].map(len)):
-            asks = right[right["q"].map(len) == size]
-            if len(asks):
-                tree = BallTree(np.stack(members["v"].to_list()), members["id"].to_numpy())
-                for a in range(0, len(asks), 1024):
-                    some = asks.iloc[a : a + 1024]
-                    ids, scores = tree.search(np.stack(some["q"].to_list()), some["query"].to_numpy(), k, some["floor"].to_numpy())
-                    at, j = np.nonzero(scores > -np.inf)
-                    parts.append(pd.DataFrame({"query": some["query"].to_numpy()[at], "version": some["version"].to_numpy()[at], "id": ids[at, j], "score": scores[at, j].astype(np.int64)}))
-        return pd.concat(parts) if parts else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query", "version", "id", "score")})
-
-    def wave(name: str, first: int, last: int, floors: DataFrame) -> DataFrame:
-        sent = floors.withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        pairs = dealt.where(F.col("shard").between(first, last)).groupBy("shard", "block").cogroup(sent.groupBy("shard", "block"))
-        return scratch.keep(pairs.applyInPandas(run, "query bigint, version bigint, id bigint, score bigint"), name)
-
-    # the first shard's kth scores are what every other shard has to beat
-    found = wave("wave-0", 0, 0, asked.withColumn("floor", F.lit(float("-inf"))))
-    if shards > 1:
-        floors = asked.join(kth(found, k), ["query", "version"], "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-        found = found.unionByName(wave("wave-1", 1, shards - 1, floors))
-    best = ranked(found, k)
+        if len(left) and len(right):
+            tree = pickle.loads(left["tree"].iloc[0])
+            for a in range(0, len(right), 1024):
+                some = right.iloc[a : a + 1024]
+                ids, scores = tree.search(np.stack(some["q"].to_list()), some["query"].to_numpy(), k, some["floor"].to_numpy())
+                at, j = np.nonzero(scores > -np.inf)
+                parts.append(pd.DataFrame({"no": some["no"].to_numpy()[at], "query": some["query"].to_numpy()[at], "id": ids[at, j], "score": scores[at, j].astype(np.int64)}))
+        return pd.concat(parts) if parts else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("no", "query", "id", "score")})
+
+    def wave(name: str, state: DataFrame, pairs: DataFrame) -> DataFrame:
+        pairs = scratch.keep(pairs, f"pairs-{name}")
+        need = pairs.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+        left = trees.select("shard", "tree").join(need, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "tree")
+        right = state.join(pairs, "no").join(need, "shard").select("shard", F.pmod(F.xxhash64("no"), F.col("blocks")).cast("int").alias("block"), "no", "query", "q", "floor")
+        visits = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
+        return scratch.keep(visits.applyInPandas(run, "no bigint, query bigint, id bigint, score bigint"), f"found-{name}")
+
+    # the best shard; the next ones; all others whose bound still reaches the kth score
+    state, found, visited = asked, None, None
+    for name, upto in (("best", 1), ("next", second), ("rest", None)):
+        open_ = bounded(state)
+        if visited is not None:
+            open_ = open_.join(visited, ["no", "shard"], "left_anti")
+        if upto is not None:
+            open_ = open_.withColumn("rank", F.row_number().over(W.partitionBy("no").orderBy(F.desc("bound"), "shard"))).where(F.col("rank") <= upto)
+        new = wave(name, state, open_.select("no", "shard"))
+        found = new if found is None else found.unionByName(new)
+        if upto is not None:
+            own = spark.read.parquet(scratch.paths[f"pairs-{name}"])
+            visited = own if visited is None else visited.unionByName(own)
+            state = scratch.keep(asked.drop("floor").join(kth(found, k), "no", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), f"queries-{name}")
+    best = found.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
     return best.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
-def ranked(found: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query", "version").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+def _root_lists(trees: DataFrame, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(shard, size, centre, radius) of the trees, at most ``most`` at a time."""
+    held: list = []
+    for r in trees.select("shard", "size", "centre", "radius").toLocalIterator():
+        held.append(r)
+        if len(held) == most:
+            yield _as_arrays(held)
+            held = []
+    if held:
+        yield _as_arrays(held)
+
+
+def _as_arrays(rows: list) -> tuple[np.ndarray, ...]:
+    return np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [np.array(r[2]) for r in rows], np.array([r[3] for r in rows])
 
 
 def kth(found: DataFrame, k: int) -> DataFrame:
-    """(query, version, floor): the kth score so far, where k were found."""
-    return ranked(found, k).where(F.col("rank") == k).select("query", "version", F.col("score").cast("double").alias("floor"))
+    """(no, floor): the kth score so far of each query, where k were found."""
+    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("no").orderBy(F.desc("score"), "id")))
+    return ranked.where(F.col("rank") == k).select("no", F.col("score").cast("double").alias("floor"))

@@ -300,6 +300,36 @@ def test_top_k(spark):
     assert [x.rank for x in sorted(few, key=lambda x: x.rank)] == [1, 2]
 
 
+def test_top_k_repeated_ids_and_vectors(spark):
+    r = np.random.default_rng(2)
+    rows = [(i % 40, [float(x) for x in np.round(r.normal(size=4), 1)]) for i in range(160)] + [(7, [1.0] * 4)] * 30 + [(20, [0.5, 0.5, 0.5, 0.5])] * 3 + [(i, [0.25] * 4) for i in range(200, 290)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(tuple(x) for x in topk_search.top_k(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=16, block=3, roots=4, second=2, sample=50).collect())
+    df.createOrReplaceTempView("embeddings_twice")
+    con = duckdb.connect()
+    embeddings = df.toPandas()  # noqa: F841  DuckDB reads it by name
+    want = Counter(tuple(int(x) for x in y) for y in con.sql(queries.ORACLE_4).fetchall())
+    assert got == want and len({q for q, *_ in got}) == len({i for i, _ in rows if i % 20 == 0})
+
+
+def test_ball_tree_opens_few_nodes():
+    """On clustered vectors most nodes are never bounded, and the result is the scan's."""
+    r = np.random.default_rng(5)
+    x = np.floor(64 * (r.normal(size=(4000, 8)) * 0.05 + r.normal(size=(20, 8))[np.arange(4000) % 20]))
+    t = topk_search.BallTree(x, np.arange(4000), leaf=32)
+    asked = []
+    bound = t.bound
+    t.bound = lambda q, size, node: asked.append(len(q)) or bound(q, size, node)
+    q = x[::200]
+    ids, scores = t.search(q, np.arange(0, 4000, 200), 5, np.full(len(q), -np.inf))
+    for i, own in enumerate(range(0, 4000, 200)):
+        s = x @ q[i]
+        s[own] = -np.inf
+        order = np.lexsort((np.arange(4000), -s))[:5]
+        assert ids[i].tolist() == order.tolist() and scores[i].tolist() == s[order].tolist()
+    assert sum(asked) < 0.5 * len(q) * len(t.radii)
+
+
 # 5
 def test_pii(spark):
     texts = ["Mail Ann.Lee3@corp.example.com, call (487) 555-7209 or +1 (487) 555-7209.", "ann.lee3@corp.example.com Mr. John Smith met Mrs Ada Smith; Mr. Smith left", "4111 1111 1111 1111 and 4111111111111111, 10.0.0.1", "no entity", None, "", "господин Иван Петров", "token 04dbebab91ab85687d33eeaaf9ac699e1188f962"]
