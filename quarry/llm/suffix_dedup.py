@@ -10,22 +10,24 @@ symbol a round, the new order is the old one dealt stably by that symbol, and
 the common prefix of two neighbours is one more than the least of the common
 prefixes between them in the old order (0 if the symbols differ).  Where a
 neighbour shares ``length`` bytes, the string that starts in this column
-repeats.
+repeats.  That decides every byte; hashes only deal segments to buckets and
+tell copies of one segment, of which two go into the construction.
 
 Around that core, sequential tables in the shared folder:
 
 * ``runs``: anchors of the texts, without those whose slot in a table of fixed
   size (2^27 bits) holds one occurrence only,
 * ``segments``: distinct (anchor, segment) with their number; copies of a
-  segment, and so of a document, are one row from here on.  A segment that is
-  there twice repeats as a whole; the single ones of an anchor that has several
-  segments are ordered by the construction,
+  segment, and so of a document, are one row from here on,
 * ``decided``: the repeated window starts.
 
-Nothing is capped.  An anchor with over ``most`` distinct segments does not go
-to one task: its windows are counted by 128-bit digests, map-side first.  Texts
+Nothing is capped.  An anchor with over ``most`` distinct segments is dealt to
+many tasks: its windows go by ranges of their distance to the anchor, and inside
+a range by the bytes that all its windows cover, which equal windows share; what
+is still too large goes by single distances.  Each of those parts is constructed
+like an anchor's.  Texts
 are shuffled only where a fixed-size filter of row keys says that they are
-asked for; a saturated filter costs shuffle, never results.  Segments are
+asked for; a saturated filter costs shuffle, never results.  Segments and rows are
 identified by 128 bits of hashes.
 
 Defined results: null and empty texts have 0 bytes, texts under ``length`` lose
@@ -49,7 +51,8 @@ from quarry.llm import _text
 from quarry.llm._scratch import Scratch, arrow
 from quarry.llm.anchors import GRAM, runs
 
-LENGTH, MOST, PER_BUCKET = 200, 50_000, 8_000
+LENGTH, MOST, PER_BUCKET = 200, 2_000, 8_000
+WIDTHS = (16, 1)  # distances to the anchor that a part of a hot anchor takes
 SLOTS, ROWS = 27, 24  # log2 of the bits of the tables of anchors and of row keys
 
 
@@ -117,7 +120,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    source = source.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    source = source.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.xxhash64(F.lit(1), "text", "doc_id").alias("row2"), "text")
     gram = min(GRAM, max(8, length // 3))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,60 +135,46 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches, "text"):
-            r = runs(*_text.buffers(b.column(1)), length, gram)
+            r = runs(*_text.buffers(b.column(2)), length, gram)
             own = _has(twice, r["anchor"], SLOTS)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r["row"][own])), pa.array(r["start"][own].astype(np.int32)), pa.array(r["n"][own].astype(np.int16)), pa.array(r["anchor"][own].view(np.int64)), pa.array(r["segment"][own].view(np.int64))], names=["row", "start", "windows", "anchor", "segment"])
+            at = pa.array(r["row"][own])
+            values = [b.column(0).take(at), b.column(1).take(at), pa.array(r["start"][own].astype(np.int32)), pa.array(r["n"][own].astype(np.int16)), pa.array((r["place"] - r["start"])[own].astype(np.int16)), pa.array(r["anchor"][own].view(np.int64)), pa.array(r["segment"][own].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(values, names=["row", "row2", "start", "windows", "place", "anchor", "segment"])
 
-    found = scratch.keep(arrow(source.select("row", "text"), collect, "row bigint, start int, windows smallint, anchor bigint, segment bigint"), "runs")
-    segments = found.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "start", "windows")).alias("at"))
+    found = scratch.keep(arrow(source.select("row", "row2", "text"), collect, "row bigint, row2 bigint, start int, windows smallint, place smallint, anchor bigint, segment bigint"), "runs")
+    segments = found.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "row2", "start", "windows", "place")).alias("at"))
     segments = scratch.keep(segments.select("anchor", "segment", "copies", "at.*"), "segments")
-    anchors = segments.groupBy("anchor").agg(F.count("*").alias("distinct"), F.min("copies").alias("least")).where("distinct > 1 and least = 1").select("anchor", "distinct")
+    anchors = segments.groupBy("anchor").agg(F.sum("copies").alias("all")).where(F.col("all") > 1).select("anchor")
     asked = scratch.keep(segments.join(anchors, "anchor"), "asked")
 
-    text_of = _asked_for(source, asked.select("row").distinct(), scratch.spark)
-    wanted = asked.groupBy("row").agg(F.collect_list(F.struct("start", "windows", "anchor", "segment", "copies", "distinct")).alias("wanted"))
+    text_of = _asked_for(source, asked.select("row").distinct())
+    fields = ["start", "windows", "place", "anchor", "segment", "copies"]
+    wanted = asked.groupBy("row", "row2").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches, "text", 1 << 20):
-            out: dict[str, list] = {c: [] for c in ("row", "start", "windows", "anchor", "segment", "copies", "distinct", "bytes")}
-            for row, text, wanted in zip(b.column(0).to_pylist(), _text.texts(b.column(1)), b.column(2).to_pylist()):
-                for w in wanted:
-                    out["row"].append(row)
-                    for c in ("start", "windows", "anchor", "segment", "copies", "distinct"):
-                        out[c].append(w[c])
-                    out["bytes"].append(text[w["start"] : w["start"] + w["windows"] + length - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
-
-    kinds = [pa.int64(), pa.int32(), pa.int16(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    pieces = arrow(text_of.select("row", "text").join(wanted, "row"), cut, "row bigint, start int, windows smallint, anchor bigint, segment bigint, copies bigint, distinct bigint, bytes binary")
-    pieces = scratch.keep(pieces, "pieces")
+            texts, lists = _text.texts(b.column(0)), b.column(1)
+            flat, n = lists.flatten(), lists.value_lengths().to_numpy()
+            start, windows = flat.field("start").to_numpy(), flat.field("windows").to_numpy()
+            piece = [texts[i][a:z] for i, a, z in zip(np.repeat(np.arange(len(n)), n).tolist(), start.tolist(), (start + windows + length - 1).tolist())]
+            yield pa.RecordBatch.from_arrays([flat.field(c) for c in ("anchor", "segment", "copies", "windows", "place")] + [pa.array(piece, pa.binary())], names=["g", "s", "copies", "windows", "place", "bytes"])
+
+    pieces = arrow(text_of.select("row", "row2", "text").join(wanted, ["row", "row2"]).select("text", "wanted"), cut, PIECE)
+    pieces = scratch.keep(pieces.dropDuplicates(["g", "s"]), "pieces")  # equal rows cut the same ones
     scratch.drop("asked")
 
-    buckets = max(1, -(-pieces.count() // per_bucket))
-
-    def construct(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates(["anchor", "segment"]).reset_index(drop=True)
-        parts = [group["bytes"].iloc[i] for i in range(len(group))]
-        off = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        place = np.zeros(len(parts), np.int64)
-        r = runs(np.frombuffer(b"".join(parts), np.uint8), off, length, gram)
-        place[r["row"]] = r["place"]
-        flags = repeated_starts(parts, place, group["windows"].to_numpy().astype(np.int64), length)
-        first, out = place.max() - place, []
-        for i in np.flatnonzero((group["copies"].to_numpy() == 1) & flags.any(1)):
-            a, z = _spans(flags[i])
-            shift = int(group["start"].iloc[i]) - int(first[i])
-            out.append(pd.DataFrame({"row": int(group["row"].iloc[i]), "lo": (a + shift).astype(np.int32), "hi": (z + shift).astype(np.int32)}))
-        return pd.concat(out) if out else pd.DataFrame({"row": pd.Series(dtype="int64"), "lo": pd.Series(dtype="int32"), "hi": pd.Series(dtype="int32")})
-
-    near = pieces.where(F.col("distinct") <= most).groupBy(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")).applyInPandas(construct, "row bigint, lo int, hi int")
-    hot = _counted(pieces.where(F.col("distinct") > most), length)
-    whole = found.join(segments.where("copies > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi").select("row", F.col("start").alias("lo"), (F.col("start") + F.col("windows")).cast("int").alias("hi"))
-    decided = near.unionByName(hot).unionByName(whole).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    spans = _decide(pieces, scratch, length, most, per_bucket, WIDTHS).select(F.col("g").alias("anchor"), F.col("s").alias("segment"), "lo", "hi")
+    spans = scratch.keep(spans, "spans")
+    scratch.drop("pieces")
+    place = lambda of: of.select("row", "row2", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+    # a segment without a copy is in the row that it was cut from
+    several = segments.select("anchor", "segment", "copies", "row", "row2", "start").join(spans, ["anchor", "segment"])
+    copied = found.join(several.where("copies > 1").select("anchor", "segment", "lo", "hi"), ["anchor", "segment"])
+    decided = place(several.where("copies = 1")).unionByName(place(copied)).groupBy("row", "row2").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
     decided = scratch.keep(decided, "decided")
-    scratch.drop("runs", "segments", "pieces")
+    scratch.drop("runs", "segments", "spans")
 
-    touched = _asked_for(source, decided.select("row"), spark, keep_rest=True)
+    touched = _asked_for(source, decided.select("row"), keep_rest=True)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches, "text", 1 << 20):
@@ -200,14 +189,70 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 digest.append(hashlib.sha256(np.frombuffer(text, np.uint8)[~gone].tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = touched.where("maybe").select("doc_id", "row", "text").join(decided, "row", "left").select("doc_id", "text", "starts")
+    joined = touched.where("maybe").select("doc_id", "row", "row2", "text").join(decided, ["row", "row2"], "left").select("doc_id", "text", "starts")
     done = arrow(joined, remove, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     zero = F.lit(0).cast("long")
     rest = touched.where("not maybe").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
     return done.unionByName(rest)
 
 
-def _asked_for(source: DataFrame, rows: DataFrame, spark, keep_rest: bool = False) -> DataFrame:
+PIECE = "g bigint, s bigint, copies bigint, windows smallint, place smallint, bytes binary"
+
+
+def _decide(pieces: DataFrame, scratch: Scratch, length: int, most: int, per_bucket: int, widths: tuple[int, ...]) -> DataFrame:
+    """(g, s, lo, hi): the repeated window starts of each piece ``s`` of a group ``g``; equal windows are in one group at one distance from ``place``."""
+    sizes = pieces.groupBy("g").agg(F.count("*").alias("distinct"), F.sum("copies").alias("all")).where(F.col("all") > 1)
+    sizes = scratch.keep(sizes.select("g", "distinct"), f"sizes-{len(widths)}")
+    n, hottest = sizes.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.max("distinct"), F.lit(0))).first()
+    if not widths:
+        most = hottest
+    buckets = max(1, -(-n // per_bucket))
+
+    def construct(group: pd.DataFrame) -> pd.DataFrame:
+        twice = np.repeat(np.arange(len(group)), np.minimum(group["copies"].to_numpy(), 2))
+        parts = group["bytes"].to_list()
+        place, windows = (group[c].to_numpy().astype(np.int64) for c in ("place", "windows"))
+        flags = repeated_starts([parts[i] for i in twice], place[twice], windows[twice], length)
+        first = place[twice].max() - place[twice]
+        who, lo, hi = [], [], []
+        for k in np.flatnonzero(np.r_[True, twice[1:] != twice[:-1]] & flags.any(1)):
+            a, z = _spans(flags[k])
+            who += [twice[k]] * len(a)
+            lo += (a - first[k]).tolist()
+            hi += (z - first[k]).tolist()
+        return pd.DataFrame({"g": group["g"].to_numpy()[who], "s": group["s"].to_numpy()[who], "lo": np.array(lo, np.int32), "hi": np.array(hi, np.int32)})
+
+    few = pieces.join(sizes.where(F.col("distinct") <= most).select("g"), "g").withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(buckets)))
+    out = few.groupBy("bucket").applyInPandas(construct, "g bigint, s bigint, lo int, hi int")
+    if hottest <= most:
+        return out
+
+    width = widths[0]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("g0", pa.int64()), ("s0", pa.int64()), ("from", pa.int16()), ("g", pa.int64()), ("s", pa.int64()), ("copies", pa.int64()), ("windows", pa.int16()), ("place", pa.int16()), ("bytes", pa.binary())])
+        for b in batches:
+            rows = []
+            for g, s, copies, windows, place, text in zip(*(b.column(i).to_pylist() for i in range(6))):
+                for q in range((place - windows + 1) // width, place // width + 1):
+                    # the windows at a distance of q * width to (q + 1) * width - 1
+                    a, z = max(0, place - (q + 1) * width + 1), min(windows, place - q * width + 1)
+                    own = text[a : z + length - 1]
+                    common = text[max(0, place - q * width) : place - (q + 1) * width + 1 + length]
+                    key = hashlib.blake2b(common, digest_size=8, salt=(g & (2**64 - 1)).to_bytes(8, "little") + q.to_bytes(4, "little", signed=True)).digest()
+                    rows.append((g, s, a, int.from_bytes(key, "little", signed=True), int.from_bytes(hashlib.blake2b(own, digest_size=8, salt=(z - a).to_bytes(2, "little")).digest(), "little", signed=True), copies, z - a, place - a, own))
+            for k in range(0, len(rows), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 4096]), schema.types)], schema=schema)
+
+    hot = pieces.join(sizes.where(F.col("distinct") > most).select("g"), "g").select("g", "s", "copies", "windows", "place", "bytes")
+    parts = scratch.keep(arrow(hot, part, f"g0 bigint, s0 bigint, from smallint, {PIECE}"), f"parts-{len(widths)}")
+    distinct = parts.groupBy("g", "s").agg(F.sum("copies").alias("copies"), F.first("windows").alias("windows"), F.first("place").alias("place"), F.first("bytes").alias("bytes"))
+    inner = _decide(scratch.keep(distinct, f"distinct-{len(widths)}"), scratch, length, most, per_bucket, widths[1:])
+    back = parts.drop("copies", "windows", "place", "bytes").join(inner, ["g", "s"])
+    return out.unionByName(back.select(F.col("g0").alias("g"), F.col("s0").alias("s"), (F.col("from") + F.col("lo")).cast("int").alias("lo"), (F.col("from") + F.col("hi")).cast("int").alias("hi")))
+
+
+def _asked_for(source: DataFrame, rows: DataFrame, keep_rest: bool = False) -> DataFrame:
     """The rows of ``source`` that may have one of the keys ``rows``: those, or all with a flag ``maybe``."""
     bits = _bits(rows, "row", ROWS)
 
@@ -217,19 +262,4 @@ def _asked_for(source: DataFrame, rows: DataFrame, spark, keep_rest: bool = Fals
             out = pa.RecordBatch.from_arrays([*b.columns, maybe], names=[*b.schema.names, "maybe"])
             yield out if keep_rest else out.filter(maybe)
 
-    return arrow(source, mark, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, row bigint, text string, maybe boolean")
-
-
-def _counted(pieces: DataFrame, length: int) -> DataFrame:
-    """(row, lo, hi) for anchors too hot for one task: each window's digest, counted map-side first."""
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                text, row, start, n, copies = (b.column(k)[i].as_py() for k in (0, 1, 2, 3, 4))
-                digest = [hashlib.blake2b(text[j : j + length], digest_size=16).digest() for j in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array([row] * n, pa.int64()), pa.array([start + j for j in range(n)], pa.int32()), pa.array([copies] * n, pa.int64())], names=["digest", "row", "lo", "copies"])
-
-    each = arrow(pieces.dropDuplicates(["anchor", "segment"]).select("bytes", "row", "start", "windows", "copies"), explode, "digest binary, row bigint, lo int, copies bigint")
-    several = each.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    return each.where("copies = 1").join(several, "digest", "left_semi").select("row", "lo", (F.col("lo") + 1).cast("int").alias("hi"))
+    return arrow(source, mark, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, row bigint, row2 bigint, text string, maybe boolean")

@@ -444,13 +444,15 @@ def brute_repeats(texts, n):
         yield len(b), int(gone.sum()), len(suffix_dedup._spans(gone)[0]), hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()
 
 
-@pytest.mark.parametrize("most", [50_000, 2])
-def test_suffix_dedup(spark, most):
+@pytest.mark.parametrize("most,widths", [(50_000, (16, 1)), (2, (16, 1)), (1, (1,)), (2, (50,))])
+def test_suffix_dedup(spark, most, widths, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "WIDTHS", widths)
     r = random.Random(2)
     noise = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
     passage = noise(400)
     texts = [noise(r.randrange(1000)) + passage[r.randrange(100) : r.randrange(300, 400)] + noise(r.randrange(300)) for _ in range(25)]
     texts += [None, "", "short", "x" * 900, "x" * 199, texts[3], texts[3], "ab" * 300, passage + passage]
+    texts += [noise(r.randrange(90)) + passage[50:300] + noise(r.randrange(90)) for _ in range(12)]
     got = {x.doc_id: tuple(x)[1:] for x in suffix_dedup.find_repeats(frame(spark, texts), most=most, per_bucket=20).collect()}
     want = list(brute_repeats([(t or "").encode() for t in texts], 200))
     assert [got[i] for i in range(len(texts))] == want
