@@ -5,21 +5,25 @@ as a space, so offsets stay those of the text.  Every item is cut into segments
 of ``segment`` bytes that start every ``stride`` bytes (shorter items are one
 segment), so that a verbatim passage of ``segment + stride - 1`` bytes from
 anywhere in an item holds a whole segment.  A
-segment of m bytes occurs in a text within k = floor(rate * m) edits only if a
+segment of m bytes occurs in a text within k = floor(rate * m) edits (m // q - 2 at
+most, so that the next bound is above 0) only if a
 diagonal band of width 2k holds at least m + 1 - q * (k + 1) of its q-grams
 (q-gram lemma); bands overlap by half, so that no occurrence is split between
 two.  Regions that hold that many are verified by an alignment restricted to
 their band; what passes is a hit.  Items under ``least_item`` bytes have no room
 for edits: they are matched exactly, between word bounds.
 
-The texts stream through once.  The benchmark is read in blocks of at most
-``block_bytes``: each block's gram table has a known size, and a larger
-benchmark is more passes over the same logic, never a larger broadcast.
+The texts stream through once for each block of at most ``block_bytes`` of the
+benchmark: a block's gram table has a known size, and a larger
+benchmark is more passes over the same logic, never a larger broadcast.  With
+several blocks, the first pass also marks the texts that have enough grams of
+any block, by a table of fixed size (2^26 bits); the passes look at those only.
 
 Defined results: a null or empty text has no hit; null items, items of null id
 and items shorter than one q-gram match nothing (they would match anywhere);
 equal items all hit; repeated rows each get a row; an empty table
-gives an empty result; other columns are ignored or carried along.
+gives an empty result; other columns are ignored or carried along, whatever their
+names (one called ``__hits`` is replaced).
 """
 
 from __future__ import annotations
@@ -35,10 +39,10 @@ from pyspark.sql import types as T
 from quarry.llm import _text
 from quarry.llm._scratch import arrow
 
-Q, SEGMENT, STRIDE, RATE, LEAST_ITEM, BLOCK_BYTES = 8, 48, 8, 0.1, 32, 1 << 20
+Q, SEGMENT, STRIDE, RATE, LEAST_ITEM, BLOCK_BYTES = 8, 48, 8, 0.1, 32, 1 << 22
 _FOLD = _text.LOWER.copy()
 _FOLD[_text.SPACE] = 32
-_BITS = 22
+_BITS, _ALL_BITS = 22, 26
 #: bytes of words: letters, digits, and all of a character beyond ASCII
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -55,8 +59,16 @@ def grams(raw: np.ndarray) -> np.ndarray:
     return four[:-4] | four[4:] << np.uint64(32)
 
 
-def _slot(g: np.ndarray) -> np.ndarray:
-    return (g * _text.MULT) >> np.uint64(64 - _BITS)
+def _slot(g: np.ndarray, bits: int = _BITS) -> np.ndarray:
+    return (g * _text.MULT) >> np.uint64(64 - bits)
+
+
+def _dense(at: np.ndarray, least: int, span: int) -> np.ndarray:
+    """Which of the sorted places are among ``least`` that lie within ``span``."""
+    thick = np.zeros(len(at) + 1, np.int64)
+    begins = np.flatnonzero(at[least - 1 :] - at[: max(0, len(at) - least + 1)] <= span)
+    np.add.at(thick, begins, 1), np.add.at(thick, begins + least, -1)
+    return np.cumsum(thick[:-1]) > 0
 
 
 def aligned(pattern: bytes, text: bytes, shift: int, most: int) -> int:
@@ -100,39 +112,56 @@ def bounded(raw: np.ndarray, start: int, end: int, first: int, last: int) -> boo
 
 
 class Index:
-    """The q-grams of the segments of one block of items."""
+    """The q-grams of the segments of one block of items.
+
+    A gram is held once for each place in the items; the segments that cover the
+    place are a range of the segments' numbers.
+    """
 
     def __init__(self, items: list[tuple[int, bytes]], segment: int = SEGMENT, rate: float = RATE, least_item: int = LEAST_ITEM, stride: int = STRIDE):
-        self.owner, self.patterns, self.starts, exact = [], [], [], []
+        owner, lengths, begins, exact, parts, base = [], [], [], [], [], 0
         for item, text in items:
             text = fold(text)
-            if len(text) < least_item:
+            short = len(text) < least_item
+            if short:
                 text = text.strip()
-                if len(text) >= Q:
-                    exact.append(len(self.owner))
-                    self.owner.append(item), self.starts.append(0), self.patterns.append(text)
-                continue
-            cuts = sorted({*range(0, max(1, len(text) - segment + 1), stride), max(0, len(text) - segment)})
-            for a in cuts:
-                self.owner.append(item), self.starts.append(a), self.patterns.append(text[a : a + segment])
-        self.edits = np.array([int(rate * len(p)) for p in self.patterns], np.int64)
-        self.edits = np.minimum(self.edits, np.array([max(0, len(p) // Q - 2) for p in self.patterns], np.int64))
-        self.lengths = np.array([len(p) for p in self.patterns], np.int64)
-        self.exact = np.zeros(len(self.patterns), bool)
-        self.exact[exact] = True
-        self.edits[exact] = 0
-        self.needed = np.array([len(p) + 1 - Q * (k + 1) for p, k in zip(self.patterns, self.edits)], np.int64)
-        where = [grams(np.frombuffer(p, np.uint8)) for p in self.patterns]
-        g = np.concatenate([*where, np.zeros(0, np.uint64)])
-        seg = np.repeat(np.arange(len(where), dtype=np.int32), [len(w) for w in where])
-        pos = np.concatenate([*(np.arange(len(w), dtype=np.int32) for w in where), np.zeros(0, np.int32)])
+                if len(text) < Q:
+                    continue
+            cuts = [0] if short else sorted({*range(0, max(1, len(text) - segment + 1), stride), max(0, len(text) - segment)})
+            owner += [item] * len(cuts)
+            lengths += [min(segment, len(text))] * len(cuts)
+            begins += [base + c for c in cuts]
+            exact += [short] * len(cuts)
+            parts.append((base, text))
+            base += len(text) + segment  # no segment reaches into the next item
+        self.owner, self.lengths, self.begins, self.exact = (np.array(x, t) for x, t in ((owner, np.int64), (lengths, np.int64), (begins, np.int64), (exact, bool)))
+        self.text = np.zeros(base, np.uint8)
+        for at, text in parts:
+            self.text[at : at + len(text)] = np.frombuffer(text, np.uint8)
+        self.edits = np.minimum((rate * self.lengths).astype(np.int64), np.maximum(self.lengths // Q - 2, 0))
+        self.edits[self.exact] = 0
+        self.needed = self.lengths + 1 - Q * (self.edits + 1)
+        place = np.concatenate([*(np.arange(at, at + len(t) - Q + 1) for at, t in parts), np.zeros(0, np.int64)])
+        g = grams(self.text)[place] if len(place) else np.zeros(0, np.uint64)
         order = np.argsort(g, kind="stable")
+        place = place[order]
         self.grams, first = np.unique(g[order], return_index=True)
         self.first = np.append(first, len(g))
-        self.seg, self.pos = seg[order], pos[order]
+        # segments that hold the whole gram: they begin at it or before, and end after it
+        self.place = place.astype(np.int32)
+        self.seg_from = np.searchsorted(self.begins, place - segment + Q).astype(np.int32)
+        self.seg_n = (np.searchsorted(self.begins, place, "right") - self.seg_from).astype(np.int32)
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[_slot(self.grams)] = True
 
+    def pattern(self, j: int) -> bytes:
+        return self.text[self.begins[j] : self.begins[j] + self.lengths[j]].tobytes()
+
+    @property
+    def least(self) -> tuple[int, int]:
+        """(grams, bytes): an occurrence has that many grams within that length."""
+        return int(self.needed.min()), int((self.edits + self.lengths - Q).max())
+
     def hits(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, start, end, edits) of every verified region of a buffer of texts."""
         if len(raw) < Q or len(self.grams) == 0:
@@ -147,25 +176,25 @@ class Index:
         row = np.searchsorted(off, at, "right") - 1
         whole = at + Q <= off[row + 1]  # a gram never crosses two texts
         at, k, row = at[whole], k[whole], row[whole]
-        # an occurrence has that many grams within its length: what stands too thin is in none
-        least, span = int(self.needed.min()), int((self.edits + self.lengths - Q).max())
-        thick = np.zeros(len(at) + 1, np.int64)
-        begins = np.flatnonzero(at[least - 1 :] - at[: max(0, len(at) - least + 1)] <= span)
-        np.add.at(thick, begins, 1), np.add.at(thick, begins + least, -1)
-        dense = np.cumsum(thick[:-1]) > 0
+        # what stands too thin is in no occurrence
+        dense = _dense(at, *self.least)
         at, k, row = at[dense], k[dense], row[dense]
+        spread = lambda n, from_: np.repeat(from_ - (np.cumsum(n) - n), n) + np.arange(n.sum())  # noqa: E731  from_, from_ + 1, ... n of each
         n = self.first[k + 1] - self.first[k]
-        flat = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n, n) + np.arange(n.sum())
-        at, row, seg, pos = np.repeat(at, n), np.repeat(row, n), self.seg[flat], self.pos[flat]
+        flat = spread(n, self.first[k])
+        at, row, n = np.repeat(at, n), np.repeat(row, n), self.seg_n[flat]
+        seg = spread(n, self.seg_from[flat])
+        pos = np.repeat(self.place[flat], n) - self.begins[seg]
+        at, row = np.repeat(at, n), np.repeat(row, n)
         lead = int(self.lengths.max())
         diagonal = at - pos + lead  # of the buffer; texts never share one region as rows differ
         width = np.maximum(2 * self.edits[seg], 1)
         found: list[tuple[int, int, int, int, int]] = []
         done: set[tuple[int, int, int]] = set()
-        asked: dict[tuple[int, int, int], list[tuple[int, int, int, int]]] = {}
+        asked: dict[tuple[int, int, int], list[tuple[int, int, int, int, int]]] = {}
         for half in (0, 1):
             band = (diagonal + half * (width // 2)) // width
-            order = np.argsort((row * len(self.patterns) + seg) * (int(band.max(initial=0)) + 1) + band, kind="stable")
+            order = np.argsort((row * len(self.begins) + seg) * (int(band.max(initial=0)) + 1) + band, kind="stable")
             r, s, b = row[order], seg[order], band[order]
             edge = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (s[1:] != s[:-1]) | (b[1:] != b[:-1])]) if len(r) else np.zeros(0, np.int64)
             counts = np.diff(np.r_[edge, len(r)])
@@ -174,18 +203,19 @@ class Index:
                 edits = int(self.edits[j])
                 low = int(b[e]) * int(width[order[e]]) - half * (int(width[order[e]]) // 2) - lead
                 a = max(int(off[i]), low - edits)
-                z = min(int(off[i + 1]), low + int(width[order[e]]) + len(self.patterns[j]) + edits)
-                if (i, j, a) in done:
+                lack = a - (low - edits)  # diagonals before the text: a pattern may lose its first bytes
+                z = min(int(off[i + 1]), low + int(width[order[e]]) + int(self.lengths[j]) + edits)
+                if (i, j, low) in done:
                     continue
-                done.add((i, j, a))
+                done.add((i, j, low))
                 if self.exact[j]:
-                    z = a + len(self.patterns[j])
-                    if not bounded(raw, a, z, int(off[i]), int(off[i + 1])):
+                    z = a + int(self.lengths[j])
+                    if lack or not bounded(raw, a, z, int(off[i]), int(off[i + 1])):
                         continue
-                asked.setdefault((len(self.patterns[j]), int(width[order[e]]) // 2 + 2 * edits + 1, edits), []).append((i, j, a, z))
+                asked.setdefault((int(self.lengths[j]), int(width[order[e]]) // 2 + 2 * edits + 1, edits), []).append((i, j, a, z, lack))
         for (_, shift, most), places in asked.items():
-            edits = aligned_all([self.patterns[j] for _, j, _, _ in places], [raw[a:z].tobytes() for _, _, a, z in places], shift, most)
-            found += [(i, self.owner[j], a - int(off[i]), z - int(off[i]), int(d)) for (i, j, a, z), d in zip(places, edits) if d <= most]
+            edits = aligned_all([self.pattern(j) for _, j, *_ in places], [b"\xff" * lack + raw[a:z].tobytes() for _, _, a, z, lack in places], shift, most)
+            found += [(i, int(self.owner[j]), a - int(off[i]), z - int(off[i]), int(d)) for (i, j, a, z, _), d in zip(places, edits) if d <= most]
         return found
 
 
@@ -204,27 +234,54 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
         yield sorted(held)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how: float) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES, **how: float) -> DataFrame:
     """Every row of ``docs`` and ``__hits``: array of (item, start, end, edits), byte offsets of the verified regions."""
+    sc = docs.sparkSession.sparkContext
     hit = T.ArrayType(T.StructType([T.StructField("item", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("start", "end", "edits"))]))
-    out = docs.withColumn("__hits", F.array().cast(hit))
-    at = docs.columns.index(text_col)
     kind = pa.list_(pa.struct([("item", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
-    for items in blocks(benchmark):
-
-        def run(batches: Iterator[pa.RecordBatch], items: list[tuple[int, bytes]] = items) -> Iterator[pa.RecordBatch]:
-            index = Index(items, **how)
-            for b in _text.slices(batches, text_col, 1 << 18):
-                raw, off = _text.buffers(b.column(at))
-                own: list[list[dict]] = b.column(b.num_columns - 1).to_pylist()
+    columns = [c for c in docs.columns if c != "__hits"]
+    # the input's columns travel in one struct, so that no name of theirs meets one of ours
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), F.lit(True).alias("maybe"), F.array().cast(hit).alias("hits"))
+    held, least, any_of = [], None, np.zeros(1 << _ALL_BITS >> 3, np.uint8)
+    for items in blocks(benchmark, block_bytes=block_bytes):
+        index = Index(items, **how)
+        if len(index.grams):
+            slot = _slot(index.grams, _ALL_BITS)
+            np.bitwise_or.at(any_of, (slot >> np.uint64(3)).astype(np.int64), (1 << (slot & np.uint64(7))).astype(np.uint8))
+            n, span = index.least
+            least = (n, span) if least is None else (min(least[0], n), max(least[1], span))
+            held.append(sc.broadcast(items))  # each of a known size
+    if len(held) > 1:
+        bits = sc.broadcast(any_of)
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in _text.slices(batches, "text", 1 << 18):
+                raw, off = _text.buffers(b.column(1))
+                maybe = np.zeros(b.num_rows, bool)
+                if len(raw) >= Q:
+                    slot = _slot(grams(_FOLD[raw]), _ALL_BITS)
+                    at = np.flatnonzero(bits.value[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                    at = at[at + Q <= off[np.searchsorted(off, at, "right")]]
+                    maybe[np.searchsorted(off, at[_dense(at, *least)], "right") - 1] = True
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(maybe), b.column(3)], names=b.schema.names)
+
+        out = arrow(out, mark, out.schema)
+    for items in held:
+
+        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            index = Index(items.value, **how)
+            for b in _text.slices(batches, "text", 1 << 18):
+                who = np.flatnonzero(b.column(2).to_numpy(zero_copy_only=False))
+                raw, off = _text.buffers(b.column(1).take(pa.array(who)))
+                own: list[list[dict]] = b.column(3).to_pylist()
                 for i, item, start, end, edits in index.hits(raw, off):
-                    own[i].append({"item": item, "start": start, "end": end, "edits": edits})
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own, kind)], names=b.schema.names)
+                    own[who[i]].append({"item": item, "start": start, "end": end, "edits": edits})
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(own, kind)], names=b.schema.names)
 
         out = arrow(out, run, out.schema)
-    return out
+    return out.select(*(F.col(f"r.`{c}`") for c in columns), F.col("hits").alias("__hits"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how: float) -> DataFrame:
     """The rows of ``docs`` without a hit, with their own columns."""
-    return contaminated(docs, benchmark, **how).where(F.size("__hits") == 0).drop("__hits")
+    return contaminated(docs, benchmark, **how).where(F.size("__hits") == 0).select(*(F.col(f"`{c}`") for c in docs.columns if c != "__hits"))

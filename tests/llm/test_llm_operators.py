@@ -479,16 +479,51 @@ def test_decontaminate(spark):
         edited[k] = "#"
     docs = [prose(80), prose(40) + " " + items[0][1] + " " + prose(40), prose(20) + " " + items[1][1].upper().replace(" ", "\n") + "!", "".join(edited), items[3][1][:110] + " " + prose(30), None, "", "short", items[4][1] + " " + items[5][1]]
     bench = spark.createDataFrame(items, "item_id long, text string")
+    found = frame(spark, docs).withColumn("__hits", F.lit(1)).withColumn("r", F.lit(2)).withColumn("maybe", F.lit(3)).withColumn("hits", F.lit(4))
     for block in (1 << 20, 300):
-        found = frame(spark, docs)
         blocks = list(decontaminate.blocks(bench, block_bytes=block))
-        assert len(blocks) == (1 if block > 300 else len(blocks)) and sum(map(len, blocks)) == 12
+        assert (len(blocks) == 1) == (block > 300) and sum(map(len, blocks)) == 12
+    several = {x.doc_id: sorted({h.item for h in x["__hits"]}) for x in decontaminate.contaminated(found, bench, block_bytes=300).collect()}
     got = {x.doc_id: sorted({h.item for h in x["__hits"]}) for x in decontaminate.contaminated(found, bench).collect()}
-    assert got == {0: [], 1: [0], 2: [1], 3: [2], 4: [3], 5: [], 6: [], 7: [], 8: [4, 5]}
-    assert decontaminate.decontaminate(found, bench).columns == found.columns
+    assert got == several == {0: [], 1: [0], 2: [1], 3: [2], 4: [3], 5: [], 6: [], 7: [], 8: [4, 5]}
+    assert decontaminate.decontaminate(found, bench).columns == [c for c in found.columns if c != "__hits"]
     assert decontaminate.decontaminate(found, bench.limit(0)).count() == len(docs) and decontaminate.decontaminate(found.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 22, 200])
+def test_decontaminate_against_all_alignments(spark, block_bytes):
+    """A text is hit by an item if and only if one of the item's segments is within its edits of some substring."""
+    r = random.Random(12)
+    prose = lambda n: " ".join("".join(r.choice("aeioustnm") for _ in range(r.randrange(2, 8))) for _ in range(n))
+    items = [(i, prose(r.randrange(7, 25))) for i in range(8)]
+    docs = [prose(25)]
+    for _ in range(60):
+        x = bytearray(r.choice(items)[1][r.randrange(20) :][: r.randrange(40, 80)].encode())
+        for _ in range(r.randrange(8)):
+            k = r.randrange(len(x))
+            x[k : k + r.randrange(2)] = r.choice(["#", "", "a"]).encode()
+        docs.append(prose(r.randrange(6)) + " " + x.decode() + " " + prose(r.randrange(6)))
+
+    def edits(p, t):
+        row = [0] * (len(t) + 1)
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, d in enumerate(t, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return min(row)
+
+    segments = {}
+    for i, t in items:
+        b, n = decontaminate.fold(t.encode()), decontaminate.SEGMENT
+        segments[i] = [b[a : a + n] for a in {*range(0, max(1, len(b) - n + 1), decontaminate.STRIDE), max(0, len(b) - n)}]
+    most = lambda p: min(int(0.1 * len(p)), len(p) // 8 - 2)
+    want = {j: [i for i, _ in items if any(edits(p, decontaminate.fold(d.encode())) <= most(p) for p in segments[i])] for j, d in enumerate(docs)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {x.doc_id: sorted({h.item for h in x["__hits"]}) for x in decontaminate.contaminated(frame(spark, docs), bench, block_bytes=block_bytes).collect()}
+    assert got == want and 10 < sum(map(bool, want.values())) < 60
+
+
 def test_decontaminate_inner_passages(spark):
     r = random.Random(8)
     prose = lambda n: " ".join("".join(r.choice("aeiourstlnm") for _ in range(r.randrange(2, 9))) for _ in range(n))
