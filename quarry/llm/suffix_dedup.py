@@ -164,11 +164,11 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch.drop("asked")
 
     spans = _decide(pieces, scratch, length, most, per_bucket, WIDTHS).select(F.col("g").alias("anchor"), F.col("s").alias("segment"), "lo", "hi")
-    spans = scratch.keep(spans, "spans")
+    # written, so that the join below reads two exchanges and adaptive execution can split a segment of many copies
+    several = scratch.keep(segments.select("anchor", "segment", "copies", "row", "row2", "start").join(spans, ["anchor", "segment"]), "spans")
     scratch.drop("pieces")
     place = lambda of: of.select("row", "row2", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
     # a segment without a copy is in the row that it was cut from
-    several = segments.select("anchor", "segment", "copies", "row", "row2", "start").join(spans, ["anchor", "segment"])
     copied = found.join(several.where("copies > 1").select("anchor", "segment", "lo", "hi"), ["anchor", "segment"])
     decided = place(several.where("copies = 1")).unionByName(place(copied)).groupBy("row", "row2").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
     decided = scratch.keep(decided, "decided")
