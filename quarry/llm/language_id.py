@@ -4,11 +4,12 @@ A text becomes the TF-IDF vector, of length one, of its hashed letter bigrams
 and trigrams.  Document frequencies come from all learning documents; the
 centroids of a language come from spherical k-means over a sample of its
 learning documents (``per_language`` of them about, chosen by a hash of the id,
-a documented bound on what the driver holds).  A text takes the language of the
+a documented bound on what one task holds; the driver gets the centroids).  A text takes the language of the
 centroid of largest cosine.  A text further from it than all but ``reject_share``
 of that centroid's own members is ``rejected``.
 
-Defined results: a null text, or one without letters, is ``und`` with score 0
+Defined results: a null text, or one without letters (characters of Unicode
+category L; \u00b2, \u00bd and \u2167 are none), is ``und`` with score 0
 and rejected; without anything to learn from every text is; repeated rows are
 each answered; an empty table gives an empty result; rows with a null ``lang``
 or id teach nothing.  Equal cosines go to the language first in order.
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +30,16 @@ from pyspark.sql import functions as F
 from quarry.llm import _text
 from quarry.llm._scratch import arrow
 
-LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")
 #: other bytes than letters (ASCII) become a space
 _LETTERS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode category L is in the text (numbers such as \u00b2, \u00bd or \u2167 are none)."""
+    return any(m[0].isalpha() for m in _MAYBE.finditer(text))
+
+
 def codes(text: str, dims: int) -> np.ndarray:
     """Hashed n-grams (n = 2, 3) of the lower-cased letters with word edges."""
     b = b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_LETTERS).split()) + b" "
@@ -64,7 +71,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         langs, score, rejected = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        some = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if len(self.centroids) else []
+        some = [i for i, t in enumerate(texts) if t and has_letter(t)] if len(self.centroids) else []
         for k in range(0, len(some), 128):
             part = some[k : k + 128]
             cos = vectors([texts[i] for i in part], self.dims, self.idf) @ self.centroids.T
@@ -100,7 +107,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         total, n = np.zeros(dims, np.int64), 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                if LETTER.search(t):
+                if has_letter(t):
                     total[np.unique(codes(t, dims))] += 1
                     n += 1
         if n:
@@ -112,40 +119,36 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         df[dim] = n
     idf = np.log((1 + df[dims]) / (1 + df[:dims])) + 1
     # a sample of about per_language documents each, by the hash of the id
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    empty = Model(dims, idf, [], np.zeros((0, dims), np.float32), np.zeros(0, int), np.zeros(0))
-    if not counts:
-        return empty
-    share = F.lit(0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, int(min(1.0, per_language / n) * 2**32)).otherwise(share)
-    picked = rows.where(F.crc32(F.concat(F.lit("sample"), F.col("id"))) < share.cast("long")).select("lang", "text")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.least(F.lit(1.0), F.lit(per_language) / F.col("n")) * 2.0**32
+    picked = rows.join(counts, "lang").where(F.crc32(F.concat(F.lit("sample"), F.col("id"))) < share).select("lang", "text")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs, dim, val = [], [], []
             for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if LETTER.search(t):
+                if has_letter(t):
                     v = vectors([t], dims, idf)[0]
                     at = np.flatnonzero(v)
                     langs.append(lang), dim.append(at.astype(np.int32).tobytes()), val.append(v[at].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(dim, pa.binary()), pa.array(val, pa.binary())], names=["lang", "dim", "val"])
 
-    members: dict[str, list] = {}
-    for lang, dim, val in arrow(picked, sparse, "lang string, dim binary, val binary").collect():
-        members.setdefault(lang, []).append((bytes(dim), bytes(val)))
-    languages, centroids, owner, radius = sorted(members), [], [], []
-    for i, lang in enumerate(languages):
-        own = sorted(members[lang])
+    def clustered(group: pd.DataFrame) -> pd.DataFrame:
+        own = sorted(zip(map(bytes, group["dim"]), map(bytes, group["val"])))
         x = np.zeros((len(own), dims), np.float32)
         for j, (dim, val) in enumerate(own):
             x[j, np.frombuffer(dim, np.int32)] = np.frombuffer(val, np.float32)
         c, at = cluster(x, k)
         cos = (x * c[at]).sum(1)
-        for j in range(len(c)):
-            if (at == j).any():
-                centroids.append(c[j]), owner.append(i), radius.append(np.quantile(cos[at == j], reject_share))
-    return Model(dims, idf, languages, np.array(centroids, np.float32).reshape(-1, dims), np.array(owner, int), np.array(radius)) if languages else empty
+        used = [j for j in range(len(c)) if (at == j).any()]
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "j": used, "centroid": [c[j].astype(np.float32).tobytes() for j in used], "radius": [float(np.quantile(cos[at == j], reject_share)) for j in used]})
+
+    # each language's sample is one small group; only the centroids reach the driver
+    found = arrow(picked, sparse, "lang string, dim binary, val binary").groupBy("lang").applyInPandas(clustered, "lang string, j int, centroid binary, radius double").collect()
+    found = sorted(found, key=lambda r: (r["lang"], r["j"]))
+    languages = sorted({r["lang"] for r in found})
+    centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in found], np.float32).reshape(-1, dims)
+    return Model(dims, idf, languages, centroids, np.array([languages.index(r["lang"]) for r in found], int), np.array([r["radius"] for r in found]))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -41,6 +41,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -80,13 +81,41 @@ class Words:
         """(starts, ends, first word of each text, item, count or 0, known) of all words of a buffer."""
         starts, ends = _text.word_spans(raw, off)
         h = _text.word_hashes(raw, starts, ends)
-        k = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
-        known = self.hashes[k] == h if len(self.hashes) else np.zeros(len(h), bool)
+        k, known = self.find(h)
         item = np.where(known, self.items[k], -1) if len(self.hashes) else np.full(len(h), -1)
         rest = item < 0
         item[rest] = self.n_items + group_of(raw, starts[rest], ends[rest], self.groups)
         return starts, ends, np.searchsorted(starts, off), item, np.where(known, self.counts[k], 0) if len(self.hashes) else np.zeros(len(h), np.int64), known
 
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among the held words, whether it is there) of each hash: by its upper bits, which say where it can stand."""
+        shift = np.uint64(64 - self.slots.bit_length() + 1)
+        k = self.begins[(h >> shift).astype(np.int32)]
+        k = np.minimum(k, max(len(self.hashes) - 1, 0))
+        known = self.hashes[k] == h if len(self.hashes) else np.zeros(len(h), bool)
+        left = np.flatnonzero(~known)
+        for step in range(1, self.longest):
+            at = np.minimum(k[left] + step, len(self.hashes) - 1)
+            hit = self.hashes[at] == h[left]
+            k[left[hit]], known[left[hit]] = at[hit], True
+            left = left[~hit & (self.hashes[at] < h[left])]
+        return k, known
+
+    @cached_property
+    def slots(self) -> int:
+        return 1 << 20
+
+    @cached_property
+    def begins(self) -> np.ndarray:
+        """The first held word of each slot."""
+        upper = (self.hashes >> np.uint64(64 - self.slots.bit_length() + 1)).astype(np.int64)
+        return np.searchsorted(upper, np.arange(self.slots)).astype(np.int32)
+
+    @cached_property
+    def longest(self) -> int:
+        """The most words of one slot."""
+        return int(np.diff(np.append(self.begins, len(self.hashes))).max())
+
     def with_ends(self, item: np.ndarray, first: np.ndarray) -> np.ndarray:
         """The items of all texts in a row, each text after an end, and one end at last."""
         return np.append(np.insert(item, first[:-1], END), END)
@@ -228,6 +257,11 @@ class Sums:
 
 def summed(lines: DataFrame, keys_of) -> DataFrame:
     """(key, k): how often ``keys_of`` yields each key over all lines of items."""
+    return counted(lines, keys_of).groupBy("key").agg(F.sum("k").alias("k"))
+
+
+def counted(lines: DataFrame, keys_of) -> DataFrame:
+    """The same of each task by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Sums()
@@ -238,7 +272,7 @@ def summed(lines: DataFrame, keys_of) -> DataFrame:
                     yield from rows()
         yield from rows()
 
-    return arrow(lines, run, "key bigint, k bigint").groupBy("key").agg(F.sum("k").alias("k"))
+    return arrow(lines, run, "key bigint, k bigint")
 
 
 def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GROUPS, classes: int = CLASSES, held: int = HELD, least: int = LEAST, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
@@ -350,7 +384,9 @@ def _further(lines: DataFrame, n_core: int, n_items: int, cls: np.ndarray, m: np
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(gain.argmax(1), pa.int32())], names=["w", "class"])
 
     width = 2 * classes
-    cells = summed(lines, beside).select(F.floor(F.col("key") / width).cast("int").alias("w"), (F.col("key") % width).cast("int").alias("cell"), "k")
+    cells = counted(lines, beside).select(F.floor(F.col("key") / width).cast("int").alias("w"), (F.col("key") % width).cast("int").alias("cell"), "k")
+    # dealt by word once, for both sums; the tasks have summed their own already
+    cells = cells.repartition("w").groupBy("w", "cell").agg(F.sum("k").alias("k"))
     found = arrow(cells.groupBy("w").agg(F.collect_list(F.struct("cell", "k")).alias("cells")), best, "w int, class int").toArrow()
     out = cls.copy()
     out[n_core + found.column("w").to_numpy()] = found.column("class").to_numpy()

@@ -107,11 +107,11 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _source(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
 
 
-def _signatures(source: DataFrame, shingle: int) -> DataFrame:
+def _signatures(source: DataFrame, shingle: int, carry: tuple[str, ...] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches, "text"):
             raw, off = _text.buffers(b.column(1))
@@ -120,9 +120,9 @@ def _signatures(source: DataFrame, shingle: int) -> DataFrame:
                 h = _set_hash(s)
                 sizes.append(len(s)), one.append(h[0]), two.append(h[1])
                 keys.append(signature(s).view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "h1", "h2", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), *b.columns[2:]], names=["doc_id", "n", "h1", "h2", "keys", *carry])
 
-    return arrow(source, run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, keys array<bigint>")
+    return arrow(source, run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, keys array<bigint>" + "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in carry))
 
 
 def _sets(source: DataFrame, shingle: int) -> DataFrame:
@@ -145,11 +145,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
-def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n, h1, h2, component) of every row; (h1, h2) names its set."""
+def unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component: of those with the least id, the least by the hash of the text; of equal ones, one.
+
+    A null id counts as the largest.  Rows with an empty set all stay.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    text = F.col(f"`{text_col}`").cast("string")
+    key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"), F.xxhash64(F.lit(1), F.coalesce(text, F.lit(""))).alias("k2")]
+    scratch = Scratch(docs.sparkSession, "unique")
+    found = scratch.keep(components_of(docs.select(*key, text.alias("text")), "id", "text", shingle, percent, carry=("k1", "k2")).where("n > 0"), "components")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
+    rows = found.groupBy("component", F.col("doc_id").alias("id"), "k1", "k2").agg(F.count("*").alias("n"))
+    state = rows.join(first, "component").select("id", "k1", "k2", (F.struct("id", "k1", "k2") != F.struct("first.*")).alias("gone"), (F.col("n") > 1).alias("several")).where("gone or several")
+    marked = docs.select(F.struct(*columns).alias("r"), *key).join(state, ["id", "k1", "k2"], "left")
+    one = marked.where("several and not gone").dropDuplicates(["id", "k1", "k2"]).select("r")
+    return marked.where("gone is null").select("r").unionByName(one).select(*(F.col(f"r.`{c}`") for c in docs.columns))
+
+
+def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n, h1, h2, component) of every row and its columns ``carry``; (h1, h2) names its set."""
     scratch = Scratch(docs.sparkSession, "minhash")
     source, t = _source(docs, id_col, text_col), least_matches(percent / 100)
-    signed = scratch.keep(_signatures(source, shingle), "signatures")
+    signed = scratch.keep(_signatures(_source(docs, id_col, text_col, carry), shingle, carry), "signatures")
     reps = signed.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     reps = scratch.keep(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")  # once written, the numbers are fixed
 
@@ -195,9 +213,9 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     group = reps.select("h1", "h2", "doc_id", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group"))
     least = group.groupBy("group").agg(F.min("doc_id").alias("component"))
     group = group.drop("doc_id").join(least, "group").drop("group")
-    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.col("doc_id").alias("component"))
+    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.col("doc_id").alias("component"), *carry)
     scratch.drop("prefixes", "star", "sets", "members", "links-1", "links-2")
-    return signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "h1", "h2", "component").unionByName(alone)
+    return signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "h1", "h2", "component", *carry).unionByName(alone)
 
 
 def _confirm(pairs: DataFrame, full: DataFrame, percent: int, t: int) -> DataFrame:

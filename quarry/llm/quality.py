@@ -3,8 +3,9 @@
 Each class is a Gaussian over transformed statistics of the text.  A class
 covariance is shrunk twice, towards the pooled one and towards a sphere
 (``to_pooled``, ``to_sphere``), so that it stays positive definite with few
-labels; its Cholesky factor is kept in the model and a score is the sigmoid of
-the difference of the two log densities, each from one triangular solve.
+labels; the inverse of its Cholesky factor is solved for once and kept in the
+model, and a score is the sigmoid of the difference of the two log densities, each
+from one product with that triangle.
 
 Defined results: a null or empty text has the statistics of zero words and is
 scored like any other; repeated rows are scored each; an empty table gives an
@@ -12,7 +13,7 @@ empty result; a null ``doc_id`` is scored, and never used for learning.
 Labels that are null, or that contradict each other for one document, teach
 nothing.  Without labels of both classes every score is the share of the class
 that there is (0.5 without any).  Other columns of the input are carried along
-or ignored, whatever their names.
+or ignored, whatever their names (one called like the score is replaced).
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ class Model:
     centre: np.ndarray
     scale: np.ndarray
     means: np.ndarray | None = None  # class, statistic
-    factors: np.ndarray | None = None  # class, Cholesky factor
+    factors: np.ndarray | None = None  # class, inverse of the Cholesky factor
     half_log_det: np.ndarray | None = None
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -74,12 +75,22 @@ class Model:
         z = (x - self.centre) / self.scale
         density = []
         for k in (0, 1):
-            solved = np.linalg.solve(self.factors[k], (z - self.means[k]).T)
-            density.append(-0.5 * (solved**2).sum(0) - self.half_log_det[k])
+            solved = (z - self.means[k]) @ self.factors[k].T
+            density.append(-0.5 * (solved**2).sum(1) - self.half_log_det[k])
         logit = density[1] - density[0] + np.log(self.prior / (1 - self.prior))
         return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
 
+def _inverse(lower: np.ndarray) -> np.ndarray:
+    """The inverse of a lower triangle, row by row."""
+    out = np.zeros_like(lower)
+    for i in range(len(lower)):
+        out[i] = -lower[i, :i] @ out[:i]
+        out[i, i] = 1
+        out[i] /= lower[i, i]
+    return out
+
+
 def learn(sums: dict[int, tuple[float, np.ndarray, np.ndarray]], to_pooled: float = 0.5, to_sphere: float = 0.05) -> Model:
     """From each class's count, sum and sum of outer products."""
     d = len(NAMES)
@@ -97,8 +108,9 @@ def learn(sums: dict[int, tuple[float, np.ndarray, np.ndarray]], to_pooled: floa
     for k in (0, 1):
         cov = ((1 - to_pooled) * own[k] + to_pooled * pooled) / np.outer(scale, scale)
         cov = (1 - to_sphere) * cov + to_sphere * max(np.trace(cov) / d, 1e-3) * np.eye(d)
-        factors.append(np.linalg.cholesky(cov))
-        half.append(np.log(np.diag(factors[-1])).sum())
+        factor = np.linalg.cholesky(cov)
+        factors.append(_inverse(factor))
+        half.append(np.log(np.diag(factor)).sum())
     return Model(prior, centre, scale, np.stack([(means[k] - centre) / scale for k in (0, 1)]), np.stack(factors), np.array(half))
 
 
@@ -156,14 +168,17 @@ def score_measured(measured: DataFrame, model: Model) -> DataFrame:
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Every column of ``docs`` and the score, in one pass without a shuffle."""
-    at, schema = docs.columns.index(text_col), docs.withColumn(score_col, F.lit(0.0)).schema
+    columns = [c for c in docs.columns if c != score_col]
+    # the input's columns travel in one struct, so that no name of theirs meets one of ours
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _text.slices(batches, text_col):
-            x = np.array([statistics(t) for t in _text.texts(b.column(at))], np.float64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x))], names=[*b.schema.names, score_col])
+        for b in _text.slices(batches, "text"):
+            x = np.array([statistics(t) for t in _text.texts(b.column(1))], np.float64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(x))], names=["r", "s"])
 
-    return arrow(docs, run, schema)
+    done = arrow(rows, run, rows.select("r", F.lit(0.0).alias("s")).schema)
+    return done.select(*(F.col(f"r.`{c}`") for c in columns), F.col("s").alias(score_col))
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:

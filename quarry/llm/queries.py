@@ -86,7 +86,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_read(spark, sf_dir, "documents"))
+    done = packing.pack(_read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "piece", "n_tokens", "start", "end", F.md5("text").alias("text_md5"), "bucket", "batch", "padding")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

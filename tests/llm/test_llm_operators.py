@@ -586,6 +586,19 @@ def test_packing(spark):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_packing_round_trip(spark):
+    """Pieces in order are the text; ties, whitespace, long texts and clashing names."""
+    r = random.Random(8)
+    texts = ["".join(r.choice(["ab", " ", "\n ", "\u00e9\u4e2d", "\t"]) for _ in range(r.randrange(400))) for _ in range(40)] + EDGE + ["w " * 300_000, "w " * 300_000]
+    whole = {}
+    for x in packing.pack(frame(spark, texts), max_length=16, buckets=4, budget=64).orderBy("doc_id", "piece").collect():
+        old = whole.setdefault(x.doc_id, [])
+        assert x.piece == len(old) and x.start == sum(len(p.encode()) for p in old) and x.end == x.start + len(x.text.encode())
+        assert x.n_tokens == len(x.text.encode().split()) <= 16 and x.padding == x.bucket - x.n_tokens
+        old.append(x.text)
+    assert {i: "".join(p) for i, p in whole.items()} == {i: t or "" for i, t in enumerate(texts)}
+
+
 # 9
 def test_quality(spark, sf_dir):
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -594,6 +607,12 @@ def test_quality(spark, sf_dir):
     assert (rows.predicted == (rows.score >= 0.3)).all()
     assert (rows.predicted == rows.quality).mean() > 0.9
     model = quality.train(spark, docs, labels)
+    more = sf_dir.replace("0.001", "0.01")  # held-out rows alone, so that there are enough
+    held = queries.op9_quality(spark, more).where("held_out").join(spark.read.parquet(f"{more}/labels.parquet"), "doc_id").toPandas()
+    assert len(held) > 100 and (held.predicted == held.quality).mean() > 0.95
+    assert quality.annotate(frame(spark, EDGE), model).columns == [*(c for c in frame(spark, []).columns if c != "score"), "score"]
+    twice = labels.unionByName(labels.withColumn("quality", 1 - F.col("quality"))).unionByName(labels.withColumn("quality", F.lit(None).cast("int")))
+    assert quality.train(spark, docs, twice).means is None  # contradicting and null labels teach nothing
     edge = quality.annotate(frame(spark, EDGE).drop("score"), model).collect()
     assert len(edge) == len(EDGE) and all(0 <= x.score <= 1 for x in edge)
     alone = quality.train(spark, docs, labels.limit(0))
@@ -630,6 +649,33 @@ def test_language(spark, sf_dir):
     assert language_id.predict(frame(spark, []), model).count() == 0
 
 
+def test_language_letters_and_rows(spark, sf_dir):
+    model = language_id.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    texts = ["\u00b2 \u00bd", "\u2167", "12_3", "\u00aa", "the and of", "the and of"]
+    got = language_id.predict(frame(spark, texts, [1, 2, 3, 4, 5, 5]), model).collect()
+    assert sorted((r.doc_id, r.lang_pred == "und", r.score > 0) for r in got) == [(1, True, False), (2, True, False), (3, True, False), (4, False, got[3].score > 0), (5, False, True), (5, False, True)]
+    lost = frame(spark, texts).withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.fit(lost).languages == []
+
+
+def test_language_by_hand(spark, sf_dir):
+    """Document frequencies and the nearest centroid from plain dictionaries."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit(docs, dims=1024)
+    rows = [r for r in docs.collect() if r.text]
+    grams = lambda t: Counter(language_id.codes(t, 1024).tolist())
+    learning = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 != 0 and r.lang is not None and any(c.isalpha() for c in r.text)]
+    df = Counter(g for r in learning for g in grams(r.text))
+    got = {r.doc_id: r for r in language_id.predict(docs, model).collect()}
+    for r in rows[:150]:
+        v = {g: (1 + math.log(n)) * (math.log((1 + len(learning)) / (1 + df[g])) + 1) for g, n in grams(r.text).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        cos = [sum(x * float(c[g]) for g, x in v.items()) / size for c in model.centroids]
+        assert got[r.doc_id].score == pytest.approx(max(0, min(1, max(cos))), abs=1e-5)
+        assert cos[[model.languages[o] for o in model.owner].index(got[r.doc_id].lang_pred)] <= max(cos) + 1e-6
+        assert max(c for c, o in zip(cos, model.owner) if model.languages[o] == got[r.doc_id].lang_pred) >= max(cos) - 1e-5
+
+
 def test_registered():
     import __spark_entry__
 
