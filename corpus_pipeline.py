@@ -18,13 +18,16 @@ ORACLE_SQL = None
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the discriminant gives class 1 with 0.3 at least."""
+    """Documents that the discriminant gives class 1 with 0.3 at least; null and empty texts are scored like any other."""
     model = quality.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.annotate(docs, model, score_col="__quality").where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines; one that is nothing but boilerplate keeps its text for the next stage."""
+    """Documents without their source's boilerplate lines; one that is nothing but boilerplate keeps its text for the next stage.
+
+    A null text stays null, a null source is a source of its own, ``n_chars`` follows the text.
+    """
     done = line_dedup.line_dedup(docs, F.col("source"), F.col("text"))
     clean = F.when(F.trim(F.translate("__line_dedup.clean", "\n", "")) == "", F.col("text")).otherwise(F.col("__line_dedup.clean"))
     done = done.withColumn("text", F.when(F.col("__line_dedup.n_dropped") > 0, clean).otherwise(F.col("text"))).drop("__line_dedup")
@@ -32,18 +35,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of least id, of each group at a similarity of 0.8 over five-word shingles."""
-    gone = minhash_dedup.near_duplicates(docs, shingle=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each group at a similarity of 0.8 over five-word shingles: of least id, then of least hash of the text; of equal rows, one.
+
+    Texts without a word are in no group and stay.
+    """
+    return minhash_dedup.unique(docs, shingle=5, percent=80)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; a null text has none."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents with their bucket and batch."""
+    """The pieces of the documents, with their text, its byte offsets, bucket and batch; a null text is one empty piece."""
     return packing.pack(docs)
 
 
