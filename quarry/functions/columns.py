@@ -125,6 +125,20 @@ def percent(a: Column, b: Column, places: int = 2) -> Column:
     return F.round(F.lit(100.0) * ratio(a, b), places)
 
 
+def gibibytes(n: Column) -> Column:
+    return F.round(n.cast("double") / 1073741824, 2)
+
+
+def day_of(seconds: Column) -> Column:
+    """The date (UTC) of seconds since 1970."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+
+
+def content_hash(content: Column) -> Column:
+    """Identity of a content in 64 hexadecimal digits."""
+    return F.sha2(content, 256)
+
+
 def is_blob_id(x: Column) -> Column:
     return x.rlike("^[0-9a-f]{64}$")
 

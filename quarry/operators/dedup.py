@@ -19,23 +19,38 @@ def first_seen(matrix: DataFrame, order: DataFrame) -> DataFrame:
     return matrix.join(order, "medium_hash").groupBy("blobid", "size").agg(F.min("seq").alias("first_seq"))
 
 
+def healthy_media(matrix: DataFrame, media: DataFrame) -> DataFrame:
+    """Media in order of arrival: those of health 'ok' that have a blob."""
+    own = media.where("health = 'ok'").join(matrix.select("medium_hash").distinct(), "medium_hash", "left_semi")
+    return own.join(sequence_media(own), "medium_hash")
+
+
 def incremental(matrix: DataFrame, media: DataFrame) -> DataFrame:
-    """New and duplicate blobs and bytes of each medium in order of arrival, with running totals."""
-    order = sequence_media(media.join(matrix.select("medium_hash").distinct(), "medium_hash", "left_semi"))
+    """New and duplicate blobs and bytes of each healthy medium in order of arrival, with running totals."""
+    order = healthy_media(matrix, media).select("medium_hash", F.coalesce("medium_human", F.concat(F.substring("medium_hash", 1, 12), F.lit("..."))).alias("medium_name"), "added", "seq")
     placed = matrix.join(order, "medium_hash")
     first = placed.groupBy("blobid", "size").agg(F.min("seq").alias("first_seq"))
     new = F.col("seq") == F.col("first_seq")
-    rows = placed.join(first, ["blobid", "size"]).groupBy("seq", "medium_hash").agg(
+    rows = placed.join(first, ["blobid", "size"]).groupBy("seq", "medium_hash", "medium_name", "added").agg(
         F.count("*").alias("total_blobs"), F.count_if(new).alias("new_blobs"), F.count_if(~new).alias("dup_blobs"), F.sum(F.when(new, F.col("size")).otherwise(0)).alias("new_bytes"), F.sum(F.when(~new, F.col("size")).otherwise(0)).alias("dup_bytes"), F.sum("size").alias("total_bytes")
     )
     running = W.orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
     return rows.select(
-        "seq", "medium_hash", "total_blobs", "new_blobs", "dup_blobs", "new_bytes", "dup_bytes",
+        "seq", "medium_hash", "medium_name", "added", "total_blobs", "new_blobs", "dup_blobs", "new_bytes", "dup_bytes", c.gibibytes(F.col("new_bytes")).alias("new_gb"), c.gibibytes(F.col("dup_bytes")).alias("dup_gb"),
         F.coalesce(c.percent(F.coalesce("dup_bytes", F.lit(0)), F.col("total_bytes"), 1), F.lit(0.0)).alias("dedup_pct"),
-        F.sum("new_blobs").over(running).alias("cumulative_blobs"), F.sum(F.coalesce("new_bytes", F.lit(0))).over(running).alias("cumulative_bytes"),
+        F.sum("new_blobs").over(running).alias("cumulative_blobs"), c.gibibytes(F.sum("new_bytes").over(running)).alias("cumulative_gb"),
     )
 
 
+def incremental_paths(path: DataFrame, matrix: DataFrame, media: DataFrame) -> DataFrame:
+    """New and duplicate path strings of each healthy medium; paths and blobs are summed apart, so no size is counted once a path."""
+    order = healthy_media(matrix, media).select("medium_hash", "seq")
+    own = path.where("exclude_reason is null").select("medium_hash", "path").distinct().join(order, "medium_hash")
+    first = own.groupBy("path").agg(F.min("seq").alias("first_seq"))
+    new = F.col("seq") == F.col("first_seq")
+    return own.join(first, "path").groupBy("medium_hash").agg(F.count_if(new).alias("new_paths"), F.count_if(~new).alias("dup_paths"))
+
+
 def sharing_pairs(matrix: DataFrame, media: DataFrame | None = None) -> DataFrame:
     """(a, b, shared_blobs, shared_bytes) for a < b; with ``media`` also the pairs that share nothing.
 
@@ -70,3 +85,8 @@ def patterns(matrix: DataFrame) -> DataFrame:
     """Exclusive intersections: blobs by the exact set of media that hold them."""
     sets = matrix.groupBy("blobid").agg(F.array_join(F.array_sort(F.collect_set("medium_hash")), "+").alias("pattern"), F.count_distinct("medium_hash").alias("n_media"))
     return sets.groupBy("pattern", "n_media").agg(F.count("*").alias("n_blobs"))
+
+
+def indicator(matrix: DataFrame, media: list[str]) -> DataFrame:
+    """One row a blob and a column (0 or 1) for each of ``media``."""
+    return matrix.groupBy("blobid").pivot("medium_hash", media).agg(F.max(F.lit(1))).na.fill(0)

@@ -9,28 +9,13 @@ from quarry.functions import columns as c
 from quarry.operators import dedup
 from quarry.plans.registry import query
 
-_ORDER = "WITH ord AS (SELECT medium_hash, row_number() OVER (ORDER BY added, medium_hash) AS seq FROM medium WHERE medium_hash IN (SELECT medium_hash FROM matrix)), firsts AS (SELECT blobid, size, min(seq) AS first_seq FROM matrix JOIN ord USING (medium_hash) GROUP BY ALL)"
-
-
-@query(_ORDER + """
-, r AS (SELECT seq, medium_hash, count(*) AS total_blobs, count(*) FILTER (WHERE seq = first_seq) AS new_blobs, count(*) FILTER (WHERE seq > first_seq) AS dup_blobs, CAST(coalesce(sum(size) FILTER (WHERE seq = first_seq), 0) AS BIGINT) AS new_bytes,
-  CAST(coalesce(sum(size) FILTER (WHERE seq > first_seq), 0) AS BIGINT) AS dup_bytes, CAST(sum(size) AS BIGINT) AS total_bytes FROM matrix JOIN ord USING (medium_hash) JOIN firsts USING (blobid, size) GROUP BY ALL)
-SELECT CAST(seq AS INTEGER) AS seq, medium_hash, total_blobs, new_blobs, dup_blobs, new_bytes, dup_bytes, coalesce(round(100::DOUBLE * (coalesce(dup_bytes, 0)::DOUBLE / nullif(total_bytes::DOUBLE, 0)), 1), 0) AS dedup_pct,
-  CAST(sum(new_blobs) OVER w AS BIGINT) AS cumulative_blobs, CAST(sum(coalesce(new_bytes, 0)) OVER w AS BIGINT) AS cumulative_bytes FROM r WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING)""")
-def incremental_dedup_blobs(k):
-    return dedup.incremental(k.matrix, k.medium)
-
-
-@query(_ORDER + """
-, b AS (SELECT medium_hash, count(*) FILTER (WHERE seq = first_seq) AS new_blobs, CAST(coalesce(sum(size) FILTER (WHERE seq = first_seq), 0) AS BIGINT) AS new_bytes FROM matrix JOIN ord USING (medium_hash) JOIN firsts USING (blobid, size) GROUP BY ALL),
-p AS (SELECT medium_hash, count(*) AS paths, count(DISTINCT ino) AS inodes, count(*) FILTER (WHERE exclude_reason IS NOT NULL) AS excluded FROM path GROUP BY ALL)
-SELECT CAST(seq AS INTEGER) AS seq, medium_hash, paths, inodes, excluded, new_blobs, new_bytes, CAST(sum(paths) OVER w AS BIGINT) AS cumulative_paths FROM ord JOIN b USING (medium_hash) JOIN p USING (medium_hash) WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING)""")
-def incremental_dedup_paths(k):
-    """Paths are summed per medium before the join, so no size is counted once a path."""
-    new = dedup.incremental(k.matrix, k.medium).select("seq", "medium_hash", "new_blobs", F.coalesce("new_bytes", F.lit(0)).alias("new_bytes"))
-    paths = k.path.groupBy("medium_hash").agg(F.count("*").alias("paths"), F.count_distinct("ino").alias("inodes"), F.count_if(F.col("exclude_reason").isNotNull()).alias("excluded"))
-    running = W.orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
-    return new.join(paths, "medium_hash").select("seq", "medium_hash", "paths", "inodes", "excluded", "new_blobs", "new_bytes", F.sum("paths").over(running).alias("cumulative_paths"))
+_ORDER = """WITH ord AS (SELECT medium_hash, medium_human, coalesce(medium_human, substr(medium_hash, 1, 12) || '...') AS medium_name, added, row_number() OVER (ORDER BY added, medium_hash) AS seq
+  FROM medium m WHERE health = 'ok' AND EXISTS (SELECT 1 FROM matrix x WHERE x.medium_hash = m.medium_hash)),
+firsts AS (SELECT blobid, size, min(seq) AS first_seq FROM matrix JOIN ord USING (medium_hash) GROUP BY ALL),
+r AS (SELECT seq, medium_hash, medium_name, added, count(*) AS total_blobs, count(*) FILTER (WHERE seq = first_seq) AS new_blobs, count(*) FILTER (WHERE first_seq < seq) AS dup_blobs, CAST(coalesce(sum(size) FILTER (WHERE seq = first_seq), 0) AS BIGINT) AS new_bytes,
+  CAST(coalesce(sum(size) FILTER (WHERE first_seq < seq), 0) AS BIGINT) AS dup_bytes, CAST(sum(size) AS BIGINT) AS total_bytes FROM matrix JOIN ord USING (medium_hash) JOIN firsts USING (blobid, size) GROUP BY ALL),
+b AS (SELECT CAST(seq AS INTEGER) AS seq, medium_hash, medium_name, added, total_blobs, new_blobs, dup_blobs, new_bytes, dup_bytes, round(new_bytes::DOUBLE / 1073741824, 2) AS new_gb, round(dup_bytes::DOUBLE / 1073741824, 2) AS dup_gb,
+  coalesce(round(100::DOUBLE * (dup_bytes::DOUBLE / nullif(total_bytes::DOUBLE, 0)), 1), 0) AS dedup_pct, CAST(sum(new_blobs) OVER w AS BIGINT) AS cumulative_blobs, round(sum(new_bytes) OVER w::DOUBLE / 1073741824, 2) AS cumulative_gb FROM r WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING))"""
 
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT blobid) AS blobs, count(DISTINCT medium_hash) AS media, round(sum(size)::DOUBLE / 1073741824, 6) AS total_gib FROM matrix")
@@ -44,14 +29,6 @@ def blob_media_matrix_shared(k):
     return k.inode.where("fs_type = 'f' and copied").join(shared, "blobid", "left_semi").select("blobid", "medium_hash", "size").distinct()
 
 
-@query("""WITH h AS (SELECT CAST(1 AS BIGINT) << (length(bin(n_hardlinks)) - 1) AS bucket, count(*) AS n_blobs, CAST(sum(n_hardlinks) AS BIGINT) AS n_inodes FROM blobs WHERE n_hardlinks > 0 GROUP BY 1)
-SELECT bucket, n_blobs, n_inodes, round(100::DOUBLE * (n_blobs::DOUBLE / sum(n_blobs) OVER ()::DOUBLE), 2) AS pct_blobs, round(100::DOUBLE * (n_inodes::DOUBLE / sum(n_inodes) OVER ()::DOUBLE), 2) AS pct_inodes FROM h""")
-def hardlink_log2_histogram(k):
-    h = k.blobs.where("n_hardlinks > 0").groupBy(c.log2_bucket(F.col("n_hardlinks")).alias("bucket")).agg(F.count("*").alias("n_blobs"), F.sum("n_hardlinks").alias("n_inodes"))
-    total = lambda x: F.sum(x).over(W.partitionBy())  # noqa: E731  a few buckets
-    return h.select("bucket", "n_blobs", "n_inodes", c.percent(F.col("n_blobs"), total("n_blobs")).alias("pct_blobs"), c.percent(F.col("n_inodes"), total("n_inodes")).alias("pct_inodes"))
-
-
 _PAIRS = "WITH pairs AS (SELECT x.medium_hash AS a, y.medium_hash AS b, count(*) AS shared_blobs, CAST(sum(x.size) AS BIGINT) AS shared_bytes FROM matrix x JOIN matrix y ON x.blobid = y.blobid AND x.size = y.size AND x.medium_hash < y.medium_hash GROUP BY ALL)"
 _SIM = _PAIRS + """, n AS (SELECT medium_hash, count(*) AS blobs FROM matrix GROUP BY 1), sim AS (SELECT a, b, shared_blobs, round(shared_blobs::DOUBLE / (na.blobs + nb.blobs - shared_blobs)::DOUBLE, 4) AS jaccard, round(shared_bytes::DOUBLE / 1e9, 6) AS shared_gb,
  round(100::DOUBLE * (shared_blobs::DOUBLE / na.blobs::DOUBLE), 2) AS pct_of_a, round(100::DOUBLE * (shared_blobs::DOUBLE / nb.blobs::DOUBLE), 2) AS pct_of_b FROM pairs JOIN n na ON na.medium_hash = a JOIN n nb ON nb.medium_hash = b)"""
@@ -77,12 +54,6 @@ def upset_patterns(k):
     return dedup.patterns(k.matrix)
 
 
-@query("SELECT blobid, " + ", ".join(f"CAST(max(CASE WHEN medium_hash = 'src{i}' THEN 1 ELSE 0 END) AS INTEGER) AS src{i}" for i in range(4)) + " FROM matrix WHERE medium_hash IN ('src0', 'src1', 'src2', 'src3') GROUP BY blobid")
-def upset_indicator(k):
-    media = [f"src{i}" for i in range(4)]
-    return k.matrix.where(F.col("medium_hash").isin(media)).groupBy("blobid").pivot("medium_hash", media).agg(F.max(F.lit(1))).na.fill(0)
-
-
 @query(_PAIRS + ", e AS (SELECT a AS m, shared_blobs FROM pairs UNION ALL SELECT b, shared_blobs FROM pairs) SELECT m AS medium_hash, count(*) AS degree, CAST(sum(shared_blobs) AS BIGINT) AS strength FROM e GROUP BY 1")
 def network_degree(k):
     pairs = dedup.sharing_pairs(k.matrix)
@@ -116,11 +87,6 @@ def universal_blobs(k):
     return k.matrix.groupBy("blobid").agg(F.count_distinct("medium_hash").alias("n")).join(F.broadcast(n), F.col("n") == F.col("media")).select("blobid")
 
 
-@query("SELECT medium_hash, 1970 + CAST(floor(mtime / 31556952.0) AS BIGINT) AS year, count(*) AS files FROM inode WHERE fs_type = 'f' GROUP BY ALL")
-def files_per_year(k):
-    return k.inode.where("fs_type = 'f'").groupBy("medium_hash", (F.lit(1970) + F.floor(F.col("mtime") / F.lit(31556952.0))).cast("long").alias("year")).agg(F.count("*").alias("files"))
-
-
 @query("SELECT medium_hash, count(*) AS total, count(DISTINCT blobid) AS uniq, count(*) - count(DISTINCT blobid) AS duplicates, round(100::DOUBLE * ((count(*) - count(DISTINCT blobid))::DOUBLE / nullif(count(*)::DOUBLE, 0)), 2) AS dup_pct FROM inode WHERE blobid IS NOT NULL GROUP BY ALL")
 def dedup_rate_by_medium(k):
     n = k.inode.where("blobid is not null").groupBy("medium_hash").agg(F.count("*").alias("total"), F.count_distinct("blobid").alias("uniq"))
@@ -152,36 +118,82 @@ def _expected(k):
     return k.blobs.join(e, "blobid", "left").select("blobid", "n_hardlinks", F.coalesce("expected", F.lit(0)).cast("long").alias("expected"))
 
 
-@query(_EXPECTED + " SELECT *, CASE WHEN expected = 0 OR n_hardlinks = 0 THEN 'none' WHEN n_hardlinks >= expected THEN 'complete' ELSE 'partial' END AS status FROM x")
-def hardlink_status_view(k):
-    return _expected(k).withColumn("status", F.when((F.col("expected") == 0) | (F.col("n_hardlinks") == 0), "none").when(F.col("n_hardlinks") >= F.col("expected"), "complete").otherwise("partial"))
-
-
-@query(_EXPECTED + " SELECT *, expected - n_hardlinks AS missing FROM x WHERE expected > n_hardlinks ORDER BY missing DESC, blobid LIMIT 20")
-def top_missing_hardlinks(k):
-    return _expected(k).where("expected > n_hardlinks").withColumn("missing", F.col("expected") - F.col("n_hardlinks")).orderBy(F.desc("missing"), "blobid").limit(20)
-
-
 @query(_EXPECTED + " SELECT count(*) AS blobs, count(*) FILTER (WHERE expected = 0) AS without_paths, count(*) FILTER (WHERE expected > n_hardlinks) AS incomplete, CAST(max(expected) AS BIGINT) AS most FROM x")
 def expected_hardlinks_stats(k):
     e = F.col("expected")
     return _expected(k).agg(F.count("*").alias("blobs"), F.count_if(e == 0).alias("without_paths"), F.count_if(e > F.col("n_hardlinks")).alias("incomplete"), F.max("expected").alias("most"))
 
 
-@query("""WITH l AS (SELECT medium_hash, nullif(regexp_extract(path, '^(/[^/]+/[^/]+)', 1), '') AS label, count(*) AS n FROM path WHERE exclude_reason IS NULL GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY medium_hash ORDER BY n DESC, label) AS rn FROM l WHERE label IS NOT NULL) SELECT medium_hash, label, n FROM r WHERE rn = 1""")
+@query(_ORDER + " SELECT * FROM b")
+def incremental_dedup_blobs(k):
+    return dedup.incremental(k.matrix, k.medium)
+
+
+@query(_ORDER + """
+, own AS (SELECT DISTINCT medium_hash, path FROM path WHERE exclude_reason IS NULL), path_first AS (SELECT path, min(seq) AS first_seq FROM own JOIN ord USING (medium_hash) GROUP BY path),
+p AS (SELECT medium_hash, count(*) FILTER (WHERE first_seq = seq) AS new_paths, count(*) FILTER (WHERE first_seq < seq) AS dup_paths FROM own JOIN ord USING (medium_hash) JOIN path_first USING (path) GROUP BY 1)
+SELECT seq, medium_hash, medium_name, added, coalesce(new_paths, 0) AS new_paths, coalesce(dup_paths, 0) AS dup_paths, new_blobs, dup_blobs, new_gb, dup_gb, cumulative_blobs, cumulative_gb FROM b LEFT JOIN p USING (medium_hash)""")
+def incremental_dedup_paths(k):
+    blobs = dedup.incremental(k.matrix, k.medium).select("seq", "medium_hash", "medium_name", "added", "new_blobs", "dup_blobs", "new_gb", "dup_gb", "cumulative_blobs", "cumulative_gb")
+    return blobs.join(dedup.incremental_paths(k.path, k.matrix, k.medium), "medium_hash", "left").na.fill(0, ["new_paths", "dup_paths"])
+
+
+@query("""SELECT CAST(1 AS BIGINT) << (length(bin(n_hardlinks)) - 1) AS lower_bound, (CAST(1 AS BIGINT) << length(bin(n_hardlinks))) - 1 AS upper_bound, count(*) AS num_blobs, CAST(sum(n_hardlinks) AS BIGINT) AS total_inodes FROM blobs WHERE n_hardlinks > 1 GROUP BY ALL""")
+def hardlink_log2_histogram(k):
+    low = c.log2_bucket(F.col("n_hardlinks"))
+    return k.blobs.where("n_hardlinks > 1").groupBy(low.alias("lower_bound"), (low * 2 - 1).alias("upper_bound")).agg(F.count("*").alias("num_blobs"), F.sum("n_hardlinks").alias("total_inodes"))
+
+
+@query("SELECT medium_hash, year(DATE '1970-01-01' + CAST(mtime // 86400 AS INTEGER)) AS year, count(*) AS files FROM inode WHERE copied AND fs_type = 'f' GROUP BY ALL")
+def files_per_year(k):
+    return k.inode.where("copied and fs_type = 'f'").groupBy("medium_hash", F.year(c.day_of(F.col("mtime"))).cast("long").alias("year")).agg(F.count("*").alias("files"))
+
+
+@query("""WITH s AS (SELECT b.blobid, b.n_hardlinks AS actual_hardlinks, count(DISTINCT p.path) AS expected_hardlinks FROM blobs b JOIN inode i ON i.blobid = b.blobid JOIN path p ON p.medium_hash = i.medium_hash AND p.dev = i.dev AND p.ino = i.ino GROUP BY ALL)
+SELECT blobid, actual_hardlinks, expected_hardlinks, expected_hardlinks - actual_hardlinks AS missing_hardlinks, CASE WHEN actual_hardlinks = expected_hardlinks THEN 'complete' WHEN actual_hardlinks > 0 THEN 'partial' ELSE 'none' END AS status FROM s""")
+def hardlink_status_view(k):
+    """The join of inodes and paths has the medium in its key: inode numbers repeat across media."""
+    own = k.inode.where("blobid is not null").select("medium_hash", "dev", "ino", "blobid").join(k.path.select("medium_hash", "dev", "ino", "path"), ["medium_hash", "dev", "ino"])
+    n = own.groupBy("blobid").agg(F.count_distinct("path").alias("expected_hardlinks"))
+    both = k.blobs.select("blobid", F.col("n_hardlinks").alias("actual_hardlinks")).join(n, "blobid")
+    status = F.when(F.col("actual_hardlinks") == F.col("expected_hardlinks"), "complete").when(F.col("actual_hardlinks") > 0, "partial").otherwise("none")
+    return both.select("*", (F.col("expected_hardlinks") - F.col("actual_hardlinks")).alias("missing_hardlinks"), status.alias("status"))
+
+
+@query(_EXPECTED + " SELECT *, expected - n_hardlinks AS missing, coalesce(round(n_hardlinks::DOUBLE / nullif(expected::DOUBLE, 0), 4), 0) AS completeness FROM x WHERE expected > n_hardlinks ORDER BY missing DESC, blobid LIMIT 20")
+def top_missing_hardlinks(k):
+    done = F.coalesce(F.round(c.ratio(F.col("n_hardlinks"), F.col("expected")), 4), F.lit(0.0))
+    return _expected(k).where("expected > n_hardlinks").select("*", (F.col("expected") - F.col("n_hardlinks")).alias("missing"), done.alias("completeness")).orderBy(F.desc("missing"), "blobid").limit(20)
+
+
+@query("""WITH l AS (SELECT medium_hash, nullif(regexp_extract(path, '^(/[^/]+/[^/]+/[^/]+)', 1), '') AS label, count(*) AS n FROM path GROUP BY ALL),
+best AS (SELECT medium_hash, label FROM (SELECT *, row_number() OVER (PARTITION BY medium_hash ORDER BY n DESC, label NULLS LAST) AS rn FROM l) WHERE rn = 1)
+SELECT m.medium_hash, count(DISTINCT m.blobid) AS unique_blobs, coalesce(any_value(best.label), m.medium_hash) AS label FROM matrix m LEFT JOIN best USING (medium_hash) GROUP BY m.medium_hash""")
 def medium_modal_label(k):
-    label = F.nullif(F.regexp_extract("path", "^(/[^/]+/[^/]+)", 1), F.lit(""))
-    n = k.path.where("exclude_reason is null").groupBy("medium_hash", label.alias("label")).agg(F.count("*").alias("n")).where("label is not null")
-    best = n.groupBy("medium_hash").agg(F.min(F.struct((-F.col("n")).alias("o"), "label", "n")).alias("b"))
-    return best.select("medium_hash", "b.label", "b.n")
+    """The most common three upper levels of a medium's paths; paths of fewer levels count together, and name nothing."""
+    label = F.nullif(F.regexp_extract("path", "^(/[^/]+/[^/]+/[^/]+)", 1), F.lit(""))
+    n = k.path.groupBy("medium_hash", label.alias("label")).agg(F.count("*").alias("n"))
+    best = n.groupBy("medium_hash").agg(F.min(F.struct((-F.col("n")).alias("o"), F.col("label").isNull().alias("none"), "label")).alias("b"))
+    blobs = k.matrix.groupBy("medium_hash").agg(F.count_distinct("blobid").alias("unique_blobs"))
+    return blobs.join(best, "medium_hash", "left").select("medium_hash", "unique_blobs", F.coalesce("b.label", "medium_hash").alias("label"))
 
 
-@query("SELECT blobid, CAST(n_hardlinks AS BIGINT) AS n_hardlinks, substr(blobid, 1, 2) || '/' || substr(blobid, 3, 2) || '/' || blobid AS stored FROM blobs WHERE n_hardlinks BETWEEN 2 AND 63 ORDER BY md5(blobid || '7'), blobid LIMIT 10")
+@query("""WITH s AS (SELECT blobid, CAST(n_hardlinks AS BIGINT) AS n_hardlinks FROM blobs WHERE n_hardlinks BETWEEN 32 AND 63 ORDER BY md5(blobid || '7'), blobid LIMIT 10)
+SELECT s.blobid, any_value(n_hardlinks) AS n_hardlinks, count(DISTINCT p.path) AS n_paths, min(p.path) AS first_path FROM s JOIN path p USING (blobid) GROUP BY s.blobid""")
 def sampled_hot_blobs(k):
-    return k.blobs.where("n_hardlinks between 2 and 63").orderBy(F.md5(F.concat("blobid", F.lit("7"))), "blobid").limit(10).select("blobid", "n_hardlinks", c.by_hash_path(F.col("blobid")).alias("stored"))
+    some = k.blobs.where("n_hardlinks between 32 and 63").orderBy(F.md5(F.concat("blobid", F.lit("7"))), "blobid").limit(10).select("blobid", "n_hardlinks")
+    return k.path.select("blobid", "path").join(some, "blobid").groupBy("blobid").agg(F.first("n_hardlinks").alias("n_hardlinks"), F.count_distinct("path").alias("n_paths"), F.min("path").alias("first_path"))
 
 
-@query("SELECT m.medium_hash, count(*) AS files, CAST(sum(i.size) AS BIGINT) AS bytes, CAST(sum(i.size) FILTER (WHERE b.n_hardlinks > 1) AS BIGINT) AS shared_bytes FROM medium m JOIN inode i USING (medium_hash) JOIN blobs b USING (blobid) GROUP BY ALL")
+@query("SELECT m.medium_hash, m.medium_human, CAST(sum(i.size) AS BIGINT) AS total_file_bytes, count(*) FILTER (WHERE i.copied) AS files_copied FROM medium m JOIN inode i ON i.medium_hash = m.medium_hash WHERE m.copy_done IS NOT NULL AND i.fs_type = 'f' GROUP BY ALL")
 def storage_efficiency(k):
-    return k.inode.join(k.blobs.select("blobid", "n_hardlinks"), "blobid").join(k.medium.select("medium_hash"), "medium_hash", "left_semi").groupBy("medium_hash").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.sum(F.when(F.col("n_hardlinks") > 1, F.col("size"))).alias("shared_bytes"))
+    done = k.medium.where("copy_done is not null").select("medium_hash", "medium_human")
+    return k.inode.where("fs_type = 'f'").join(done, "medium_hash").groupBy("medium_hash", "medium_human").agg(F.sum("size").alias("total_file_bytes"), F.count_if("copied").alias("files_copied"))
+
+
+@query("SELECT x.blobid, m.medium_hash, CAST(max(CASE WHEN x.medium_hash = m.medium_hash THEN 1 ELSE 0 END) AS INTEGER) AS present FROM matrix x CROSS JOIN (SELECT DISTINCT medium_hash FROM matrix) m GROUP BY ALL")
+def upset_indicator(k):
+    """Blob by medium membership over all media, one row a cell; ``dedup.indicator`` gives it as columns."""
+    media = sorted(r[0] for r in k.matrix.select("medium_hash").distinct().collect())  # a row a medium
+    wide = dedup.indicator(k.matrix, media)
+    return wide.unpivot("blobid", [f"`{m}`" for m in media], "medium_hash", "present").select("blobid", "medium_hash", "present")

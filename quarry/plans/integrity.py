@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import columns as c
 from quarry.operators import integrity
 from quarry.plans.registry import query
 
@@ -55,10 +56,10 @@ def count_reconcile_full_outer(k):
     return integrity.reconcile(line.where("l_linenumber < 5").groupBy(F.col("l_returnflag").alias("k")).agg(F.count("*").alias("n")), line.groupBy(F.col("l_linestatus").alias("k")).agg(F.count("*").alias("n")), "k")
 
 
-@query("WITH a AS (SELECT id, size, blobid FROM inode ORDER BY id LIMIT 10), b AS (SELECT doc_id, n_chars, md5(text) AS h FROM documents ORDER BY doc_id LIMIT 10) SELECT bool_and(size = n_chars) AS sizes, bool_and(blobid IS NULL OR blobid = h) AS hashes, count(*) AS n FROM a JOIN b ON id = doc_id")
+@query("WITH a AS (SELECT id, size, blobid FROM inode ORDER BY id LIMIT 10), b AS (SELECT doc_id, n_chars, sha256(CASE WHEN doc_id % 7 = 2 THEN 'common' WHEN doc_id % 40 = 9 THEN 'shared' ELSE text END) AS h FROM documents ORDER BY doc_id LIMIT 10) SELECT bool_and(size = n_chars) AS sizes, bool_and(blobid IS NULL OR blobid = h) AS hashes, count(*) AS n FROM a JOIN b ON id = doc_id")
 def sample_bool_and(k):
     a = k.inode.select("id", "size", "blobid").orderBy("id").limit(10)
-    b = k.table("documents").select(F.col("doc_id").alias("id"), "n_chars", F.md5("text").alias("h")).orderBy("id").limit(10)
+    b = k.table("documents").select(F.col("doc_id").alias("id"), "n_chars", c.content_hash(k.content()).alias("h")).orderBy("id").limit(10)
     return a.join(b, "id").agg(F.bool_and(F.col("size") == F.col("n_chars")).alias("sizes"), F.bool_and(F.col("blobid").isNull() | (F.col("blobid") == F.col("h"))).alias("hashes"), F.count("*").alias("n"))
 
 

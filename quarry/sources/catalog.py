@@ -25,6 +25,12 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @staticmethod
+    def content() -> Column:
+        """A file's content: its text, but for one blob that all media share and one that some dozens of files have."""
+        d = F.col("doc_id")
+        return F.when(d % 7 == 2, "common").when(d % 40 == 9, "shared").otherwise(F.col("text"))
+
     @cached_property
     def inode(self) -> DataFrame:
         d = F.col("doc_id")
@@ -33,7 +39,7 @@ class Catalog:
         message = F.when(failed, F.element_at(F.array(*map(F.lit, MESSAGES)), ((d / 10).cast("long") % 7 + 1).cast("int")))
         base = self.table("documents").select(
             d.alias("id"), F.col("source").alias("medium_hash"), (d % 2 + 1).alias("dev"), d.alias("ino"), F.when(d % 13 == 0, 3).otherwise(1).alias("nlink"), F.col("n_chars").alias("size"), (F.lit(1400000000) + d * 7200).alias("mtime"),
-            F.when(d % 17 == 0, "d").when(d % 19 == 0, "l").otherwise("f").alias("fs_type"), F.when(file & ~failed & (d % 23 != 0), F.md5("text")).alias("blobid"), message.alias("message"), "lang",
+            F.when(d % 17 == 0, "d").when(d % 19 == 0, "l").otherwise("f").alias("fs_type"), F.when(file & ~failed & (d % 23 != 0), F.sha2(self.content(), 256)).alias("blobid"), message.alias("message"), "lang",
         )
         kind = F.when(F.col("message").isNotNull(), c.classify_error(F.col("message")))
         copied = (F.col("fs_type") != "f") | F.col("blobid").isNotNull() | (F.col("message").isNotNull() & ((F.col("id") / 10).cast("long") % 4 == 0))
@@ -54,21 +60,32 @@ class Catalog:
             "medium_hash", F.concat(F.lit("Medium "), F.col("medium_hash")).alias("medium_human"), (F.lit(1600000000) + F.col("k") * 3600).alias("added"),
             F.when(k % 6 == 1, "incomplete").when(k % 6 == 2, "corrupt").when(k % 6 == 3, "failed").when(k % 6 != 0, "ok").alias("health"),
             F.when(k % 5 != 4, F.lit(1600000600) + k * 3660).alias("enum_done"), F.when((k % 5 != 4) & (k % 4 != 0), F.lit(1600009000) + k * 3700).alias("copy_done"),
-            F.when(k % 3 != 0, F.concat(F.lit("/img/"), F.col("medium_hash"), F.lit(".img"))).alias("image_path"),
+            F.when(k % 3 != 0, F.concat(F.lit("/img/"), F.col("medium_hash"), F.lit(".img"))).alias("image_path"), self._problems(k).alias("problems"),
+        )
+
+    @staticmethod
+    def _problems(k: Column) -> Column:
+        """A medium's problems without its events (see ``problems``), as JSON; null where there are none."""
+        bad = k % 4 < 2
+        files = F.when(bad, F.transform(F.sequence(F.lit(1).cast("long"), k % 3 + 1), lambda i: F.concat(F.lit("f"), i.cast("string"))))
+        fields = F.struct(
+            F.when(k % 4 == 0, k + 1).alias("io_errors"), F.when(k % 4 == 1, k + 2).alias("fat_errors"), files.alias("error_files"), F.when(k % 3 == 0, F.lit(True)).alias("beyond_eof_detected"),
+            F.when(k % 5 == 2, F.struct((k + 10.5).alias("rate_percent"), (k + 100).alias("detected_at_count"))).alias("high_error_rate"), F.when(k % 7 == 3, F.lit(True)).alias("enum_failed"),
         )
+        return F.when(bad | (k % 3 == 0) | (k % 5 == 2) | (k % 7 == 3), F.to_json(fields))
 
     @cached_property
     def path(self) -> DataFrame:
         d = self.inode
         own = F.concat(F.lit("/"), "lang", F.lit("/"), "medium_hash", F.lit("/"), F.col("ino").cast("string"), F.lit(".txt"))
         more = F.when(F.col("nlink") > 1, F.array(own, F.concat(F.lit("/node_modules/"), F.col("ino").cast("string")), F.concat(F.lit("/backup/"), "medium_hash", F.lit("/a.x/"), F.col("ino").cast("string")))).when(F.col("ino") % 11 == 0, F.array(F.concat(F.lit("/.cache/#"), F.col("ino").cast("string")))).otherwise(F.array(own))
-        paths = d.select("medium_hash", "dev", "ino", "blobid", F.explode(more).alias("path"))
+        paths = d.select("medium_hash", "dev", "ino", "nlink", "blobid", F.explode(more).alias("path"))
         return paths.withColumn("exclude_reason", c.excluded(F.col("path"), PATTERNS))
 
     @cached_property
     def blobs(self) -> DataFrame:
         own = self.inode.where("blobid is not null").groupBy("blobid").agg(F.count("*").alias("n_hardlinks"), F.min("processed").alias("created"), F.min("ino").alias("k")).where("k % 37 <> 0")
-        lone = self.table("region").select(F.md5("r_name").alias("blobid"), F.lit(0).cast("long").alias("n_hardlinks"), F.lit(None).cast("long").alias("created"), F.col("r_regionkey").cast("long").alias("k"))
+        lone = self.table("region").select(F.sha2("r_name", 256).alias("blobid"), F.lit(0).cast("long").alias("n_hardlinks"), F.lit(None).cast("long").alias("created"), F.col("r_regionkey").cast("long").alias("k"))
         every = own.unionByName(lone)
         checked = F.when(F.col("k") % 3 != 0, F.lit(1700000000) + F.col("k"))
         return every.select("blobid", "n_hardlinks", "created", checked.alias("last_checked"), F.when(F.col("k") % 4 == 0, True).when(F.col("k") % 4 == 1, False).alias("external_copied"), F.when(F.col("k") % 11 == 0, True).alias("external_copy_failed"))
@@ -82,7 +99,7 @@ class Catalog:
     @cached_property
     def events(self) -> DataFrame:
         """Diagnostic events, exploded out of each medium's JSON problems."""
-        kind = "array<struct<ino:bigint,retry_count:bigint,checks:array<string>,action:string,day:bigint,worker_id:string,exception_type:string,exception_msg:string>>"
+        kind = "array<struct<ino:bigint,retry_count:bigint,checks:array<string>,action:string,day:bigint,worker_id:string,exception_type:string,exception_msg:string,timestamp:string>>"
         return self.problems.select("medium_hash", F.explode(F.from_json(F.get_json_object("problems", "$.diagnostic_events"), kind)).alias("e")).select("medium_hash", "e.*")
 
     @cached_property
@@ -92,7 +109,7 @@ class Catalog:
         kind, at = F.col("event_type"), F.element_at(F.array(*map(F.lit, MESSAGES)), (F.col("event_id") % 7 + 1).cast("int"))
         row = F.struct(
             F.col("event_id").alias("ino"), (e % 50 + 1).alias("retry_count"), F.array(F.concat(F.lit("detected_"), kind), F.when(e % 3 == 0, "dmesg:beyond_eof").otherwise("dmesg:clean")).alias("checks"),
-            F.when(e % 5 == 0, "diagnostic_skip").when(e % 5 == 1, "remounted").otherwise("continuing").alias("action"), (e / 500).cast("long").alias("day"), F.concat(F.lit("worker-"), e % 4).alias("worker_id"), F.when(e % 2 == 0, "OSError").otherwise("PermissionError").alias("exception_type"), at.alias("exception_msg"),
+            F.when(e % 5 == 0, "diagnostic_skip").when(e % 5 == 1, "remounted").otherwise("continuing").alias("action"), (e / 500).cast("long").alias("day"), F.concat(F.lit("worker-"), e % 4).alias("worker_id"), F.when(e % 2 == 0, "OSError").otherwise("PermissionError").alias("exception_type"), at.alias("exception_msg"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         )
         grouped = self.table("events").groupBy(F.concat(F.lit("src"), u % 20).alias("medium_hash"), (e / 500).cast("long").alias("part")).agg(F.sort_array(F.collect_list(row)).alias("diagnostic_events"))
         k = F.regexp_extract("medium_hash", "([0-9]+)", 1).cast("int")
@@ -102,11 +119,12 @@ class Catalog:
 
 _classes = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(message), {chr(39)}{p}{chr(39)})' for p in parts)} THEN '{kind}'" for kind, parts in c.ERROR_RULES) + " ELSE 'unknown' END"
 _messages = "[" + ", ".join(f"'{m}'" for m in MESSAGES) + "]"
+_content = "CASE WHEN doc_id % 7 = 2 THEN 'common' WHEN doc_id % 40 = 9 THEN 'shared' ELSE text END"
 SQL = f"""
 WITH inode_base AS (
   SELECT doc_id AS id, source AS medium_hash, doc_id % 2 + 1 AS dev, doc_id AS ino, CASE WHEN doc_id % 13 = 0 THEN 3 ELSE 1 END AS nlink, n_chars AS size, 1400000000 + doc_id * 7200 AS mtime,
     CASE WHEN doc_id % 17 = 0 THEN 'd' WHEN doc_id % 19 = 0 THEN 'l' ELSE 'f' END AS fs_type,
-    CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 <> 0 AND doc_id % 10 <> 3 AND doc_id % 23 <> 0 THEN md5(text) END AS blobid,
+    CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 <> 0 AND doc_id % 10 <> 3 AND doc_id % 23 <> 0 THEN sha256({_content}) END AS blobid,
     CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 <> 0 AND doc_id % 10 = 3 THEN {_messages}[(doc_id // 10) % 7 + 1] END AS message, lang FROM documents),
 inode_kind AS (
   SELECT *, CASE WHEN message IS NOT NULL THEN {_classes} END AS error_type,
@@ -122,14 +140,17 @@ medium AS (
   SELECT medium_hash, 'Medium ' || medium_hash AS medium_human, 1600000000 + k * 3600 AS added,
     CASE k % 6 WHEN 1 THEN 'incomplete' WHEN 2 THEN 'corrupt' WHEN 3 THEN 'failed' WHEN 0 THEN NULL ELSE 'ok' END AS health,
     CASE WHEN k % 5 <> 4 THEN 1600000600 + k * 3660 END AS enum_done, CASE WHEN k % 5 <> 4 AND k % 4 <> 0 THEN 1600009000 + k * 3700 END AS copy_done,
-    CASE WHEN k % 3 <> 0 THEN '/img/' || medium_hash || '.img' END AS image_path FROM medium_base),
+    CASE WHEN k % 3 <> 0 THEN '/img/' || medium_hash || '.img' END AS image_path,
+    CASE WHEN k % 4 = 0 THEN k + 1 END AS io_errors, CASE WHEN k % 4 = 1 THEN k + 2 END AS fat_errors, CASE WHEN k % 4 < 2 THEN k % 3 + 1 END AS error_files, k % 3 = 0 AS beyond_eof,
+    CASE WHEN k % 5 = 2 THEN CAST(k + 10.5 AS DOUBLE) END AS rate_percent, CASE WHEN k % 5 = 2 THEN k + 100 END AS detected_at_count, k % 7 = 3 AS enum_failed,
+    k % 4 < 2 OR k % 3 = 0 OR k % 5 = 2 OR k % 7 = 3 AS has_problems FROM medium_base),
 path_all AS (
-  SELECT medium_hash, dev, ino, blobid, unnest(CASE WHEN nlink > 1 THEN ['/' || lang || '/' || medium_hash || '/' || ino || '.txt', '/node_modules/' || ino, '/backup/' || medium_hash || '/a.x/' || ino]
+  SELECT medium_hash, dev, ino, nlink, blobid, unnest(CASE WHEN nlink > 1 THEN ['/' || lang || '/' || medium_hash || '/' || ino || '.txt', '/node_modules/' || ino, '/backup/' || medium_hash || '/a.x/' || ino]
     WHEN ino % 11 = 0 THEN ['/.cache/#' || ino] ELSE ['/' || lang || '/' || medium_hash || '/' || ino || '.txt'] END) AS path FROM inode),
 path AS (SELECT *, CASE WHEN regexp_matches(path, 'node_modules|\\.cache|#') THEN 'pattern_match' END AS exclude_reason FROM path_all),
 blob_base AS (
   SELECT blobid, count(*) AS n_hardlinks, min(processed) AS created, min(ino) AS k FROM inode WHERE blobid IS NOT NULL GROUP BY blobid HAVING min(ino) % 37 <> 0
-  UNION ALL SELECT md5(r_name), 0, NULL, r_regionkey FROM region),
+  UNION ALL SELECT sha256(r_name), 0, NULL, r_regionkey FROM region),
 blobs AS (
   SELECT blobid, n_hardlinks, created, CASE WHEN k % 3 <> 0 THEN 1700000000 + k END AS last_checked, CASE k % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS external_copied,
     CASE WHEN k % 11 = 0 THEN TRUE END AS external_copy_failed FROM blob_base),
@@ -138,5 +159,5 @@ matrix AS (
 ev AS (
   SELECT 'src' || (user_id % 20) AS medium_hash, event_id AS ino, event_id % 50 + 1 AS retry_count, ['detected_' || event_type, CASE WHEN event_id % 3 = 0 THEN 'dmesg:beyond_eof' ELSE 'dmesg:clean' END] AS checks,
     CASE event_id % 5 WHEN 0 THEN 'diagnostic_skip' WHEN 1 THEN 'remounted' ELSE 'continuing' END AS action, event_id // 500 AS day, 'worker-' || (event_id % 4) AS worker_id,
-    CASE WHEN event_id % 2 = 0 THEN 'OSError' ELSE 'PermissionError' END AS exception_type, {_messages}[event_id % 7 + 1] AS exception_msg FROM events)
+    CASE WHEN event_id % 2 = 0 THEN 'OSError' ELSE 'PermissionError' END AS exception_type, {_messages}[event_id % 7 + 1] AS exception_msg, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp FROM events)
 """

@@ -37,8 +37,9 @@ def test_twin(spark, duck, sf_dir, name):
 def test_properties_of_incremental_dedup(spark, sf_dir):
     r = plans.QUERIES["incremental_dedup_blobs"](spark, sf_dir).toPandas()
     assert (r.new_blobs + r.dup_blobs == r.total_blobs).all()
-    assert r.new_blobs.sum() == r.cumulative_blobs.max() == plans.QUERIES["blob_media_matrix_totals"](spark, sf_dir).first().blobs
-    assert plans.QUERIES["upset_patterns"](spark, sf_dir).toPandas().n_blobs.sum() == r.new_blobs.sum()
+    blobs = plans.QUERIES["blob_media_matrix_totals"](spark, sf_dir).first().blobs
+    assert r.new_blobs.sum() == r.cumulative_blobs.max() <= blobs
+    assert plans.QUERIES["upset_patterns"](spark, sf_dir).toPandas().n_blobs.sum() == blobs
 
 
 def test_entry(spark):
