@@ -159,7 +159,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             piece = [texts[i][a:z] for i, a, z in zip(np.repeat(np.arange(len(n)), n).tolist(), start.tolist(), (start + windows + length - 1).tolist())]
             yield pa.RecordBatch.from_arrays([flat.field(c) for c in ("anchor", "segment", "copies", "windows", "place")] + [pa.array(piece, pa.binary())], names=["g", "s", "copies", "windows", "place", "bytes"])
 
-    pieces = arrow(text_of.select("row", "row2", "text").join(wanted, ["row", "row2"]).select("text", "wanted"), cut, PIECE)
+    # a shuffle join, so that the Python workers of the two sides of it never stand in one task
+    pieces = arrow(text_of.select("row", "row2", "text").join(wanted.hint("merge"), ["row", "row2"]).select("text", "wanted"), cut, PIECE)
     pieces = scratch.keep(pieces.dropDuplicates(["g", "s"]), "pieces")  # equal rows cut the same ones
     scratch.drop("asked")
 
@@ -189,7 +190,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 digest.append(hashlib.sha256(np.frombuffer(text, np.uint8)[~gone].tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = touched.where("maybe").select("doc_id", "row", "row2", "text").join(decided, ["row", "row2"], "left").select("doc_id", "text", "starts")
+    joined = touched.where("maybe").select("doc_id", "row", "row2", "text").join(decided.hint("merge"), ["row", "row2"], "left").select("doc_id", "text", "starts")
     done = arrow(joined, remove, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     zero = F.lit(0).cast("long")
     rest = touched.where("not maybe").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
