@@ -90,6 +90,10 @@ def parent_name(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, "([^/]+)/[^/]*$", 1), F.lit(""))
 
 
+def grandparent_name(path: Column) -> Column:
+    return F.nullif(F.regexp_extract(path, "([^/]+)/[^/]+/[^/]*$", 1), F.lit(""))
+
+
 def by_hash_path(blobid: Column) -> Column:
     return F.concat_ws("/", F.substring(blobid, 1, 2), F.substring(blobid, 3, 2), blobid)
 

@@ -34,10 +34,26 @@ def drop_excluded(raw: DataFrame, patterns: list[str], column: str = "path") ->
 
 
 def exclude_inodes(inode: DataFrame, path: DataFrame) -> DataFrame:
-    """Unclaimed inodes all of whose paths are excluded become EXCLUDED."""
-    live = path.where("exclude_reason is null").select("medium_hash", "ino").distinct().withColumn("live", F.lit(True))
-    seen = inode.join(live, ["medium_hash", "ino"], "left")
-    return seen.withColumn("claimed_by", F.when(F.col("live").isNull() & F.col("claimed_by").isNull(), "EXCLUDED").otherwise(F.col("claimed_by"))).drop("live")
+    """Uncopied inodes all of whose paths are excluded become EXCLUDED, and count as copied."""
+    live = path.where("exclude_reason is null").select("medium_hash", "ino").distinct().withColumn("__live", F.lit(True))
+    hit = F.col("__live").isNull() & ~F.coalesce(F.col("copied"), F.lit(False))
+    out = {"copied": F.when(hit, True).otherwise(F.col("copied")), "claimed_by": F.when(hit, "EXCLUDED").otherwise(F.col("claimed_by"))}
+    return inode.join(live, ["medium_hash", "ino"], "left").select(*[out.get(x, F.col(x)).alias(x) for x in inode.columns])
+
+
+def load(raw: DataFrame, medium_hash: str, patterns: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(inode, path, queue_stats) of one medium from its raw records (see sources.raw), as ``sinks.write_media`` takes them."""
+    staged = typed(raw, medium_hash).withColumn("exclude_reason", c.excluded(F.col("path_text"), patterns))
+    path = staged.select("medium_hash", "dev", "ino", "path", "path_text", "exclude_reason")
+    inode = exclude_inodes(inodes(staged), path)
+    return inode, path, queue_stats(inode)
+
+
+def load_counts(inode: DataFrame, path: DataFrame) -> DataFrame:
+    """What a load reports of each medium."""
+    i = inode.groupBy("medium_hash").agg(F.count("*").alias("inodes"), F.count_if(F.col("claimed_by") == "NON_FILE").alias("non_file"), F.count_if(F.col("claimed_by") == "EXCLUDED").alias("all_excluded"), F.count_if(~F.col("copied") & F.col("claimed_by").isNull()).alias("unclaimed"))
+    p = path.groupBy("medium_hash").agg(F.count("*").alias("paths"), F.count("exclude_reason").alias("excluded"))
+    return i.join(p, "medium_hash", "left").na.fill(0, ["paths", "excluded"])
 
 
 def queue_stats(inode: DataFrame) -> DataFrame:

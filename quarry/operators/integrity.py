@@ -14,14 +14,48 @@ def reconcile(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return both.select(key, F.coalesce("o", zero).alias("old_n"), F.coalesce("n", zero).alias("new_n")).withColumn("same", F.col("old_n") == F.col("new_n"))
 
 
-def select_blobs(blobs: DataFrame, mode: str, n: int, seed: int = 0) -> DataFrame:
-    """The n blobs to verify: longest or latest checked, never checked, or a seeded random choice."""
-    if mode == "random":
-        return blobs.orderBy(F.md5(F.concat("blobid", F.lit(str(seed)))), "blobid").limit(n)
+def select_blobs(blobs: DataFrame, mode: str, n: int, seed: int = 0, inode: DataFrame | None = None, share: float = 0.25) -> DataFrame:
+    """The n blobs to verify (blobid).
+
+    oldest: longest since the last check, never checked ones first; newest: of the latest copied inode (``inode`` is needed); never: never checked;
+    random: seeded, out of a sample of ``share`` of the table by hash, filled up with never checked ones if that has too few.
+    """
     if mode == "never":
-        return blobs.where("last_checked is null").orderBy("blobid").limit(n)
-    order = {"oldest": F.asc("last_checked"), "newest": F.desc("last_checked")}[mode]
-    return blobs.where("last_checked is not null").orderBy(order, "blobid").limit(n)
+        return blobs.where("last_checked is null").orderBy("blobid").limit(n).select("blobid")
+    if mode == "oldest":
+        return blobs.orderBy(F.asc_nulls_first("last_checked"), "blobid").limit(n).select("blobid")
+    if mode == "newest":
+        latest = inode.where("processed is not null and blobid is not null").groupBy("blobid").agg(F.max("processed").alias("latest"))
+        return blobs.select("blobid").join(latest, "blobid").orderBy(F.desc("latest"), "blobid").limit(n).select("blobid")
+    if mode == "random":
+        digest = F.md5(F.concat("blobid", F.lit(str(seed))))
+        some = blobs.select("blobid", digest.alias("d")).where(F.substring("d", 1, 2) < f"{int(share * 256):02x}").orderBy("d", "blobid").limit(n).select("blobid", F.lit(0).alias("o"))
+        more = blobs.where("last_checked is null").select("blobid").join(some.select("blobid"), "blobid", "left_anti").orderBy("blobid").limit(n).select("blobid", F.lit(1).alias("o"))
+        return some.unionByName(more).orderBy("o", "blobid").limit(n).select("blobid")
+    raise ValueError(f"unknown mode {mode!r}")
+
+
+def asked_blobs(blobs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The blobs of a list of ids (one line each, blank ones aside), as ``spark.read.text`` gives it."""
+    asked = ids.select(F.trim("value").alias("blobid")).where("blobid <> ''").distinct()
+    return blobs.join(asked, "blobid", "left_semi")
+
+
+def verify(paths: DataFrame, found: DataFrame) -> DataFrame:
+    """``paths``: (blobid, path), ``found``: (path) of what is there.  (blobid, n_paths, n_missing, ok); a blob without paths is not in it."""
+    there = found.select("path").distinct().withColumn("__there", F.lit(True))
+    n = paths.join(there, "path", "left").groupBy("blobid").agg(F.count("*").alias("n_paths"), F.count_if(F.col("__there").isNull()).alias("n_missing"))
+    return n.withColumn("ok", F.col("n_missing") == 0)
+
+
+def pending_backup(blobs: DataFrame) -> DataFrame:
+    """Blobs that are not backed up and have not failed."""
+    return blobs.where(~F.coalesce(F.col("external_copied"), F.lit(False)) & ~F.coalesce(F.col("external_copy_failed"), F.lit(False)))
+
+
+def orphans(inode: DataFrame, blobs: DataFrame) -> DataFrame:
+    """Successful inodes whose blob the table lacks."""
+    return inode.where("blobid is not null and status = 'success'").join(blobs.select("blobid"), "blobid", "left_anti")
 
 
 def full_hashes(short: DataFrame, blobs: DataFrame) -> DataFrame:

@@ -29,12 +29,23 @@ def mark_success(inode: DataFrame, results: DataFrame) -> DataFrame:
     ])
 
 
-def mark_failure(inode: DataFrame, failures: DataFrame) -> DataFrame:
-    """``failures``: (id, message, exception).  The message is appended, classified, and the claim released."""
-    f = failures.select("id", F.col("message").alias("__m"), c.classify_error(F.col("message"), F.col("exception")).alias("__t"))
+def mark_failure(inode: DataFrame, failures: DataFrame, longest: int = 200) -> DataFrame:
+    """``failures``: (id, message, exception).  A transient failure: '<exception>: <message>' is appended and the claim released; it will be tried again."""
+    entry = F.concat_ws(": ", "exception", F.substring("message", 1, longest))
+    f = failures.groupBy("id").agg(F.array_sort(F.collect_list(entry)).alias("__m"))
     done = inode.join(f, "id", "left")
     hit = F.col("__m").isNotNull()
-    out = {"errors": F.when(hit, F.array_append(F.coalesce("errors", F.array().cast("array<string>")), F.col("__m"))).otherwise(F.col("errors")), "error_type": F.when(hit, F.col("__t")).otherwise(F.col("error_type")), "status": F.when(hit, c.failure_status(F.col("__t"))).otherwise(F.col("status")), "claimed_by": F.when(~hit, F.col("claimed_by"))}
+    out = {"errors": F.when(hit, F.concat(F.coalesce("errors", F.array().cast("array<string>")), F.col("__m"))).otherwise(F.col("errors")), "claimed_by": F.when(~hit, F.col("claimed_by"))}
+    return done.select(*[out.get(x, F.col(x)).alias(x) for x in inode.columns])
+
+
+def mark_classified(inode: DataFrame, failures: DataFrame) -> DataFrame:
+    """``failures``: (id, message, exception).  Retries are at their end: the row counts as copied, with a status by the type of its error."""
+    kind = c.classify_error(F.col("message"), F.col("exception"))
+    f = failures.groupBy("id").agg(F.min_by(kind, "message").alias("__t"))
+    done = inode.join(f, "id", "left")
+    hit = F.col("__t").isNotNull()
+    out = {"copied": F.when(hit, True).otherwise(F.col("copied")), "error_type": F.when(hit, F.col("__t")).otherwise(F.col("error_type")), "status": F.when(hit, c.failure_status(F.col("__t"))).otherwise(F.col("status")), "claimed_by": F.when(~hit, F.col("claimed_by"))}
     return done.select(*[out.get(x, F.col(x)).alias(x) for x in inode.columns])
 
 
@@ -45,11 +56,12 @@ def propagate_blobs(path: DataFrame, inode: DataFrame) -> DataFrame:
 
 
 def give_up(inode: DataFrame, most: int = c.MAX_ERRORS) -> DataFrame:
-    """Rows with ``most`` errors stop: permanent if the last one is an I/O error or beyond the end."""
-    last = F.when(F.size("errors") >= most, F.element_at("errors", -1))
+    """Pending rows with ``most`` errors stop: permanent if the last one is an I/O error or beyond the end."""
+    last = F.when(F.size("errors") >= most, F.coalesce(F.element_at("errors", -1), F.lit("unknown")))
     hard = last.contains("I/O error") | last.contains("beyond EOF")
-    stop = last.isNotNull() & ~F.coalesce(F.col("copied"), F.lit(False))
-    return inode.withColumn("status", F.when(stop, F.when(hard, "failed_permanent").otherwise("failed_retryable")).otherwise(F.col("status"))).withColumn("claimed_by", F.when(stop, "MAX_RETRIES_EXCEEDED").otherwise(F.col("claimed_by")))
+    stop = last.isNotNull() & is_pending()
+    out = {"copied": F.when(stop, True).otherwise(F.col("copied")), "claimed_by": F.when(stop, "MAX_RETRIES_EXCEEDED").otherwise(F.col("claimed_by")), "status": F.when(stop, F.when(hard, "failed_permanent").otherwise("failed_retryable")).otherwise(F.col("status")), "error_type": F.when(stop, F.when(hard, "io_error").otherwise("unknown")).otherwise(F.col("error_type"))}
+    return inode.select(*[out.get(x, F.col(x)).alias(x) for x in inode.columns])
 
 
 def exclude_repeated(inode: DataFrame) -> DataFrame:
@@ -58,9 +70,11 @@ def exclude_repeated(inode: DataFrame) -> DataFrame:
 
 
 def refuse_failed_media(inode: DataFrame, medium: DataFrame) -> DataFrame:
+    """Uncopied rows of media of health 'failed' are excluded and count as copied."""
     bad = medium.where("health = 'failed'").select("medium_hash", F.lit(True).alias("__bad"))
     hit = F.col("__bad").isNotNull() & ~F.coalesce(F.col("copied"), F.lit(False))
-    return inode.join(bad, "medium_hash", "left").withColumn("claimed_by", F.when(hit, "EXCLUDED").otherwise(F.col("claimed_by"))).drop("__bad")
+    out = {"copied": F.when(hit, True).otherwise(F.col("copied")), "claimed_by": F.when(hit, "EXCLUDED: bad_health").otherwise(F.col("claimed_by"))}
+    return inode.join(bad, "medium_hash", "left").select(*[out.get(x, F.col(x)).alias(x) for x in inode.columns])
 
 
 def resettable(error_type: str | None = None) -> Column:
@@ -118,3 +132,31 @@ def old_events(events: DataFrame, day: int, keep_days: int = 90) -> tuple[DataFr
     """(kept, archived) events, by age in days."""
     fresh = F.col("day") > day - keep_days
     return events.where(fresh), events.where(~fresh)
+
+
+def backfill_orphans(blobs: DataFrame, inode: DataFrame) -> DataFrame:
+    """Blobs of successful inodes that the table lacks, with their number of inodes; counts of a blob that is there are added to."""
+    from quarry.sources.sinks import upsert
+
+    lost = inode.where("blobid is not null and status = 'success'").join(blobs.select("blobid"), "blobid", "left_anti").groupBy("blobid").agg(F.count("*").alias("n_hardlinks"))
+    return upsert(blobs, lost, ["blobid"], add=("n_hardlinks",))
+
+
+def plan_batch(inode: DataFrame, path: DataFrame, n: int) -> DataFrame:
+    """The next ``n`` pending rows of each medium, with all their live paths."""
+    first = inode.where(is_pending()).withColumn("rank", F.row_number().over(W.partitionBy("medium_hash").orderBy("id"))).where(F.col("rank") <= n).drop("rank")
+    live = path.where("exclude_reason is null").join(first.select("medium_hash", "ino"), ["medium_hash", "ino"], "left_semi").groupBy("medium_hash", "ino").agg(F.array_sort(F.collect_set("path")).alias("paths"))
+    return first.join(live, ["medium_hash", "ino"], "left")
+
+
+def failures(inode: DataFrame, medium: str | None = None) -> DataFrame:
+    """Failed rows, of one medium or all."""
+    rows = inode.where(F.col("status").startswith("failed"))
+    return rows if medium is None else rows.where(F.col("medium_hash") == medium)
+
+
+def high_error_rate(results: DataFrame, least: int = 100, most: float = 0.1) -> DataFrame:
+    """``results``: (medium_hash, failed).  Media above an error rate, of ``least`` results or more: one row each, however often it was exceeded."""
+    n = results.groupBy("medium_hash").agg(F.count("*").alias("processed"), F.count_if("failed").alias("errors"))
+    rate = F.col("errors") / F.col("processed")
+    return n.where((F.col("processed") >= least) & (rate > most)).select("medium_hash", F.round(rate, 3).alias("error_rate"), "errors", "processed", F.lit(most).alias("threshold"))

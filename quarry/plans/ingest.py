@@ -9,18 +9,6 @@ from quarry.operators import ingest
 from quarry.plans.registry import query
 
 
-@query("""WITH a AS (SELECT medium_hash, ino, count(*) FILTER (WHERE exclude_reason IS NULL) AS live FROM path GROUP BY ALL)
-SELECT i.medium_hash, count(*) AS inodes, count(*) FILTER (WHERE fs_type <> 'f') AS non_file, count(*) FILTER (WHERE fs_type = 'f' AND a.live = 0) AS all_excluded FROM inode i JOIN a ON a.medium_hash = i.medium_hash AND a.ino = i.ino GROUP BY ALL""")
-def load_summary(k):
-    done = ingest.exclude_inodes(k.inode.select("medium_hash", "ino", "fs_type", F.when(F.col("fs_type") != "f", "NON_FILE").alias("claimed_by")), k.path)
-    return done.groupBy("medium_hash").agg(F.count("*").alias("inodes"), F.count_if(F.col("fs_type") != "f").alias("non_file"), F.count_if((F.col("fs_type") == "f") & (F.col("claimed_by") == "EXCLUDED")).alias("all_excluded"))
-
-
-@query("SELECT count(*) AS n_rows, count(DISTINCT ino) AS inodes, count(DISTINCT (ino, path)) AS ino_paths, count(*) FILTER (WHERE dev > 1) AS second_dev FROM path")
-def staging_profile(k):
-    return k.path.agg(F.count("*").alias("n_rows"), F.count_distinct("ino").alias("inodes"), F.count_distinct(F.struct("ino", "path")).alias("ino_paths"), F.count_if(F.col("dev") > 1).alias("second_dev"))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1", on_catalog=False)
 def distinct_on_first(k):
     """DISTINCT ON as one map-side-combined minimum instead of a window."""
@@ -66,13 +54,6 @@ def path_filenames_grouped(k):
     return ingest.path_search(k.path).groupBy("filename").agg(F.count("*").alias("n"), joined("medium_hash").alias("media"), joined("parent").alias("parents")).where("n > 1")
 
 
-@query(_SEARCH + " SELECT medium_hash, count(*) AS n, count(*) FILTER (WHERE parent = medium_hash) AS own, round(100::DOUBLE * (count(*) FILTER (WHERE parent = medium_hash)::DOUBLE / nullif(count(*)::DOUBLE, 0)), 2) AS pct FROM s GROUP BY 1")
-def path_parent_match_pct(k):
-    own = F.coalesce(F.col("parent") == F.col("medium_hash"), F.lit(False))
-    n = ingest.path_search(k.path).groupBy("medium_hash").agg(F.count("*").alias("n"), F.count_if(own).alias("own"))
-    return n.withColumn("pct", c.percent(F.col("own"), F.col("n")))
-
-
 @query("SELECT p.medium_hash, count(*) AS paths, count(DISTINCT (p.dev, p.ino)) AS inodes, CAST(sum(i.size) AS BIGINT) AS bytes, count(*) FILTER (WHERE i.copied) AS copied FROM path p JOIN inode i ON i.medium_hash = p.medium_hash AND i.ino = p.ino WHERE starts_with(p.path, '/backup/') GROUP BY ALL")
 def prefix_stats(k):
     return ingest.media_with_prefix(k.path, k.inode, "/backup")
@@ -91,3 +72,50 @@ def longest_paths(k):
 @query("SELECT ino, substr(blobid, 1, 2) || '/' || substr(blobid, 3, 2) || '/' || blobid AS stored, regexp_matches(blobid, '^[0-9a-f]{64}$') AS is_id, CASE WHEN size < 10240 THEN size || ' bytes' ELSE ((size // 512 + 1) // 2) || ' kB' END AS pretty FROM inode WHERE blobid IS NOT NULL")
 def stored_names(k):
     return k.inode.where("blobid is not null").select("ino", c.by_hash_path(F.col("blobid")).alias("stored"), c.is_blob_id(F.col("blobid")).alias("is_id"), c.size_pretty(F.col("size")).alias("pretty"))
+
+
+@query("""WITH staged AS (SELECT medium_hash, ino, path, exclude_reason FROM path), i AS (SELECT medium_hash, ino, fs_type, fs_type = 'f' AND NOT EXISTS (SELECT 1 FROM staged s WHERE s.medium_hash = inode.medium_hash AND s.ino = inode.ino AND s.exclude_reason IS NULL) AS out FROM inode)
+SELECT medium_hash, count(*) AS inodes, count(*) FILTER (WHERE fs_type <> 'f') AS non_file, count(*) FILTER (WHERE out) AS all_excluded, count(*) FILTER (WHERE fs_type = 'f' AND NOT out) AS unclaimed, any_value(p.paths) AS paths, any_value(p.excluded) AS excluded
+FROM i JOIN (SELECT medium_hash, count(*) AS paths, count(exclude_reason) AS excluded FROM staged GROUP BY 1) p USING (medium_hash) GROUP BY medium_hash""")
+def load_summary(k):
+    """The load of all media, from staged records to the counts that it reports."""
+    staged = k.inode.select("medium_hash", "dev", "ino", "nlink", "size", "mtime", "fs_type").join(k.path.select("medium_hash", "ino", "path", "exclude_reason"), ["medium_hash", "ino"])
+    return ingest.load_counts(ingest.exclude_inodes(ingest.inodes(staged), k.path), k.path)
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT ino) AS inodes, count(DISTINCT (ino, path)) AS ino_paths, count(*) FILTER (WHERE nlink > 1) AS hardlinked FROM path")
+def staging_profile(k):
+    return k.path.agg(F.count("*").alias("n_rows"), F.count_distinct("ino").alias("inodes"), F.count_distinct(F.struct("ino", "path")).alias("ino_paths"), F.count_if(F.col("nlink") > 1).alias("hardlinked"))
+
+
+@query(_SEARCH + """, g AS (SELECT *, nullif(regexp_extract(path, '([^/]+)/[^/]+/[^/]*$', 1), '') AS grandparent FROM s)
+SELECT medium_hash, count(*) AS n, count(*) FILTER (WHERE parent = medium_hash) AS own, count(*) FILTER (WHERE grandparent = medium_hash) AS own_grandparent, round(100::DOUBLE * (count(*) FILTER (WHERE parent = medium_hash)::DOUBLE / nullif(count(*)::DOUBLE, 0)), 2) AS pct FROM g GROUP BY 1""")
+def path_parent_match_pct(k):
+    same = lambda x: F.count_if(F.coalesce(x == F.col("medium_hash"), F.lit(False)))
+    n = ingest.path_search(k.path).groupBy("medium_hash").agg(F.count("*").alias("n"), same(F.col("parent")).alias("own"), same(c.grandparent_name(F.col("path"))).alias("own_grandparent"))
+    return n.withColumn("pct", c.percent(F.col("own"), F.col("n")))
+
+
+@query("SELECT medium_hash, medium_human FROM medium WHERE medium_human ILIKE '%SRC1%'")
+def media_by_name(k):
+    return k.medium.where(F.col("medium_human").ilike("%SRC1%")).select("medium_hash", "medium_human")
+
+
+@query("SELECT path FROM path WHERE exclude_reason = 'pattern_match' ORDER BY md5(path || '7'), path LIMIT 20")
+def excluded_sample(k):
+    """A seeded preview of what the patterns exclude, to look for false positives."""
+    return k.path.where("exclude_reason = 'pattern_match'").orderBy(F.md5(F.concat("path", F.lit("7"))), "path").limit(20).select("path")
+
+
+@query("SELECT medium_hash, count(*) FILTER (WHERE regexp_matches(path, '/backup/')) AS would_mark, count(*) AS live FROM path WHERE exclude_reason IS NULL GROUP BY 1")
+def remark_preview(k):
+    """How many live rows a new pattern would mark."""
+    live = k.path.where("exclude_reason is null")
+    marked = ingest.mark_excluded(live, ["/backup/"])
+    return marked.groupBy("medium_hash").agg(F.count("exclude_reason").alias("would_mark"), F.count("*").alias("live"))
+
+
+@query("SELECT html AS content, sha256(html) AS hash, octet_length(encode(html)) AS n_bytes, length(html) AS n_chars FROM pages", on_catalog=False)
+def content_identity(k):
+    html = F.col("html")
+    return k.table("pages").select(html.alias("content"), c.content_hash(html).alias("hash"), F.octet_length(html).cast("long").alias("n_bytes"), F.length(html).cast("long").alias("n_chars"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as c
 from quarry.operators import integrity
 from quarry.plans.registry import query
+from quarry.sources import raw, sinks
+from quarry.streaming import counters
 
 
 @query("SELECT blobid, count(DISTINCT size) AS sizes FROM inode WHERE blobid IS NOT NULL GROUP BY 1 HAVING count(DISTINCT size) > 1 ORDER BY 1")
@@ -20,18 +22,6 @@ def hash_size_consistency(k):
     return n.agg(F.count("*").alias("blobs"), F.count_if(F.col("lo") == F.col("hi")).alias("one_size"))
 
 
-@query("SELECT i.medium_hash, count(*) AS orphans, count(DISTINCT i.blobid) AS blobs, count(i.processed) AS dated FROM inode i LEFT JOIN blobs b USING (blobid) WHERE b.blobid IS NULL AND i.blobid IS NOT NULL GROUP BY ALL")
-def orphans_anti(k):
-    lost = k.inode.where("blobid is not null").join(k.blobs.select("blobid"), "blobid", "left_anti")
-    return lost.groupBy("medium_hash").agg(F.count("*").alias("orphans"), F.count_distinct("blobid").alias("blobs"), F.count("processed").alias("dated"))
-
-
-@query("SELECT DISTINCT blobid FROM inode WHERE blobid NOT IN (SELECT blobid FROM blobs)")
-def orphans_not_in(k):
-    """NOT IN over a column without nulls is an anti-join; the null-aware form stays available in SQL."""
-    return k.inode.where("blobid is not null").select("blobid").distinct().join(k.blobs.where("blobid is not null").select("blobid"), "blobid", "left_anti")
-
-
 @query("SELECT b.blobid FROM blobs b WHERE NOT EXISTS (SELECT 1 FROM inode i WHERE i.blobid = b.blobid)")
 def unreferenced_blobs(k):
     return k.blobs.join(k.inode.select("blobid"), "blobid", "left_anti").select("blobid")
@@ -69,21 +59,6 @@ def invalid_states(k):
     return k.inode.agg(F.count_if((s == "success") & F.col("blobid").isNull() & (F.col("fs_type") == "f")).alias("success_without_blob"), F.count_if((s == "pending") & F.col("copied")).alias("pending_copied"), F.count_if(s.startswith("failed") & F.col("error_type").isNull()).alias("failed_untyped"))
 
 
-_PICK = "SELECT 'oldest' AS mode, blobid FROM (SELECT blobid FROM blobs WHERE last_checked IS NOT NULL ORDER BY last_checked, blobid LIMIT 5) UNION ALL SELECT 'newest', blobid FROM (SELECT blobid FROM blobs WHERE last_checked IS NOT NULL ORDER BY last_checked DESC, blobid LIMIT 5) UNION ALL SELECT 'never', blobid FROM (SELECT blobid FROM blobs WHERE last_checked IS NULL ORDER BY blobid LIMIT 5) UNION ALL SELECT 'random', blobid FROM (SELECT blobid FROM blobs ORDER BY md5(blobid || '7'), blobid LIMIT 5)"
-
-
-@query(_PICK)
-def verify_selection_modes(k):
-    modes = [integrity.select_blobs(k.blobs, m, 5, seed=7).select(F.lit(m).alias("mode"), "blobid") for m in ("oldest", "newest", "never", "random")]
-    return modes[0].unionByName(modes[1]).unionByName(modes[2]).unionByName(modes[3])
-
-
-@query("WITH s AS (SELECT blobid FROM blobs WHERE last_checked IS NULL ORDER BY blobid LIMIT 20) SELECT p.blobid, count(DISTINCT p.path) AS n_paths, string_agg(DISTINCT p.path, ',' ORDER BY p.path) AS paths FROM path p JOIN s USING (blobid) WHERE p.exclude_reason IS NULL GROUP BY ALL")
-def verify_paths(k):
-    picked = integrity.select_blobs(k.blobs, "never", 20)
-    return k.path.where("exclude_reason is null").join(picked.select("blobid"), "blobid", "left_semi").groupBy("blobid").agg(F.count_distinct("path").alias("n_paths"), F.array_join(F.array_sort(F.collect_set("path")), ",").alias("paths"))
-
-
 @query("SELECT DISTINCT i.blobid FROM inode i WHERE substr(i.blobid, 1, 12) IN (SELECT substr(blobid, 1, 12) FROM blobs WHERE last_checked IS NULL)")
 def short_hash_lookup(k):
     short = k.blobs.where("last_checked is null").select(F.substring("blobid", 1, 12).alias("short"))
@@ -124,3 +99,105 @@ def mapfile_health(k):
 
     lines = k.table("documents").select(F.concat(F.lit("0x"), F.hex("doc_id"), F.lit("  0x"), F.hex("n_chars"), F.when(F.col("doc_id") % 7 != 0, "  +").otherwise("  -")).alias("value"))
     return rescue_summary(mapfile_rows(lines))
+
+
+_PICK = """WITH newest AS (SELECT b.blobid, max(i.processed) AS latest FROM blobs b JOIN inode i ON i.blobid = b.blobid WHERE i.processed IS NOT NULL GROUP BY b.blobid),
+picked AS (SELECT blobid FROM blobs WHERE substr(md5(blobid || '7'), 1, 2) < '40' ORDER BY md5(blobid || '7'), blobid LIMIT 5),
+pool AS (SELECT blobid, 0 AS o FROM picked UNION ALL SELECT * FROM (SELECT blobid, 1 AS o FROM blobs WHERE last_checked IS NULL AND blobid NOT IN (SELECT blobid FROM picked) ORDER BY blobid LIMIT 5))
+SELECT 'oldest' AS mode, blobid FROM (SELECT blobid FROM blobs ORDER BY last_checked NULLS FIRST, blobid LIMIT 5) UNION ALL SELECT 'newest', blobid FROM (SELECT blobid FROM newest ORDER BY latest DESC, blobid LIMIT 5)
+UNION ALL SELECT 'never', blobid FROM (SELECT blobid FROM blobs WHERE last_checked IS NULL ORDER BY blobid LIMIT 5) UNION ALL SELECT 'random', blobid FROM (SELECT blobid FROM pool ORDER BY o, blobid LIMIT 5)"""
+
+
+@query(_PICK)
+def verify_selection_modes(k):
+    modes = [integrity.select_blobs(k.blobs, m, 5, seed=7, inode=k.inode).select(F.lit(m).alias("mode"), "blobid") for m in ("oldest", "newest", "never", "random")]
+    return modes[0].unionByName(modes[1]).unionByName(modes[2]).unionByName(modes[3])
+
+
+_LOST = "WITH lost AS (SELECT i.* FROM inode i LEFT JOIN blobs b USING (blobid) WHERE i.blobid IS NOT NULL AND b.blobid IS NULL AND i.status = 'success')"
+
+
+@query(_LOST + " SELECT medium_hash, any_value(medium_human) AS medium_human, count(DISTINCT blobid) AS unique_orphaned_blobids, count(*) AS orphaned_files, CAST(sum(size) AS BIGINT) AS total_bytes FROM lost LEFT JOIN medium USING (medium_hash) GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 20")
+def orphans_anti(k):
+    n = integrity.orphans(k.inode, k.blobs).groupBy("medium_hash").agg(F.count_distinct("blobid").alias("unique_orphaned_blobids"), F.count("*").alias("orphaned_files"), F.sum("size").alias("total_bytes"))
+    return n.join(k.medium.select("medium_hash", "medium_human"), "medium_hash", "left").select("medium_hash", "medium_human", "unique_orphaned_blobids", "orphaned_files", "total_bytes").orderBy(F.desc("unique_orphaned_blobids"), "medium_hash").limit(20)
+
+
+@query(_LOST + " SELECT count(DISTINCT blobid) AS unique_orphaned_blobids, count(*) AS total_orphaned_inode_rows, CAST(coalesce(sum(size), 0) AS BIGINT) AS total_orphaned_bytes, count(*) FILTER (WHERE processed IS NULL) AS no_timestamp, count(processed) AS has_timestamp FROM lost")
+def orphan_summary(k):
+    return integrity.orphans(k.inode, k.blobs).agg(F.count_distinct("blobid").alias("unique_orphaned_blobids"), F.count("*").alias("total_orphaned_inode_rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_orphaned_bytes"), F.count_if(F.col("processed").isNull()).alias("no_timestamp"), F.count("processed").alias("has_timestamp"))
+
+
+@query(_LOST + " SELECT blobid, count(*) AS inode_count, min(size) AS min_size, max(size) AS max_size FROM lost GROUP BY 1 ORDER BY inode_count DESC, blobid LIMIT 10")
+def orphan_sample(k):
+    return integrity.orphans(k.inode, k.blobs).groupBy("blobid").agg(F.count("*").alias("inode_count"), F.min("size").alias("min_size"), F.max("size").alias("max_size")).orderBy(F.desc("inode_count"), "blobid").limit(10)
+
+
+@query(_LOST + " SELECT CAST(DATE '1970-01-01' + CAST(copy_done // 86400 AS INTEGER) AS VARCHAR) AS copy_date, count(DISTINCT blobid) AS unique_orphaned_blobids, count(*) AS orphaned_files FROM lost JOIN medium USING (medium_hash) WHERE copy_done IS NOT NULL GROUP BY 1 ORDER BY copy_date DESC LIMIT 20")
+def orphan_timeline(k):
+    dated = integrity.orphans(k.inode, k.blobs).join(k.medium.where("copy_done is not null").select("medium_hash", "copy_done"), "medium_hash")
+    return dated.groupBy(c.day_of(F.col("copy_done")).cast("string").alias("copy_date")).agg(F.count_distinct("blobid").alias("unique_orphaned_blobids"), F.count("*").alias("orphaned_files")).orderBy(F.desc("copy_date")).limit(20)
+
+
+_HOUR = "(SELECT max(processed) - 3600 FROM inode)"
+
+
+@query(f"""SELECT (SELECT count(*) FROM inode i LEFT JOIN blobs b USING (blobid) WHERE i.copied AND i.blobid IS NOT NULL AND b.blobid IS NULL) AS orphaned_count,
+(SELECT count(*) FROM inode WHERE status = 'success' AND copied AND processed > {_HOUR}) AS recent_success, (SELECT count(*) FROM blobs WHERE blobid IN (SELECT blobid FROM inode WHERE processed > {_HOUR} AND blobid IS NOT NULL)) AS recent_blobs,
+(SELECT count(*) FROM blobs WHERE coalesce(external_copied, FALSE) = FALSE AND blobid IN (SELECT blobid FROM inode WHERE processed > {_HOUR} AND blobid IS NOT NULL)) AS pending_backup""")
+def last_hour_checks(k):
+    """The last hour before the newest row."""
+    start = k.inode.agg((F.max("processed") - 3600).alias("start"))
+    recent = k.inode.join(F.broadcast(start), F.col("processed") > F.col("start"))
+    lost = k.inode.where("copied and blobid is not null").join(k.blobs.select("blobid"), "blobid", "left_anti").agg(F.count("*").alias("orphaned_count"))
+    good = recent.where("status = 'success' and copied").agg(F.count("*").alias("recent_success"))
+    new = k.blobs.join(recent.where("blobid is not null").select("blobid"), "blobid", "left_semi").agg(F.count("*").alias("recent_blobs"), F.count_if(~F.coalesce(F.col("external_copied"), F.lit(False))).alias("pending_backup"))
+    return lost.crossJoin(good).crossJoin(new)  # of one row each
+
+
+@query("SELECT DISTINCT blobid FROM inode WHERE blobid NOT IN (SELECT blobid FROM blobs)")
+def orphans_not_in(k):
+    """NOT IN as SQL has it: nothing at all if the list holds a null, which it does not here."""
+    k.inode.select("blobid").createOrReplaceTempView("quarry_inode")
+    k.blobs.select("blobid").createOrReplaceTempView("quarry_blobs")
+    return k.spark.sql("SELECT DISTINCT blobid FROM quarry_inode WHERE blobid NOT IN (SELECT blobid FROM quarry_blobs WHERE blobid IS NOT NULL)")
+
+
+@query("WITH s AS (SELECT blobid FROM blobs WHERE last_checked IS NULL ORDER BY blobid LIMIT 20) SELECT p.blobid, count(DISTINCT p.path) AS n_paths, string_agg(DISTINCT p.path, ',' ORDER BY p.path) AS paths FROM path p JOIN s USING (blobid) WHERE p.exclude_reason IS NULL GROUP BY ALL")
+def verify_paths(k):
+    picked = integrity.select_blobs(k.blobs, "never", 20)
+    return k.path.where("exclude_reason is null").join(picked, "blobid", "left_semi").groupBy("blobid").agg(F.count_distinct("path").alias("n_paths"), F.array_join(F.array_sort(F.collect_set("path")), ",").alias("paths"))
+
+
+@query("WITH p AS (SELECT DISTINCT blobid, path FROM path WHERE blobid IS NOT NULL AND exclude_reason IS NULL) SELECT blobid, count(*) AS n_paths, count(*) FILTER (WHERE length(path) % 5 = 0) AS n_missing, count(*) FILTER (WHERE length(path) % 5 = 0) = 0 AS ok FROM p GROUP BY 1")
+def verification_results(k):
+    paths = k.path.where("blobid is not null and exclude_reason is null").select("blobid", "path").distinct()
+    return integrity.verify(paths, paths.where(F.length("path") % 5 != 0).select("path"))
+
+
+@query("SELECT blobid, n_hardlinks FROM blobs WHERE blobid IN (SELECT trim(r) FROM (SELECT ' ' || sha256(r_name) || ' ' AS r FROM region))")
+def asked_blobs(k):
+    """Blobs of a list of ids as it is read from a file."""
+    lines = k.table("region").select(F.concat(F.lit(" "), F.sha2("r_name", 256), F.lit(" ")).alias("value")).unionByName(k.spark.createDataFrame([("",), ("  ",)], "value string"))
+    return integrity.asked_blobs(k.blobs, lines).select("blobid", "n_hardlinks")
+
+
+@query("""WITH log AS (SELECT substr(blobid, 1, 12) AS short FROM inode WHERE blobid IS NOT NULL AND ino % 5 = 0) SELECT DISTINCT i.blobid FROM inode i WHERE substr(i.blobid, 1, 12) IN (SELECT short FROM log)""")
+def parsed_log_hashes(k):
+    """A verification log, parsed to short ids and looked up whole."""
+    log = k.inode.where("blobid is not null").select(F.struct(F.struct(F.struct(F.when(F.col("ino") % 5 == 0, "ERROR").otherwise("INFO").alias("name")).alias("level"), F.struct(F.col("blobid").alias("blob")).alias("extra")).alias("record")).alias("l")).select("l.record")
+    return integrity.full_hashes(raw.missing_blobs(log), k.inode.where("blobid is not null").select("blobid").distinct())
+
+
+@query("SELECT medium_hash, count(*) AS old_n, count(*) AS new_n, TRUE AS same FROM inode GROUP BY 1")
+def copied_media(k):
+    """All media written partitioned and counted on both sides."""
+    return sinks.copy_media(k.inode.drop("errors"), counters.shared_folder(k.spark, "media"))
+
+
+@query("SELECT id, ino, size FROM inode WHERE medium_hash = 'src3'")
+def medium_partition(k):
+    """One medium of a partitioned table: the filter prunes all other folders."""
+    at = counters.shared_folder(k.spark, "media")
+    sinks.write_media(k.inode.select("medium_hash", "id", "ino", "size"), at)
+    return k.spark.read.parquet(at).where("medium_hash = 'src3'").select("id", "ino", "size")

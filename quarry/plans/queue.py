@@ -54,28 +54,6 @@ def queue_depth(k):
     return k.inode.where(queue.is_pending()).join(k.medium.where("health = 'ok'").select("medium_hash"), "medium_hash", "left_semi").groupBy("medium_hash").agg(F.count("*").alias("depth"))
 
 
-@query("SELECT count(*) AS processed, count(*) FILTER (WHERE processed // 86400 = (SELECT max(processed) // 86400 FROM inode)) AS last_day FROM inode WHERE processed IS NOT NULL")
-def processed_totals(k):
-    day = F.floor(F.col("processed") / 86400)
-    days = k.inode.where("processed is not null").groupBy(day.alias("day")).agg(F.count("*").alias("n"))
-    return days.agg(F.sum("n").alias("processed"), F.max(F.struct("day", "n")).getField("n").alias("last_day"))
-
-
-@query("SELECT CASE WHEN size = 0 THEN '0' WHEN size < 1024 THEN '<1k' WHEN size < 4096 THEN '<4k' WHEN size < 16384 THEN '<16k' ELSE '16k+' END AS bucket, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM inode WHERE fs_type = 'f' GROUP BY 1")
-def batch_size_buckets(k):
-    s = F.col("size")
-    b = F.when(s == 0, "0").when(s < 1024, "<1k").when(s < 4096, "<4k").when(s < 16384, "<16k").otherwise("16k+")
-    return k.inode.where("fs_type = 'f'").groupBy(b.alias("bucket")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
-
-
-@query("""SELECT o, label, n, bytes FROM (SELECT CASE WHEN size < 1000 THEN 1 WHEN size < 10000 THEN 2 WHEN size < 100000 THEN 3 ELSE 4 END AS o, CASE WHEN size < 1000 THEN '< 1 kB' WHEN size < 10000 THEN '1-10 kB' WHEN size < 100000 THEN '10-100 kB' ELSE '> 100 kB' END AS label, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM inode GROUP BY ALL) ORDER BY o""")
-def size_buckets(k):
-    s = F.col("size")
-    o = F.when(s < 1000, 1).when(s < 10000, 2).when(s < 100000, 3).otherwise(4)
-    label = F.element_at(F.array(*map(F.lit, ("< 1 kB", "1-10 kB", "10-100 kB", "> 100 kB"))), o)
-    return k.inode.groupBy(o.alias("o"), label.alias("label")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).orderBy("o")
-
-
 @query("""SELECT m.medium_hash, enum_done IS NOT NULL AS enumerated, copy_done IS NOT NULL AS finished, image_path IS NOT NULL AS imaged, CASE WHEN enum_done IS NULL THEN 'not enumerated' WHEN copy_done IS NULL THEN 'copying' WHEN coalesce(p.n, 0) > 0 THEN 'reopened' ELSE 'done' END AS state, coalesce(p.n, 0) AS pending
 FROM medium m LEFT JOIN (SELECT medium_hash, count(*) AS n FROM inode WHERE NOT copied AND claimed_by IS NULL GROUP BY 1) p USING (medium_hash)""")
 def incomplete_media(k):
@@ -109,19 +87,95 @@ def derived_status(k):
     return queue.derive_status(k.inode.drop("status", "error_type")).groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query("SELECT status, claimed_by, count(*) AS n FROM (SELECT CASE WHEN len(errors) >= 5 AND errors[-1] IS NOT NULL AND NOT copied THEN CASE WHEN contains(errors[-1], 'I/O error') OR contains(errors[-1], 'beyond EOF') THEN 'failed_permanent' ELSE 'failed_retryable' END ELSE status END AS status, CASE WHEN len(errors) >= 5 AND errors[-1] IS NOT NULL AND NOT copied THEN 'MAX_RETRIES_EXCEEDED' ELSE claimed_by END AS claimed_by FROM inode WHERE message IS NOT NULL) GROUP BY ALL")
+@query("SELECT medium_hash, greatest(0, CAST(sum(CASE WHEN NOT copied AND claimed_by IS NULL THEN 1 ELSE 0 END) - 3 AS BIGINT)) AS unclaimed_count FROM inode GROUP BY 1")
+def queue_stats_upsert(k):
+    from quarry.operators.ingest import queue_stats
+
+    stats = queue_stats(k.inode)
+    return queue.upsert_counts(stats, stats.select("medium_hash", F.lit(-3).cast("long").alias("delta")))
+
+
+@query("SELECT count(*) AS processed, count(*) FILTER (WHERE processed // 86400 = (SELECT max(processed) // 86400 FROM inode)) AS last_day FROM inode WHERE processed IS NOT NULL")
+def processed_totals(k):
+    day = F.floor(F.col("processed") / 86400)
+    days = k.inode.where("processed is not null").groupBy(day.alias("day")).agg(F.count("*").alias("n"))
+    return days.agg(F.sum("n").alias("processed"), F.max(F.struct("day", "n")).getField("n").alias("last_day"))
+
+
+@query("""WITH b AS (SELECT medium_hash, size FROM (SELECT *, row_number() OVER (PARTITION BY medium_hash ORDER BY id) AS rn FROM inode WHERE NOT copied AND claimed_by IS NULL) WHERE rn <= 50)
+SELECT medium_hash, CASE WHEN size < 1024 THEN '<1KB' WHEN size < 10240 THEN '1-10KB' WHEN size < 102400 THEN '10-100KB' WHEN size < 1048576 THEN '100KB-1MB' WHEN size < 10485760 THEN '1-10MB' ELSE '>10MB' END AS bucket, count(*) AS n, round(sum(size)::DOUBLE / 1048576, 1) AS total_mb FROM b GROUP BY ALL""")
+def batch_size_buckets(k):
+    """Sizes of the next batch of 50 of each medium."""
+    s = F.col("size")
+    b = F.when(s < 1024, "<1KB").when(s < 10240, "1-10KB").when(s < 102400, "10-100KB").when(s < 1048576, "100KB-1MB").when(s < 10485760, "1-10MB").otherwise(">10MB")
+    return queue.claim(k.inode, 50, "w").where("claimed_by = 'w'").groupBy("medium_hash", b.alias("bucket")).agg(F.count("*").alias("n"), F.round(F.sum("size").cast("double") / 1048576, 1).alias("total_mb"))
+
+
+@query("""SELECT medium_hash, CASE WHEN size = 0 THEN 'empty' WHEN size < 1024 THEN '<1KB' WHEN size < 1048576 THEN '1KB-1MB' WHEN size < 10485760 THEN '1MB-10MB' WHEN size < 104857600 THEN '10MB-100MB' ELSE '>100MB' END AS size_range, count(*) AS count, CAST(sum(size) AS BIGINT) AS total_bytes FROM inode WHERE fs_type = 'f' GROUP BY ALL""")
+def size_buckets(k):
+    s = F.col("size")
+    label = F.when(s == 0, "empty").when(s < 1024, "<1KB").when(s < 1048576, "1KB-1MB").when(s < 10485760, "1MB-10MB").when(s < 104857600, "10MB-100MB").otherwise(">100MB")
+    rows = k.inode.where("fs_type = 'f'").groupBy("medium_hash", label.alias("size_range")).agg(F.count("*").alias("count"), F.sum("size").alias("total_bytes"))
+    return rows.orderBy("medium_hash", F.when(F.col("size_range") == "empty", 1).when(F.col("size_range") == "<1KB", 2).when(F.col("size_range") == "1KB-1MB", 3).when(F.col("size_range") == "1MB-10MB", 4).when(F.col("size_range") == "10MB-100MB", 5).otherwise(6))
+
+
+@query("""WITH g AS (SELECT *, NOT copied AND claimed_by IS NULL AND message IS NOT NULL AND len(errors) >= 5 AS stop, contains(message, 'I/O error') OR contains(message, 'beyond EOF') AS hard FROM inode)
+SELECT copied OR stop AS copied, CASE WHEN stop THEN 'MAX_RETRIES_EXCEEDED' ELSE claimed_by END AS claimed_by, CASE WHEN stop THEN CASE WHEN hard THEN 'failed_permanent' ELSE 'failed_retryable' END ELSE status END AS status,
+ CASE WHEN stop THEN CASE WHEN hard THEN 'io_error' ELSE 'unknown' END ELSE error_type END AS error_type, count(*) AS n FROM g WHERE message IS NOT NULL GROUP BY ALL""")
 def given_up(k):
-    return queue.give_up(k.inode.where("message is not null")).groupBy("status", "claimed_by").agg(F.count("*").alias("n"))
+    return queue.give_up(k.inode.where("message is not null")).groupBy("copied", "claimed_by", "status", "error_type").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT medium_hash, i.copied OR coalesce(m.health = 'failed', FALSE) AS copied, CASE WHEN m.health = 'failed' AND NOT i.copied THEN 'EXCLUDED: bad_health' ELSE claimed_by END AS claimed_by, count(*) AS n FROM inode i LEFT JOIN medium m USING (medium_hash) GROUP BY ALL""")
+def refused_media(k):
+    return queue.refuse_failed_media(k.inode, k.medium).groupBy("medium_hash", "copied", "claimed_by").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT id, len(errors) + 1 AS n_errors, 'OSError: ' || substr(message, 1, 200) AS latest FROM (SELECT *, coalesce(message, 'odd') AS m FROM inode) WHERE message IS NOT NULL AND id % 3 = 0""")
+def transient_failures(k):
+    new = k.inode.where("message is not null and id % 3 = 0").select("id", "message", F.lit("OSError").alias("exception"))
+    done = queue.mark_failure(k.inode, new)
+    return done.join(new.select("id"), "id", "left_semi").select("id", F.size("errors").cast("long").alias("n_errors"), F.element_at("errors", -1).alias("latest"))
+
+
+@query("SELECT id, TRUE AS copied, CASE WHEN error_type = 'io_error' THEN 'failed_permanent' ELSE 'failed_retryable' END AS status, error_type, CAST(NULL AS VARCHAR) AS claimed_by FROM inode WHERE message IS NOT NULL AND NOT copied")
+def classified_failures(k):
+    end = k.inode.where("message is not null and not copied").select("id", "message", F.lit(None).cast("string").alias("exception"))
+    return queue.mark_classified(k.inode, end).join(end.select("id"), "id", "left_semi").select("id", "copied", "status", "error_type", "claimed_by")
 
 
-@query("SELECT p.path, CASE WHEN p.exclude_reason IS NULL THEN i.blobid ELSE p.blobid END AS blobid FROM path p JOIN inode i ON p.medium_hash = i.medium_hash AND p.ino = i.ino WHERE p.ino < 200")
+@query("SELECT p.path, CASE WHEN p.exclude_reason IS NULL THEN i.blobid ELSE p.blobid END AS blobid FROM path p JOIN inode i ON p.medium_hash = i.medium_hash AND p.ino = i.ino")
 def propagated_blobs(k):
-    return queue.propagate_blobs(k.path.where("ino < 200"), k.inode).select("path", "blobid")
+    return queue.propagate_blobs(k.path, k.inode).select("path", "blobid")
 
 
-@query("SELECT medium_hash, greatest(0, CAST(sum(CASE WHEN NOT copied AND claimed_by IS NULL THEN 1 ELSE 0 END) - 3 AS BIGINT)) AS unclaimed_count FROM inode GROUP BY 1")
-def queue_stats_upsert(k):
-    from quarry.operators.ingest import queue_stats
+@query("WITH lost AS (SELECT blobid, count(*) AS n FROM inode WHERE status = 'success' AND blobid IS NOT NULL AND blobid NOT IN (SELECT blobid FROM blobs) GROUP BY 1) SELECT blobid, n_hardlinks FROM blobs UNION ALL SELECT * FROM lost")
+def backfilled_orphans(k):
+    return queue.backfill_orphans(k.blobs.select("blobid", "n_hardlinks"), k.inode)
 
-    stats = queue_stats(k.inode)
-    return queue.upsert_counts(stats, stats.select("medium_hash", F.lit(-3).cast("long").alias("delta")))
+
+@query("SELECT blobid, n_hardlinks FROM blobs UNION ALL SELECT DISTINCT blobid, 0 FROM inode WHERE blobid IS NOT NULL AND blobid NOT IN (SELECT blobid FROM blobs)")
+def backfilled_missing(k):
+    return queue.register_blobs(k.blobs.select("blobid", "n_hardlinks"), k.inode, counted=False)
+
+
+@query("WITH b AS (SELECT *, row_number() OVER (PARTITION BY medium_hash ORDER BY id) AS rn FROM inode WHERE NOT copied AND claimed_by IS NULL) SELECT b.id, b.medium_hash, coalesce(string_agg(DISTINCT p.path, ',' ORDER BY p.path), '') AS paths FROM b LEFT JOIN path p ON p.medium_hash = b.medium_hash AND p.ino = b.ino AND p.exclude_reason IS NULL WHERE rn <= 3 GROUP BY b.id, b.medium_hash")
+def planned_batch(k):
+    return queue.plan_batch(k.inode, k.path, 3).select("id", "medium_hash", F.coalesce(F.array_join("paths", ","), F.lit("")).alias("paths"))
+
+
+@query("""SELECT medium_hash, round(count(*) FILTER (WHERE status LIKE 'failed%') / count(*), 3) AS error_rate, count(*) FILTER (WHERE status LIKE 'failed%') AS errors, count(*) AS processed, 0.05::DOUBLE AS threshold FROM inode GROUP BY 1 HAVING count(*) >= 5 AND count(*) FILTER (WHERE status LIKE 'failed%') / count(*) > 0.05""")
+def media_above_error_rate(k):
+    return queue.high_error_rate(k.inode.select("medium_hash", F.col("status").startswith("failed").alias("failed")), least=5, most=0.05)
+
+
+@query("SELECT id, medium_hash, status, error_type FROM inode WHERE status LIKE 'failed%' AND medium_hash = 'src3'")
+def failures_of_a_medium(k):
+    return queue.failures(k.inode, "src3").select("id", "medium_hash", "status", "error_type")
+
+
+@query("WITH t AS (SELECT unnest(errors) AS error, unnest(range(1, len(errors) + 1)) AS place, id FROM inode WHERE message IS NOT NULL) SELECT place, error, count(*) AS n FROM t GROUP BY ALL")
+def errors_by_place(k):
+    """Parallel arrays zipped and exploded."""
+    both = F.arrays_zip(F.col("errors").alias("error"), F.sequence(F.lit(1).cast("long"), F.size("errors").cast("long")).alias("place"))
+    return k.inode.where("message is not null").select(F.explode(both).alias("z")).groupBy("z.place", "z.error").agg(F.count("*").alias("n"))

@@ -14,8 +14,9 @@ def streaming_queue_counts(k):
     return counters.queue_counts(events.select(F.col("event_type").alias("key"), F.when(F.col("event_id") % 3 == 0, -1).otherwise(1).alias("delta")))
 
 
-@query(None)
+@query("""WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events) SELECT CAST(epoch_us(date_trunc('hour', ts)) // 1000000 AS BIGINT) AS start, event_type, count(*) AS n FROM events, m WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark GROUP BY ALL""", on_catalog=False)
 def streaming_windows(k):
+    """Windows that the watermark has closed when all files are read."""
     return counters.drained(counters.windowed(counters.stream(k.spark, f"{k.sf_dir}/events.parquet")), "windows")
 
 
@@ -25,3 +26,17 @@ def streaming_retries(k):
     events = counters.stream(k.spark, f"{k.sf_dir}/events.parquet").select(F.col("event_type").alias("medium_hash"), F.col("user_id").alias("ino"))
     rows = counters.drained(counters.retries(events), "retries")
     return rows.groupBy("medium_hash", "ino").agg(F.max(F.struct("retries", "action")).alias("r")).select("medium_hash", "ino", "r.*")
+
+
+@query("""SELECT event_type AS medium_hash, round(count(*) FILTER (WHERE event_id % 4 = 0) / count(*), 3) AS error_rate, count(*) FILTER (WHERE event_id % 4 = 0) AS errors, count(*) AS processed, 0.1::DOUBLE AS threshold FROM events GROUP BY 1 HAVING count(*) >= 100 AND count(*) FILTER (WHERE event_id % 4 = 0) / count(*) > 0.1""", on_catalog=False)
+def streaming_error_rates(k):
+    """Here the whole input is one batch."""
+    events = counters.stream(k.spark, f"{k.sf_dir}/events.parquet")
+    return counters.error_rate_flags(events.select(F.col("event_type").alias("medium_hash"), (F.col("event_id") % 4 == 0).alias("failed")))
+
+
+@query(None)
+def streaming_rates(k):
+    """Tested against a plain fold: the twin would recurse once for each event."""
+    events = counters.stream(k.spark, f"{k.sf_dir}/events.parquet")
+    return counters.drained(counters.smoothed_rates(events.select(F.col("event_type").alias("key"), F.col("event_id").alias("at"), F.col("value").alias("rate"))), "emas")

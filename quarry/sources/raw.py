@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as c
@@ -63,7 +64,31 @@ def read_patterns(spark: SparkSession, path: str) -> list[str]:
 
 
 def carved(spark: SparkSession, root: str, medium: str) -> DataFrame:
-    """Files below a folder as inodes with dev 1, one link and numbers in path order."""
+    """Files below a folder as inodes with dev 1, one link and numbers in path order.
+
+    The files are sorted by range; a file's number is its place in its partition and
+    the number of files in those before, a small table.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", F.unix_seconds("modificationTime").alias("mtime"))
-    ordered = files.orderBy("path").rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[0][2], x[1] + 1)).toDF("path string, size long, mtime long, ino long")
-    return ordered.select(F.lit(medium).alias("medium_hash"), F.lit(1).cast("long").alias("dev"), "ino", F.lit(1).alias("nlink"), "size", "mtime", F.lit("f").alias("fs_type"), "path")
+    placed = files.orderBy("path").select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("own"))
+    placed = placed.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else placed.persist()  # the places stay as they are
+    n = placed.groupBy("part").agg(F.count("*").alias("n"))
+    before = n.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return placed.join(before, "part").select(F.lit(medium).alias("medium_hash"), F.lit(1).cast("long").alias("dev"), (F.col("own") + F.col("before") + 1).alias("ino"), F.lit(1).alias("nlink"), F.col("length").alias("size"), "mtime", F.lit("f").alias("fs_type"), "path")
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """A file of ids, one a line: (value)."""
+    return spark.read.text(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A report's table as it was exported: CSV with a header, or JSON lines, by the name."""
+    reader = spark.read.schema(schema)
+    return reader.option("header", True).csv(path) if path.rstrip("/").endswith(".csv") else reader.json(path)
+
+
+def enumerated(spark: SparkSession, root: str) -> DataFrame:
+    """Files below a folder as raw records (see ``read_raw``): device, inode and links are what a file store does not tell, so 0, a number and 1."""
+    own = carved(spark, root, "")
+    return own.select("fs_type", F.lit("0").alias("dev"), *(F.col(x).cast("string").alias(x) for x in ("ino", "nlink", "size", "mtime")), "path")

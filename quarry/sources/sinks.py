@@ -17,6 +17,28 @@ def write_media(rows: DataFrame, path: str, mode: str = "replace") -> None:
         raise ValueError(f"unknown mode {mode!r}")
 
 
+def copy_media(rows: DataFrame, path: str) -> DataFrame:
+    """Write all media partitioned, read them back, and compare: (medium_hash, old_n, new_n, same)."""
+    from quarry.operators.integrity import reconcile
+
+    count = lambda df: df.groupBy("medium_hash").agg(F.count("*").alias("n"))
+    write_media(rows, path)
+    return reconcile(count(rows), count(rows.sparkSession.read.parquet(path)), "medium_hash")
+
+
+def refresh_search(paths: DataFrame, path: str) -> None:
+    """Rewrite the search projection, sorted by filename in ranges, so that a search reads few files."""
+    from quarry.operators.ingest import path_search
+
+    path_search(paths).repartitionByRange(F.col("filename")).sortWithinPartitions("filename").write.mode("overwrite").parquet(path)
+
+
+def drop_medium(spark, path: str, medium_hash: str) -> None:
+    """Delete a medium's partition of a table; an absent one is no error."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/medium_hash={medium_hash}")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def insert_absent(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``table`` and the rows of ``new`` whose key it lacks, each key once."""
     return table.unionByName(new.dropDuplicates(keys).join(table.select(*keys), keys, "left_anti"), allowMissingColumns=True)

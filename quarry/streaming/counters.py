@@ -19,8 +19,12 @@ from quarry.functions import columns as c
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared one; of this process where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quarry-stream-")
+    """A new folder below the cluster's shared one; on one machine, of this process where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="quarry-stream-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -64,13 +68,20 @@ def windowed(events: DataFrame, late: str = "10 minutes", width: str = "1 hour")
     return counted.select(F.unix_seconds("w.start").alias("start"), "event_type", "n")
 
 
-def retries(failures: DataFrame, checkpoint: int = c.CHECKPOINT, most: int = c.MAX_RETRIES) -> DataFrame:
-    """(medium_hash, ino, retries, action) per batch and key: a counter in state, checkpoint and give-up at their thresholds."""
+def retries(failures: DataFrame, checkpoint: int = c.CHECKPOINT, most: int = c.MAX_RETRIES, degraded: int = 5) -> DataFrame:
+    """(medium_hash, ino, retries, action) per batch and key: a counter in state, checkpoint and give-up at their thresholds.
+
+    If ``failures`` has a column ``health``, media without one are degraded: both thresholds are ``degraded`` there.
+    """
+    known = "health" in failures.columns
 
     def count(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = (state.get[0] if state.exists else 0) + sum(len(r) for r in rows)
+        parts = list(rows)
+        n = (state.get[0] if state.exists else 0) + sum(len(r) for r in parts)
         state.update((n,))
-        yield pd.DataFrame({"medium_hash": [key[0]], "ino": [key[1]], "retries": [n], "action": ["give_up" if n >= most else "diagnose" if n >= checkpoint else "retry"]})
+        bad = known and all(r["health"].isna().all() for r in parts)
+        most_, checkpoint_ = (degraded, degraded) if bad else (most, checkpoint)
+        yield pd.DataFrame({"medium_hash": [key[0]], "ino": [key[1]], "retries": [n], "action": ["give_up" if n >= most_ else "diagnose" if n >= checkpoint_ else "retry"]})
 
     return failures.groupBy("medium_hash", "ino").applyInPandasWithState(count, "medium_hash string, ino bigint, retries bigint, action string", "n bigint", "append", GroupStateTimeout.NoTimeout)
 
@@ -79,3 +90,42 @@ def log_status(lines: DataFrame) -> DataFrame:
     """Status of each stage of a tailed log of (stage, event): failed beats done beats running."""
     e = F.col("event")
     return lines.groupBy("stage").agg(F.max(F.when(e == "failed", 3).when(e == "done", 2).otherwise(1)).alias("s")).select("stage", F.when(F.col("s") == 3, "failed").when(F.col("s") == 2, "done").otherwise("running").alias("status"))
+
+
+def until_idle(poll, most_empty: int = 3) -> int:
+    """Call ``poll`` (the number of rows that it took) until it has come back empty so many times in a row; all rows."""
+    taken = empty = 0
+    while empty < most_empty:
+        n = poll()
+        taken, empty = taken + n, 0 if n else empty + 1
+    return taken
+
+
+def smoothed_rates(deltas: DataFrame, alpha: float = 0.3) -> DataFrame:
+    """(key, at, ema) of a stream of (key, at, rate): the average after each rate, its last value in state.  Rows of a batch go in order of ``at``."""
+
+    def fold(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        own = pd.concat(list(rows)).sort_values("at", kind="stable")
+        last, out = state.get[0] if state.exists else None, []
+        for rate in own["rate"]:
+            last = rate if last is None else alpha * rate + (1 - alpha) * last
+            out.append(last)
+        state.update((last,))
+        yield pd.DataFrame({"key": key[0], "at": own["at"].to_numpy(), "ema": out})
+
+    return deltas.groupBy("key").applyInPandasWithState(fold, "key string, at bigint, ema double", "last double", "append", GroupStateTimeout.NoTimeout)
+
+
+def error_rate_flags(results: DataFrame, name: str = "rates", least: int = 100, most: float = 0.1) -> DataFrame:
+    """(medium_hash, error_rate, errors, processed, threshold), one row for each medium of a stream of (medium_hash, failed) that was above the rate after some batch: the first such one."""
+
+    def watch(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        errors, n, told = state.get if state.exists else (0, 0, False)
+        for r in rows:
+            errors, n = errors + int(r["failed"].sum()), n + len(r)
+        now = not told and n >= least and errors / n > most
+        state.update((errors, n, told or now))
+        yield pd.DataFrame({"medium_hash": [key[0]] * now, "error_rate": [round(errors / n, 3)] * now, "errors": [errors] * now, "processed": [n] * now, "threshold": [most] * now})
+
+    kind = "medium_hash string, error_rate double, errors bigint, processed bigint, threshold double"
+    return drained(results.groupBy("medium_hash").applyInPandasWithState(watch, kind, "errors bigint, n bigint, told boolean", "append", GroupStateTimeout.NoTimeout), name)
