@@ -32,6 +32,7 @@ from quarry.llm import _text
 from quarry.llm._scratch import Scratch, arrow
 
 MAX_LENGTH, BUCKETS, BUDGET = 2048, 8, 65536
+MOST_BROADCAST = 1_000_000  # rows of 16 bytes
 
 
 def optimal_boundaries(histogram: dict[int, int], buckets: int) -> tuple[list[int], int]:
@@ -115,7 +116,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
     scratch.drop("pieces")
     counts = ranked.groupBy("task", "bucket").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(W.partitionBy("bucket").orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("task", "bucket", before.alias("before"))
+    offsets = scratch.keep(counts.select("task", "bucket", before.alias("before")), "offsets")
+    if offsets.count() <= MOST_BROADCAST:  # a row for each task and bucket; the texts are not shuffled then
+        offsets = F.broadcast(offsets)
     placed = ranked.join(offsets, ["task", "bucket"])
     each = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("bucket"), F.lit(1))))
     return placed.select("doc_id", "piece", "n_tokens", "start", "end", "text", "bucket", F.floor((F.col("before") + F.col("rank")) / each).cast("long").alias("batch"), (F.col("bucket") - F.col("n_tokens")).alias("padding"))
