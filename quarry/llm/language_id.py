@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import _text
-from quarry.llm._scratch import arrow
+from quarry.llm._scratch import Scratch, arrow
+
+MOST_BROADCAST = 100_000
 
 _MAYBE = re.compile(r"[^\W\d_]")
 #: other bytes than letters (ASCII) become a space
@@ -119,7 +121,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         df[dim] = n
     idf = np.log((1 + df[dims]) / (1 + df[:dims])) + 1
     # a sample of about per_language documents each, by the hash of the id
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = Scratch(docs.sparkSession, "language").keep(rows.groupBy("lang").agg(F.count("*").alias("n")), "counts")
+    if counts.count() <= MOST_BROADCAST:  # a row a language; the texts are not shuffled then
+        counts = F.broadcast(counts)
     share = F.least(F.lit(1.0), F.lit(per_language) / F.col("n")) * 2.0**32
     picked = rows.join(counts, "lang").where(F.crc32(F.concat(F.lit("sample"), F.col("id"))) < share).select("lang", "text")
 
