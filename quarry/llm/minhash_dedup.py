@@ -156,7 +156,8 @@ def unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     scratch = Scratch(docs.sparkSession, "unique")
     found = scratch.keep(components_of(docs.select(*key, text.alias("text")), "id", "text", shingle, percent, carry=("k1", "k2")).where("n > 0"), "components")
     first = found.groupBy("component").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
-    rows = found.groupBy("component", F.col("doc_id").alias("id"), "k1", "k2").agg(F.count("*").alias("n"))
+    # written, so that the join with ``first`` reads two exchanges and adaptive execution can split a large component
+    rows = scratch.keep(found.groupBy("component", F.col("doc_id").alias("id"), "k1", "k2").agg(F.count("*").alias("n")), "rows")
     state = rows.join(first, "component").select("id", "k1", "k2", (F.struct("id", "k1", "k2") != F.struct("first.*")).alias("gone"), (F.col("n") > 1).alias("several")).where("gone or several")
     marked = docs.select(F.struct(*columns).alias("r"), *key).join(state, ["id", "k1", "k2"], "left")
     one = marked.where("several and not gone").dropDuplicates(["id", "k1", "k2"]).select("r")
@@ -211,6 +212,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         joined = components(scratch, edges, "second")
 
     group = reps.select("h1", "h2", "doc_id", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group"))
+    group = scratch.keep(group, "groups")  # written, so that the join below can split a large group
     least = group.groupBy("group").agg(F.min("doc_id").alias("component"))
     group = group.drop("doc_id").join(least, "group").drop("group")
     alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.col("doc_id").alias("component"), *carry)
