@@ -19,6 +19,14 @@ MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = np.uint64(0x100000001B3)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying; a null is an empty text."""
     col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col

@@ -234,12 +234,12 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
         yield sorted(held)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES, **how: float) -> DataFrame:
-    """Every row of ``docs`` and ``__hits``: array of (item, start, end, edits), byte offsets of the verified regions."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES, hits_col: str = "__hits", **how: float) -> DataFrame:
+    """Every row of ``docs`` and ``hits_col``: array of (item, start, end, edits), byte offsets of the verified regions."""
     sc = docs.sparkSession.sparkContext
     hit = T.ArrayType(T.StructType([T.StructField("item", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("start", "end", "edits"))]))
     kind = pa.list_(pa.struct([("item", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
-    columns = [c for c in docs.columns if c != "__hits"]
+    columns = [c for c in docs.columns if c != hits_col]
     # the input's columns travel in one struct, so that no name of theirs meets one of ours
     out = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), F.lit(True).alias("maybe"), F.array().cast(hit).alias("hits"))
     held, least, any_of = [], None, np.zeros(1 << _ALL_BITS >> 3, np.uint8)
@@ -279,9 +279,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(own, kind)], names=b.schema.names)
 
         out = arrow(out, run, out.schema)
-    return out.select(*(F.col(f"r.`{c}`") for c in columns), F.col("hits").alias("__hits"))
+    return out.select(*(F.col(f"r.`{c}`") for c in columns), F.col("hits").alias(hits_col))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how: float) -> DataFrame:
     """The rows of ``docs`` without a hit, with their own columns."""
-    return contaminated(docs, benchmark, **how).where(F.size("__hits") == 0).select(*(F.col(f"`{c}`") for c in docs.columns if c != "__hits"))
+    hits = _text.free_name("__hits", docs.columns)
+    return contaminated(docs, benchmark, hits_col=hits, **how).where(F.size(hits) == 0).drop(hits)

@@ -14,7 +14,7 @@ shuffle join that adaptive execution can split on a hot host.
 Defined results: a null text stays null with 0 lines, an empty text stays
 empty; a null host is a host of its own, apart from the empty one; repeated rows
 are pages each; an empty table gives an empty result; other columns are carried
-along, whatever their names (one called ``__line_dedup`` is replaced).
+along, whatever their names (one called like the result is replaced).
 """
 
 from __future__ import annotations
@@ -70,9 +70,9 @@ def _without(lines: Column, key: Column, drop: Column) -> Column:
     return F.transform(F.array(marked), kept)[0]
 
 
-def line_dedup(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """Each row of ``pages`` and a struct ``__line_dedup`` (host, text, n_lines, n_dropped, clean)."""
-    columns = [c for c in pages.columns if c != "__line_dedup"]
+def line_dedup(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES, most_broadcast: int = MOST_BROADCAST, out_col: str = "__line_dedup") -> DataFrame:
+    """Each row of ``pages`` and a struct ``out_col`` (host, text, n_lines, n_dropped, clean)."""
+    columns = [c for c in pages.columns if c != out_col]
     # the input's columns travel in one struct, so that no name of theirs meets one of ours
     work = pages.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("r"), host.alias("host"), _key(host).alias("key"), text.alias("text"))
     found = boilerplate(work.select("key", "text"), ratio, least_pages)
@@ -86,4 +86,4 @@ def line_dedup(pages: DataFrame, host: Column, text: Column, ratio: float = RATI
     n_all = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
     n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("kept"))
     page = F.struct("host", "text", n_all.alias("n_lines"), (n_all - n_kept).alias("n_dropped"), F.array_join("kept", "\n").alias("clean"))
-    return joined.select(*(F.col(f"r.`{c}`") for c in columns), page.alias("__line_dedup"))
+    return joined.select(*(F.col(f"r.`{c}`") for c in columns), page.alias(out_col))

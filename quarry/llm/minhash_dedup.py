@@ -155,17 +155,20 @@ def unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"), F.xxhash64(F.lit(1), F.coalesce(text, F.lit(""))).alias("k2")]
     scratch = Scratch(docs.sparkSession, "unique")
     found = scratch.keep(components_of(docs.select(*key, text.alias("text")), "id", "text", shingle, percent, carry=("k1", "k2")).where("n > 0"), "components")
-    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
+    first = found.groupBy("group").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
     # written, so that the join with ``first`` reads two exchanges and adaptive execution can split a large component
-    rows = scratch.keep(found.groupBy("component", F.col("doc_id").alias("id"), "k1", "k2").agg(F.count("*").alias("n")), "rows")
-    state = rows.join(first, "component").select("id", "k1", "k2", (F.struct("id", "k1", "k2") != F.struct("first.*")).alias("gone"), (F.col("n") > 1).alias("several")).where("gone or several")
+    rows = scratch.keep(found.groupBy("group", F.col("doc_id").alias("id"), "k1", "k2").agg(F.count("*").alias("n")), "rows")
+    state = rows.join(first, "group").select("id", "k1", "k2", (F.struct("id", "k1", "k2") != F.struct("first.*")).alias("gone"), (F.col("n") > 1).alias("several")).where("gone or several")
     marked = docs.select(F.struct(*columns).alias("r"), *key).join(state, ["id", "k1", "k2"], "left")
     one = marked.where("several and not gone").dropDuplicates(["id", "k1", "k2"]).select("r")
     return marked.where("gone is null").select("r").unionByName(one).select(*(F.col(f"r.`{c}`") for c in docs.columns))
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n, h1, h2, component) of every row and its columns ``carry``; (h1, h2) names its set."""
+    """(doc_id, n, h1, h2, group, component) of every row and its columns ``carry``.
+
+    (h1, h2) names its set, ``group`` (null for an empty set) what it is linked with; ids that repeat can make two groups one ``component``.
+    """
     scratch = Scratch(docs.sparkSession, "minhash")
     source, t = _source(docs, id_col, text_col), least_matches(percent / 100)
     signed = scratch.keep(_signatures(_source(docs, id_col, text_col, carry), shingle, carry), "signatures")
@@ -214,10 +217,10 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     group = reps.select("h1", "h2", "doc_id", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group"))
     group = scratch.keep(group, "groups")  # written, so that the join below can split a large group
     least = group.groupBy("group").agg(F.min("doc_id").alias("component"))
-    group = group.drop("doc_id").join(least, "group").drop("group")
-    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.col("doc_id").alias("component"), *carry)
+    group = group.drop("doc_id").join(least, "group")
+    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("component"), *carry)
     scratch.drop("prefixes", "star", "sets", "members", "links-1", "links-2")
-    return signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "h1", "h2", "component", *carry).unionByName(alone)
+    return signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "h1", "h2", "group", "component", *carry).unionByName(alone)
 
 
 def _confirm(pairs: DataFrame, full: DataFrame, percent: int, t: int) -> DataFrame:
