@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, line_dedup, minhash_dedup, packing, quality
 from quarry.llm._scratch import Scratch
+from quarry.llm._text import free_name
 
 #: near-duplicate groups, decontamination and classification have no SQL form; tests hold the stages against brute force
 ORACLE_SQL = None
@@ -20,7 +21,8 @@ ORACLE_SQL = None
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the discriminant gives class 1 with 0.3 at least; null and empty texts are scored like any other."""
     model = quality.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.annotate(docs, model, score_col="__quality").where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
+    score = free_name("__quality", docs.columns)
+    return quality.annotate(docs, model, score_col=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +30,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text stays null, a null source is a source of its own, ``n_chars`` follows the text.
     """
-    done = line_dedup.line_dedup(docs, F.col("source"), F.col("text"))
-    clean = F.when(F.trim(F.translate("__line_dedup.clean", "\n", "")) == "", F.col("text")).otherwise(F.col("__line_dedup.clean"))
-    done = done.withColumn("text", F.when(F.col("__line_dedup.n_dropped") > 0, clean).otherwise(F.col("text"))).drop("__line_dedup")
+    own = free_name("__lines", docs.columns)
+    done = line_dedup.line_dedup(docs, F.col("source"), F.col("text"), out_col=own)
+    clean = F.when(F.trim(F.translate(f"{own}.clean", "\n", "")) == "", F.col("text")).otherwise(F.col(f"{own}.clean"))
+    done = done.withColumn("text", F.when(F.col(f"{own}.n_dropped") > 0, clean).otherwise(F.col("text"))).drop(own)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 
