@@ -1,5 +1,8 @@
 """Operators, sources and transitions on small frames."""
 
+import os
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,15 +49,21 @@ def test_resets(state):
 def test_outcomes(spark, state):
     done = queue.mark_success(queue.claim(state, 1, "w"), spark.createDataFrame([(3, "blob", "text/plain")], "id long, blob string, mime string"))
     assert [tuple(r) for r in done.where("id = 3").select("blobid", "status", "copied", "claimed_by", "mime_type").collect()] == [("blob", "success", True, None, "text/plain")]
-    bad = queue.mark_failure(state, spark.createDataFrame([(4, "Input/output error", "OSError")], "id long, message string, exception string")).where("id = 4").first()
-    assert (bad.errors, bad.status, bad.error_type) == (["Input/output error"], "failed_permanent", "io_error")
+    failed = spark.createDataFrame([(4, "Input/output error", "OSError")], "id long, message string, exception string")
+    bad = queue.mark_failure(state.withColumn("claimed_by", F.lit("w")), failed).where("id = 4").first()
+    assert (bad.errors, bad.status, bad.error_type, bad.claimed_by, bad.copied) == (["OSError: Input/output error"], "pending", None, None, False)
+    end = queue.mark_classified(state, failed).where("id = 4").first()
+    assert (end.errors, end.status, end.error_type, end.copied) == (None, "failed_permanent", "io_error", True)
+    assert [r.id for r in queue.failures(state, "m").where("error_type = 'unknown'").collect()] == [9] and queue.failures(state, "other").count() == 0
     assert queue.claim(state, 1, "w").where("claimed_by = 'w'").select("id").collect()[0][0] == 3
 
 
 def test_repeated_errors(spark):
-    df = spark.createDataFrame([(1, False, ["a", "a", "a"], None, "pending"), (2, False, ["a", "b", "a"], None, "pending"), (3, False, ["x"] * 4 + ["I/O error"], None, "pending"), (4, False, None, None, "pending")], "id long, copied boolean, errors array<string>, claimed_by string, status string")
-    assert [r[0] for r in queue.exclude_repeated(df).where("claimed_by is not null").select("id").collect()] == [1]
-    assert [tuple(r) for r in queue.give_up(df).where("claimed_by is not null").select("id", "status").collect()] == [(3, "failed_permanent")]
+    kind = "id long, copied boolean, errors array<string>, claimed_by string, status string, error_type string"
+    df = spark.createDataFrame([(1, False, ["a", "a", "a"], None, "pending", None), (2, False, ["a", "b", "a"], None, "pending", None), (3, False, ["x"] * 4 + ["I/O error"], None, "pending", None), (4, False, None, None, "pending", None), (5, False, ["I/O error"] * 4 + ["odd"], None, "pending", None), (6, False, ["I/O error"] * 9, "w", "pending", None)], kind)
+    assert [r[0] for r in queue.exclude_repeated(df).where("claimed_by like 'EXCLUDED%'").select("id").collect()] == [1, 6]
+    stopped = queue.give_up(df).where("claimed_by = 'MAX_RETRIES_EXCEEDED'").select("id", "copied", "status", "error_type").collect()
+    assert [tuple(r) for r in stopped] == [(3, True, "failed_permanent", "io_error"), (5, True, "failed_retryable", "unknown")]  # 6 is claimed
 
 
 def test_raw_records_keep_every_byte(spark, tmp_path):
@@ -161,4 +170,119 @@ def test_refuse_failed_media_has_no_cap(spark):
     n = 100_050
     medium = spark.range(n).select(F.col("id").cast("string").alias("medium_hash"), F.lit("failed").alias("health"))
     inode = medium.select("medium_hash", F.lit(False).alias("copied"), F.lit(None).cast("string").alias("claimed_by"))
-    assert queue.refuse_failed_media(inode, medium).where("claimed_by = 'EXCLUDED'").count() == n
+    assert queue.refuse_failed_media(inode, medium).where("copied and claimed_by = 'EXCLUDED: bad_health'").count() == n
+
+
+def test_load(spark, tmp_path):
+    """Raw records to inodes, paths and counts; hardlinks are one inode, and an inode whose paths are all excluded is done."""
+    records = [("d", 1, "/"), ("f", 2, "/a"), ("f", 2, "/b"), ("f", 3, "/node_modules/x"), ("f", 4, "/c#"), ("f", 4, "/d"), ("l", 5, "/l")]
+    (tmp_path / "x.raw").write_bytes(b"".join("\x1c".join([k, "1", str(i), "1", "10", "99", p]).encode() + b"\0" for k, i, p in records))
+    inode, path, stats = ingest.load(raw.read_raw(spark, str(tmp_path / "x.raw")), "m", ["node_modules"])
+    assert {(r.ino, r.copied, r.claimed_by) for r in inode.collect()} == {(1, True, "NON_FILE"), (2, False, None), (3, True, "EXCLUDED"), (4, False, None), (5, True, "NON_FILE")}
+    assert tuple(ingest.load_counts(inode, path).first()) == ("m", 5, 2, 1, 2, 7, 2) and tuple(stats.first()) == ("m", 2, 5)
+    at = str(tmp_path / "inode")
+    assert sinks.copy_media(inode, at).where("same").count() == 1
+    sinks.drop_medium(spark, at, "m")
+    sinks.drop_medium(spark, at, "absent")
+    assert not list((tmp_path / "inode").glob("medium_hash=*"))
+    planned = queue.plan_batch(inode.withColumn("id", F.col("ino")), path, 1).select("ino", F.transform("paths", lambda x: x.cast("string")).alias("p")).collect()
+    assert [(r.ino, r.p) for r in planned] == [(2, ["/a", "/b"])]
+
+
+def test_search_projection(spark, tmp_path):
+    paths = spark.createDataFrame([("m", "/x/%d.txt" % i) for i in range(20)], "medium_hash string, path string")
+    for _ in range(2):  # a refresh replaces what was there
+        sinks.refresh_search(paths, str(tmp_path / "s"))
+    assert spark.read.parquet(str(tmp_path / "s")).where("filename = '7.txt' and parent = 'x'").count() == 1
+
+
+def test_reports_ids_and_enumeration(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b, \"c\"", 2)], "k string, n int")
+    sinks.export_csv(rows, str(tmp_path / "r.csv"))
+    sinks.export_json(rows, str(tmp_path / "r.json"))
+    for name in ("r.csv", "r.json"):
+        assert {tuple(r) for r in raw.read_report(spark, str(tmp_path / name), "k string, n int").collect()} == {("a", 1), ('b, "c"', 2)}
+    assert {tuple(r) for r in sinks.keyed_json(rows, "n").collect()} == {("1", '{"k":"a","n":1}'), ("2", '{"k":"b, \\"c\\"","n":2}')}
+    sinks.append_log(rows, str(tmp_path / "log"))
+    sinks.append_log(rows, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 4
+    (tmp_path / "ids").write_text(" x \n\ny\nx\nunknown\n")
+    blobs = spark.createDataFrame([("x",), ("y",), ("z",)], "blobid string")
+    assert {r.blobid for r in integrity.asked_blobs(blobs, raw.read_ids(spark, str(tmp_path / "ids"))).collect()} == {"x", "y"}
+    (tmp_path / "tree" / "d").mkdir(parents=True)
+    for n in ("b", "a", "c"):
+        (tmp_path / "tree" / "d" / n).write_text(n * 3)
+    found = raw.enumerated(spark, str(tmp_path / "tree")).orderBy("ino")
+    assert [(r.ino, r.size, r.path[-1]) for r in found.collect()] == [("1", "3", "a"), ("2", "3", "b"), ("3", "3", "c")] and tuple(found.columns) == raw.FIELDS
+    assert ingest.inodes(ingest.typed(found, "m")).count() == 3
+
+
+def test_selection_and_results(spark):
+    blobs = spark.createDataFrame([("a", 5), ("b", None), ("c", 1), ("d", None)], "blobid string, last_checked long")
+    inode = spark.createDataFrame([("a", 1), ("c", 9), ("c", 2), ("z", 99), ("b", None)], "blobid string, processed long")
+    pick = lambda mode, n, **how: [r.blobid for r in integrity.select_blobs(blobs, mode, n, inode=inode, **how).collect()]
+    assert pick("oldest", 3) == ["b", "d", "c"] and pick("newest", 5) == ["c", "a"] and pick("never", 5) == ["b", "d"]
+    assert pick("random", 2, share=0.0) == ["b", "d"] and set(pick("random", 4, share=1.0)) >= {"b", "d"}
+    with pytest.raises(ValueError):
+        integrity.select_blobs(blobs, "other", 1)
+    paths = spark.createDataFrame([("a", "/1"), ("a", "/2"), ("b", "/3")], "blobid string, path string")
+    got = {tuple(r) for r in integrity.verify(paths, spark.createDataFrame([("/1",), ("/3",)], "path string")).collect()}
+    assert got == {("a", 2, 1, False), ("b", 1, 0, True)}
+    assert {r.blobid for r in integrity.difference(blobs, inode, "blobid").collect()} == {"d"}
+    backup = spark.createDataFrame([("a", True, None), ("b", False, True), ("c", None, None)], "blobid string, external_copied boolean, external_copy_failed boolean")
+    assert [r.blobid for r in integrity.pending_backup(backup).collect()] == ["c"]
+
+
+def test_orphans_are_added_to(spark):
+    blobs = spark.createDataFrame([("a", 2)], "blobid string, n_hardlinks long")
+    inode = spark.createDataFrame([("a", "success"), ("b", "success"), ("b", "success"), ("c", "pending"), (None, "success")], "blobid string, status string")
+    assert {tuple(r) for r in queue.backfill_orphans(blobs, inode).collect()} == {("a", 2), ("b", 2)}
+    assert {tuple(r) for r in queue.register_blobs(blobs, inode, counted=False).collect()} == {("a", 2), ("b", 0), ("c", 0)}
+
+
+def files(spark, frame, at, n):
+    """A folder of n files that a stream reads one at a time."""
+    rows = frame.toArrow()
+    at.mkdir()
+    for i in range(n):
+        a, z = i * len(rows) // n, (i + 1) * len(rows) // n
+        pq.write_table(rows.slice(a, z - a), at / f"{i}.parquet")
+        os.utime(at / f"{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))  # a stream reads the oldest first
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(at))
+
+
+def test_streams_over_several_batches(spark, tmp_path):
+    rows = spark.createDataFrame([("ok", i % 2, "ok") for i in range(24)] + [("bad", 0, None)] * 6, "medium_hash string, ino long, health string")
+    got = counters.drained(counters.retries(files(spark, rows, tmp_path / "a", 5), checkpoint=8, most=12, degraded=5), "r").collect()
+    last = {(r.medium_hash, r.ino): (r.retries, r.action) for r in sorted(got, key=lambda r: r.retries)}
+    assert last == {("ok", 0): (12, "give_up"), ("ok", 1): (12, "give_up"), ("bad", 0): (6, "give_up")}
+    assert {r.action for r in got if r.medium_hash == "ok"} == {"retry", "diagnose", "give_up"}
+
+    rates = spark.createDataFrame([("k%d" % (i % 2), i, float(i * i % 7)) for i in range(20)], "key string, at long, rate double")
+    got = {(r.key, r.at): r.ema for r in counters.drained(counters.smoothed_rates(files(spark, rates, tmp_path / "b", 4)), "e").collect()}
+    for key in ("k0", "k1"):
+        ema = None
+        for r in sorted((r for r in rates.collect() if r.key == key), key=lambda r: r.at):
+            ema = r.rate if ema is None else 0.3 * r.rate + 0.7 * ema
+            assert got[key, r.at] == pytest.approx(ema)
+
+    results = spark.createDataFrame([("m", i % 3 == 0) for i in range(60)] + [("few", True)] * 5 + [("good", False)] * 60, "medium_hash string, failed boolean")
+    flags = counters.error_rate_flags(files(spark, results, tmp_path / "c", 6), least=20).collect()
+    assert [(r.medium_hash, r.processed >= 20, r.error_rate > 0.1) for r in flags] == [("m", True, True)]
+    assert [r.medium_hash for r in queue.high_error_rate(results, least=20).collect()] == ["m"]
+
+
+def test_polling_and_log_status(spark):
+    left = [3, 0, 2, 0, 0, 0, 9]
+    assert counters.until_idle(lambda: left.pop(0)) == 5 and left == [9]
+    lines = spark.createDataFrame([("load", "start"), ("load", "done"), ("copy", "start"), ("copy", "failed"), ("copy", "done"), ("scan", "start")], "stage string, event string")
+    assert {tuple(r) for r in counters.log_status(lines).collect()} == {("load", "done"), ("copy", "failed"), ("scan", "running")}
+
+
+def test_more_columns(spark):
+    value = lambda x: spark.range(1).select(x).first()[0]
+    assert str(value(c.day_of(F.lit(1735689599)))) == "2024-12-31" and str(value(c.day_of(F.lit(1735689600)))) == "2025-01-01"
+    assert value(c.content_hash(F.lit("abc"))).startswith("ba7816bf") and value(c.is_blob_id(c.content_hash(F.lit("abc"))))
+    assert value(c.grandparent_name(F.lit("/a/b/c.txt"))) == "a" and value(c.grandparent_name(F.lit("/b/c"))) is None
+    assert value(c.checkpoint_check(F.lit("Read beyond EOF"))) == "detected_beyond_eof" and value(c.checkpoint_check(F.lit("?"))) is None
+    assert value(c.verified(F.lit(True), F.array(), F.lit(None))) is True and value(c.verified(F.lit(True), F.array(F.lit("x")), F.lit(None))) is False
