@@ -114,10 +114,36 @@ def escape_path(path: Column) -> Column:
     return path
 
 
-def normalised_path(path: Column, mount: str | None = None) -> Column:
-    """Without a partition prefix (p1:) and, if given, the mount point."""
+def normalised_path(path: Column, mount: str | None = None, medium: Column | None = None) -> Column:
+    """Without a partition prefix (p1:) and, if given, the mount point and the medium's folder; written \\r and \\n are the characters."""
     out = F.regexp_replace(path, r"^p\d+:", "")
-    return F.when(out.startswith(mount.rstrip("/") + "/"), F.substring(out, len(mount.rstrip("/")) + 1, 1 << 20)).otherwise(out) if mount else out
+    for prefix in ([F.lit(mount.rstrip("/"))] if mount else []) + ([F.concat(F.lit("/"), medium)] if medium is not None else []):
+        out = F.when(F.startswith(out, F.concat(prefix, F.lit("/"))), F.substring(out, F.length(prefix) + 1, F.length(out))).otherwise(out)
+    for written, plain in (("\\r", "\r"), ("\\n", "\n")):
+        out = F.replace(out, F.lit(written), F.lit(plain))
+    return out
+
+
+def escaped_bytes(content: Column) -> Column:
+    """Bytes as text: a zero byte or one above 127 as a backslash and three octal digits, a backslash doubled."""
+    code = lambda ch: F.ascii(ch)
+    one = lambda ch: F.when(ch == "\\", "\\\\").when((code(ch) > 127) | (code(ch) == 0), F.concat(F.lit("\\"), F.lpad(F.conv(code(ch).cast("string"), 10, 8), 3, "0"))).otherwise(ch)
+    return F.array_join(F.transform(F.split(F.decode(content, "ISO-8859-1"), ""), one), "")
+
+
+#: what an empty file is, whatever its medium
+EMPTY_TYPE = "application/x-empty"
+
+
+def identity(size: Column, content: Column) -> Column:
+    """(blobid, mime_type) of a file; an empty one is never read."""
+    empty = F.struct(content_hash(F.lit("")).alias("blobid"), F.lit(EMPTY_TYPE).alias("mime_type"))
+    return F.when(size == 0, empty).otherwise(F.struct(content_hash(content).alias("blobid"), sniff_mime(content.cast("binary")).alias("mime_type")))
+
+
+def pretty_json(doc: Column) -> Column:
+    """A JSON document over several lines, keys in order."""
+    return F.to_json(F.from_json(doc, "map<string,variant>"), {"pretty": "true"})
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -119,3 +119,17 @@ def remark_preview(k):
 def content_identity(k):
     html = F.col("html")
     return k.table("pages").select(html.alias("content"), c.content_hash(html).alias("hash"), F.octet_length(html).cast("long").alias("n_bytes"), F.length(html).cast("long").alias("n_chars"))
+
+
+@query("SELECT p.medium_hash, count(DISTINCT p.ino) FILTER (WHERE exclude_reason IS NOT NULL) AS excluded_inodes, count(DISTINCT p.ino) FILTER (WHERE exclude_reason IS NULL) AS live_inodes, count(DISTINCT p.blobid) FILTER (WHERE exclude_reason IS NULL) AS live_blobs, count(DISTINCT p.path) AS paths FROM path p GROUP BY 1")
+def distinct_counts_filtered(k):
+    """Several distinct counts, each with a filter of its own, in one aggregation."""
+    when = lambda cond, x: F.count_distinct(F.when(cond, F.col(x)))
+    live = F.col("exclude_reason").isNull()
+    return k.path.groupBy("medium_hash").agg(when(~live, "ino").alias("excluded_inodes"), when(live, "ino").alias("live_inodes"), when(live, "blobid").alias("live_blobs"), F.count_distinct("path").alias("paths"))
+
+
+@query("SELECT medium_hash, medium_human FROM medium m WHERE EXISTS (SELECT 1 FROM path p WHERE p.medium_hash = m.medium_hash AND p.exclude_reason IS NULL AND starts_with(p.path, '/backup/'))")
+def media_with_backups(k):
+    hit = k.path.where(F.col("exclude_reason").isNull() & F.col("path").startswith("/backup/")).select("medium_hash")
+    return k.medium.join(hit, "medium_hash", "left_semi").select("medium_hash", "medium_human")

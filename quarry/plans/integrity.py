@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as c
@@ -27,11 +28,6 @@ def unreferenced_blobs(k):
     return k.blobs.join(k.inode.select("blobid"), "blobid", "left_anti").select("blobid")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)", on_catalog=False)
-def fk_violations(k):
-    return k.table("orders").join(k.table("customer").where("c_acctbal > 0"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("o_orderkey", "o_custkey")
-
-
 @query("SELECT i.medium_hash, count(*) AS n FROM inode i WHERE i.medium_hash IN (SELECT medium_hash FROM medium WHERE copy_done IS NULL) GROUP BY 1")
 def incomplete_semi(k):
     return k.inode.join(k.medium.where("copy_done is null").select("medium_hash"), "medium_hash", "left_semi").groupBy("medium_hash").agg(F.count("*").alias("n"))
@@ -46,19 +42,6 @@ def count_reconcile_full_outer(k):
     return integrity.reconcile(line.where("l_linenumber < 5").groupBy(F.col("l_returnflag").alias("k")).agg(F.count("*").alias("n")), line.groupBy(F.col("l_linestatus").alias("k")).agg(F.count("*").alias("n")), "k")
 
 
-@query("WITH a AS (SELECT id, size, blobid FROM inode ORDER BY id LIMIT 10), b AS (SELECT doc_id, n_chars, sha256(CASE WHEN doc_id % 7 = 2 THEN 'common' WHEN doc_id % 40 = 9 THEN 'shared' ELSE text END) AS h FROM documents ORDER BY doc_id LIMIT 10) SELECT bool_and(size = n_chars) AS sizes, bool_and(blobid IS NULL OR blobid = h) AS hashes, count(*) AS n FROM a JOIN b ON id = doc_id")
-def sample_bool_and(k):
-    a = k.inode.select("id", "size", "blobid").orderBy("id").limit(10)
-    b = k.table("documents").select(F.col("doc_id").alias("id"), "n_chars", c.content_hash(k.content()).alias("h")).orderBy("id").limit(10)
-    return a.join(b, "id").agg(F.bool_and(F.col("size") == F.col("n_chars")).alias("sizes"), F.bool_and(F.col("blobid").isNull() | (F.col("blobid") == F.col("h"))).alias("hashes"), F.count("*").alias("n"))
-
-
-@query("SELECT count(*) FILTER (WHERE status = 'success' AND blobid IS NULL AND fs_type = 'f') AS success_without_blob, count(*) FILTER (WHERE status = 'pending' AND copied) AS pending_copied, count(*) FILTER (WHERE status LIKE 'failed%' AND error_type IS NULL) AS failed_untyped FROM inode")
-def invalid_states(k):
-    s = F.col("status")
-    return k.inode.agg(F.count_if((s == "success") & F.col("blobid").isNull() & (F.col("fs_type") == "f")).alias("success_without_blob"), F.count_if((s == "pending") & F.col("copied")).alias("pending_copied"), F.count_if(s.startswith("failed") & F.col("error_type").isNull()).alias("failed_untyped"))
-
-
 @query("SELECT DISTINCT i.blobid FROM inode i WHERE substr(i.blobid, 1, 12) IN (SELECT substr(blobid, 1, 12) FROM blobs WHERE last_checked IS NULL)")
 def short_hash_lookup(k):
     short = k.blobs.where("last_checked is null").select(F.substring("blobid", 1, 12).alias("short"))
@@ -201,3 +184,48 @@ def medium_partition(k):
     at = counters.shared_folder(k.spark, "media")
     sinks.write_media(k.inode.select("medium_hash", "id", "ino", "size"), at)
     return k.spark.read.parquet(at).where("medium_hash = 'src3'").select("id", "ino", "size")
+
+
+@query("SELECT count(*) FILTER (WHERE status NOT IN ('pending', 'success', 'failed_retryable', 'failed_permanent')) AS bad_status, count(*) FILTER (WHERE error_type NOT IN ('path_error', 'io_error', 'hash_error', 'permission_error', 'unknown')) AS bad_error_type, count(*) FILTER (WHERE fs_type NOT IN ('d', 'f', 'l', 's', 'p', 'b', 'c', 'u')) AS bad_fs_type, count(*) FILTER (WHERE (status = 'success' AND blobid IS NULL) OR (status IN ('failed_retryable', 'failed_permanent') AND blobid IS NOT NULL)) AS invalid_states FROM inode")
+def invalid_states(k):
+    """Rows against each check of the state model; ``integrity.violations`` has the rows themselves."""
+    s = F.col("status")
+    outside = lambda x, allowed: F.count_if(F.col(x).isNotNull() & ~F.col(x).isin(*allowed))
+    wrong = ((s == "success") & F.col("blobid").isNull()) | (s.isin("failed_retryable", "failed_permanent") & F.col("blobid").isNotNull())
+    return k.inode.agg(outside("status", c.STATUSES).alias("bad_status"), outside("error_type", c.ERROR_TYPES).alias("bad_error_type"), outside("fs_type", c.FS_TYPES).alias("bad_fs_type"), F.count_if(wrong).alias("invalid_states"))
+
+
+@query("SELECT p.medium_hash, count(*) AS violations FROM path p LEFT JOIN (SELECT * FROM inode WHERE id % 29 <> 0) i ON p.medium_hash = i.medium_hash AND p.ino = i.ino WHERE i.ino IS NULL GROUP BY 1")
+def fk_violations(k):
+    """Paths without their inode, here with some inodes taken away."""
+    lost = k.path.join(k.inode.where("id % 29 <> 0").select("medium_hash", "ino"), ["medium_hash", "ino"], "left_anti")
+    return lost.groupBy("medium_hash").agg(F.count("*").alias("violations"))
+
+
+@query("""WITH o AS (SELECT medium_hash, count(*) AS a FROM inode GROUP BY 1), n AS (SELECT medium_hash, count(*) AS b FROM inode WHERE medium_hash <> 'src2' GROUP BY 1), op AS (SELECT medium_hash, count(*) AS x FROM path WHERE medium_hash <> 'src3' GROUP BY 1), np AS (SELECT medium_hash, count(*) AS y FROM path WHERE ino % 50 <> 0 GROUP BY 1)
+SELECT medium_hash, coalesce(a, 0) AS old_inodes, coalesce(b, 0) AS new_inodes, coalesce(x, 0) AS old_paths, coalesce(y, 0) AS new_paths, coalesce(a, 0) = coalesce(b, 0) AS inode_match, coalesce(x, 0) = coalesce(y, 0) AS path_match FROM o FULL OUTER JOIN n USING (medium_hash) FULL OUTER JOIN op USING (medium_hash) FULL OUTER JOIN np USING (medium_hash)""")
+def table_copies_reconciled(k):
+    """Old and new counts of two tables by medium, in a chain of full joins."""
+    count = lambda df, name: df.groupBy("medium_hash").agg(F.count("*").alias(name))
+    sides = [count(k.inode, "old_inodes"), count(k.inode.where("medium_hash <> 'src2'"), "new_inodes"), count(k.path.where("medium_hash <> 'src3'"), "old_paths"), count(k.path.where("ino % 50 <> 0"), "new_paths")]
+    out = sides[0]
+    for side in sides[1:]:
+        out = out.join(side, "medium_hash", "full")
+    out = out.na.fill(0)
+    return out.select("*", (F.col("old_inodes") == F.col("new_inodes")).alias("inode_match"), (F.col("old_paths") == F.col("new_paths")).alias("path_match"))
+
+
+@query("""WITH a AS (SELECT row_number() OVER (ORDER BY medium_hash, ino) AS i, medium_hash, ino, size, copied FROM inode ORDER BY medium_hash, ino LIMIT 10), b AS (SELECT row_number() OVER (ORDER BY medium_hash, ino) AS i, medium_hash, ino, size, copied FROM inode WHERE id % 3 <> 0 ORDER BY medium_hash, ino LIMIT 10)
+SELECT bool_and(a.medium_hash = b.medium_hash AND a.ino = b.ino AND a.size = b.size AND a.copied = b.copied) AS sample_matches, count(*) AS n FROM a JOIN b USING (i)""")
+def sample_bool_and(k):
+    """The first ten rows of two tables, side by side."""
+    first = lambda df, x: df.orderBy("medium_hash", "ino").limit(10).select(F.row_number().over(W.orderBy("medium_hash", "ino")).alias("i"), F.struct("medium_hash", "ino", "size", "copied").alias(x))
+    both = first(k.inode, "a").join(first(k.inode.where("id % 3 <> 0"), "b"), "i")
+    return both.agg(F.bool_and(F.col("a") == F.col("b")).alias("sample_matches"), F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT blobid) AS blobs, count(DISTINCT medium_hash) AS media, CAST(sum(size) AS BIGINT) AS bytes FROM matrix")
+def stored_matrix(k):
+    """The blob-medium table written and read back."""
+    kept = k.stored(counters.shared_folder(k.spark, "catalog"))
+    return kept.matrix.agg(F.count("*").alias("n_rows"), F.count_distinct("blobid").alias("blobs"), F.count_distinct("medium_hash").alias("media"), F.sum("size").alias("bytes"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as c
@@ -67,3 +68,70 @@ def checkpoint_checks(k):
 def listed_vs_stored(k):
     per = k.matrix.groupBy("blobid").agg(F.sum("size").alias("l"), F.max("size").alias("s")).agg(F.sum("l").alias("listed"), F.sum("s").alias("stored"))
     return per.crossJoin(k.inode.agg(F.count_if(F.col("nlink") > 1).alias("hardlinked")))
+
+
+def _diagnosed(name):
+    return F.get_json_object("diagnostics", f"$.{name}")
+
+
+@query("SELECT filesystem AS fs_type, count(*) AS count FROM medium GROUP BY 1 ORDER BY count DESC, fs_type")
+def filesystem_types(k):
+    kind = F.regexp_extract(_diagnosed("blkid"), "TYPE=([^ ]+)", 1)
+    return k.medium.where(_diagnosed("blkid").isNotNull()).groupBy(kind.alias("fs_type")).agg(F.count("*").alias("count")).orderBy(F.desc("count"), "fs_type")
+
+
+@query("SELECT medium_hash, medium_human FROM medium WHERE filesystem = 'hfsplus'")
+def hfs_images(k):
+    return k.medium.where(_diagnosed("blkid").like("%TYPE=hfsplus%")).select("medium_hash", "medium_human")
+
+
+@query("""SELECT medium_hash, CASE WHEN image_size_bytes < 10240 THEN image_size_bytes || ' bytes' WHEN (image_size_bytes // 512 + 1) // 2 < 10240 THEN ((image_size_bytes // 512 + 1) // 2) || ' kB' ELSE ((image_size_bytes // 524288 + 1) // 2) || ' MB' END AS size FROM medium ORDER BY image_size_bytes DESC, medium_hash LIMIT 10""")
+def image_sizes(k):
+    n = _diagnosed("image_size_bytes").cast("long")
+    return k.medium.where(n.isNotNull()).orderBy(F.desc(n), "medium_hash").limit(10).select("medium_hash", c.size_pretty(n).alias("size"))
+
+
+@query("SELECT extraction_method, count(*) AS archives, round(avg(files_extracted), 4) AS avg_files, CAST(sum(files_extracted) AS BIGINT) AS total_files FROM blobs WHERE extraction_status = 'complete' GROUP BY 1")
+def extraction_stats(k):
+    return k.blobs.where("extraction_status = 'complete'").groupBy("extraction_method").agg(F.count("*").alias("archives"), F.round(F.avg("files_extracted"), 4).alias("avg_files"), F.sum("files_extracted").alias("total_files"))
+
+
+@query("SELECT extraction_error, count(*) AS n, round(100::DOUBLE * (count(*)::DOUBLE / (SELECT count(*) FROM blobs WHERE extraction_status IN ('complete', 'failed', 'pilot'))::DOUBLE), 2) AS pct FROM blobs WHERE extraction_status = 'failed' GROUP BY 1 ORDER BY n DESC, extraction_error")
+def extraction_failures(k):
+    """One pass: the tried ones without an error are a group of their own until the share is known."""
+    n = k.blobs.where("extraction_status in ('complete', 'failed', 'pilot')").groupBy("extraction_status", "extraction_error").agg(F.count("*").alias("n"))
+    n = n.withColumn("pct", c.percent(F.col("n"), F.sum("n").over(W.partitionBy())))
+    return n.where("extraction_status = 'failed'").select("extraction_error", "n", "pct").orderBy(F.desc("n"), "extraction_error")
+
+
+@query("SELECT count(*) AS blobs_processed, round((max(extracted_at) - min(extracted_at)) / 3600, 4) AS hours, round(count(*) / nullif((max(extracted_at) - min(extracted_at)) / 3600, 0), 4) AS blobs_per_hour FROM blobs WHERE extraction_status IN ('complete', 'pilot')")
+def extraction_rate(k):
+    hours = (F.max("extracted_at") - F.min("extracted_at")) / 3600
+    return k.blobs.where("extraction_status in ('complete', 'pilot')").agg(F.count("*").alias("blobs_processed"), F.round(hours, 4).alias("hours"), F.round(c.ratio(F.count("*"), hours), 4).alias("blobs_per_hour"))
+
+
+@query("SELECT CAST(sum(files_extracted) AS BIGINT) AS total_files_extracted, count(DISTINCT blobid) AS unique_blobs_created, round(100::DOUBLE * (1 - count(DISTINCT blobid)::DOUBLE / sum(files_extracted)::DOUBLE), 2) AS dedup_percentage FROM blobs WHERE extraction_status = 'complete' AND extracted_at > (SELECT min(extracted_at) FROM blobs WHERE extraction_status = 'pilot')")
+def extraction_dedup(k):
+    done = _after_pilot(k).where("extraction_status = 'complete'").agg(F.sum("files_extracted").alias("total_files_extracted"), F.count_distinct("blobid").alias("unique_blobs_created"))
+    return done.withColumn("dedup_percentage", F.round(F.lit(100.0) * (F.lit(1.0) - c.ratio(F.col("unique_blobs_created"), F.col("total_files_extracted"))), 2))
+
+
+def _after_pilot(k):
+    start = k.blobs.where("extraction_status = 'pilot'").agg(F.min("extracted_at").alias("start"))
+    return k.blobs.join(F.broadcast(start), F.col("extracted_at") > F.col("start"))
+
+
+@query("""SELECT count(*) FILTER (WHERE is_intermediate) AS intermediate_count, count(*) FILTER (WHERE NOT is_intermediate) AS final_count, CAST(coalesce(sum(i.size) FILTER (WHERE is_intermediate), 0) AS BIGINT) AS intermediate_bytes, CAST(coalesce(sum(i.size) FILTER (WHERE NOT is_intermediate), 0) AS BIGINT) AS final_bytes,
+round(100::DOUBLE * (coalesce(sum(i.size) FILTER (WHERE is_intermediate), 0)::DOUBLE / nullif(sum(i.size)::DOUBLE, 0)), 2) AS intermediate_pct FROM blobs b JOIN inode i USING (blobid) WHERE b.extracted_at > (SELECT min(extracted_at) FROM blobs WHERE extraction_status = 'pilot')""")
+def intermediate_overhead(k):
+    both = _after_pilot(k).select("blobid", "is_intermediate").join(k.inode.where("blobid is not null").select("blobid", "size"), "blobid")
+    mid = F.col("is_intermediate")
+    n = both.agg(F.count_if(mid).alias("intermediate_count"), F.count_if(~mid).alias("final_count"), F.coalesce(F.sum(F.when(mid, F.col("size"))), F.lit(0)).alias("intermediate_bytes"), F.coalesce(F.sum(F.when(~mid, F.col("size"))), F.lit(0)).alias("final_bytes"))
+    return n.withColumn("intermediate_pct", c.percent(F.col("intermediate_bytes"), F.col("intermediate_bytes") + F.col("final_bytes")))
+
+
+@query("SELECT CASE WHEN size % 10 = 0 THEN sha256('') ELSE sha256(html) END AS blobid, CASE WHEN size % 10 = 0 THEN 'application/x-empty' ELSE 'text/plain' END AS mime_type, page_id FROM (SELECT page_id, html, length(html) AS size FROM pages)", on_catalog=False)
+def file_identities(k):
+    """Files whose size is given as 0 are the empty file, whatever is there."""
+    size = F.when(F.length("html") % 10 == 0, 0).otherwise(F.length("html"))
+    return k.table("pages").select("page_id", c.identity(size, F.col("html")).alias("i")).select("i.*", "page_id")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as c
 
 MESSAGES = ("No such file or directory: x", "Permission denied", "Input/output error", "read beyond EOF", "BLAKE3 mismatch", "File name too long", "strange failure")
+FILESYSTEMS = ("ext4", "vfat", "hfsplus", "iso9660")
 PATTERNS = ["node_modules", r"\.cache"]
 
 
@@ -61,6 +62,7 @@ class Catalog:
             F.when(k % 6 == 1, "incomplete").when(k % 6 == 2, "corrupt").when(k % 6 == 3, "failed").when(k % 6 != 0, "ok").alias("health"),
             F.when(k % 5 != 4, F.lit(1600000600) + k * 3660).alias("enum_done"), F.when((k % 5 != 4) & (k % 4 != 0), F.lit(1600009000) + k * 3700).alias("copy_done"),
             F.when(k % 3 != 0, F.concat(F.lit("/img/"), F.col("medium_hash"), F.lit(".img"))).alias("image_path"), self._problems(k).alias("problems"),
+            F.to_json(F.struct(F.concat(F.lit("/dev/loop0: LABEL=x TYPE="), F.element_at(F.array(*map(F.lit, FILESYSTEMS)), (k % 4 + 1).cast("int")), F.lit(" UUID=1")).alias("blkid"), (k * 7_654_321 + 1000).alias("image_size_bytes"))).alias("diagnostics"),
         )
 
     @staticmethod
@@ -88,7 +90,16 @@ class Catalog:
         lone = self.table("region").select(F.sha2("r_name", 256).alias("blobid"), F.lit(0).cast("long").alias("n_hardlinks"), F.lit(None).cast("long").alias("created"), F.col("r_regionkey").cast("long").alias("k"))
         every = own.unionByName(lone)
         checked = F.when(F.col("k") % 3 != 0, F.lit(1700000000) + F.col("k"))
-        return every.select("blobid", "n_hardlinks", "created", checked.alias("last_checked"), F.when(F.col("k") % 4 == 0, True).when(F.col("k") % 4 == 1, False).alias("external_copied"), F.when(F.col("k") % 11 == 0, True).alias("external_copy_failed"))
+        return every.select("blobid", "n_hardlinks", "created", checked.alias("last_checked"), F.when(F.col("k") % 4 == 0, True).when(F.col("k") % 4 == 1, False).alias("external_copied"), F.when(F.col("k") % 11 == 0, True).alias("external_copy_failed"), *self._extraction(F.col("k")))
+
+    @staticmethod
+    def _extraction(k: Column) -> list[Column]:
+        """What an archive's extraction left of it."""
+        status = F.when(k % 5 == 0, "complete").when(k % 5 == 1, "failed").when(k % 5 == 2, "pilot")
+        return [
+            status.alias("extraction_status"), F.when(k % 2 == 0, "tar").otherwise("zip").alias("extraction_method"), F.when(k % 5 == 1, F.when(k % 3 == 0, "bad header").otherwise("password")).alias("extraction_error"),
+            (k % 7 + 1).alias("files_extracted"), (k % 6 == 0).alias("is_intermediate"), F.when(k % 5 < 3, F.lit(1700000000) + k * 60).alias("extracted_at"),
+        ]
 
     @cached_property
     def matrix(self) -> DataFrame:
@@ -116,6 +127,48 @@ class Catalog:
         rate = F.when(k % 4 == 0, F.struct((k + 10).cast("double").alias("rate_percent"), F.lit(True).alias("flagged")))
         return grouped.select("medium_hash", "part", F.to_json(F.struct("diagnostic_events", rate.alias("high_error_rate"), F.when(k % 3 == 0, F.lit(True)).alias("beyond_eof_detected"))).alias("problems"))
 
+    def stored(self, at: str) -> Stored:
+        """Write the tables below ``at``, those of media partitioned by medium, and read them from there: texts are hashed once."""
+        from quarry.sources.sinks import write_media
+
+        for name in ("inode", "path"):
+            write_media(getattr(self, name), f"{at}/{name}")
+        kept = Stored(self.spark, self.sf_dir, at)
+        write_media(kept.derived_matrix, f"{at}/matrix")
+        Catalog.blobs.func(kept).write.mode("overwrite").parquet(f"{at}/blobs")
+        return kept
+
+
+class Stored(Catalog):
+    """The catalog out of its written tables; a filter on the medium prunes the others' folders."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, at: str):
+        super().__init__(spark, sf_dir)
+        self.at = at
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.at}/{name}")
+
+    @cached_property
+    def inode(self) -> DataFrame:
+        return self._read("inode")
+
+    @cached_property
+    def path(self) -> DataFrame:
+        return self._read("path")
+
+    @property
+    def derived_matrix(self) -> DataFrame:
+        return Catalog.matrix.func(self)
+
+    @cached_property
+    def matrix(self) -> DataFrame:
+        return self._read("matrix")
+
+    @cached_property
+    def blobs(self) -> DataFrame:
+        return self._read("blobs")
+
 
 _classes = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(message), {chr(39)}{p}{chr(39)})' for p in parts)} THEN '{kind}'" for kind, parts in c.ERROR_RULES) + " ELSE 'unknown' END"
 _messages = "[" + ", ".join(f"'{m}'" for m in MESSAGES) + "]"
@@ -143,7 +196,7 @@ medium AS (
     CASE WHEN k % 3 <> 0 THEN '/img/' || medium_hash || '.img' END AS image_path,
     CASE WHEN k % 4 = 0 THEN k + 1 END AS io_errors, CASE WHEN k % 4 = 1 THEN k + 2 END AS fat_errors, CASE WHEN k % 4 < 2 THEN k % 3 + 1 END AS error_files, k % 3 = 0 AS beyond_eof,
     CASE WHEN k % 5 = 2 THEN CAST(k + 10.5 AS DOUBLE) END AS rate_percent, CASE WHEN k % 5 = 2 THEN k + 100 END AS detected_at_count, k % 7 = 3 AS enum_failed,
-    k % 4 < 2 OR k % 3 = 0 OR k % 5 = 2 OR k % 7 = 3 AS has_problems FROM medium_base),
+    k % 4 < 2 OR k % 3 = 0 OR k % 5 = 2 OR k % 7 = 3 AS has_problems, ['ext4', 'vfat', 'hfsplus', 'iso9660'][k % 4 + 1] AS filesystem, CAST(k * 7654321 + 1000 AS BIGINT) AS image_size_bytes FROM medium_base),
 path_all AS (
   SELECT medium_hash, dev, ino, nlink, blobid, unnest(CASE WHEN nlink > 1 THEN ['/' || lang || '/' || medium_hash || '/' || ino || '.txt', '/node_modules/' || ino, '/backup/' || medium_hash || '/a.x/' || ino]
     WHEN ino % 11 = 0 THEN ['/.cache/#' || ino] ELSE ['/' || lang || '/' || medium_hash || '/' || ino || '.txt'] END) AS path FROM inode),
@@ -153,7 +206,8 @@ blob_base AS (
   UNION ALL SELECT sha256(r_name), 0, NULL, r_regionkey FROM region),
 blobs AS (
   SELECT blobid, n_hardlinks, created, CASE WHEN k % 3 <> 0 THEN 1700000000 + k END AS last_checked, CASE k % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS external_copied,
-    CASE WHEN k % 11 = 0 THEN TRUE END AS external_copy_failed FROM blob_base),
+    CASE WHEN k % 11 = 0 THEN TRUE END AS external_copy_failed, CASE k % 5 WHEN 0 THEN 'complete' WHEN 1 THEN 'failed' WHEN 2 THEN 'pilot' END AS extraction_status, CASE WHEN k % 2 = 0 THEN 'tar' ELSE 'zip' END AS extraction_method,
+    CASE WHEN k % 5 = 1 THEN CASE WHEN k % 3 = 0 THEN 'bad header' ELSE 'password' END END AS extraction_error, k % 7 + 1 AS files_extracted, k % 6 = 0 AS is_intermediate, CASE WHEN k % 5 < 3 THEN 1700000000 + k * 60 END AS extracted_at FROM blob_base),
 matrix AS (
   SELECT DISTINCT i.blobid, i.medium_hash, i.size FROM inode i JOIN path p ON p.medium_hash = i.medium_hash AND p.ino = i.ino WHERE i.blobid IS NOT NULL AND i.copied AND p.exclude_reason IS NULL),
 ev AS (

@@ -286,3 +286,24 @@ def test_more_columns(spark):
     assert value(c.grandparent_name(F.lit("/a/b/c.txt"))) == "a" and value(c.grandparent_name(F.lit("/b/c"))) is None
     assert value(c.checkpoint_check(F.lit("Read beyond EOF"))) == "detected_beyond_eof" and value(c.checkpoint_check(F.lit("?"))) is None
     assert value(c.verified(F.lit(True), F.array(), F.lit(None))) is True and value(c.verified(F.lit(True), F.array(F.lit("x")), F.lit(None))) is False
+
+
+def test_path_and_byte_forms(spark):
+    value = lambda x: spark.range(1).select(x).first()[0]
+    assert value(c.normalised_path(F.lit("p5:/mnt/h/Data\\r/x"), "/mnt", F.lit("h"))) == "/Data\r/x"
+    assert value(c.escaped_bytes(F.lit(bytearray(b"a\\b\x00\xff")))) == "a\\\\b\\000\\377"
+    assert value(c.identity(F.lit(0), F.lit("text"))).mime_type == c.EMPTY_TYPE and value(c.identity(F.lit(4), F.lit("text"))).mime_type == "text/plain"
+    assert value(c.pretty_json(F.lit('{"a":1,"b":[2]}'))).count("\n") >= 3
+
+
+def test_stored_catalog(spark, sf_dir, tmp_path):
+    """The written catalog has the same rows, and a filter on the medium prunes folders."""
+    from quarry.sources.catalog import Catalog
+
+    plain = Catalog(spark, sf_dir)
+    kept = plain.stored(str(tmp_path / "c"))
+    for name in ("inode", "path", "blobs", "matrix"):
+        a, b = getattr(plain, name), getattr(kept, name)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
+    plan = kept.inode.where("medium_hash = 'src3'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(medium_hash" in plan
