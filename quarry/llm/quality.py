@@ -131,7 +131,8 @@ def fit(measured: DataFrame, labels: DataFrame, label_col: str = "quality", labe
     """Sums of the labelled statistics, outside the held-out fold, reduced to one small row per class and cell."""
     known = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
     known = known.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").select("id", "label")
-    rows = measured.where(F.crc32(F.col("id").cast("string")) % folds != held_fold).join(known, "id").select("label", "stats")
+    # a shuffle join of small rows, so that the Python workers of the two sides of it never stand in one task
+    rows = measured.where(F.crc32(F.col("id").cast("string")) % folds != held_fold).join(known.hint("merge"), "id").select("label", "stats")
     d = len(NAMES)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
