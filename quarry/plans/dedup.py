@@ -81,10 +81,11 @@ def widespread_blobs(k):
     return k.matrix.groupBy("blobid").agg(F.count_distinct("medium_hash").alias("n_media"), F.array_join(F.array_sort(F.collect_set("medium_hash")), "+").alias("media")).where("n_media >= 3").select("blobid", "n_media", "media")
 
 
-@query("SELECT blobid FROM matrix GROUP BY blobid HAVING count(DISTINCT medium_hash) = (SELECT count(*) FROM medium)")
+@query("SELECT blobid, count(DISTINCT medium_hash) AS n_media, max(size) AS size FROM matrix GROUP BY blobid HAVING count(DISTINCT medium_hash) = (SELECT count(DISTINCT medium_hash) FROM matrix)")
 def universal_blobs(k):
-    n = k.medium.agg(F.count("*").alias("media"))
-    return k.matrix.groupBy("blobid").agg(F.count_distinct("medium_hash").alias("n")).join(F.broadcast(n), F.col("n") == F.col("media")).select("blobid")
+    """Blobs on every medium that has one."""
+    n = k.matrix.agg(F.count_distinct("medium_hash").alias("media"))
+    return k.matrix.groupBy("blobid").agg(F.count_distinct("medium_hash").alias("n_media"), F.max("size").alias("size")).join(F.broadcast(n), F.col("n_media") == F.col("media")).select("blobid", "n_media", "size")
 
 
 @query("SELECT medium_hash, count(*) AS total, count(DISTINCT blobid) AS uniq, count(*) - count(DISTINCT blobid) AS duplicates, round(100::DOUBLE * ((count(*) - count(DISTINCT blobid))::DOUBLE / nullif(count(*)::DOUBLE, 0)), 2) AS dup_pct FROM inode WHERE blobid IS NOT NULL GROUP BY ALL")

@@ -30,7 +30,7 @@ class Catalog:
     def content() -> Column:
         """A file's content: its text, but for one blob that all media share and one that some dozens of files have."""
         d = F.col("doc_id")
-        return F.when(d % 7 == 2, "common").when(d % 40 == 9, "shared").otherwise(F.col("text"))
+        return F.when(d % 7 == 2, "common").when(d % 15 == 9, "shared").otherwise(F.col("text"))
 
     @cached_property
     def inode(self) -> DataFrame:
@@ -172,7 +172,7 @@ class Stored(Catalog):
 
 _classes = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(message), {chr(39)}{p}{chr(39)})' for p in parts)} THEN '{kind}'" for kind, parts in c.ERROR_RULES) + " ELSE 'unknown' END"
 _messages = "[" + ", ".join(f"'{m}'" for m in MESSAGES) + "]"
-_content = "CASE WHEN doc_id % 7 = 2 THEN 'common' WHEN doc_id % 40 = 9 THEN 'shared' ELSE text END"
+_content = "CASE WHEN doc_id % 7 = 2 THEN 'common' WHEN doc_id % 15 = 9 THEN 'shared' ELSE text END"
 SQL = f"""
 WITH inode_base AS (
   SELECT doc_id AS id, source AS medium_hash, doc_id % 2 + 1 AS dev, doc_id AS ino, CASE WHEN doc_id % 13 = 0 THEN 3 ELSE 1 END AS nlink, n_chars AS size, 1400000000 + doc_id * 7200 AS mtime,
