@@ -144,7 +144,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = scratch.keep(arrow(source.select("row", "row2", "text"), collect, "row bigint, row2 bigint, start int, windows smallint, place smallint, anchor bigint, segment bigint"), "runs")
     segments = found.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "row2", "start", "windows", "place")).alias("at"))
     segments = scratch.keep(segments.select("anchor", "segment", "copies", "at.*"), "segments")
-    anchors = segments.groupBy("anchor").agg(F.sum("copies").alias("all")).where(F.col("all") > 1).select("anchor")
+    # written, so that the join reads two exchanges and adaptive execution can split a hot anchor
+    anchors = scratch.keep(segments.groupBy("anchor").agg(F.sum("copies").alias("all")).where(F.col("all") > 1).select("anchor"), "anchors")
     asked = scratch.keep(segments.join(anchors, "anchor"), "asked")
 
     text_of = _asked_for(source, asked.select("row").distinct())
