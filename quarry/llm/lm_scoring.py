@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from quarry.llm import _text
 from quarry.llm._scratch import Scratch, arrow
 
-ITEMS, GROUPS, CLASSES, HELD, LEAST, ROUNDS = 2048, 2048, 64, 1 << 19, 10, 2
+ITEMS, GROUPS, CLASSES, HELD, LEAST, ROUNDS = 2048, 1024, 64, 1 << 19, 10, 2
 END = 0
 
 
@@ -123,7 +123,7 @@ class Words:
 
 def exchange(n: int, left: np.ndarray, right: np.ndarray, count: np.ndarray, classes: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """(class of each item, class bigram counts).  The end keeps class 0 for itself."""
-    left, right, count = left.astype(np.int64), right.astype(np.int64), count.astype(np.float64)
+    count = count.astype(np.float64)
     total = np.bincount(left, count, n) + np.bincount(right, count, n)
     cls = np.zeros(n, np.int64)
     order = np.argsort(-total, kind="stable")
@@ -338,11 +338,10 @@ def fit(rows: DataFrame, scratch: Scratch, items: int = ITEMS, groups: int = GRO
     # what the exchange one after the other sees: a further word as its spelling group
     seen_as = np.concatenate([np.arange(n_core), n_core + spelt[own[n_core - 1 :]], n_core + np.arange(groups)])
     size = n_core + groups
-    pairs = summed(lines, lambda line: seen_as[line[:-1]] * size + seen_as[line[1:]]).toArrow()
-    pair, k = pairs.column("key").to_numpy(), pairs.column("k").to_numpy()
-    order = np.argsort(pair)
-    pair, k = pair[order], k[order]
-    cls, m = exchange(size, pair // size, pair % size, k, classes)
+    pairs = summed(lines, lambda line: seen_as[line[:-1]] * size + seen_as[line[1:]])
+    pairs = pairs.select(F.floor(F.col("key") / size).cast("int").alias("left"), (F.col("key") % size).cast("int").alias("right"), "k").orderBy("left", "right").toArrow()
+    cls, m = exchange(size, *(pairs.column(x).to_numpy() for x in ("left", "right", "k")), classes)
+    del pairs
     cls = cls[seen_as]
     for _ in range(rounds if words.n_items > n_core else 0):
         cls = _further(lines, n_core, words.n_items, cls, m, classes)
