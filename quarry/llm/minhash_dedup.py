@@ -155,8 +155,8 @@ def unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"), F.xxhash64(F.lit(1), F.coalesce(text, F.lit(""))).alias("k2")]
     scratch = Scratch(docs.sparkSession, "unique")
     found = scratch.keep(components_of(docs.select(*key, text.alias("text")), "id", "text", shingle, percent, carry=("k1", "k2")).where("n > 0"), "components")
-    first = found.groupBy("group").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
-    # written, so that the join with ``first`` reads two exchanges and adaptive execution can split a large component
+    # both written, so that the join below reads two exchanges and adaptive execution can split a large group
+    first = scratch.keep(found.groupBy("group").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first")), "first")
     rows = scratch.keep(found.groupBy("group", F.col("doc_id").alias("id"), "k1", "k2").agg(F.count("*").alias("n")), "rows")
     state = rows.join(first, "group").select("id", "k1", "k2", (F.struct("id", "k1", "k2") != F.struct("first.*")).alias("gone"), (F.col("n") > 1).alias("several")).where("gone or several")
     marked = docs.select(F.struct(*columns).alias("r"), *key).join(state, ["id", "k1", "k2"], "left")
@@ -215,8 +215,8 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         joined = components(scratch, edges, "second")
 
     group = reps.select("h1", "h2", "doc_id", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "doc_id", F.coalesce("component", "rep").alias("group"))
-    group = scratch.keep(group, "groups")  # written, so that the join below can split a large group
-    least = group.groupBy("group").agg(F.min("doc_id").alias("component"))
+    group = scratch.keep(group, "groups")  # both written, so that the join below reads two exchanges and can split a large group
+    least = scratch.keep(group.groupBy("group").agg(F.min("doc_id").alias("component")), "least")
     group = group.drop("doc_id").join(least, "group")
     alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("component"), *carry)
     scratch.drop("prefixes", "star", "sets", "members", "links-1", "links-2")
