@@ -65,8 +65,11 @@ def give_up(inode: DataFrame, most: int = c.MAX_ERRORS) -> DataFrame:
 
 
 def exclude_repeated(inode: DataFrame) -> DataFrame:
+    """Uncopied rows whose last errors are one and the same are excluded, and count as copied; the reason is the error without its type."""
     hit = c.same_tail(F.col("errors")) & ~F.coalesce(F.col("copied"), F.lit(False))
-    return inode.withColumn("claimed_by", F.when(hit, F.concat(F.lit("EXCLUDED: "), F.element_at("errors", -1))).otherwise(F.col("claimed_by")))
+    reason = F.concat(F.lit("EXCLUDED: persistent_failure: "), F.regexp_replace(F.element_at("errors", -1), r"^[A-Za-z_.]+: ", ""))
+    out = {"copied": F.when(hit, True).otherwise(F.col("copied")), "claimed_by": F.when(hit, reason).otherwise(F.col("claimed_by"))}
+    return inode.select(*[out.get(x, F.col(x)).alias(x) for x in inode.columns])
 
 
 def refuse_failed_media(inode: DataFrame, medium: DataFrame) -> DataFrame:
@@ -128,12 +131,24 @@ def drop_medium(inode: DataFrame, medium: str) -> DataFrame:
     return inode.where(F.col("medium_hash") != medium)
 
 
+def reset_medium(medium: DataFrame, medium_hash: str) -> DataFrame:
+    """The media, the asked one again as before its enumeration; its tables go by ``sinks.drop_medium``."""
+    hit = F.coalesce(F.col("medium_hash") == medium_hash, F.lit(False))
+    return medium.select(*[F.when(~hit, F.col(x)).alias(x) if x in ("enum_done", "copy_done") else F.col(x) for x in medium.columns])
+
+
 def old_events(events: DataFrame, day: int, keep_days: int = 90) -> tuple[DataFrame, DataFrame]:
     """(kept, archived) events, by age in days."""
     fresh = F.col("day") > day - keep_days
     return events.where(fresh), events.where(~fresh)
 
 
+def archived_events(events: DataFrame, now: str, keep_days: int = 90) -> tuple[DataFrame, DataFrame]:
+    """(kept, archived) events by their ``timestamp``; ``now`` in the same form.  One without a timestamp is kept."""
+    old = F.coalesce(F.to_date("timestamp") < F.date_sub(F.to_date(F.lit(now)), keep_days), F.lit(False))
+    return events.where(~old), events.where(old)
+
+
 def backfill_orphans(blobs: DataFrame, inode: DataFrame) -> DataFrame:
     """Blobs of successful inodes that the table lacks, with their number of inodes; counts of a blob that is there are added to."""
     from quarry.sources.sinks import upsert

@@ -179,3 +179,22 @@ def errors_by_place(k):
     """Parallel arrays zipped and exploded."""
     both = F.arrays_zip(F.col("errors").alias("error"), F.sequence(F.lit(1).cast("long"), F.size("errors").cast("long")).alias("place"))
     return k.inode.where("message is not null").select(F.explode(both).alias("z")).groupBy("z.place", "z.error").agg(F.count("*").alias("n"))
+
+
+@query("SELECT medium_hash, health, CASE WHEN medium_hash <> 'src3' THEN enum_done END AS enum_done, CASE WHEN medium_hash <> 'src3' THEN copy_done END AS copy_done FROM medium")
+def reset_medium(k):
+    return queue.reset_medium(k.medium, "src3").select("medium_hash", "health", "enum_done", "copy_done")
+
+
+@query("""WITH n AS (SELECT max(CAST(substr(timestamp, 1, 10) AS DATE)) AS now FROM ev) SELECT CAST(substr(timestamp, 1, 10) AS DATE) < now - 5 AS archived, count(*) AS n FROM ev, n GROUP BY 1""")
+def archived_events(k):
+    """Here what is more than five days older than the newest event."""
+    now = k.events.agg(F.max("timestamp")).first()[0] or "1970-01-01"
+    kept, old = queue.archived_events(k.events, now, keep_days=5)
+    count = lambda df, name: df.groupBy(F.lit(name).alias("archived")).agg(F.count("*").alias("n"))
+    return count(kept, False).unionByName(count(old, True))
+
+
+@query("SELECT id, TRUE AS copied, 'EXCLUDED: persistent_failure: ' || message AS claimed_by FROM inode WHERE message IS NOT NULL AND NOT copied AND len(errors) >= 3")
+def persistent_failures(k):
+    return queue.exclude_repeated(k.inode).where(F.col("claimed_by").startswith("EXCLUDED: persistent")).select("id", "copied", "claimed_by")

@@ -62,6 +62,7 @@ def test_repeated_errors(spark):
     kind = "id long, copied boolean, errors array<string>, claimed_by string, status string, error_type string"
     df = spark.createDataFrame([(1, False, ["a", "a", "a"], None, "pending", None), (2, False, ["a", "b", "a"], None, "pending", None), (3, False, ["x"] * 4 + ["I/O error"], None, "pending", None), (4, False, None, None, "pending", None), (5, False, ["I/O error"] * 4 + ["odd"], None, "pending", None), (6, False, ["I/O error"] * 9, "w", "pending", None)], kind)
     assert [r[0] for r in queue.exclude_repeated(df).where("claimed_by like 'EXCLUDED%'").select("id").collect()] == [1, 6]
+    assert queue.exclude_repeated(df.withColumn("errors", F.array(*[F.lit("OSError: bad: x")] * 3))).select("copied", "claimed_by").distinct().collect() == [(True, "EXCLUDED: persistent_failure: bad: x")]
     stopped = queue.give_up(df).where("claimed_by = 'MAX_RETRIES_EXCEEDED'").select("id", "copied", "status", "error_type").collect()
     assert [tuple(r) for r in stopped] == [(3, True, "failed_permanent", "io_error"), (5, True, "failed_retryable", "unknown")]  # 6 is claimed
 
