@@ -192,12 +192,14 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     full = scratch.keep(full, "sets")
 
     confirmed = scratch.keep(_confirm(star, full, percent, t), "links-1")
+    scratch.drop("star")
     joined = components(scratch, confirmed, "first")
     # what is left: pairs of different components in one posting list
     member = prefix.join(lists.select("key"), "key").join(full.drop("members", "keys"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     # sets of two neighbouring classes of size, or of one, may be links; others are too far apart (a class is a trifle wider than the bound)
     width = max(-math.log(percent / 100), 1e-6) * (1 + 1e-9)
     member = scratch.keep(member.withColumn("component", F.coalesce("component", "rep")).withColumn("class", F.floor(F.log("n") / width).cast("int")), "members")
+    scratch.drop("prefixes")
     open_lists = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     member = member.join(open_lists, "key", "left_semi")
     blocks = member.groupBy("key", "class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -219,7 +221,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = scratch.keep(group.groupBy("group").agg(F.min("doc_id").alias("component")), "least")
     group = group.drop("doc_id").join(least, "group")
     alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", "h1", "h2", F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("component"), *carry)
-    scratch.drop("prefixes", "star", "sets", "members", "links-1", "links-2")
+    scratch.drop("sets", "members", "links-1", "links-2")
     return signed.where("n > 0 and doc_id is not null").join(group, ["h1", "h2"]).select("doc_id", "n", "h1", "h2", "group", "component", *carry).unionByName(alone)
 
 
