@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, suffix_dedup, topk_search
+from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, spelling, suffix_dedup, topk_search
 from quarry.llm._scratch import Scratch
 
 
@@ -103,6 +103,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_fold("doc_id") == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm": op1_lm,
     "op2_line_dedup": op2_line_dedup,
@@ -114,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
+    "op11_spelling": op11_spelling,
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": ORACLE_2, "op4_topk": ORACLE_4}
