@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, spelling, suffix_dedup, topk_search
+from quarry.llm import alignment, decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, spelling, suffix_dedup, topk_search
 from quarry.llm._scratch import Scratch
 
 
@@ -107,6 +107,15 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(_read(spark, sf_dir, "documents")))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = alignment.align(docs).select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "pairs", "times")
+    done = alignment.weigh(aligned)
+    long = lambda *names: (F.col(c).cast("long").alias(c) for c in names)
+    return done.select("doc_id", *long("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm": op1_lm,
     "op2_line_dedup": op2_line_dedup,
@@ -119,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_language": op10_language,
     "op11_spelling": op11_spelling,
+    "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": ORACLE_2, "op4_topk": ORACLE_4}
