@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import alignment, decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, spelling, suffix_dedup, topk_search
+from quarry.llm import alignment, decontaminate, language_id, line_dedup, lm_scoring, minhash_dedup, packing, pii, quality, spelling, suffix_dedup, topk_search, toxicity
 from quarry.llm._scratch import Scratch
 
 
@@ -107,6 +107,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(_read(spark, sf_dir, "documents")))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.annotate(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
@@ -128,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_language": op10_language,
     "op11_spelling": op11_spelling,
+    "op12_toxicity": op12_toxicity,
     "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": ORACLE_2, "op4_topk": ORACLE_4}
