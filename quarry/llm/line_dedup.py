@@ -30,13 +30,16 @@ MOST_BROADCAST = 50_000
 
 
 def url_host(url: Column) -> Column:
-    """Lower-cased host of a URL without user and port; '' if there is none."""
-    return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    """Lower-cased host of a URL without user and port; '' if there is none, null of a null."""
+    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def html_lines(html: Column) -> Column:
-    """Visible text of a page, a line for each run between tags."""
-    quiet = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->", "\n")
+    """Visible text of a page, a line for each run between tags.
+
+    A script, style or comment that is never closed goes on to the end of the page, so that every byte is looked at once.
+    """
+    quiet = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(</(script|style)\s*>|\z)|<!--.*?(-->|\z)", "\n")
     inline = F.regexp_replace(quiet, r"(?i)</?(b|i|em|strong|a|span|u|code)\b[^<>]*>", "")
     return F.regexp_replace(F.regexp_replace(inline, r"<[^<>]*>", "\n"), r"\n\s*\n", "\n")
 

@@ -31,21 +31,25 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_2 = r"""
 WITH page AS (
-  SELECT page_id,
+  SELECT row_number() OVER () AS page, page_id, html IS NULL AS empty,
          lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-           '(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->', chr(10), 'g'),
+           '(?is)<(script|style)\b.*?(</(script|style)\s*>|\z)|<!--.*?(-->|\z)', chr(10), 'g'),
            '(?i)</?(b|i|em|strong|a|span|u|code)\b[^<>]*>', '', 'g'),
            '<[^<>]*>', chr(10), 'g'), '\n\s*\n', chr(10), 'g') AS text
   FROM pages),
-line AS (SELECT page_id, host, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM page),
-counts AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT page_id) AS n FROM line WHERE trim(line, ' ') <> '' GROUP BY ALL),
+line AS (SELECT page, host, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM page),
+counts AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT page) AS n FROM line WHERE trim(line, ' ') <> '' GROUP BY ALL),
 totals AS (SELECT host, count(*) AS total FROM page GROUP BY host),
-bad AS (SELECT host, line FROM counts JOIN totals USING (host) WHERE n >= 3 AND n > total * 0.1::DOUBLE),
-marked AS (SELECT l.page_id, l.host, l.pos, l.line, b.line IS NOT NULL AS gone FROM line l LEFT JOIN bad b ON l.host = b.host AND trim(l.line, ' ') = b.line)
-SELECT page_id, host, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_dropped,
-       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS clean_md5
-FROM marked GROUP BY page_id, host
+bad AS (SELECT c.host, line FROM counts c JOIN totals t ON c.host IS NOT DISTINCT FROM t.host WHERE n >= 3 AND n > total * 0.1::DOUBLE),
+marked AS (SELECT l.page, l.pos, l.line, b.line IS NOT NULL AS gone FROM line l LEFT JOIN bad b ON l.host IS NOT DISTINCT FROM b.host AND trim(l.line, ' ') = b.line),
+done AS (
+  SELECT page, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+         md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS clean_md5
+  FROM marked GROUP BY page)
+SELECT page_id, host, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_dropped, 0) AS INTEGER) AS n_dropped,
+       CASE WHEN NOT empty THEN clean_md5 END AS clean_md5
+FROM page LEFT JOIN done USING (page)
 """
 
 
