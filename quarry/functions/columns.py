@@ -184,22 +184,29 @@ def verified(exists: Column, missing: Column, error: Column) -> Column:
     return exists & (F.size(missing) == 0) & error.isNull()
 
 
-# First bytes of a file, in hexadecimal, and the type they stand for.
+# Fixed values: (offset, bytes in hexadecimal, type) of a file's beginning; the first that fits counts.
 MAGIC = (
-    ("FFD8FF", "image/jpeg"), ("89504E470D0A1A0A", "image/png"), ("474946383761", "image/gif"), ("474946383961", "image/gif"), ("25504446", "application/pdf"), ("504B0304", "application/zip"),
-    ("1F8B", "application/gzip"), ("425A68", "application/x-bzip2"), ("FD377A585A00", "application/x-xz"), ("377ABCAF271C", "application/x-7z-compressed"), ("7F454C46", "application/x-executable"), ("D0CF11E0A1B11AE1", "application/msword"),
-    ("494433", "audio/mpeg"), ("4F676753", "application/ogg"), ("52494646", "audio/x-wav"),
+    (0, "FFD8FF", "image/jpeg"), (0, "89504E470D0A1A0A", "image/png"), (0, "474946383761", "image/gif"), (0, "474946383961", "image/gif"), (0, "49492A00", "image/tiff"), (0, "4D4D002A", "image/tiff"),
+    (0, "38425053", "image/vnd.adobe.photoshop"), (0, "25504446", "application/pdf"), (0, "25215053", "application/postscript"), (0, "504B0304", "application/zip"), (0, "1F8B", "application/gzip"), (0, "425A68", "application/x-bzip2"),
+    (0, "FD377A585A00", "application/x-xz"), (0, "28B52FFD", "application/zstd"), (0, "377ABCAF271C", "application/x-7z-compressed"), (0, "526172211A07", "application/x-rar"), (257, "7573746172", "application/x-tar"), (0, "7F454C46", "application/x-executable"),
+    (0, "CAFEBABE", "application/x-java-applet"), (0, "D0CF11E0A1B11AE1", "application/msword"), (0, "7B5C727466", "text/rtf"), (0, "53514C69746520666F726D6174203300", "application/vnd.sqlite3"), (0, "494433", "audio/mpeg"), (0, "664C6143", "audio/flac"),
+    (0, "4F676753", "application/ogg"), (8, "57415645", "audio/x-wav"), (8, "41564920", "video/x-msvideo"), (8, "57454250", "image/webp"), (4, "66747970", "video/mp4"), (0, "000001BA", "video/mpeg"), (0, "1A45DFA3", "video/x-matroska"),
 )
+# How a text begins, blanks aside and in lower case, and its type.
+TEXT_MAGIC = (("<!doctype html", "text/html"), ("<html", "text/html"), ("<?xml", "text/xml"), ("#!", "text/x-shellscript"), ("from: ", "message/rfc822"), ("begin:vcard", "text/vcard"))
 HEAD = 2048
 
 
 def sniff_mime(content: Column) -> Column:
-    """MIME type by the first bytes; text if those hold no NUL; an empty file has its own type."""
-    head = F.hex(F.substring(content, 1, HEAD))
-    out = F.when(content.isNull(), None).when(F.length(content) == 0, "application/x-empty")
-    for magic, kind in MAGIC:
-        out = out.when(head.startswith(magic), kind)
-    return out.when(~head.rlike("^(?:..)*00"), "text/plain").otherwise("application/octet-stream")
+    """MIME type by the first HEAD bytes: a known beginning, then text if they hold no NUL; an empty file has its own type."""
+    head = F.substring(content, 1, HEAD)
+    digits, text = F.hex(head), F.lower(F.trim(F.translate(F.decode(F.substring(content, 1, 64), "ISO-8859-1"), "\t\r\n", "   ")))
+    out = F.when(content.isNull(), None).when(F.length(content) == 0, EMPTY_TYPE)
+    for offset, magic, kind in MAGIC:
+        out = out.when(F.substring(digits, 2 * offset + 1, len(magic)) == magic, kind)
+    for begin, kind in TEXT_MAGIC:
+        out = out.when(text.startswith(begin), kind)
+    return out.when(~digits.rlike("^(?:..)*00"), "text/plain").otherwise("application/octet-stream")
 
 
 def eta_seconds(done: Column, total: Column, elapsed: Column) -> Column:

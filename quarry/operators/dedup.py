@@ -90,3 +90,10 @@ def patterns(matrix: DataFrame) -> DataFrame:
 def indicator(matrix: DataFrame, media: list[str]) -> DataFrame:
     """One row a blob and a column (0 or 1) for each of ``media``."""
     return matrix.groupBy("blobid").pivot("medium_hash", media).agg(F.max(F.lit(1))).na.fill(0)
+
+
+def overlapping(sets: DataFrame, column: str) -> DataFrame:
+    """(column, others) of distinct sets that share an element, themselves included: an equi join over the elements, never all pairs compared."""
+    index = sets.select(F.col(column), F.explode(column).alias("element"))
+    other = index.select(F.col(column).alias("others"), "element")
+    return index.join(other, "element").select(column, "others").distinct()

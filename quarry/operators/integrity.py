@@ -53,6 +53,19 @@ def pending_backup(blobs: DataFrame) -> DataFrame:
     return blobs.where(~F.coalesce(F.col("external_copied"), F.lit(False)) & ~F.coalesce(F.col("external_copy_failed"), F.lit(False)))
 
 
+def not_in(rows: DataFrame, column: str, listed: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is NOT IN the only column of ``listed``, by a shuffle anti join whatever the list's size.
+
+    As in SQL: a null in the list leaves nothing, a null value is in doubt unless the list is empty.
+    """
+    key = F.col(listed.columns[0])
+    # of one row
+    state = listed.agg(F.coalesce(F.bool_or(key.isNull()), F.lit(False)).alias("__null"), F.count("*").alias("__n"))
+    left = rows.hint("merge").join(listed.select(key.alias(column)).where(F.col(column).isNotNull()).hint("merge"), column, "left_anti")
+    sure = ~F.col("__null") & (F.col(column).isNotNull() | (F.col("__n") == 0))
+    return left.crossJoin(F.broadcast(state)).where(sure).select(*(F.col(f"`{x}`") for x in rows.columns))
+
+
 def orphans(inode: DataFrame, blobs: DataFrame) -> DataFrame:
     """Successful inodes whose blob the table lacks."""
     return inode.where("blobid is not null and status = 'success'").join(blobs.select("blobid"), "blobid", "left_anti")

@@ -139,10 +139,13 @@ def incremental_dedup_paths(k):
     return blobs.join(dedup.incremental_paths(k.path, k.matrix, k.medium), "medium_hash", "left").na.fill(0, ["new_paths", "dup_paths"])
 
 
-@query("""SELECT CAST(1 AS BIGINT) << (length(bin(n_hardlinks)) - 1) AS lower_bound, (CAST(1 AS BIGINT) << length(bin(n_hardlinks))) - 1 AS upper_bound, count(*) AS num_blobs, CAST(sum(n_hardlinks) AS BIGINT) AS total_inodes FROM blobs WHERE n_hardlinks > 1 GROUP BY ALL""")
+@query("""WITH h AS (SELECT CAST(1 AS BIGINT) << (length(bin(n_hardlinks)) - 1) AS lower_bound, (CAST(1 AS BIGINT) << length(bin(n_hardlinks))) - 1 AS upper_bound, count(*) AS num_blobs, CAST(sum(n_hardlinks) AS BIGINT) AS total_inodes FROM blobs WHERE n_hardlinks > 1 GROUP BY ALL)
+SELECT *, round(100::DOUBLE * (num_blobs::DOUBLE / (sum(num_blobs) OVER ())::DOUBLE), 1) AS pct_blobs, round(100::DOUBLE * (total_inodes::DOUBLE / (sum(total_inodes) OVER ())::DOUBLE), 1) AS pct_inodes FROM h""")
 def hardlink_log2_histogram(k):
-    low = c.log2_bucket(F.col("n_hardlinks"))
-    return k.blobs.where("n_hardlinks > 1").groupBy(low.alias("lower_bound"), (low * 2 - 1).alias("upper_bound")).agg(F.count("*").alias("num_blobs"), F.sum("n_hardlinks").alias("total_inodes"))
+    low, every = c.log2_bucket(F.col("n_hardlinks")), W.partitionBy()  # over a row a bucket
+    n = k.blobs.where("n_hardlinks > 1").groupBy(low.alias("lower_bound"), (low * 2 - 1).alias("upper_bound")).agg(F.count("*").alias("num_blobs"), F.sum("n_hardlinks").alias("total_inodes"))
+    share = lambda x: c.percent(F.col(x), F.sum(x).over(every), 1)
+    return n.select("*", share("num_blobs").alias("pct_blobs"), share("total_inodes").alias("pct_inodes"))
 
 
 @query("SELECT medium_hash, year(DATE '1970-01-01' + CAST(mtime // 86400 AS INTEGER)) AS year, count(*) AS files FROM inode WHERE copied AND fs_type = 'f' GROUP BY ALL")
@@ -179,11 +182,13 @@ def medium_modal_label(k):
     return blobs.join(best, "medium_hash", "left").select("medium_hash", "unique_blobs", F.coalesce("b.label", "medium_hash").alias("label"))
 
 
-@query("""WITH s AS (SELECT blobid, CAST(n_hardlinks AS BIGINT) AS n_hardlinks FROM blobs WHERE n_hardlinks BETWEEN 32 AND 63 ORDER BY md5(blobid || '7'), blobid LIMIT 10)
-SELECT s.blobid, any_value(n_hardlinks) AS n_hardlinks, count(DISTINCT p.path) AS n_paths, min(p.path) AS first_path FROM s JOIN path p USING (blobid) GROUP BY s.blobid""")
+@query("""WITH s AS (SELECT blobid, CAST(n_hardlinks AS BIGINT) AS n_hardlinks FROM blobs WHERE n_hardlinks BETWEEN 32 AND 63 ORDER BY md5(blobid || '7'), blobid LIMIT 100)
+SELECT s.blobid, max(i.size) AS size, any_value(n_hardlinks) AS n_hardlinks, string_agg(DISTINCT p.path, ',' ORDER BY p.path) AS sample_paths FROM s JOIN inode i ON i.blobid = s.blobid JOIN path p ON p.medium_hash = i.medium_hash AND p.ino = i.ino GROUP BY s.blobid""")
 def sampled_hot_blobs(k):
-    some = k.blobs.where("n_hardlinks between 32 and 63").orderBy(F.md5(F.concat("blobid", F.lit("7"))), "blobid").limit(10).select("blobid", "n_hardlinks")
-    return k.path.select("blobid", "path").join(some, "blobid").groupBy("blobid").agg(F.first("n_hardlinks").alias("n_hardlinks"), F.count_distinct("path").alias("n_paths"), F.min("path").alias("first_path"))
+    """A sample of the blobs of 32 to 63 copies, with their paths, of which there are as few."""
+    some = k.blobs.where("n_hardlinks between 32 and 63").orderBy(F.md5(F.concat("blobid", F.lit("7"))), "blobid").limit(100).select("blobid", "n_hardlinks")
+    own = k.inode.select("medium_hash", "ino", "blobid", "size").join(some, "blobid").join(k.path.select("medium_hash", "ino", "path"), ["medium_hash", "ino"])
+    return own.groupBy("blobid").agg(F.max("size").alias("size"), F.first("n_hardlinks").alias("n_hardlinks"), F.array_join(F.array_sort(F.collect_set("path")), ",").alias("sample_paths"))
 
 
 @query("SELECT m.medium_hash, m.medium_human, CAST(sum(i.size) AS BIGINT) AS total_file_bytes, count(*) FILTER (WHERE i.copied) AS files_copied FROM medium m JOIN inode i ON i.medium_hash = m.medium_hash WHERE m.copy_done IS NOT NULL AND i.fs_type = 'f' GROUP BY ALL")

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as c
-from quarry.operators import jsonb
+from quarry.operators import dedup, jsonb
 from quarry.plans.registry import query
 
 
@@ -202,8 +202,7 @@ def array_overlap_pairs(k):
     """Media whose sets of checks overlap, with the first one's; asked once for each pair of distinct sets, of which there are few."""
     checks = k.events.select("medium_hash", F.explode("checks").alias("c")).groupBy("medium_hash").agg(F.array_sort(F.collect_set("c")).alias("checks"))
     p = checks.join(k.events.groupBy("medium_hash").agg(F.array_sort(F.collect_set("action")).alias("actions")), "medium_hash")
-    sets = p.select("checks").distinct()
-    meet = sets.alias("x").join(sets.alias("y"), F.arrays_overlap("x.checks", "y.checks") & (F.size("x.checks") > 1)).select(F.col("x.checks").alias("checks"), F.col("y.checks").alias("others"))
+    meet = dedup.overlapping(p.select("checks").distinct(), "checks").where(F.size("checks") > 1)
     pairs = p.withColumnRenamed("medium_hash", "medium_1").join(meet, "checks").join(p.select(F.col("medium_hash").alias("medium_2"), F.col("checks").alias("others")), "others").where("medium_1 < medium_2")
     return pairs.select("medium_1", "medium_2", F.array_join("checks", ",").alias("common_checks"), F.array_join("actions", ",").alias("common_actions"))
 
@@ -299,11 +298,16 @@ def events_with_error_check(k):
     return k.events.where(F.array_contains("checks", "detected_error")).select("medium_hash", "ino", "action")
 
 
-@query("""SELECT sha256(problems) AS content_hash, count(*) AS n, string_agg(medium_hash, ',' ORDER BY medium_hash) AS media FROM (SELECT medium_hash, '{"health":"' || coalesce(health, 'none') || '","imaged":' || (image_path IS NOT NULL) || '}' AS problems FROM medium) GROUP BY 1 HAVING count(*) > 1""")
+def _diagnosed(name):
+    return F.get_json_object("diagnostics", f"$.{name}")
+
+
+@query("SELECT content_hash, string_agg(medium_hash, ',' ORDER BY medium_hash) AS duplicates, count(*) AS duplicate_count FROM medium WHERE content_hash IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def duplicate_images(k):
-    """Media whose diagnostics document is the same one."""
-    doc = F.to_json(F.struct(F.coalesce("health", F.lit("none")).alias("health"), F.col("image_path").isNotNull().alias("imaged")))
-    return k.medium.groupBy(c.content_hash(doc).alias("content_hash")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("medium_hash")), ",").alias("media")).where("n > 1")
+    """Media whose images have one content."""
+    doc = _diagnosed("content_hash")
+    n = k.medium.where(doc.isNotNull()).groupBy(doc.alias("content_hash")).agg(F.array_join(F.array_sort(F.collect_list("medium_hash")), ",").alias("duplicates"), F.count("*").alias("duplicate_count"))
+    return n.where("duplicate_count > 1")
 
 
 @query("""WITH RECURSIVE h AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as c
 from quarry.operators import integrity
 from quarry.plans.registry import query
-from quarry.sources import raw, sinks
-from quarry.streaming import counters
+from quarry.sources import raw, shared, sinks
 
 
 @query("SELECT blobid, count(DISTINCT size) AS sizes FROM inode WHERE blobid IS NOT NULL GROUP BY 1 HAVING count(DISTINCT size) > 1 ORDER BY 1")
@@ -33,13 +32,12 @@ def incomplete_semi(k):
     return k.inode.join(k.medium.where("copy_done is null").select("medium_hash"), "medium_hash", "left_semi").groupBy("medium_hash").agg(F.count("*").alias("n"))
 
 
-_A = "WITH a AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem WHERE l_linenumber < 5 GROUP BY 1), b AS (SELECT l_linestatus AS k, count(*) AS n FROM lineitem GROUP BY 1)"
-
-
-@query(_A + " SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS old_n, coalesce(b.n, 0) AS new_n, coalesce(a.n, 0) = coalesce(b.n, 0) AS same FROM a FULL OUTER JOIN b ON a.k = b.k", on_catalog=False)
+@query("""WITH a AS (SELECT source AS k, count(*) AS n FROM documents GROUP BY 1), b AS (SELECT medium_hash AS k, count(i.ino) AS n FROM medium m LEFT JOIN inode i USING (medium_hash) GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS old_n, coalesce(b.n, 0) AS new_n, coalesce(a.n, 0) = coalesce(b.n, 0) AS same FROM a FULL OUTER JOIN b ON a.k = b.k""")
 def count_reconcile_full_outer(k):
-    line = k.table("lineitem")
-    return integrity.reconcile(line.where("l_linenumber < 5").groupBy(F.col("l_returnflag").alias("k")).agg(F.count("*").alias("n")), line.groupBy(F.col("l_linestatus").alias("k")).agg(F.count("*").alias("n")), "k")
+    """What was enumerated of each medium against what its inodes are."""
+    loaded = k.medium.select("medium_hash").join(k.inode.select("medium_hash", "ino"), "medium_hash", "left").groupBy(F.col("medium_hash").alias("k")).agg(F.count("ino").alias("n"))
+    return integrity.reconcile(k.table("documents").groupBy(F.col("source").alias("k")).agg(F.count("*").alias("n")), loaded, "k")
 
 
 @query("SELECT DISTINCT i.blobid FROM inode i WHERE substr(i.blobid, 1, 12) IN (SELECT substr(blobid, 1, 12) FROM blobs WHERE last_checked IS NULL)")
@@ -60,14 +58,21 @@ def pending_backup(k):
     return k.blobs.agg(F.count_if(~done).alias("to_copy"), F.count_if(~done & ~failed).alias("to_try"), F.count_if(done).alias("copied"))
 
 
-@query("SELECT m.medium_hash FROM medium m LEFT JOIN inode i ON i.medium_hash = m.medium_hash AND i.status = 'failed_permanent' GROUP BY 1 HAVING count(i.ino) = 0")
+@query("SELECT m.medium_hash, count(i.id) AS file_count FROM medium m LEFT JOIN inode i ON i.medium_hash = m.medium_hash WHERE m.enum_done IS NOT NULL GROUP BY m.medium_hash HAVING count(i.id) = 0")
 def media_without(k):
-    return k.medium.join(k.inode.where("status = 'failed_permanent'").select("medium_hash"), "medium_hash", "left_anti").select("medium_hash")
+    """Enumerated media that have no inode."""
+    return k.medium.where("enum_done is not null").join(k.inode.select("medium_hash"), "medium_hash", "left_anti").select("medium_hash", F.lit(0).cast("long").alias("file_count"))
+
 
+_ARCHIVES = ("application/gzip", "application/x-bzip2", "application/x-tar", "application/zip")
 
-@query("SELECT label, id FROM (SELECT label, vec_id AS id, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || '7'), vec_id) AS rn FROM embeddings) WHERE rn <= 5", on_catalog=False)
+
+@query(f"""WITH s AS (SELECT blobid, mime_type, row_number() OVER (PARTITION BY mime_type ORDER BY md5(blobid || '7'), blobid) AS rn FROM blobs WHERE mime_type IN {_ARCHIVES} AND extraction_status = 'pending')
+SELECT blobid, mime_type, 'pilot' AS extraction_status FROM s WHERE rn <= 250""")
 def stratified_sample_hash(k):
-    return integrity.stratified(k.table("embeddings").select("label", F.col("vec_id").alias("id")), "label", "id", 5, seed=7)
+    """The pilot of an extraction: up to 250 pending archives of each type."""
+    pending = k.blobs.where(F.col("mime_type").isin(*_ARCHIVES) & (F.col("extraction_status") == "pending"))
+    return integrity.stratified(pending.select("mime_type", "blobid"), "mime_type", "blobid", 250, seed=7).select("blobid", "mime_type", F.lit("pilot").alias("extraction_status"))
 
 
 @query("SELECT d.doc_id, l.doc_id IS NULL AS never FROM documents d LEFT JOIN labels l USING (doc_id) ORDER BY l.doc_id NULLS FIRST, d.doc_id LIMIT 25", on_catalog=False)
@@ -140,10 +145,17 @@ def last_hour_checks(k):
 
 @query("SELECT DISTINCT blobid FROM inode WHERE blobid NOT IN (SELECT blobid FROM blobs)")
 def orphans_not_in(k):
-    """NOT IN as SQL has it: nothing at all if the list holds a null, which it does not here."""
-    k.inode.select("blobid").createOrReplaceTempView("quarry_inode")
-    k.blobs.select("blobid").createOrReplaceTempView("quarry_blobs")
-    return k.spark.sql("SELECT DISTINCT blobid FROM quarry_inode WHERE blobid NOT IN (SELECT blobid FROM quarry_blobs WHERE blobid IS NOT NULL)")
+    """NOT IN as SQL has it (see ``integrity.not_in``)."""
+    return integrity.not_in(k.inode.select("blobid").distinct(), "blobid", k.blobs.select("blobid"))
+
+
+@query("""SELECT 'blobs' AS list, count(*) AS n FROM inode WHERE blobid NOT IN (SELECT blobid FROM blobs) UNION ALL SELECT 'inodes, nulls among them', count(*) FROM blobs WHERE blobid NOT IN (SELECT blobid FROM inode)
+UNION ALL SELECT 'inodes that have one', count(*) FROM blobs WHERE blobid NOT IN (SELECT blobid FROM inode WHERE blobid IS NOT NULL) UNION ALL SELECT 'nothing', count(*) FROM inode WHERE blobid NOT IN (SELECT blobid FROM blobs WHERE n_hardlinks < 0)""")
+def not_in_lists(k):
+    """NOT IN over lists with a null, without one, and over an empty list."""
+    count = lambda name, rows, listed: integrity.not_in(rows.select("blobid"), "blobid", listed.select("blobid")).agg(F.count("*").alias("n")).select(F.lit(name).alias("list"), "n")
+    have = k.inode.where("blobid is not null")
+    return count("blobs", k.inode, k.blobs).unionByName(count("inodes, nulls among them", k.blobs, k.inode)).unionByName(count("inodes that have one", k.blobs, have)).unionByName(count("nothing", k.inode, k.blobs.where("n_hardlinks < 0")))
 
 
 @query("WITH s AS (SELECT blobid FROM blobs WHERE last_checked IS NULL ORDER BY blobid LIMIT 20) SELECT p.blobid, count(DISTINCT p.path) AS n_paths, string_agg(DISTINCT p.path, ',' ORDER BY p.path) AS paths FROM path p JOIN s USING (blobid) WHERE p.exclude_reason IS NULL GROUP BY ALL")
@@ -175,13 +187,13 @@ def parsed_log_hashes(k):
 @query("SELECT medium_hash, count(*) AS old_n, count(*) AS new_n, TRUE AS same FROM inode GROUP BY 1")
 def copied_media(k):
     """All media written partitioned and counted on both sides."""
-    return sinks.copy_media(k.inode.drop("errors"), counters.shared_folder(k.spark, "media"))
+    return sinks.copy_media(k.inode.drop("errors"), shared.shared_folder(k.spark, "media"))
 
 
 @query("SELECT id, ino, size FROM inode WHERE medium_hash = 'src3'")
 def medium_partition(k):
     """One medium of a partitioned table: the filter prunes all other folders."""
-    at = counters.shared_folder(k.spark, "media")
+    at = shared.shared_folder(k.spark, "media")
     sinks.write_media(k.inode.select("medium_hash", "id", "ino", "size"), at)
     return k.spark.read.parquet(at).where("medium_hash = 'src3'").select("id", "ino", "size")
 
@@ -227,5 +239,5 @@ def sample_bool_and(k):
 @query("SELECT count(*) AS n_rows, count(DISTINCT blobid) AS blobs, count(DISTINCT medium_hash) AS media, CAST(sum(size) AS BIGINT) AS bytes FROM matrix")
 def stored_matrix(k):
     """The blob-medium table written and read back."""
-    kept = k.stored(counters.shared_folder(k.spark, "catalog"))
+    kept = k.stored(shared.shared_folder(k.spark, "catalog"))
     return kept.matrix.agg(F.count("*").alias("n_rows"), F.count_distinct("blobid").alias("blobs"), F.count_distinct("medium_hash").alias("media"), F.sum("size").alias("bytes"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarry.functions import blake3
 from quarry.functions import columns as c
 from quarry.operators import queue
 from quarry.plans.dedup import new_vs_dedup_action
 from quarry.plans.registry import query
+from quarry.sources import blobs
+from quarry.sources.catalog import sniff_sql
+from quarry.sources.shared import shared_folder
 
 
 @query("""WITH a AS (SELECT size, CASE WHEN fs_type = 'd' THEN 'create_directory' WHEN fs_type = 'l' THEN 'create_symlink' WHEN fs_type <> 'f' THEN 'record_special' WHEN size = 0 THEN 'handle_empty_file' WHEN blobid IS NULL THEN 'skip'
@@ -17,10 +21,14 @@ def action_totals(k):
     return new_vs_dedup_action(k).join(k.inode.select("ino", "medium_hash", "size"), ["ino", "medium_hash"]).groupBy("action").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
 
 
-@query("SELECT url AS path FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 <> 0)", on_catalog=False)
+@query("""WITH e AS (SELECT source AS medium_hash, '/' || lang || '/' || source || '/' || doc_id || '.txt' AS path FROM documents)
+SELECT e.medium_hash, e.path FROM e LEFT JOIN path p ON p.path = e.path AND p.medium_hash = e.medium_hash WHERE p.path IS NULL""")
 def expected_paths_missing(k):
-    pages = k.table("pages")
-    return pages.select(F.col("url").alias("path")).join(pages.where("page_id % 3 <> 0").select(F.col("url").alias("path")), "path", "left_anti")
+    """A list of expected files, as it was written out with escapes, against the catalog's paths."""
+    d = k.table("documents")
+    expected = d.select(F.col("source").alias("medium_hash"), F.concat(F.lit("/"), "lang", F.lit("/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"))
+    stored = k.path.select("medium_hash", c.escaped_bytes(F.encode("path", "UTF-8")).alias("path"))
+    return expected.join(stored, ["medium_hash", "path"], "left_anti")
 
 
 @query("""WITH f AS (SELECT DISTINCT substr('./' || substr(blobid, 1, 2) || '/' || substr(blobid, 3, 2) || '/' || blobid, 9) AS blobid FROM blobs)
@@ -41,10 +49,27 @@ def archive_rates(k):
     return n.withColumn("failed_pct", c.percent(F.col("failed"), F.col("n")))
 
 
-@query("WITH f AS (SELECT blobid, max('text/x-' || lang) AS mime FROM inode WHERE blobid IS NOT NULL AND mime_type IS NULL GROUP BY 1) SELECT coalesce(i.mime_type, f.mime, 'none') AS mime_type, count(*) AS n FROM inode i LEFT JOIN f ON f.blobid = i.blobid GROUP BY 1")
+_TYPED = f"WITH store AS (SELECT DISTINCT sha256(content) AS blobid, {sniff_sql('content')} AS mime FROM files WHERE d % 41 <> 5), f AS (SELECT DISTINCT i.blobid, s.mime FROM inode i LEFT JOIN store s USING (blobid) WHERE i.blobid IS NOT NULL AND i.mime_type IS NULL)"
+
+
+def _archive(k):
+    """The content store of the archive, but for what was lost of it, as files below a shared folder."""
+    root = shared_folder(k.spark, "by-hash")
+    blobs.store_blobs(k.files.where("d % 41 <> 5").select(F.sha2("content", 256).alias("blobid"), "content"), root).write.format("noop").mode("overwrite").save()
+    return root
+
+
+@query(_TYPED + " SELECT coalesce(i.mime_type, f.mime, 'none') AS mime_type, count(*) AS n FROM inode i LEFT JOIN f ON f.blobid = i.blobid GROUP BY 1")
 def mime_backfill(k):
-    lacking = k.inode.where("blobid is not null and mime_type is null").groupBy("blobid").agg(F.max(F.concat(F.lit("text/x-"), "lang")).alias("mime"))
-    return queue.backfill_mime(k.inode, lacking).groupBy(F.coalesce("mime_type", F.lit("none")).alias("mime_type")).agg(F.count("*").alias("n"))
+    """Types of the blobs that have none, by the first bytes of their files, for all their inodes; a lost file leaves them without."""
+    found = blobs.typed_blobs(k.inode, _archive(k)).where("mime is not null")
+    return queue.backfill_mime(k.inode, found).groupBy(F.coalesce("mime_type", F.lit("none")).alias("mime_type")).agg(F.count("*").alias("n"))
+
+
+@query(_TYPED + """ SELECT CASE WHEN mime IS NULL THEN 'missing' WHEN mime = 'application/x-empty' THEN 'empty' ELSE 'detected' END AS outcome, coalesce(mime, 'none') AS mime_type, count(*) AS blobs FROM f GROUP BY ALL""")
+def mime_outcomes(k):
+    """What typing did to each distinct blob that had no type."""
+    return blobs.typed_blobs(k.inode, _archive(k)).groupBy("outcome", F.coalesce("mime", F.lit("none")).alias("mime_type")).agg(F.count("*").alias("blobs"))
 
 
 @query("SELECT blobid, count(*) AS n_hardlinks, coalesce(min(processed), 7) AS created FROM inode WHERE blobid IS NOT NULL GROUP BY 1")
@@ -130,8 +155,21 @@ def intermediate_overhead(k):
     return n.withColumn("intermediate_pct", c.percent(F.col("intermediate_bytes"), F.col("intermediate_bytes") + F.col("final_bytes")))
 
 
-@query("SELECT CASE WHEN size % 10 = 0 THEN sha256('') ELSE sha256(html) END AS blobid, CASE WHEN size % 10 = 0 THEN 'application/x-empty' ELSE 'text/plain' END AS mime_type, page_id FROM (SELECT page_id, html, length(html) AS size FROM pages)", on_catalog=False)
+@query(f"SELECT CASE WHEN size % 10 = 0 THEN sha256('') ELSE sha256(html) END AS blobid, CASE WHEN size % 10 = 0 THEN 'application/x-empty' ELSE {sniff_sql('encode(html)')} END AS mime_type, page_id FROM (SELECT page_id, html, length(html) AS size FROM pages)", on_catalog=False)
 def file_identities(k):
     """Files whose size is given as 0 are the empty file, whatever is there."""
     size = F.when(F.length("html") % 10 == 0, 0).otherwise(F.length("html"))
     return k.table("pages").select("page_id", c.identity(size, F.col("html")).alias("i")).select("i.*", "page_id")
+
+
+@query(None)
+def blake3_ids(k):
+    """BLAKE3 of every document, at once and out of parts of 4,096 bytes (no SQL twin; tests compute it anew)."""
+    size = 4096
+    d = k.table("documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    whole = d.select("doc_id", F.octet_length("content").alias("n_bytes"), blake3.content_id(F.col("content")).alias("blobid"))
+    last = F.greatest(F.lit(0), F.floor((F.octet_length("content") - 1) / size).cast("int"))
+    parts = d.select(F.col("doc_id").alias("file"), "content", F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    parts = parts.select("file", "part", F.substring("content", F.col("part") * size + 1, F.lit(size)).alias("content"))
+    merged = blake3.merge_parts(blake3.part_values(parts, size)).select(F.col("file").alias("doc_id"), F.col("blobid").alias("by_parts"))
+    return whole.join(merged, "doc_id").select("doc_id", "n_bytes", "blobid", "by_parts")

@@ -54,12 +54,13 @@ def queue_depth(k):
     return k.inode.where(queue.is_pending()).join(k.medium.where("health = 'ok'").select("medium_hash"), "medium_hash", "left_semi").groupBy("medium_hash").agg(F.count("*").alias("depth"))
 
 
-@query("""SELECT m.medium_hash, enum_done IS NOT NULL AS enumerated, copy_done IS NOT NULL AS finished, image_path IS NOT NULL AS imaged, CASE WHEN enum_done IS NULL THEN 'not enumerated' WHEN copy_done IS NULL THEN 'copying' WHEN coalesce(p.n, 0) > 0 THEN 'reopened' ELSE 'done' END AS state, coalesce(p.n, 0) AS pending
-FROM medium m LEFT JOIN (SELECT medium_hash, count(*) AS n FROM inode WHERE NOT copied AND claimed_by IS NULL GROUP BY 1) p USING (medium_hash)""")
+@query("""SELECT medium_hash, medium_human, message, image_path IS NOT NULL AS has_image, enum_done IS NOT NULL AS enum_complete, copy_done IS NOT NULL AS copy_complete, health, CAST(DATE '1970-01-01' + CAST(added // 86400 AS INTEGER) AS VARCHAR) AS added
+FROM medium WHERE image_path IS NOT NULL AND (enum_done IS NULL OR copy_done IS NULL) ORDER BY medium.added""")
 def incomplete_media(k):
-    n = k.inode.where(queue.is_pending()).groupBy("medium_hash").agg(F.count("*").alias("n"))
-    state = F.when(F.col("enum_done").isNull(), "not enumerated").when(F.col("copy_done").isNull(), "copying").when(F.coalesce("n", F.lit(0)) > 0, "reopened").otherwise("done")
-    return k.medium.join(n, "medium_hash", "left").select("medium_hash", F.col("enum_done").isNotNull().alias("enumerated"), F.col("copy_done").isNotNull().alias("finished"), F.col("image_path").isNotNull().alias("imaged"), state.alias("state"), F.coalesce("n", F.lit(0)).cast("long").alias("pending"))
+    """Media that are imaged and not through, the longest waiting ones first."""
+    has = lambda x, name: F.col(x).isNotNull().alias(name)
+    rows = k.medium.where("image_path is not null and (enum_done is null or copy_done is null)").orderBy("added")
+    return rows.select("medium_hash", "medium_human", "message", has("image_path", "has_image"), has("enum_done", "enum_complete"), has("copy_done", "copy_complete"), "health", c.day_of(F.col("added")).cast("string").alias("added"))
 
 
 @query("SELECT medium_hash, ino, errors[-1] AS latest, len(errors) AS n_errors, len(errors) >= 3 AND len(list_distinct(errors[-3:])) = 1 AS repeated FROM inode WHERE message IS NOT NULL")

@@ -1,7 +1,9 @@
 """The archive catalog over the tables of a data folder.
 
-A medium is a source of documents, an inode a document, a blob a distinct text.
-Everything is derived by plain expressions, so filters and columns reach the
+A medium is a source of documents, an inode a document, a blob a distinct content:
+the text, for a third of them after the first bytes of a known file type.  Beside
+the documents every medium has one file that is on all media, and some have one that
+dozens of files are copies of.  Everything is derived by plain expressions, so filters and columns reach the
 scan; ``SQL`` has the same views for the differential tests.
 """
 
@@ -17,6 +19,10 @@ from quarry.functions import columns as c
 MESSAGES = ("No such file or directory: x", "Permission denied", "Input/output error", "read beyond EOF", "BLAKE3 mismatch", "File name too long", "strange failure")
 FILESYSTEMS = ("ext4", "vfat", "hfsplus", "iso9660")
 PATTERNS = ["node_modules", r"\.cache"]
+#: a common multiple of what the rows' numbers are divided by, so that planted files have the remainders that are added to it
+FAR = 2 * 5 * 7 * 11 * 13 * 17 * 19 * 23 * 29 * 31
+#: beginnings of files, in hexadecimal, with the zeros before bytes that stand further on
+BEGINNINGS = tuple("00" * offset + magic for offset, magic, _ in c.MAGIC) + ("".join(f"{b:02X}" for b in b"<!DOCTYPE html>\n"), "".join(f"{b:02X}" for b in b"  \n#!/bin/sh\n"), "0001", "")
 
 
 class Catalog:
@@ -26,21 +32,28 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @staticmethod
-    def content() -> Column:
-        """A file's content: its text, but for one blob that all media share and one that some dozens of files have."""
-        d = F.col("doc_id")
-        return F.when(d % 7 == 2, "common").when(d % 15 == 9, "shared").otherwise(F.col("text"))
+    @cached_property
+    def files(self) -> DataFrame:
+        """(d, born, text, source, lang, n_chars, content): the documents, and the planted files under numbers far above theirs."""
+        own = self.table("documents").select(F.col("doc_id").alias("d"), F.col("doc_id").alias("born"), "text", "source", "lang", "n_chars")
+        planted = lambda rows, text, add: rows.select((F.lit(FAR) * (F.col("born") + 1) + add).alias("d"), "born", text.alias("text"), "source", F.lit("en").alias("lang"), F.length(text).cast("long").alias("n_chars"))
+        first = own.groupBy("source").agg(F.min("born").alias("born"))
+        # 33 copies each
+        copies = planted(own.where("born % 15 = 9"), F.concat(F.lit("shared "), F.floor(F.col("born") / 495).cast("string")), 12)
+        every = own.unionByName(planted(first, F.lit("common"), 1)).unionByName(copies)
+        kind = F.length("text") / 3
+        begin = F.when(F.length("text") % 3 == 0, F.unhex(F.element_at(F.array(*(F.lit(x) for x in BEGINNINGS)), (F.floor(kind) % len(BEGINNINGS) + 1).cast("int")))).otherwise(F.lit(b""))
+        return every.withColumn("content", F.concat(begin, F.encode("text", "UTF-8")))
 
     @cached_property
     def inode(self) -> DataFrame:
-        d = F.col("doc_id")
+        d = F.col("d")
         file = ~((d % 17 == 0) | (d % 19 == 0))
         failed = file & (d % 10 == 3)
         message = F.when(failed, F.element_at(F.array(*map(F.lit, MESSAGES)), ((d / 10).cast("long") % 7 + 1).cast("int")))
-        base = self.table("documents").select(
-            d.alias("id"), F.col("source").alias("medium_hash"), (d % 2 + 1).alias("dev"), d.alias("ino"), F.when(d % 13 == 0, 3).otherwise(1).alias("nlink"), F.col("n_chars").alias("size"), (F.lit(1400000000) + d * 7200).alias("mtime"),
-            F.when(d % 17 == 0, "d").when(d % 19 == 0, "l").otherwise("f").alias("fs_type"), F.when(file & ~failed & (d % 23 != 0), F.sha2(self.content(), 256)).alias("blobid"), message.alias("message"), "lang",
+        base = self.files.select(
+            d.alias("id"), F.col("source").alias("medium_hash"), (d % 2 + 1).alias("dev"), d.alias("ino"), F.when(d % 13 == 0, 3).otherwise(1).alias("nlink"), F.col("n_chars").alias("size"), (F.lit(1400000000) + F.col("born") * 7200).alias("mtime"),
+            F.when(d % 17 == 0, "d").when(d % 19 == 0, "l").otherwise("f").alias("fs_type"), F.when(file & ~failed & (d % 23 != 0), F.sha2("content", 256)).alias("blobid"), message.alias("message"), "lang",
         )
         kind = F.when(F.col("message").isNotNull(), c.classify_error(F.col("message")))
         copied = (F.col("fs_type") != "f") | F.col("blobid").isNotNull() | (F.col("message").isNotNull() & ((F.col("id") / 10).cast("long") % 4 == 0))
@@ -53,16 +66,24 @@ class Catalog:
             F.when(F.col("copied"), F.col("mtime") + (F.col("id") % 97) * 30).alias("processed"),
         )
 
+    @cached_property
+    def contents(self) -> DataFrame:
+        """(blobid, content) of every file, as the archive's store has them."""
+        return self.files.select(F.sha2("content", 256).alias("blobid"), "content")
+
     @cached_property
     def medium(self) -> DataFrame:
         m = self.table("documents").groupBy(F.col("source").alias("medium_hash")).agg(F.min("doc_id").alias("k"))
+        bare = self.table("nation").where("n_nationkey % 6 = 0").select(F.concat(F.lit("bare"), F.col("n_nationkey").cast("string")).alias("medium_hash"), (F.lit(1_000_000) + F.col("n_nationkey")).cast("long").alias("k"))
+        m = m.unionByName(bare)  # enumerated, some of them, and without a file
         k = F.col("k")
         return m.select(
             "medium_hash", F.concat(F.lit("Medium "), F.col("medium_hash")).alias("medium_human"), (F.lit(1600000000) + F.col("k") * 3600).alias("added"),
             F.when(k % 6 == 1, "incomplete").when(k % 6 == 2, "corrupt").when(k % 6 == 3, "failed").when(k % 6 != 0, "ok").alias("health"),
             F.when(k % 5 != 4, F.lit(1600000600) + k * 3660).alias("enum_done"), F.when((k % 5 != 4) & (k % 4 != 0), F.lit(1600009000) + k * 3700).alias("copy_done"),
             F.when(k % 3 != 0, F.concat(F.lit("/img/"), F.col("medium_hash"), F.lit(".img"))).alias("image_path"), self._problems(k).alias("problems"),
-            F.to_json(F.struct(F.concat(F.lit("/dev/loop0: LABEL=x TYPE="), F.element_at(F.array(*map(F.lit, FILESYSTEMS)), (k % 4 + 1).cast("int")), F.lit(" UUID=1")).alias("blkid"), (k * 7_654_321 + 1000).alias("image_size_bytes"))).alias("diagnostics"),
+            F.to_json(F.struct(F.concat(F.lit("/dev/loop0: LABEL=x TYPE="), F.element_at(F.array(*map(F.lit, FILESYSTEMS)), (k % 4 + 1).cast("int")), F.lit(" UUID=1")).alias("blkid"), (k * 7_654_321 + 1000).alias("image_size_bytes"), F.when(k % 3 != 0, F.concat(F.lit("image-"), (k % 6).cast("string"))).alias("content_hash"))).alias("diagnostics"),
+            F.when(k % 4 == 1, "second pass").alias("message"),
         )
 
     @staticmethod
@@ -95,8 +116,10 @@ class Catalog:
     @staticmethod
     def _extraction(k: Column) -> list[Column]:
         """What an archive's extraction left of it."""
-        status = F.when(k % 5 == 0, "complete").when(k % 5 == 1, "failed").when(k % 5 == 2, "pilot")
+        status = F.when(k % 5 == 0, "complete").when(k % 5 == 1, "failed").when(k % 5 == 2, "pilot").when(k % 5 == 3, "pending")
+        kinds = F.array(*map(F.lit, ("application/gzip", "application/x-bzip2", "application/x-tar", "application/zip", "text/plain")))
         return [
+            F.element_at(kinds, (k % 7 % 5 + 1).cast("int")).alias("mime_type"),
             status.alias("extraction_status"), F.when(k % 2 == 0, "tar").otherwise("zip").alias("extraction_method"), F.when(k % 5 == 1, F.when(k % 3 == 0, "bad header").otherwise("password")).alias("extraction_error"),
             (k % 7 + 1).alias("files_extracted"), (k % 6 == 0).alias("is_intermediate"), F.when(k % 5 < 3, F.lit(1700000000) + k * 60).alias("extracted_at"),
         ]
@@ -172,13 +195,31 @@ class Stored(Catalog):
 
 _classes = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(message), {chr(39)}{p}{chr(39)})' for p in parts)} THEN '{kind}'" for kind, parts in c.ERROR_RULES) + " ELSE 'unknown' END"
 _messages = "[" + ", ".join(f"'{m}'" for m in MESSAGES) + "]"
-_content = "CASE WHEN doc_id % 7 = 2 THEN 'common' WHEN doc_id % 15 = 9 THEN 'shared' ELSE text END"
+_begin = "[" + ", ".join(f"'{x}'" for x in BEGINNINGS) + "]"
+
+
+def sniff_sql(content: str) -> str:
+    """``columns.sniff_mime`` of a blob expression, for DuckDB."""
+    digits = f"substr(hex({content}), 1, {2 * c.HEAD})"
+    blank = "(09|0A|0D|20)*"
+    when = [f"WHEN substr({digits}, {2 * offset + 1}, {len(magic)}) = '{magic}' THEN '{kind}'" for offset, magic, kind in c.MAGIC]
+    for begin, kind in c.TEXT_MAGIC:
+        either = "".join(f"({ord(x):02X}|{ord(x.upper()):02X})" for x in begin)
+        when.append(f"WHEN regexp_matches(substr({digits}, 1, 128), '^{blank}{either}') THEN '{kind}'")
+    return f"CASE WHEN octet_length({content}) = 0 THEN '{c.EMPTY_TYPE}' {' '.join(when)} WHEN NOT regexp_matches({digits}, '^(..)*00') THEN 'text/plain' ELSE 'application/octet-stream' END"
+
+
 SQL = f"""
-WITH inode_base AS (
-  SELECT doc_id AS id, source AS medium_hash, doc_id % 2 + 1 AS dev, doc_id AS ino, CASE WHEN doc_id % 13 = 0 THEN 3 ELSE 1 END AS nlink, n_chars AS size, 1400000000 + doc_id * 7200 AS mtime,
-    CASE WHEN doc_id % 17 = 0 THEN 'd' WHEN doc_id % 19 = 0 THEN 'l' ELSE 'f' END AS fs_type,
-    CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 <> 0 AND doc_id % 10 <> 3 AND doc_id % 23 <> 0 THEN sha256({_content}) END AS blobid,
-    CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 <> 0 AND doc_id % 10 = 3 THEN {_messages}[(doc_id // 10) % 7 + 1] END AS message, lang FROM documents),
+WITH files_own AS (
+  SELECT doc_id AS d, doc_id AS born, text, source, lang, n_chars FROM documents
+  UNION ALL SELECT {FAR} * (min(doc_id) + 1) + 1, min(doc_id), 'common', source, 'en', 6 FROM documents GROUP BY source
+  UNION ALL SELECT {FAR} * (doc_id + 1) + 12, doc_id, 'shared ' || (doc_id // 495), source, 'en', length('shared ' || (doc_id // 495)) FROM documents WHERE doc_id % 15 = 9),
+files AS (SELECT *, (CASE WHEN length(text) % 3 = 0 THEN unhex({_begin}[(length(text) // 3) % {len(BEGINNINGS)} + 1]) ELSE ''::BLOB END) || encode(text) AS content FROM files_own),
+inode_base AS (
+  SELECT d AS id, source AS medium_hash, d % 2 + 1 AS dev, d AS ino, CASE WHEN d % 13 = 0 THEN 3 ELSE 1 END AS nlink, n_chars AS size, 1400000000 + born * 7200 AS mtime,
+    CASE WHEN d % 17 = 0 THEN 'd' WHEN d % 19 = 0 THEN 'l' ELSE 'f' END AS fs_type,
+    CASE WHEN d % 17 <> 0 AND d % 19 <> 0 AND d % 10 <> 3 AND d % 23 <> 0 THEN sha256(content) END AS blobid,
+    CASE WHEN d % 17 <> 0 AND d % 19 <> 0 AND d % 10 = 3 THEN {_messages}[(d // 10) % 7 + 1] END AS message, lang FROM files),
 inode_kind AS (
   SELECT *, CASE WHEN message IS NOT NULL THEN {_classes} END AS error_type,
     fs_type <> 'f' OR blobid IS NOT NULL OR (message IS NOT NULL AND (id // 10) % 4 = 0) AS copied FROM inode_base),
@@ -188,7 +229,7 @@ inode AS (
     list_transform(range(id % 6 + 1), lambda i: message) AS errors,
     CASE WHEN fs_type = 'f' THEN CASE lang WHEN 'en' THEN 'text/plain' WHEN 'de' THEN 'text/html' END WHEN fs_type = 'd' THEN 'inode/directory' ELSE 'inode/symlink' END AS mime_type,
     CASE WHEN copied THEN mtime + (id % 97) * 30 END AS processed FROM inode_kind),
-medium_base AS (SELECT source AS medium_hash, min(doc_id) AS k FROM documents GROUP BY source),
+medium_base AS (SELECT source AS medium_hash, min(doc_id) AS k FROM documents GROUP BY source UNION ALL SELECT 'bare' || n_nationkey, 1000000 + n_nationkey FROM nation WHERE n_nationkey % 6 = 0),
 medium AS (
   SELECT medium_hash, 'Medium ' || medium_hash AS medium_human, 1600000000 + k * 3600 AS added,
     CASE k % 6 WHEN 1 THEN 'incomplete' WHEN 2 THEN 'corrupt' WHEN 3 THEN 'failed' WHEN 0 THEN NULL ELSE 'ok' END AS health,
@@ -196,7 +237,8 @@ medium AS (
     CASE WHEN k % 3 <> 0 THEN '/img/' || medium_hash || '.img' END AS image_path,
     CASE WHEN k % 4 = 0 THEN k + 1 END AS io_errors, CASE WHEN k % 4 = 1 THEN k + 2 END AS fat_errors, CASE WHEN k % 4 < 2 THEN k % 3 + 1 END AS error_files, k % 3 = 0 AS beyond_eof,
     CASE WHEN k % 5 = 2 THEN CAST(k + 10.5 AS DOUBLE) END AS rate_percent, CASE WHEN k % 5 = 2 THEN k + 100 END AS detected_at_count, k % 7 = 3 AS enum_failed,
-    k % 4 < 2 OR k % 3 = 0 OR k % 5 = 2 OR k % 7 = 3 AS has_problems, ['ext4', 'vfat', 'hfsplus', 'iso9660'][k % 4 + 1] AS filesystem, CAST(k * 7654321 + 1000 AS BIGINT) AS image_size_bytes FROM medium_base),
+    k % 4 < 2 OR k % 3 = 0 OR k % 5 = 2 OR k % 7 = 3 AS has_problems, ['ext4', 'vfat', 'hfsplus', 'iso9660'][k % 4 + 1] AS filesystem, CAST(k * 7654321 + 1000 AS BIGINT) AS image_size_bytes,
+    CASE WHEN k % 3 <> 0 THEN 'image-' || (k % 6) END AS content_hash, CASE WHEN k % 4 = 1 THEN 'second pass' END AS message FROM medium_base),
 path_all AS (
   SELECT medium_hash, dev, ino, nlink, blobid, unnest(CASE WHEN nlink > 1 THEN ['/' || lang || '/' || medium_hash || '/' || ino || '.txt', '/node_modules/' || ino, '/backup/' || medium_hash || '/a.x/' || ino]
     WHEN ino % 11 = 0 THEN ['/.cache/#' || ino] ELSE ['/' || lang || '/' || medium_hash || '/' || ino || '.txt'] END) AS path FROM inode),
@@ -206,7 +248,7 @@ blob_base AS (
   UNION ALL SELECT sha256(r_name), 0, NULL, r_regionkey FROM region),
 blobs AS (
   SELECT blobid, n_hardlinks, created, CASE WHEN k % 3 <> 0 THEN 1700000000 + k END AS last_checked, CASE k % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS external_copied,
-    CASE WHEN k % 11 = 0 THEN TRUE END AS external_copy_failed, CASE k % 5 WHEN 0 THEN 'complete' WHEN 1 THEN 'failed' WHEN 2 THEN 'pilot' END AS extraction_status, CASE WHEN k % 2 = 0 THEN 'tar' ELSE 'zip' END AS extraction_method,
+    CASE WHEN k % 11 = 0 THEN TRUE END AS external_copy_failed, CASE k % 5 WHEN 0 THEN 'complete' WHEN 1 THEN 'failed' WHEN 2 THEN 'pilot' WHEN 3 THEN 'pending' END AS extraction_status, ['application/gzip', 'application/x-bzip2', 'application/x-tar', 'application/zip', 'text/plain'][k % 7 % 5 + 1] AS mime_type, CASE WHEN k % 2 = 0 THEN 'tar' ELSE 'zip' END AS extraction_method,
     CASE WHEN k % 5 = 1 THEN CASE WHEN k % 3 = 0 THEN 'bad header' ELSE 'password' END END AS extraction_error, k % 7 + 1 AS files_extracted, k % 6 = 0 AS is_intermediate, CASE WHEN k % 5 < 3 THEN 1700000000 + k * 60 END AS extracted_at FROM blob_base),
 matrix AS (
   SELECT DISTINCT i.blobid, i.medium_hash, i.size FROM inode i JOIN path p ON p.medium_hash = i.medium_hash AND p.ino = i.ino WHERE i.blobid IS NOT NULL AND i.copied AND p.exclude_reason IS NULL),

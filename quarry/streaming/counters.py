@@ -6,8 +6,6 @@ Sources are append-only folders; a run takes what is there and stops
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,16 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.functions import columns as c
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared one; on one machine, of this process where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="quarry-stream-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from quarry.sources.shared import shared_folder
 
 
 def stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
