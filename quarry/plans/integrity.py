@@ -6,9 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as c
-from quarry.operators import integrity
+from quarry.operators import integrity, queue
 from quarry.plans.registry import query
-from quarry.sources import raw, shared, sinks
+from quarry.sources import raw, shared, sinks, store
 
 
 @query("SELECT blobid, count(DISTINCT size) AS sizes FROM inode WHERE blobid IS NOT NULL GROUP BY 1 HAVING count(DISTINCT size) > 1 ORDER BY 1")
@@ -241,3 +241,19 @@ def stored_matrix(k):
     """The blob-medium table written and read back."""
     kept = k.stored(shared.shared_folder(k.spark, "catalog"))
     return kept.matrix.agg(F.count("*").alias("n_rows"), F.count_distinct("blobid").alias("blobs"), F.count_distinct("medium_hash").alias("media"), F.sum("size").alias("bytes"))
+
+
+@query("""WITH p AS (SELECT medium_hash, id, row_number() OVER (PARTITION BY medium_hash ORDER BY id) AS rn FROM inode WHERE NOT copied AND claimed_by IS NULL), c AS (SELECT medium_hash, id FROM p WHERE rn <= 3)
+SELECT i.medium_hash, count(*) FILTER (WHERE i.status = 'success' OR (c.id IS NOT NULL AND c.id % 2 = 0)) AS successful, count(*) FILTER (WHERE i.copied OR (c.id IS NOT NULL AND c.id % 2 = 0)) AS copied, count(i.claimed_by) AS claimed,
+CAST(sum(len(i.errors) + CASE WHEN c.id % 2 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_errors, 3 AS version FROM inode i LEFT JOIN c ON c.medium_hash = i.medium_hash AND c.id = i.id GROUP BY 1""")
+def stored_transitions(k):
+    """A worker's batch against the stored queue: three rows of each medium are claimed, even ones succeed, odd ones fail; each step is a version."""
+    kept = store.Store(k.spark, shared.shared_folder(k.spark, "store"))
+    media = kept.replace({"inode": k.inode}).media("inode")
+    kept.change(media, ("inode", lambda rows: queue.claim(rows, 3, "batch")))
+    batch = kept.read("inode").where("claimed_by = 'batch'").select("id")
+    done = batch.where("id % 2 = 0").select("id", F.sha2(F.col("id").cast("string"), 256).alias("blob"), F.lit(None).cast("string").alias("mime"))
+    failed = batch.where("id % 2 = 1").select("id", F.lit("no such device").alias("message"), F.lit("OSError").alias("exception"))
+    after = kept.change(media, ("inode", lambda rows: queue.mark_failure(queue.mark_success(rows, done), failed)))
+    n = kept.read("inode", version=after).groupBy("medium_hash").agg(F.count_if(F.col("status") == "success").alias("successful"), F.count_if("copied").alias("copied"), F.count("claimed_by").alias("claimed"), F.sum(F.size("errors")).alias("n_errors"))
+    return n.withColumn("version", F.lit(after.number))
