@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as c
 from quarry.operators import ingest
 from quarry.plans.registry import query
+from quarry.sources import search
+from quarry.sources.shared import shared_folder
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1", on_catalog=False)
@@ -133,3 +135,30 @@ def distinct_counts_filtered(k):
 def media_with_backups(k):
     hit = k.path.where(F.col("exclude_reason").isNull() & F.col("path").startswith("/backup/")).select("medium_hash")
     return k.medium.join(hit, "medium_hash", "left_semi").select("medium_hash", "medium_human")
+
+
+def _index(k):
+    """The stored search index over the catalog's paths."""
+    found = search.SearchIndex(k.spark, shared_folder(k.spark, "search"))
+    found.build(k.path.select("medium_hash", "path"), rows_per_file=2_000)
+    return found
+
+
+_NAMES = "WITH s AS (SELECT medium_hash, path, regexp_replace(path, '^.*/', '') AS filename, regexp_replace(path, '^.*/([^/]+/[^/]+)$', '\\1') AS parent_filename FROM path)"
+
+
+@query(_NAMES + " SELECT medium_hash, path, filename, parent_filename FROM s WHERE filename = '26'")
+def index_one_name(k):
+    return _index(k).by_name("26")
+
+
+@query(_NAMES + " SELECT filename, count(*) AS match_count, string_agg(DISTINCT medium_hash, ',' ORDER BY medium_hash) AS found_in FROM s WHERE filename IN (SELECT (doc_id * 3) || '.txt' FROM documents WHERE doc_id < 500) GROUP BY 1")
+def index_many_names(k):
+    """Several hundred names at once, as a search for what a lost medium held."""
+    names = [f"{3 * i}.txt" for i in range(500)]
+    return _index(k).matches(*names).withColumn("found_in", F.array_join("found_in", ","))
+
+
+@query(_NAMES + " SELECT medium_hash, path, filename, parent_filename FROM s WHERE path LIKE '%/a.x/26' OR path LIKE '%9.txt' OR path LIKE '%src4/13'")
+def index_path_endings(k):
+    return _index(k).by_ending("/a.x/26", "9.txt", "src4/13")
