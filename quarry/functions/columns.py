@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.functions.patterns import live, matches
+
 # Texts and the error type that each stands for, in the order of the test.
 ERROR_RULES = (
     ("path_error", ("no such file or directory", "file name too long", "path too long")),
@@ -73,8 +75,7 @@ def same_tail(errors: Column, n: int = SAME_ERRORS) -> Column:
 
 def excluded(path: Column, patterns: list[str]) -> Column:
     """'pattern_match' where any pattern, or a '#', is in the path; no pattern at all matches only the '#'."""
-    live = [p for p in (x.strip() for x in patterns) if p and not p.startswith("#")]
-    return F.when(path.rlike("|".join([*live, "#"])), "pattern_match")
+    return F.when(matches(path, [*live(patterns), "#"]), "pattern_match")
 
 
 def log2_bucket(n: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as c
+from quarry.functions import patterns as patterns_
 
 
 def typed(raw: DataFrame, medium_hash: str) -> DataFrame:
@@ -29,8 +30,18 @@ def mark_excluded(paths: DataFrame, patterns: list[str], column: str = "path") -
 
 
 def drop_excluded(raw: DataFrame, patterns: list[str], column: str = "path") -> DataFrame:
-    live = [p for p in (x.strip() for x in patterns) if p and not p.startswith("#")]
-    return raw.where(~F.col(column).rlike("|".join(live))) if live else raw
+    live = patterns_.live(patterns)
+    return raw.where(~patterns_.matches(F.col(column), live)) if live else raw
+
+
+def pattern_impact(paths: DataFrame, patterns: list[str], column: str = "path") -> DataFrame:
+    """(pattern, n_paths) of each live pattern: one pass over the paths, in which a pattern is tried only where a string that it requires stands."""
+    live = list(dict.fromkeys(patterns_.live(patterns)))
+    if not live:
+        return paths.sparkSession.createDataFrame([], "pattern string, n_paths long")
+    counts = paths.agg(*(F.count_if(patterns_.matches(F.col(column), [p])).alias(str(k)) for k, p in enumerate(live)))
+    rows = F.array(*(F.struct(F.lit(p).alias("pattern"), F.col(f"`{k}`").alias("n_paths")) for k, p in enumerate(live)))
+    return counts.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def exclude_inodes(inode: DataFrame, path: DataFrame) -> DataFrame:

@@ -162,3 +162,12 @@ def index_many_names(k):
 @query(_NAMES + " SELECT medium_hash, path, filename, parent_filename FROM s WHERE path LIKE '%/a.x/26' OR path LIKE '%9.txt' OR path LIKE '%src4/13'")
 def index_path_endings(k):
     return _index(k).by_ending("/a.x/26", "9.txt", "src4/13")
+
+
+_IGNORED = ("node_modules", r"\.cache", "/backup/", r"[1-3]\.txt$", "/(en|de)/src1")
+
+
+@query("WITH p AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in _IGNORED) + "]) AS pattern) SELECT pattern, count(path) AS n_paths FROM p LEFT JOIN path ON regexp_matches(path, pattern) GROUP BY 1")
+def ignore_pattern_impact(k):
+    """How many of the catalog's paths each line of an ignore file would drop."""
+    return ingest.pattern_impact(k.path, [*_IGNORED, "# a comment"])

@@ -110,7 +110,7 @@ def hfs_images(k):
     return k.medium.where(_diagnosed("blkid").like("%TYPE=hfsplus%")).select("medium_hash", "medium_human")
 
 
-@query("""SELECT medium_hash, CASE WHEN image_size_bytes < 10240 THEN image_size_bytes || ' bytes' WHEN (image_size_bytes // 512 + 1) // 2 < 10240 THEN ((image_size_bytes // 512 + 1) // 2) || ' kB' ELSE ((image_size_bytes // 524288 + 1) // 2) || ' MB' END AS size FROM medium ORDER BY image_size_bytes DESC, medium_hash LIMIT 10""")
+@query("""SELECT medium_hash, CASE WHEN image_size_bytes < 10240 THEN image_size_bytes || ' bytes' WHEN (image_size_bytes // 512 + 1) // 2 < 10240 THEN ((image_size_bytes // 512 + 1) // 2) || ' kB' WHEN (image_size_bytes // 524288 + 1) // 2 < 10240 THEN ((image_size_bytes // 524288 + 1) // 2) || ' MB' ELSE ((image_size_bytes // 536870912 + 1) // 2) || ' GB' END AS size FROM medium ORDER BY image_size_bytes DESC, medium_hash LIMIT 10""")
 def image_sizes(k):
     n = _diagnosed("image_size_bytes").cast("long")
     return k.medium.where(n.isNotNull()).orderBy(F.desc(n), "medium_hash").limit(10).select("medium_hash", c.size_pretty(n).alias("size"))
