@@ -14,9 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources.shared import ship
+
 # Fixed values of the specification: the initial words, the order of the message words in each following round, the flags.
 IV = (0x6A09E667, 0xBB67AE85, 0x3C6EF372, 0xA54FF53A, 0x510E527F, 0x9B05688C, 0x1F83D9AB, 0x5BE0CD19)
 PERMUTATION = (2, 6, 3, 10, 7, 0, 4, 13, 1, 11, 12, 5, 9, 14, 15, 8)
@@ -151,6 +153,7 @@ def hex_digests(column: pa.Array) -> pa.Array:
 
 def content_id(content: Column) -> Column:
     """BLAKE3 of a binary or string column, in 64 hexadecimal digits; null of a null."""
+    ship(SparkSession.active())
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
@@ -176,6 +179,7 @@ def part_values(parts: DataFrame, part_bytes: int = PART) -> DataFrame:
                 row = [b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([part_value(content, part, part_bytes)], pa.binary()), pa.array([digest(content) if part == 0 else None], pa.binary())]
                 yield pa.RecordBatch.from_arrays(row, names=["file", "part", "value", "alone"])
 
+    ship(parts.sparkSession)
     rows = parts.select("file", F.col("part").cast("long").alias("part"), F.col("content").cast("binary").alias("content"))
     return rows.mapInArrow(run, f"file {rows.schema['file'].dataType.simpleString()}, part bigint, value binary, alone binary")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import blake3
 from quarry.functions import columns as c
+from quarry.sources.shared import ship
 
 
 def blob_path(blobid: str) -> str:
@@ -42,6 +43,7 @@ def store_blobs(contents: DataFrame, root: str) -> DataFrame:
     The job runs when the result is used.  A repeated task finds what its first try has
     written, so that losing an executor leaves no blob twice or by half.  Null ids or contents are left out.
     """
+    ship(contents.sparkSession)
     rows = contents.where("blobid is not null and content is not null").select("blobid", F.col("content").cast("binary").alias("content")).dropDuplicates(["blobid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +87,7 @@ def heads(ids: DataFrame, root: str, n: int = c.HEAD) -> DataFrame:
                 sizes.append(size), read.append(head), errors.append(error)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(read, pa.binary()), pa.array(errors, pa.string())], names=["blobid", "size", "head", "error"])
 
+    ship(ids.sparkSession)
     return ids.select("blobid").where("blobid is not null").distinct().mapInArrow(run, "blobid string, size bigint, head binary, error string")
 
 
@@ -103,6 +106,7 @@ def file_ids(paths: DataFrame, root: str, part_bytes: int = blake3.PART) -> Data
     its range alone, so that a file of any size is hashed by all tasks and held by none.
     """
     blake3.checked_part(part_bytes)
+    ship(paths.sparkSession)
     names = paths.select(F.col("path").alias("file")).where("file is not null").distinct()
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,10 @@ SEPARATOR = "\x1c"
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """NUL-terminated records of seven fields; bytes are kept as Latin-1, and the path may hold the separator."""
+    """NUL-terminated records of seven fields; bytes are kept as Latin-1, and the path may hold the separator.
+
+    For any file store that Spark knows; a byte 1 ends a path here.  ``readers`` has a source that takes every byte and cuts files.
+    """
     lines = spark.read.option("lineSep", "\0").option("sep", "\x01").option("quote", "").option("escape", "").option("encoding", "ISO-8859-1").schema("value string").csv(path)
     part = F.split("value", SEPARATOR, len(FIELDS))
     return lines.where(F.size(part) == len(FIELDS)).select(*[part[i].alias(f) for i, f in enumerate(FIELDS)])

@@ -5,10 +5,26 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application; for functions that run in Python there."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        at = Path(tempfile.mkdtemp(prefix="quarry-code-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(at, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(at))
+        _shipped.add(sc.applicationId)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
