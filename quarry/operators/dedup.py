@@ -19,6 +19,11 @@ def first_seen(matrix: DataFrame, order: DataFrame) -> DataFrame:
     return matrix.join(order, "medium_hash").groupBy("blobid", "size").agg(F.min("seq").alias("first_seq"))
 
 
+def _ranked(media: DataFrame) -> DataFrame:
+    """(medium_hash, rank) of the media of health 'ok' in order of arrival."""
+    return sequence_media(media.where("health = 'ok'")).withColumnRenamed("seq", "rank")
+
+
 def healthy_media(matrix: DataFrame, media: DataFrame) -> DataFrame:
     """Media in order of arrival: those of health 'ok' that have a blob."""
     own = media.where("health = 'ok'").join(matrix.select("medium_hash").distinct(), "medium_hash", "left_semi")
@@ -26,14 +31,20 @@ def healthy_media(matrix: DataFrame, media: DataFrame) -> DataFrame:
 
 
 def incremental(matrix: DataFrame, media: DataFrame) -> DataFrame:
-    """New and duplicate blobs and bytes of each healthy medium in order of arrival, with running totals."""
-    order = healthy_media(matrix, media).select("medium_hash", F.coalesce("medium_human", F.concat(F.substring("medium_hash", 1, 12), F.lit("..."))).alias("medium_name"), "added", "seq")
-    placed = matrix.join(order, "medium_hash")
-    first = placed.groupBy("blobid", "size").agg(F.min("seq").alias("first_seq"))
-    new = F.col("seq") == F.col("first_seq")
-    rows = placed.join(first, ["blobid", "size"]).groupBy("seq", "medium_hash", "medium_name", "added").agg(
+    """New and duplicate blobs and bytes of each healthy medium in order of arrival, with running totals.
+
+    One aggregation per blob gives all its media, of which the first one is where it is new; nothing is joined back.
+    Media without a blob take no number: the ranks of the others are closed up at the end, over a row a medium.
+    """
+    on = matrix.join(_ranked(media), "medium_hash").groupBy("blobid", "size").agg(F.collect_list("rank").alias("on"))
+    each = on.select("size", F.array_min("on").alias("first"), F.explode("on").alias("rank"))
+    new = F.col("rank") == F.col("first")
+    rows = each.groupBy("rank").agg(
         F.count("*").alias("total_blobs"), F.count_if(new).alias("new_blobs"), F.count_if(~new).alias("dup_blobs"), F.sum(F.when(new, F.col("size")).otherwise(0)).alias("new_bytes"), F.sum(F.when(~new, F.col("size")).otherwise(0)).alias("dup_bytes"), F.sum("size").alias("total_bytes")
     )
+    name = F.coalesce("medium_human", F.concat(F.substring("medium_hash", 1, 12), F.lit("..."))).alias("medium_name")
+    named = media.where("health = 'ok'").select("medium_hash", name, "added", F.row_number().over(W.orderBy("added", "medium_hash")).alias("rank"))
+    rows = rows.join(named, "rank").withColumn("seq", F.row_number().over(W.orderBy("rank")))
     running = W.orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
     return rows.select(
         "seq", "medium_hash", "medium_name", "added", "total_blobs", "new_blobs", "dup_blobs", "new_bytes", "dup_bytes", c.gibibytes(F.col("new_bytes")).alias("new_gb"), c.gibibytes(F.col("dup_bytes")).alias("dup_gb"),
@@ -42,13 +53,13 @@ def incremental(matrix: DataFrame, media: DataFrame) -> DataFrame:
     )
 
 
-def incremental_paths(path: DataFrame, matrix: DataFrame, media: DataFrame) -> DataFrame:
-    """New and duplicate path strings of each healthy medium; paths and blobs are summed apart, so no size is counted once a path."""
-    order = healthy_media(matrix, media).select("medium_hash", "seq")
-    own = path.where("exclude_reason is null").select("medium_hash", "path").distinct().join(order, "medium_hash")
-    first = own.groupBy("path").agg(F.min("seq").alias("first_seq"))
-    new = F.col("seq") == F.col("first_seq")
-    return own.join(first, "path").groupBy("medium_hash").agg(F.count_if(new).alias("new_paths"), F.count_if(~new).alias("dup_paths"))
+def incremental_paths(path: DataFrame, order: DataFrame) -> DataFrame:
+    """New and duplicate path strings of each medium of ``order`` (medium_hash, seq), such as ``incremental`` gives; one aggregation per path."""
+    own = path.where("exclude_reason is null").select("medium_hash", "path").join(order.select("medium_hash", "seq"), "medium_hash")
+    on = own.groupBy("path").agg(F.collect_set("seq").alias("on"))
+    each = on.select(F.array_min("on").alias("first"), F.explode("on").alias("seq"))
+    new = F.col("seq") == F.col("first")
+    return each.groupBy("seq").agg(F.count_if(new).alias("new_paths"), F.count_if(~new).alias("dup_paths"))
 
 
 def sharing_pairs(matrix: DataFrame, media: DataFrame | None = None) -> DataFrame:

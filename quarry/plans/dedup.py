@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as c
 from quarry.operators import dedup
 from quarry.plans.registry import query
+from quarry.sources import sinks
 
 _ORDER = """WITH ord AS (SELECT medium_hash, medium_human, coalesce(medium_human, substr(medium_hash, 1, 12) || '...') AS medium_name, added, row_number() OVER (ORDER BY added, medium_hash) AS seq
   FROM medium m WHERE health = 'ok' AND EXISTS (SELECT 1 FROM matrix x WHERE x.medium_hash = m.medium_hash)),
@@ -136,7 +137,8 @@ p AS (SELECT medium_hash, count(*) FILTER (WHERE first_seq = seq) AS new_paths,
 SELECT seq, medium_hash, medium_name, added, coalesce(new_paths, 0) AS new_paths, coalesce(dup_paths, 0) AS dup_paths, new_blobs, dup_blobs, new_gb, dup_gb, cumulative_blobs, cumulative_gb FROM b LEFT JOIN p USING (medium_hash)""")
 def incremental_dedup_paths(k):
     blobs = dedup.incremental(k.matrix, k.medium).select("seq", "medium_hash", "medium_name", "added", "new_blobs", "dup_blobs", "new_gb", "dup_gb", "cumulative_blobs", "cumulative_gb")
-    return blobs.join(dedup.incremental_paths(k.path, k.matrix, k.medium), "medium_hash", "left").na.fill(0, ["new_paths", "dup_paths"])
+    blobs = sinks.kept(blobs, "incremental")  # a row a medium, asked for twice
+    return blobs.join(dedup.incremental_paths(k.path, blobs), "seq", "left").na.fill(0, ["new_paths", "dup_paths"])
 
 
 @query("""WITH h AS (SELECT CAST(1 AS BIGINT) << (length(bin(n_hardlinks)) - 1) AS lower_bound, (CAST(1 AS BIGINT) << length(bin(n_hardlinks))) - 1 AS upper_bound, count(*) AS num_blobs, CAST(sum(n_hardlinks) AS BIGINT) AS total_inodes FROM blobs WHERE n_hardlinks > 1 GROUP BY ALL)

@@ -35,12 +35,16 @@ class Catalog:
     @cached_property
     def files(self) -> DataFrame:
         """(d, born, text, source, lang, n_chars, content): the documents, and the planted files under numbers far above theirs."""
-        own = self.table("documents").select(F.col("doc_id").alias("d"), F.col("doc_id").alias("born"), "text", "source", "lang", "n_chars")
-        planted = lambda rows, text, add: rows.select((F.lit(FAR) * (F.col("born") + 1) + add).alias("d"), "born", text.alias("text"), "source", F.lit("en").alias("lang"), F.length(text).cast("long").alias("n_chars"))
-        first = own.groupBy("source").agg(F.min("born").alias("born"))
-        # 33 copies each
-        copies = planted(own.where("born % 15 = 9"), F.concat(F.lit("shared "), F.floor(F.col("born") / 495).cast("string")), 12)
-        every = own.unionByName(planted(first, F.lit("common"), 1)).unionByName(copies)
+        born = F.col("doc_id")
+        # 0: the document, 1: one of 33 copies, 2: what all media have; by number, so that texts are not copied and one scan is enough
+        kinds = F.array_compact(F.array(F.lit(0), F.when(born % 15 == 9, 1), F.when((born < 200) | (born % 50 == 7), 2)))
+        far = F.lit(FAR) * (born + 1)
+        copy = F.concat(F.lit("shared "), F.floor(born / 495).cast("string"))
+        pick = lambda own, shared, common: F.when(F.col("kind") == 0, own).when(F.col("kind") == 1, shared).otherwise(common)
+        every = self.table("documents").select("*", F.explode(kinds).alias("kind")).select(
+            pick(born, far + 12, far + 1).alias("d"), born.alias("born"), pick(F.col("text"), copy, F.lit("common")).alias("text"), "source",
+            pick(F.col("lang"), F.lit("en"), F.lit("en")).alias("lang"), pick(F.col("n_chars"), F.length(copy), F.lit(6)).cast("long").alias("n_chars"),
+        )
         kind = F.length("text") / 3
         begin = F.when(F.length("text") % 3 == 0, F.unhex(F.element_at(F.array(*(F.lit(x) for x in BEGINNINGS)), (F.floor(kind) % len(BEGINNINGS) + 1).cast("int")))).otherwise(F.lit(b""))
         return every.withColumn("content", F.concat(begin, F.encode("text", "UTF-8")))
@@ -212,7 +216,7 @@ def sniff_sql(content: str) -> str:
 SQL = f"""
 WITH files_own AS (
   SELECT doc_id AS d, doc_id AS born, text, source, lang, n_chars FROM documents
-  UNION ALL SELECT {FAR} * (min(doc_id) + 1) + 1, min(doc_id), 'common', source, 'en', 6 FROM documents GROUP BY source
+  UNION ALL SELECT {FAR} * (doc_id + 1) + 1, doc_id, 'common', source, 'en', 6 FROM documents WHERE doc_id < 200 OR doc_id % 50 = 7
   UNION ALL SELECT {FAR} * (doc_id + 1) + 12, doc_id, 'shared ' || (doc_id // 495), source, 'en', length('shared ' || (doc_id // 495)) FROM documents WHERE doc_id % 15 = 9),
 files AS (SELECT *, (CASE WHEN length(text) % 3 = 0 THEN unhex({_begin}[(length(text) // 3) % {len(BEGINNINGS)} + 1]) ELSE ''::BLOB END) || encode(text) AS content FROM files_own),
 inode_base AS (

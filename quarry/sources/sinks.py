@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.sources.shared import shared_folder
+
 
 def write_media(rows: DataFrame, path: str, mode: str = "replace") -> None:
     """Partitioned by medium; 'replace' swaps the media that are in ``rows`` and no others, 'append' adds to them."""
@@ -17,6 +19,13 @@ def write_media(rows: DataFrame, path: str, mode: str = "replace") -> None:
         raise ValueError(f"unknown mode {mode!r}")
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to a shared folder and read them from there, so that what asks for them again does not compute them again."""
+    at = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(at)
+    return rows.sparkSession.read.schema(rows.schema).parquet(at)
+
+
 def copy_media(rows: DataFrame, path: str) -> DataFrame:
     """Write all media partitioned, read them back, and compare: (medium_hash, old_n, new_n, same)."""
     from quarry.operators.integrity import reconcile
