@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 
 from quarry.llm._scratch import Scratch, arrow, ship
 
-LEAF, BLOCK, SHARD_ROWS, SAMPLE, ROOTS, SECOND = 256, 4096, 8192, 65536, 4096, 8
+LEAF, BLOCK, SHARD_ROWS, SAMPLE, ROOTS, SECOND, BALLS = 256, 4096, 8192, 65536, 4096, 8, 16
 
 
 def halves(x: np.ndarray) -> np.ndarray:
@@ -81,6 +81,17 @@ class BallTree:
         """What no score of ``q`` (of length ``size``) below the node exceeds."""
         return q @ self.centres[node] + size * self.radii[node] + 1e-6
 
+    def cover(self, most: int) -> list[int]:
+        """Nodes, ``most`` at the most, that hold every row once: the widest is opened first."""
+        nodes = [0]
+        while len(nodes) < most:
+            wide = max((n for n in nodes if self.right[n]), key=lambda n: self.radii[n], default=None)
+            if wide is None:
+                break
+            nodes.remove(wide)
+            nodes += [wide + 1, self.right[wide]]
+        return sorted(nodes)
+
     def search(self, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores), up to k per query (score -inf: none), of all candidates that may be among its best given a score to beat."""
         size = np.sqrt((q**2).sum(1))
@@ -162,11 +173,12 @@ def quantise(vector: Column, scale: int = 64) -> Column:
     return F.when(~F.coalesce(bad, F.lit(True)), F.transform(x, lambda v: F.floor(v * F.lit(scale)).cast("double")))
 
 
-def _cells(rows: DataFrame, cells: int, sample: int) -> DataFrame:
+def _cells(rows: DataFrame, total: int, cells: int, sample: int) -> DataFrame:
     """``rows`` and the cell of each; vectors of each length have splits of their own."""
     lengths = [r[0] for r in rows.select(F.size("v")).distinct().collect()]
     if cells > 1:
-        some = rows.orderBy(F.crc32(F.col("id").cast("string")), "id").limit(sample).select("v").toArrow().column("v").to_pylist()
+        h, share = F.crc32(F.col("id").cast("string")), 2.0**33 * sample / max(1, total)  # twice the share, so that few rows are sorted
+        some = rows.where(h < share).orderBy(h, "id").limit(sample).select("v").toArrow().column("v").to_pylist()
     fitted = {}
     for size in sorted(lengths):
         own = [v for v in some if len(v) == size] if cells > 1 else []
@@ -185,21 +197,23 @@ def _cells(rows: DataFrame, cells: int, sample: int) -> DataFrame:
     return arrow(rows.select("id", "v"), run, "id bigint, v array<double>, cell bigint")
 
 
-def _trees(placed: DataFrame, shard_rows: int) -> DataFrame:
-    """(shard, size, centre, radius, tree): one row a shard; ``size``: of its vectors."""
+def _trees(placed: DataFrame, shard_rows: int, balls: int) -> DataFrame:
+    """(shard, size, centre, radius, tree): one row a shard; ``size``: of its vectors; centres and radii of ``balls`` inner nodes that cover it."""
     counts = placed.groupBy("cell").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("parts"))
-    dealt = placed.join(counts, "cell").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")))
+    # by place in the written table as well, so that equal rows are dealt like others
+    dealt = placed.withColumn("at", F.monotonically_increasing_id()).join(counts, "cell").withColumn("part", F.pmod(F.xxhash64("id", "v", "at"), F.col("parts"))).drop("at")
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(group["v"].to_list())
         t = BallTree(x, group["id"].to_numpy())
         cell, part = int(group["cell"].iloc[0]), int(group["part"].iloc[0])
-        return pd.DataFrame({"shard": [cell << 24 | part], "size": [x.shape[1]], "centre": [t.centres[0]], "radius": [t.radii[0]], "tree": [pickle.dumps(t, protocol=5)]})
+        nodes = t.cover(balls)
+        return pd.DataFrame({"shard": [cell << 24 | part], "size": [x.shape[1]], "centre": [t.centres[nodes].ravel()], "radius": [t.radii[nodes]], "tree": [pickle.dumps(t, protocol=5)]})
 
-    return dealt.groupBy("cell", "part").applyInPandas(build, "shard bigint, size int, centre array<double>, radius double, tree binary")
+    return dealt.groupBy("cell", "part").applyInPandas(build, "shard bigint, size int, centre array<double>, radius array<double>, tree binary")
 
 
-def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block: int = BLOCK, sample: int = SAMPLE, roots: int = ROOTS, second: int = SECOND) -> DataFrame:
+def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block: int = BLOCK, sample: int = SAMPLE, roots: int = ROOTS, second: int = SECOND, balls: int = BALLS) -> DataFrame:
     """(query_id, rank, vec_id, score); ``queries``: condition that picks the query rows."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
@@ -207,30 +221,36 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantise(F.col(vector_col), scale).alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = scratch.keep(rows.where("id is not null and v is not null"), "vectors")
     n = rows.count()
-    placed = scratch.keep(_cells(rows, max(1, -(-2 * n // shard_rows)), sample), "placed")
-    trees = scratch.keep(_trees(placed, shard_rows), "trees")
+    placed = scratch.keep(_cells(rows, n, max(1, -(-2 * n // shard_rows)), sample), "placed")
+    trees = scratch.keep(_trees(placed, shard_rows, balls), "trees")
     scratch.drop("placed")
     asked = rows.where("asks").select(F.col("id").alias("query"), F.col("v").alias("q")).distinct().withColumn("no", F.monotonically_increasing_id())
     asked = scratch.keep(asked.withColumn("floor", F.lit(float("-inf"))), "queries")
 
-    def bounded(state: DataFrame) -> DataFrame:
-        """(no, shard, bound) of the shards that may still hold one of a query's best."""
+    def bounded(state: DataFrame, most: int | None) -> DataFrame:
+        """(no, shard, bound) of the shards that may still hold one of a query's best: of all, or the ``most`` best of each list of roots."""
         out = None
         for part in _root_lists(trees, roots):
             # each list is one pass over the queries
             def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-                shard, size, centre, radius = part
                 for b in batches:
                     v, lengths = b.column(1), b.column(1).value_lengths().to_numpy()
                     no, floor = b.column(0).to_numpy(), b.column(2).to_numpy()
-                    for d in np.unique(lengths):
-                        own = np.flatnonzero(size == d)
-                        for who in np.array_split(np.flatnonzero(lengths == d), max(1, b.num_rows * max(len(own), 1) >> 20)):
-                            if len(own) and len(who):
-                                q = v.take(pa.array(who)).flatten().to_numpy().reshape(-1, d)
-                                bound = q @ np.stack([centre[i] for i in own]).T + np.sqrt((q**2).sum(1))[:, None] * radius[own][None, :] + 1e-6
+                    for d, (shard, first, centre, radius) in part.items():
+                        own = np.flatnonzero(lengths == d)
+                        for who in np.array_split(own, max(1, len(own) * len(radius) >> 20)):
+                            if not len(who):
+                                continue
+                            q = v.take(pa.array(who)).flatten().to_numpy().reshape(-1, d)
+                            inner = q @ centre.T + np.sqrt((q**2).sum(1))[:, None] * radius + 1e-6
+                            bound = np.maximum.reduceat(inner, first, axis=1)
+                            if most is not None and most < len(shard):
+                                j = np.argpartition(-bound, most - 1, axis=1)[:, :most].ravel()
+                                i = np.repeat(np.arange(len(who)), most)
+                                i, j = (x[bound[i, j] >= floor[who[i]]] for x in (i, j))
+                            else:
                                 i, j = np.nonzero(bound >= floor[who][:, None])
-                                yield pa.RecordBatch.from_arrays([pa.array(no[who[i]]), pa.array(shard[own[j]]), pa.array(bound[i, j])], names=["no", "shard", "bound"])
+                            yield pa.RecordBatch.from_arrays([pa.array(no[who[i]]), pa.array(shard[j]), pa.array(bound[i, j])], names=["no", "shard", "bound"])
 
             found = arrow(state.select("no", "q", "floor"), run, "no bigint, shard bigint, bound double")
             out = found if out is None else out.unionByName(found)
@@ -258,7 +278,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
     # the best shard; the next ones; all others whose bound still reaches the kth score
     state, found, visited = asked, None, None
     for name, upto in (("best", 1), ("next", second), ("rest", None)):
-        open_ = bounded(state)
+        # the one that was visited may be among the best
+        open_ = bounded(state, None if upto is None else upto + (visited is not None))
         if visited is not None:
             open_ = open_.join(visited, ["no", "shard"], "left_anti")
         if upto is not None:
@@ -273,8 +294,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
     return best.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
-def _root_lists(trees: DataFrame, most: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(shard, size, centre, radius) of the trees, at most ``most`` at a time."""
+def _root_lists(trees: DataFrame, most: int) -> Iterator[dict[int, tuple[np.ndarray, ...]]]:
+    """By length of the vectors, (shard, first ball of each, centres, radii) of the trees, at most ``most`` shards at a time."""
     held: list = []
     for r in trees.select("shard", "size", "centre", "radius").toLocalIterator():
         held.append(r)
@@ -285,8 +306,13 @@ def _root_lists(trees: DataFrame, most: int) -> Iterator[tuple[np.ndarray, ...]]
         yield _as_arrays(held)
 
 
-def _as_arrays(rows: list) -> tuple[np.ndarray, ...]:
-    return np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [np.array(r[2]) for r in rows], np.array([r[3] for r in rows])
+def _as_arrays(rows: list) -> dict[int, tuple[np.ndarray, ...]]:
+    out = {}
+    for d in sorted({r["size"] for r in rows}):
+        own = [r for r in rows if r["size"] == d]
+        n = np.array([len(r["radius"]) for r in own])
+        out[d] = (np.array([r["shard"] for r in own]), np.cumsum(n) - n, np.concatenate([np.array(r["centre"]).reshape(-1, d) for r in own]), np.concatenate([np.array(r["radius"]) for r in own]))
+    return out
 
 
 def kth(found: DataFrame, k: int) -> DataFrame:
