@@ -130,6 +130,9 @@ def _shaped(x: Column, digits: Column, letters: Column, kept: int = 0) -> Column
     return F.array_join(out, "")
 
 
+MOST_ATTEMPTS = 100
+
+
 def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
     """The canonical form of an entity's surrogate at some attempt."""
     seed = F.concat_ws("|", F.lit(key), kind, canonical, attempt.cast("string"))
@@ -150,12 +153,14 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
     account = _shaped(F.substring(canonical, F.lit(5), F.length(canonical)), digits, letters)
     blank = F.concat(F.substring(canonical, 1, 2), F.lit("00"), account)
     iban = F.concat(F.substring(canonical, 1, 2), F.lpad((F.lit(98) - _mod97(blank)).cast("string"), 2, "0"), account)
+    # a number keeps its first two digits, a country's; where the numbers of one run short, one and then none
+    country = F.when(attempt < 8, 2).when(attempt < 16, 1).otherwise(0)
     # a stream as long as the longest key
     long = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.length(canonical) / 64).cast("int")), lambda i: F.sha2(F.concat_ws("|", seed, i.cast("string")), 256)), "")
     token = _shaped(canonical, F.translate(long, "abcdef", "048263"), letter(long), kept=4)
     out = (
         F.when(kind == "email", F.concat(shaped, F.lit("@"), host)).when(kind == "card", F.concat(body, check)).when(kind == "ssn", F.substring(digits, 1, 9))
-        .when(kind == "phone", F.concat((number(1, 2) % 8 + 2).cast("string"), F.substring(digits, 3, 9))).when(kind == "abroad", F.concat(F.substring(canonical, 1, 2), F.substring(digits, F.lit(1), F.length(canonical) - 2)))
+        .when(kind == "phone", F.concat((number(1, 2) % 8 + 2).cast("string"), F.substring(digits, 3, 9))).when(kind == "abroad", F.concat(F.substring(canonical, F.lit(1), country), F.substring(digits, F.lit(1), F.length(canonical) - country)))
         .when(kind == "ip", ip).when(kind == "ip6", ip6).when(kind == "iban", iban).when(kind == "key", token).when(kind == "secret", F.substring(h, F.lit(1), F.length(canonical)))
     )
     for script, syllables in SYLLABLES.items():
@@ -182,8 +187,8 @@ def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(kind, canonical, surrogate): distinct, and never an entity of the table itself."""
     pending = scratch.keep(entities.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0)), "entities")
     originals = pending.select("kind", F.col("canonical").alias("surrogate"))
-    done, step = None, 0
-    while True:
+    done = None
+    for step in range(MOST_ATTEMPTS):
         tried = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), F.col("attempt"), key))
         free = tried.join(originals, ["kind", "surrogate"], "left_anti")
         if done is not None:
@@ -195,7 +200,8 @@ def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         done = winner if done is None else done.unionByName(winner)
         if left.isEmpty():
             return done
-        pending, step = left, step + 1
+        pending = left
+    raise ValueError(f"after {MOST_ATTEMPTS} attempts there are entities without a surrogate: more of a kind than it has values")
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:

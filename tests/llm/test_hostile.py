@@ -106,3 +106,15 @@ def test_several_blocks_one_index_at_a_time(spark):
     docs = spark.createDataFrame([(k, function(random.Random(100 + k), k)) for k in range(30)] + [(99, bench.first().text), (100, None)], "doc_id long, text string")
     one, many = ({x.doc_id: sorted((h.item, h.start, h.end, h.edits) for h in x["__hits"]) for x in decontaminate.contaminated(docs, bench, block_bytes=b).collect()} for b in (1 << 22, 3_000))
     assert one == many and one[99] and one[100] == []
+
+
+def test_numbers_of_one_prefix_run_short(spark):
+    """Far more numbers of seven digits than there are with the same first two."""
+    from quarry.llm import pii
+    from quarry.llm._scratch import Scratch
+
+    n = 90_000
+    entities = spark.range(n).select(F.lit("abroad").alias("kind"), F.concat(F.lit("49"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("canonical"))
+    got = pii.assign(entities, "k", Scratch(spark, "t"))
+    row = got.agg(F.count("*").alias("n"), F.count_distinct("surrogate").alias("d"), F.count_if(F.length("surrogate") != 7).alias("odd")).first()
+    assert (row.n, row.d, row.odd) == (n, n, 0) and got.join(entities.select(F.col("canonical").alias("surrogate")), "surrogate", "left_semi").isEmpty()
