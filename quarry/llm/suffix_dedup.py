@@ -172,7 +172,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = lambda of: of.select("row", "row2", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
     # a segment without a copy is in the row that it was cut from
     copied = found.join(several.where("copies > 1").select("anchor", "segment", "lo", "hi"), ["anchor", "segment"])
-    decided = place(several.where("copies = 1")).unionByName(place(copied)).groupBy("row", "row2").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    decided = place(several.where("copies = 1")).unionByName(place(copied)).groupBy("row", "row2").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))  # equal rows have equal ones
     decided = scratch.keep(decided, "decided")
     scratch.drop("runs", "segments", "spans")
 
