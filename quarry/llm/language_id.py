@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.llm import _text
@@ -125,17 +126,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if counts.count() <= MOST_BROADCAST:  # a row a language; the texts are not shuffled then
         counts = F.broadcast(counts)
     share = F.least(F.lit(1.0), F.lit(per_language) / F.col("n")) * 2.0**32
-    picked = rows.join(counts, "lang").where(F.crc32(F.concat(F.lit("sample"), F.col("id"))) < share).select("lang", "text")
+    h = F.crc32(F.concat(F.lit("sample"), F.col("id")))
+    picked = rows.join(counts, "lang").where(h < share).select("lang", "text", h.alias("h"))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, dim, val = [], [], []
-            for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            langs, dim, val, order = [], [], [], []
+            for lang, t, h in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if has_letter(t):
                     v = vectors([t], dims, idf)[0]
                     at = np.flatnonzero(v)
-                    langs.append(lang), dim.append(at.astype(np.int32).tobytes()), val.append(v[at].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(dim, pa.binary()), pa.array(val, pa.binary())], names=["lang", "dim", "val"])
+                    langs.append(lang), dim.append(at.astype(np.int32).tobytes()), val.append(v[at].tobytes()), order.append(h)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(dim, pa.binary()), pa.array(val, pa.binary()), pa.array(order, pa.int64())], names=["lang", "dim", "val", "h"])
 
     def clustered(group: pd.DataFrame) -> pd.DataFrame:
         own = sorted(zip(map(bytes, group["dim"]), map(bytes, group["val"])))
@@ -148,7 +150,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return pd.DataFrame({"lang": group["lang"].iloc[0], "j": used, "centroid": [c[j].astype(np.float32).tobytes() for j in used], "radius": [float(np.quantile(cos[at == j], reject_share)) for j in used]})
 
     # each language's sample is one small group; only the centroids reach the driver
-    found = arrow(picked, sparse, "lang string, dim binary, val binary").groupBy("lang").applyInPandas(clustered, "lang string, j int, centroid binary, radius double").collect()
+    vectors_of = arrow(picked, sparse, "lang string, dim binary, val binary, h bigint")
+    # rows of one id are all in or all out: twice the sample at most, whatever repeats
+    first = F.row_number().over(W.partitionBy("lang").orderBy("h", "dim", "val"))
+    found = vectors_of.withColumn("n", first).where(F.col("n") <= 2 * per_language).drop("n", "h").groupBy("lang").applyInPandas(clustered, "lang string, j int, centroid binary, radius double").collect()
     found = sorted(found, key=lambda r: (r["lang"], r["j"]))
     languages = sorted({r["lang"] for r in found})
     centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in found], np.float32).reshape(-1, dims)

@@ -118,3 +118,14 @@ def test_numbers_of_one_prefix_run_short(spark):
     got = pii.assign(entities, "k", Scratch(spark, "t"))
     row = got.agg(F.count("*").alias("n"), F.count_distinct("surrogate").alias("d"), F.count_if(F.length("surrogate") != 7).alias("odd")).first()
     assert (row.n, row.d, row.odd) == (n, n, 0) and got.join(entities.select(F.col("canonical").alias("surrogate")), "surrogate", "left_semi").isEmpty()
+
+
+def test_language_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One id that thousands of rows repeat."""
+    from quarry.llm import language_id
+
+    rows = [(7, "the cat and the dog %d" % i, "en") for i in range(3_000)] + [(i, "le chat et le chien %d" % i, "fr") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").union(spark.createDataFrame([(7, "the cat and", "en")] * 500, "doc_id long, text string, lang string"))
+    model = language_id.fit(docs, per_language=20, held_fold=9)
+    assert model.languages == ["en", "fr"]
+    assert model.predict(["the dog", "le chien"])[0] == ["en", "fr"]
