@@ -3,7 +3,7 @@
 A text becomes the TF-IDF vector, of length one, of its hashed letter bigrams
 and trigrams.  Document frequencies come from all learning documents; the
 centroids of a language come from spherical k-means over a sample of its
-learning documents (``per_language`` of them about, chosen by a hash of the id,
+learning documents (``per_language`` of them about, chosen by a hash of id and text,
 a documented bound on what one task holds; the driver gets the centroids).  A text takes the language of the
 centroid of largest cosine.  A text further from it than all but ``reject_share``
 of that centroid's own members is ``rejected``.
@@ -126,7 +126,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if counts.count() <= MOST_BROADCAST:  # a row a language; the texts are not shuffled then
         counts = F.broadcast(counts)
     share = F.least(F.lit(1.0), F.lit(per_language) / F.col("n")) * 2.0**32
-    h = F.crc32(F.concat(F.lit("sample"), F.col("id")))
+    # by row, so that rows of one id are not all in or all out
+    h = F.crc32(F.concat(F.lit("sample"), F.col("id"), F.lit(":"), F.xxhash64("text").cast("string")))
     picked = rows.join(counts, "lang").where(h < share).select("lang", "text", h.alias("h"))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +152,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     # each language's sample is one small group; only the centroids reach the driver
     vectors_of = arrow(picked, sparse, "lang string, dim binary, val binary, h bigint")
-    # rows of one id are all in or all out: twice the sample at most, whatever repeats
+    # equal rows still are: twice the sample at most, whatever repeats
     first = F.row_number().over(W.partitionBy("lang").orderBy("h", "dim", "val"))
     found = vectors_of.withColumn("n", first).where(F.col("n") <= 2 * per_language).drop("n", "h").groupBy("lang").applyInPandas(clustered, "lang string, j int, centroid binary, radius double").collect()
     found = sorted(found, key=lambda r: (r["lang"], r["j"]))

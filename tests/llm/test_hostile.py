@@ -113,7 +113,7 @@ def test_numbers_of_one_prefix_run_short(spark):
     from quarry.llm import pii
     from quarry.llm._scratch import Scratch
 
-    n = 90_000
+    n = 60_000
     entities = spark.range(n).select(F.lit("abroad").alias("kind"), F.concat(F.lit("49"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("canonical"))
     got = pii.assign(entities, "k", Scratch(spark, "t"))
     row = got.agg(F.count("*").alias("n"), F.count_distinct("surrogate").alias("d"), F.count_if(F.length("surrogate") != 7).alias("odd")).first()
