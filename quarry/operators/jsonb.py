@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _KIND = "map<string,variant>"
@@ -32,3 +32,22 @@ def append_event(doc: Column, key: str, event: Column) -> Column:
 def has_key(doc: Column, key: str) -> Column:
     """Also true where the key's value is null."""
     return F.coalesce(F.array_contains(F.json_object_keys(doc), key), F.lit(False))
+
+
+def elements(rows: DataFrame, doc: str, path: str = "$") -> DataFrame:
+    """The columns of ``rows`` but ``doc``, and (pos, key, value) of each element of the array or object at ``path`` of the JSON document ``doc``.
+
+    By the table function ``variant_explode`` in a lateral join: elements keep all their fields as VARIANT, whatever their
+    shape, for ``field`` to look into.  A malformed or null document, and one without the path, has no elements.
+    """
+    others = [c for c in rows.columns if c != doc]
+    inner = "v"
+    while inner in others:
+        inner += "_"
+    opened = rows.select(*(F.col(f"`{c}`") for c in others), F.try_variant_get(F.try_parse_json(F.col(f"`{doc}`")), path, "variant").alias(inner))
+    return opened.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(inner).outer())).drop(inner)
+
+
+def field(value: Column, name: str, kind: str) -> Column:
+    """A field of a VARIANT as a SQL type; null where it is absent or of another kind."""
+    return F.try_variant_get(value, f"$.{name}", kind)

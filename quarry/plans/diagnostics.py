@@ -28,7 +28,9 @@ def json_actions_rollup(k):
 
 @query("SELECT c AS check_name, count(*) AS n, count(DISTINCT medium_hash) AS media FROM (SELECT medium_hash, unnest(checks) AS c FROM ev) GROUP BY 1")
 def json_event_explode(k):
-    return k.events.select("medium_hash", F.explode("checks").alias("check_name")).groupBy("check_name").agg(F.count("*").alias("n"), F.count_distinct("medium_hash").alias("media"))
+    """Events opened as VARIANT by a table function."""
+    events = jsonb.elements(k.problems, "problems", "$.diagnostic_events").select("medium_hash", jsonb.field(F.col("value"), "checks", "array<string>").alias("checks"))
+    return events.select("medium_hash", F.explode("checks").alias("check_name")).groupBy("check_name").agg(F.count("*").alias("n"), F.count_distinct("medium_hash").alias("media"))
 
 
 @query("SELECT c AS check_name, action, count(*) AS n FROM (SELECT action, unnest(checks) AS c FROM ev) GROUP BY ALL")
@@ -209,7 +211,9 @@ def array_overlap_pairs(k):
 
 @query("""SELECT i.medium_hash, i.ino, i.size, i.copied, i.claimed_by, CASE WHEN message IS NOT NULL THEN len(i.errors) END AS error_count, retry_count AS diagnostic_retry, action AS diagnostic_action, timestamp AS diagnostic_time, array_to_string(checks, ',') AS checks_performed FROM inode i JOIN ev e ON e.medium_hash = i.medium_hash AND e.ino = i.ino""")
 def inodes_with_events(k):
-    e = k.events.select("medium_hash", "ino", F.col("retry_count").alias("diagnostic_retry"), F.col("action").alias("diagnostic_action"), F.col("timestamp").alias("diagnostic_time"), F.array_join("checks", ",").alias("checks_performed"))
+    of = lambda name, kind: jsonb.field(F.col("value"), name, kind)
+    events = jsonb.elements(k.problems, "problems", "$.diagnostic_events")
+    e = events.select("medium_hash", of("ino", "bigint").alias("ino"), of("retry_count", "bigint").alias("diagnostic_retry"), of("action", "string").alias("diagnostic_action"), of("timestamp", "string").alias("diagnostic_time"), F.array_join(of("checks", "array<string>"), ",").alias("checks_performed"))
     n = F.when(F.col("message").isNotNull(), F.size("errors")).cast("long")
     return k.inode.join(e, ["medium_hash", "ino"]).select("medium_hash", "ino", "size", "copied", "claimed_by", n.alias("error_count"), "diagnostic_retry", "diagnostic_action", "diagnostic_time", "checks_performed")
 

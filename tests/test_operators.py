@@ -308,3 +308,14 @@ def test_stored_catalog(spark, sf_dir, tmp_path):
         assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
     plan = kept.inode.where("medium_hash = 'src3'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(medium_hash" in plan
+
+
+def test_json_elements_of_any_shape(spark):
+    docs = [("a", '{"e":[{"ino":1,"x":{"y":2},"checks":["p","q"]},{"ino":"q"},5,null,[]]}'), ("b", "{bad"), ("c", None), ("d", '{"e":{"k":{"ino":7}}}'), ("f", "{}"), ("g", '{"e":3}'), ("h", "")]
+    rows = spark.createDataFrame([(m, p, "v", 1) for m, p in docs], "m string, p string, v string, `a.b` int")
+    found = jsonb.elements(rows, "p", "$.e")
+    assert found.columns == ["m", "v", "a.b", "pos", "key", "value"]
+    got = found.select("m", "pos", "key", F.to_json("value").alias("j"), jsonb.field(F.col("value"), "ino", "bigint").alias("ino"), jsonb.field(F.col("value"), "checks", "array<string>").alias("c"), jsonb.field(F.col("value"), "x.y", "int").alias("y")).collect()
+    assert sorted((r.m, r.pos, r.key, r.ino, r.c, r.y) for r in got) == [("a", 0, None, 1, ["p", "q"], 2), ("a", 1, None, None, None, None), ("a", 2, None, None, None, None), ("a", 3, None, None, None, None), ("a", 4, None, None, None, None), ("d", 0, "k", 7, None, None)]
+    assert [r.j for r in got if r.m == "a"][0] == '{"checks":["p","q"],"ino":1,"x":{"y":2}}'
+    assert jsonb.elements(rows.limit(0), "p").count() == 0
