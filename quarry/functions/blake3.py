@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ BLOCK, CHUNK, ROUNDS = 64, 1024, 7
 
 AT_ONCE = 2048  # chunks that are compressed together: what a core's cache holds
 PART = 1 << 26
+HELD = 1 << 22  # bytes of parts that are hashed together
 
 
 def _turn(x: np.ndarray, n: int) -> np.ndarray:
@@ -124,11 +126,18 @@ def digest(content: bytes) -> bytes:
     return digests(np.frombuffer(content, np.uint8), np.array([0, len(content)]))[0]
 
 
+def values_of_parts(raw: np.ndarray, offsets: np.ndarray, parts: np.ndarray, part_bytes: int) -> list[bytes]:
+    """The values of parts raw[offsets[i] : offsets[i + 1]] of files of several parts, with their numbers in their files; every part but a file's last has ``part_bytes``, a power of two of chunks."""
+    if len(parts) == 0:
+        return []
+    begin, size, number, n = _spans(offsets)
+    values = _chunk_values(raw, begin, size, number + np.repeat(parts, n) * (part_bytes // CHUNK), np.zeros(len(begin), bool))
+    whole = np.ascontiguousarray(merge(values, n, root=False).T.astype("<u4")).tobytes()
+    return [whole[32 * i : 32 * i + 32] for i in range(len(n))]
+
+
 def part_value(content: bytes, part: int, part_bytes: int) -> bytes:
-    """The value of a part of a file of several parts; every part but the last has ``part_bytes``, a power of two of chunks."""
-    begin, size, number, n = _spans(np.array([0, len(content)]))
-    values = _chunk_values(np.frombuffer(content, np.uint8), begin, size, number + part * (part_bytes // CHUNK), np.zeros(len(begin), bool))
-    return np.ascontiguousarray(merge(values, n, root=False).T.astype("<u4")).tobytes()
+    return values_of_parts(np.frombuffer(content, np.uint8), np.array([0, len(content)]), np.array([part]), part_bytes)[0]
 
 
 def merged(values: list[bytes]) -> bytes:
@@ -173,14 +182,22 @@ def part_values(parts: DataFrame, part_bytes: int = PART) -> DataFrame:
     checked_part(part_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):  # a part is large
-                content, part = b.column(2)[i].as_py(), b.column(1)[i].as_py()
-                row = [b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([part_value(content, part, part_bytes)], pa.binary()), pa.array([digest(content) if part == 0 else None], pa.binary())]
-                yield pa.RecordBatch.from_arrays(row, names=["file", "part", "value", "alone"])
+        for whole in batches:
+            start, size = 0, pa.compute.binary_length(whole.column(2).cast(pa.large_binary())).to_numpy().astype(np.int64)
+            ends = np.cumsum(size)
+            while start < whole.num_rows:  # some megabytes at a time, one part at least
+                end = max(start + 1, int(np.searchsorted(ends, ends[start] - size[start] + HELD, "right")))
+                b = whole.slice(start, end - start)
+                raw, off = _buffers(b.column(2))
+                number = b.column(1).to_numpy()
+                first = np.flatnonzero(number == 0)
+                alone = dict(zip(first.tolist(), digests(*_buffers(b.column(2).take(pa.array(first)))) if len(first) else []))
+                values = values_of_parts(raw, off, number, part_bytes)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(values, pa.binary()), pa.array([alone.get(i) for i in range(len(number))], pa.binary())], names=["file", "part", "value", "alone"])
+                start = end
 
     ship(parts.sparkSession)
-    rows = parts.select("file", F.col("part").cast("long").alias("part"), F.col("content").cast("binary").alias("content"))
+    rows = parts.where("content is not null").select("file", F.col("part").cast("long").alias("part"), F.col("content").cast("binary").alias("content"))
     return rows.mapInArrow(run, f"file {rows.schema['file'].dataType.simpleString()}, part bigint, value binary, alone binary")
 
 
